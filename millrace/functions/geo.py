@@ -96,7 +96,7 @@ def degree_minutes(value: Column, axis: str) -> Column:
     degrees = F.floor(size)
     return F.concat(
         degrees.cast("string"), F.lit("° "),
-        F.format_number(F.round((size - degrees) * 60, 2), "0.00"), F.lit("' "),
+        F.format_string("%.2f", F.round((size - degrees) * 60, 2)), F.lit("' "),
         F.when(value >= 0, plus).otherwise(minus),
     )
 

@@ -77,9 +77,11 @@ def chunk_words(df: DataFrame, text: str, size: int = 500, overlap: int = 75) ->
 def label_scores(text: Column, labels: Mapping[str, Sequence[str]]) -> dict[str, Column]:
     """Number of words of the text that point to each label."""
     tokens = F.split(F.lower(text), r"[\s.,;:!?()]+")
-    return {
-        label: F.size(F.filter(tokens, lambda w, ws=list(ws): w.isin(ws))) for label, ws in labels.items()
-    }
+
+    def hits(listed: Sequence[str]) -> Column:
+        return F.size(F.filter(tokens, lambda w: w.isin(list(listed))))
+
+    return {label: hits(listed) for label, listed in labels.items()}
 
 
 def classify(df: DataFrame, text: str, labels: Mapping[str, Sequence[str]], name: str = "label", other: str = "other") -> DataFrame:

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 # Query vectors sent to every task in one pass; more queries take more passes.
 MAX_QUERIES = 4096
@@ -46,6 +47,7 @@ def _slice_top_k(vectors: DataFrame, key: str, vector: str, ids: list, matrix: n
         T.StructField(query_key, query_type), T.StructField(key, vectors.schema[key].dataType),
         T.StructField("similarity", T.DoubleType()),
     ])
+    arrow_type = to_arrow_type(query_type)
     unit = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
     shared = vectors.sparkSession.sparkContext.broadcast((ids, unit))
 
@@ -64,7 +66,7 @@ def _slice_top_k(vectors: DataFrame, key: str, vector: str, ids: list, matrix: n
             flat = order.ravel()
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([n for n in names for _ in range(take)]),
+                    pa.array([n for n in names for _ in range(take)], type=arrow_type),
                     batch.column(0).take(pa.array(flat)),
                     pa.array(np.take_along_axis(sims.T, order, axis=1).ravel()),
                 ],

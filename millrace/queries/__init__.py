@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["relational", "aggregates", "changes"]
+MODULES = ["relational", "aggregates", "changes", "texts"]
 
 
 def _load():

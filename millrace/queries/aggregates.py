@@ -197,10 +197,10 @@ def size_estimate(spark, d):
 
 
 @query("minute_monitor", "AGG-21", f"""
-WITH last AS (SELECT max(ts) AS at FROM events)
+WITH last AS (SELECT max(ts) AS newest FROM events)
 SELECT strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M') AS minute, count(*) AS n, count(DISTINCT user_id) AS n_clients,
        {rounded('avg(value)', 4)} AS mean_value, {rounded('sum(value)', 2)} AS sum_value
-FROM events, last WHERE ts > at - INTERVAL 1 HOUR GROUP BY 1 ORDER BY 1 DESC LIMIT 60
+FROM events, last WHERE ts > newest - INTERVAL 1 HOUR GROUP BY 1 ORDER BY 1 DESC LIMIT 60
 """)
 def minute_monitor(spark, d):
     from millrace.plans.telemetry import per_minute

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.session import path_exists
+from millrace.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,6 +31,7 @@ def query(name: str, covers: str, sql: str | None = None):
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the supplied tables; times without zone are read as UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -45,4 +46,4 @@ def rounded(expression: str, digits: int) -> str:
     return f"CAST(round(CAST({expression} AS DECIMAL(38, 7)), {digits}) AS DOUBLE)"
 
 
-__all__ = ["COVERS", "ORACLES", "QUERIES", "path_exists", "query", "rounded", "stream", "table"]
+__all__ = ["COVERS", "ORACLES", "QUERIES", "query", "rounded", "stream", "table"]

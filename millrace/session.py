@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +33,20 @@ def build_session(app: str = "millrace", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per session, for the Python functions among the operators."""
+    context = spark.sparkContext
+    if getattr(context, "_millrace_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="millrace-code-")) / "millrace.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, str(file.relative_to(root.parent)))
+    context.addPyFile(str(archive))
+    context._millrace_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir`` of the session.
 
