@@ -118,7 +118,7 @@ def anomalies(states: DataFrame, region: str, steepest: int = STEEPEST) -> DataF
     chosen = coded.unionByName(top).distinct()
     seen = named(airborne(states, region)).join(chosen.select(*KEYS), KEYS, "left_semi")
     tracks = track(resampled(seen), ["lat", "lon", "alt"])
-    rate = F.coalesce(F.round("max_vr", 1), F.lit(0.0))
+    rate = F.coalesce(settle(F.col("max_vr"), 1), F.lit(0.0))
     kind = (
         F.when(F.col("e77") == 1, SQUAWK_KINDS["7700"])
         .when(F.col("e76") == 1, SQUAWK_KINDS["7600"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,8 +33,8 @@ def documents(messages: DataFrame, base_url: str) -> DataFrame:
     return circular_documents(parse_circulars(messages, "msg", ["offset", "timestamp"]), base_url)
 
 
-def labelled(docs: DataFrame) -> DataFrame:
-    return classify(docs, "content", EVENT_LABELS, "event_class")
+def labelled(docs: DataFrame, labels: Mapping[str, Sequence[str]] = EVENT_LABELS) -> DataFrame:
+    return classify(docs, "content", labels, "event_class")
 
 
 def label_counts(docs: DataFrame, classified: DataFrame) -> DataFrame:

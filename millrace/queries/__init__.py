@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["relational", "aggregates", "changes", "texts"]
+MODULES = ["relational", "aggregates", "changes", "texts", "jobs", "streams", "inputs"]
 
 
 def _load():

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.session import ship_package
+from millrace.session import is_folder, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,9 +36,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The same table as a file stream."""
-    schema = table(spark, folder, name).schema
-    return spark.readStream.schema(schema).parquet(f"{folder}/{name}.parquet")
+    """The same table as a file stream, be it one file or a folder of files."""
+    reader = spark.readStream.schema(table(spark, folder, name).schema)
+    path = f"{folder}/{name}.parquet"
+    if is_folder(spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
 
 
 def rounded(expression: str, digits: int) -> str:

@@ -80,13 +80,21 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _located(spark: SparkSession, path: str):
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(jvm_path)
+    fs, location = _located(spark, path)
+    return fs.exists(location)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, location = _located(spark, path)
+    return fs.exists(location) and fs.getFileStatus(location).isDirectory()
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(jvm_path, True)
+    fs, location = _located(spark, path)
+    fs.delete(location, True)

@@ -6,7 +6,6 @@ states are positional arrays.
 
 from __future__ import annotations
 
-import glob
 import json
 import os
 from collections.abc import Iterator
@@ -95,11 +94,14 @@ def _listing(folder: str) -> list[str]:
         raise FileNotFoundError(f"no folder {folder!r}")
     if os.path.exists(os.path.join(folder, BUSY_MARK)):
         raise TransientFault(f"{folder!r} is being written")
-    return sorted(glob.glob(os.path.join(glob.escape(folder), "*.json")))
+    found = (entry for entry in os.scandir(folder) if entry.is_file() and entry.name[0] not in "._")
+    return sorted((entry.path for entry in found), key=os.path.basename)
 
 
-def _responses(path: str) -> Iterator[tuple[str]]:
-    with open(path, encoding="utf-8") as handle:
+def _responses(partition: _File | None) -> Iterator[tuple[str]]:
+    if partition is None:  # an empty folder has one empty task
+        return
+    with open(partition.path, encoding="utf-8") as handle:
         for line in handle:
             if line.strip():
                 yield (line.strip(),)
@@ -113,7 +115,7 @@ class _BatchReader(DataSourceReader):
         return [_File(p) for p in _listing(self.folder)]
 
     def read(self, partition: _File) -> Iterator[tuple[str]]:
-        return _responses(partition.path)
+        return _responses(partition)
 
 
 class _StreamReader(DataSourceStreamReader):
@@ -144,7 +146,7 @@ class _StreamReader(DataSourceStreamReader):
         return [_File(p) for name, p in names if start["after"] < name <= end["after"]]
 
     def read(self, partition: _File) -> Iterator[tuple[str]]:
-        return _responses(partition.path)
+        return _responses(partition)
 
     def commit(self, end: dict) -> None:
         pass
