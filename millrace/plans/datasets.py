@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from millrace.operators.quality import Rule, enforce
 from millrace.session import path_exists
 from millrace.sinks.tables import KeyedTable
+from millrace.sources.files import stream_table
 from millrace.streaming.runs import TIMEOUT, drain_batches, observed, settings, trigger_of, wait
 
 STREAMED, STORED, VIEW, CHANGES, SINK = "streaming table", "materialized view", "view", "change table", "sink"
@@ -100,6 +102,14 @@ class Datasets:
     def _checkpoint(self, flow: str) -> str:
         return f"{self.root}/_checkpoints/{flow}"
 
+    def _flows(self, item: Dataset) -> list[tuple]:
+        own = [(item.name, item.build, {})] if item.build else []
+        return [*own, *item.flows]
+
+    def _flow_paths(self, item: Dataset) -> list[str]:
+        """One folder per flow: a file sink knows a batch by its number, and each flow counts for itself."""
+        return [f"{self.path(item.name)}/{flow}" for flow, _, _ in self._flows(item)]
+
     def _keyed(self, item: Dataset) -> KeyedTable:
         return KeyedTable(self.spark, self.path(item.name), item.change["keys"], item.change["buckets"])
 
@@ -110,7 +120,8 @@ class Datasets:
             return enforce(item.build(), item.rules)
         if item.kind == CHANGES:
             return self._keyed(item).read()
-        return self.spark.read.parquet(self.path(name))
+        paths = self._flow_paths(item) if item.kind == STREAMED else [self.path(name)]
+        return reduce(DataFrame.unionByName, [self.spark.read.parquet(p) for p in paths])
 
     def read_stream(self, name: str) -> DataFrame:
         """Rows that are new since the last run of the reader; a view passes its own stream on."""
@@ -119,7 +130,7 @@ class Datasets:
             return enforce(item.build(), item.rules)
         if item.kind != STREAMED:
             raise ValueError(f"{name!r} is no append-only table and cannot be streamed")
-        return self.spark.readStream.schema(self.spark.read.parquet(self.path(name)).schema).parquet(self.path(name))
+        return reduce(DataFrame.unionByName, [stream_table(self.spark, p) for p in self._flow_paths(item)])
 
     # ---- refreshing -------------------------------------------------------
     def refresh(self, *names: str) -> None:
@@ -161,8 +172,7 @@ class Datasets:
                 self._checkpoint(item.name), "append",
             )
         elif item.kind in (STREAMED, SINK):
-            flows = [(item.name, item.build, {})] if item.build else []
-            for flow, build, conf in [*flows, *item.flows]:
+            for flow, build, conf in self._flows(item):
                 self._run_flow(item, flow, build, conf)
 
     def _run_flow(self, item: Dataset, flow: str, build: Callable[[], DataFrame], conf: Mapping[str, str]) -> None:
@@ -170,7 +180,7 @@ class Datasets:
         if item.kind == SINK:
             writer = stream.writeStream.format(item.change["fmt"]).options(**item.change["options"]).outputMode(item.change["mode"])
         else:
-            writer = stream.writeStream.format("parquet").option("path", self.path(item.name)).outputMode("append")
+            writer = stream.writeStream.format("parquet").option("path", f"{self.path(item.name)}/{flow}").outputMode("append")
         writer = writer.option("checkpointLocation", self._checkpoint(f"{item.name}-{flow}"))
         with settings(self.spark, conf):
             query = writer.trigger(**trigger_of(item.interval)).start()

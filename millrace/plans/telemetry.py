@@ -22,13 +22,15 @@ PAYLOAD_SCHEMA = "clientId string, timestamp string, " + ", ".join(
     f"{group}: struct<{', '.join(f'{v}: string' for v in values)}>".replace(":", " ", 1) for group, values in GROUPS.items()
 )
 
+NON_NUMERIC = {"allowNonNumericNumbers": "true"}
+
 
 def flatten_payloads(df: DataFrame, payload: str, received_at: Column) -> DataFrame:
     """Nested JSON readings (batch or stream) to one flat row each.
 
     NaN and infinite values become null; readings with a bad time are left out.
     """
-    parsed = df.select(F.from_json(payload, PAYLOAD_SCHEMA, {"allowNonNumericNumbers": "true"}).alias("r"), received_at.alias("received_at"))
+    parsed = df.select(F.from_json(payload, PAYLOAD_SCHEMA, NON_NUMERIC).alias("r"), received_at.alias("received_at"))
     cells = [
         safe_double(F.col(f"r.{group}.{value}")).alias(f"{PREFIXES[group]}{value}")
         for group, values in GROUPS.items() for value in values
@@ -42,7 +44,7 @@ def flatten_payloads(df: DataFrame, payload: str, received_at: Column) -> DataFr
 
 def ingest_counts(df: DataFrame, payload: str) -> DataFrame:
     """Accepted and rejected readings."""
-    stamp = safe_iso(F.get_json_object(payload, "$.timestamp"))
+    stamp = safe_iso(F.from_json(payload, "timestamp string", NON_NUMERIC)["timestamp"])
     return df.agg(F.count_if(stamp.isNotNull()).alias("ok"), F.count_if(stamp.isNull()).alias("failed"))
 
 

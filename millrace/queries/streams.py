@@ -210,7 +210,7 @@ def loan_datasets(spark, d):
 
     sets.refresh()
     names = ["cleaned", "quarantined", "by_cost_center"]
-    counts = [spark.read.parquet(sets.path(n)).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("dataset"), "n") for n in names]
+    counts = [sets.read(n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("dataset"), "n") for n in names]
     dropped = sets.rule_metrics().filter("rule = 'positive balance'").select(F.lit("dropped").alias("dataset"), F.col("failed").alias("n"))
     out = dropped
     for c in counts:
