@@ -44,6 +44,11 @@ def email_of(name: Column, domain: str = "example.com") -> Column:
     return F.concat(F.lower(F.regexp_replace(name, " ", ".")), F.lit("@" + domain))
 
 
+# The characters the pattern \\s stands for.
+SPACES = " \t\n\x0b\f\r"
+
+
 def words(text: Column) -> Column:
-    """White-space separated words of the whole text, empty ones removed."""
-    return F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    """White-space separated words of the whole text; blank text has none."""
+    trimmed = F.btrim(text, F.lit(SPACES))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"\s+"))

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from millrace.functions.geo import LONGITUDE_BANDS, in_band
 from millrace.functions.values import md5_bucket
 
-# Rows a lookup side may have to be sent to every executor; a larger one is shuffled.
-MAX_LOOKUP_ROWS = 1_000_000
+# Group keys that may be sent to every executor; a longer list is shuffled.
+MAX_SENT_KEYS = 100_000
 
 
 def latest_day(df: DataFrame, ts: str) -> DataFrame:
@@ -73,13 +73,13 @@ def tag_longitude_bands(df: DataFrame, lon: str, name: str = "band") -> DataFram
     return df.withColumn(name, F.explode(F.array_compact(F.array(*hits))))
 
 
-def lookup(facts: DataFrame, ref: DataFrame, on, how: str = "left", max_rows: int = MAX_LOOKUP_ROWS) -> DataFrame:
-    """Join with a reference table, broadcast only when it is counted and small.
+def lookup(facts: DataFrame, ref: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join with a reference table.
 
-    A larger reference is joined by shuffle, where AQE splits hot keys.
+    No hint: Spark broadcasts a reference whose size, estimated or measured at
+    run time, is below its threshold, and shuffles a larger one with hot keys split.
     """
-    small = ref.limit(max_rows + 1).count() <= max_rows
-    return facts.join(F.broadcast(ref) if small else ref, on, how)
+    return facts.join(ref, on, how)
 
 
 def without_match(df: DataFrame, other: DataFrame, on) -> DataFrame:
@@ -99,7 +99,7 @@ def only_top_groups(df: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     top = counts.orderBy(F.desc("_n"), *keys).limit(k).select(*keys)
-    return df.join(F.broadcast(top) if k <= MAX_LOOKUP_ROWS else top, list(keys), "left_semi")
+    return df.join(F.broadcast(top) if k <= MAX_SENT_KEYS else top, list(keys), "left_semi")
 
 
 def child_summary(parents: DataFrame, children: DataFrame, key: str, order: str, first: str) -> DataFrame:

@@ -69,35 +69,44 @@ def chunk_words(df: DataFrame, text: str, size: int = 500, overlap: int = 75) ->
     pieces = F.transform(
         F.sequence(F.lit(0), count - 1), lambda i: F.array_join(F.slice(F.col("_words"), i * step + 1, F.lit(size)), " ")
     )
-    split = df.withColumn("_words", words(F.col(text))).filter(F.size("_words") > 0)
+    # Blank texts are dropped by a test on the text itself: one on the words would split each text twice.
+    split = df.filter(F.col(text).rlike(r"\S")).withColumn("_words", words(F.col(text)))
     chunks = split.select(*[c for c in df.columns if c != text], F.posexplode(pieces).alias("chunk_no", "chunk"))
     return chunks.withColumn("chunk_id", F.md5("chunk"))
 
 
-def label_scores(text: Column, labels: Mapping[str, Sequence[str]]) -> dict[str, Column]:
-    """Number of words of the text that point to each label."""
-    tokens = F.split(F.lower(text), r"[\s.,;:!?()]+")
+def listed_words(text: Column, labels: Mapping[str, Sequence[str]]) -> Column:
+    """The words of the text that point to any label, in one pass over the text."""
+    every = sorted({w for listed in labels.values() for w in listed})
+    return F.filter(F.split(F.lower(text), r"[\s.,;:!?()]+"), lambda w: w.isin(every))
 
-    def hits(listed: Sequence[str]) -> Column:
-        return F.size(F.filter(tokens, lambda w: w.isin(list(listed))))
 
-    return {label: hits(listed) for label, listed in labels.items()}
+def label_scores(hits: Column, labels: Mapping[str, Sequence[str]]) -> dict[str, Column]:
+    """Number of words that point to each label."""
+
+    def count(listed: Sequence[str]) -> Column:
+        return F.size(F.filter(hits, lambda w: w.isin(list(listed))))
+
+    return {label: count(listed) for label, listed in labels.items()}
 
 
 def classify(df: DataFrame, text: str, labels: Mapping[str, Sequence[str]], name: str = "label", other: str = "other") -> DataFrame:
     """The label with most words in the text; the first listed wins ties, no word gives ``other``."""
+    hits = df.withColumn("_hits", listed_words(F.col(text), labels))
     scored = F.array(*[F.struct(s.alias("score"), F.lit(-i).alias("rank"), F.lit(label).alias("label"))
-                       for i, (label, s) in enumerate(label_scores(F.col(text), labels).items())])
-    best = F.array_max(scored)
-    out = df.withColumn("_best", best)
-    return out.withColumn(name, F.when(F.col("_best.score") > 0, F.col("_best.label")).otherwise(other)).drop("_best")
+                       for i, (label, s) in enumerate(label_scores(F.col("_hits"), labels).items())])
+    out = hits.withColumn("_best", F.array_max(scored))
+    return out.withColumn(name, F.when(F.col("_best.score") > 0, F.col("_best.label")).otherwise(other)).drop("_best", "_hits")
 
 
-def sentiment(text: Column, positive: Sequence[str], negative: Sequence[str]) -> Column:
+def sentiment(df: DataFrame, text: str, positive: Sequence[str], negative: Sequence[str], name: str = "sentiment") -> DataFrame:
     """Sign of positive minus negative words."""
-    scores = label_scores(text, {"p": positive, "n": negative})
+    lists = {"p": positive, "n": negative}
+    scored = df.withColumn("_hits", listed_words(F.col(text), lists))
+    scores = label_scores(F.col("_hits"), lists)
     balance = scores["p"] - scores["n"]
-    return F.when(balance > 0, "positive").when(balance < 0, "negative").otherwise("neutral")
+    mood = F.when(balance > 0, "positive").when(balance < 0, "negative").otherwise("neutral")
+    return scored.withColumn(name, mood).drop("_hits")
 
 
 def apply_model(

@@ -13,6 +13,7 @@ from millrace.functions.geo import REPORT_BOXES, grid_cell, in_box, region_box
 from millrace.functions.times import time_bucket
 from millrace.functions.values import settle
 from millrace.operators.aggregates import distinct_per_band
+from millrace.session import durable
 
 # Report parameters.
 TOP_FLIGHTS = 1500
@@ -115,7 +116,8 @@ def anomalies(states: DataFrame, region: str, steepest: int = STEEPEST) -> DataF
     flags = flight_flags(states, region)
     top = flags.orderBy(F.desc_nulls_last("max_vr"), *KEYS).limit(steepest)
     coded = flags.filter((F.col("e75") == 1) | (F.col("e76") == 1) | (F.col("e77") == 1))
-    chosen = coded.unionByName(top).distinct()
+    # Written once: it is joined twice below, and would scan all states again each time.
+    chosen = durable(coded.unionByName(top).distinct())
     seen = named(airborne(states, region)).join(chosen.select(*KEYS), KEYS, "left_semi")
     tracks = track(resampled(seen), ["lat", "lon", "alt"])
     rate = F.coalesce(settle(F.col("max_vr"), 1), F.lit(0.0))

@@ -206,8 +206,11 @@ def dense_ids(df: DataFrame, order: Sequence[str], name: str = "id") -> DataFram
     return with_positions(df, [], order, "_pos").withColumn(name, F.col("_pos") - 1).drop("_pos")
 
 
+def number_batches(figures: DataFrame, group: Sequence[str], batch: str, name: str) -> DataFrame:
+    """Dense rank of the batch id per group, for a small table with one row per group and batch."""
+    return figures.withColumn(name, F.dense_rank().over(Window.partitionBy(*group).orderBy(batch)))
+
+
 def dense_batch_number(df: DataFrame, group: Sequence[str], batch: str, name: str) -> DataFrame:
-    """Dense rank of the batch id per group, ranked over the distinct batches only and joined back."""
-    w = Window.partitionBy(*group).orderBy(batch)
-    ranks = df.select(*group, batch).distinct().withColumn(name, F.row_number().over(w))
-    return df.join(ranks, [*group, batch])
+    """The same for rows of a batch: the distinct batches are ranked and joined back, not the rows."""
+    return df.join(number_batches(df.select(*group, batch).distinct(), group, batch, name), [*group, batch])

@@ -162,7 +162,7 @@ SELECT event_type, {rounded('avg(top)', 2)} AS mean_top FROM placed WHERE no NOT
 """)
 def aggregate_of_aggregate(spark, d):
     daily = table(spark, d, "events").groupBy("event_type", F.to_date("ts").alias("day")).agg(F.max("value").alias("top"))
-    placed = W.dense_batch_number(daily, ["event_type"], "day", "no")
+    placed = W.number_batches(daily, ["event_type"], "day", "no")
     return placed.filter("no > 2").groupBy("event_type").agg(settle(F.avg("top"), 2).alias("mean_top"))
 
 

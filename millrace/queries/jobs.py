@@ -298,7 +298,7 @@ def circular_label_counts(spark, d):
 
 def states(spark, d):
     """Events as state vectors: user = aircraft, type = call sign, position and codes from value and payload."""
-    k = json_field(F.col("props"), "k", "int")
+    k = F.from_json("props", "k int")["k"]
     v = F.col("value")
     squawk = F.when(k == 75, "7500").when(k == 76, "7600").when(k == 77, "7700").otherwise("1200")
     return table(spark, d, "events").select(

@@ -354,8 +354,8 @@ WITH s AS (SELECT doc_id, {_count(['good', 'the', 'le'])} AS p, {_count(['bad',
 SELECT doc_id, CASE WHEN p > n THEN 'positive' WHEN p < n THEN 'negative' ELSE 'neutral' END AS mood FROM s
 """)
 def sentiment(spark, d):
-    mood = T.sentiment(F.col("text"), ["good", "the", "le"], ["bad", "of", "des"])
-    return table(spark, d, "documents").select("doc_id", mood.alias("mood"))
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return T.sentiment(docs, "text", ["good", "the", "le"], ["bad", "of", "des"], "mood").drop("text")
 
 
 def _load_shouter():

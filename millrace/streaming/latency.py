@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.values import latency_millis, settle
 from millrace.operators.aggregates import percentiles
-from millrace.operators.windows import dense_batch_number
+from millrace.operators.windows import number_batches
 
 
 def with_latency(df: DataFrame, source_ts: str, sink_ts: str) -> DataFrame:
@@ -19,7 +19,7 @@ def with_latency(df: DataFrame, source_ts: str, sink_ts: str) -> DataFrame:
 def latency_per_batch(df: DataFrame) -> DataFrame:
     """Mean and percentiles of ``latency`` per trigger type and batch, batches numbered per type."""
     figures = percentiles(df, ["trigger_type", "batch_id"], "latency")
-    return dense_batch_number(figures, ["trigger_type"], "batch_id", "batch_no")
+    return number_batches(figures, ["trigger_type"], "batch_id", "batch_no")
 
 
 def compare_trigger_types(tables: Sequence[DataFrame], skip: int = 2) -> DataFrame:

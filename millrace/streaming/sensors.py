@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,26 +52,31 @@ class CityMonitor(StatefulProcessor):
         self.state = handle.getValueState("hot_readings", schema, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        n, total, last_ts, last_temp = self.state.get() if self.state.exists() else (0, 0.0, None, None)
-        changed = False
+        n, total, last_ts, last_temp = self.state.get() or (0, 0.0, None, None)
+        before = n
         for piece in rows:
             piece = piece.sort_values(["timestamp", "sensor_id"], kind="stable")
-            means, trends, counts = [], [], []
-            for ts, temp in zip(piece["timestamp"], piece["temperature"]):
-                if pd.isna(temp):
-                    means.append(None)
-                    trends.append("stable")
-                    counts.append(n)
-                    continue
-                means.append((total + temp) / (n + 1))
-                trends.append("stable" if last_temp is None or temp == last_temp else "rising" if temp > last_temp else "falling")
-                if temp > self.hot:
-                    n, total, changed = n + 1, total + temp, True
-                    if last_ts is None or ts >= pd.Timestamp(last_ts):
-                        last_ts, last_temp = ts.to_pydatetime(), float(temp)
-                counts.append(n)
-            yield piece.assign(avg_temp=means, temperature_trend=trends, high_temp_count=counts)
-        if changed:
+            temps = piece["temperature"].to_numpy(dtype="float64")
+            times = piece["timestamp"].to_numpy()
+            known, hot = ~np.isnan(temps), temps > self.hot
+            # Remembered readings up to and including each row, and without it.
+            counts, sums = n + np.cumsum(hot), total + np.cumsum(np.where(hot, temps, 0.0))
+            earlier_n, earlier_sum = counts - hot, sums - np.where(hot, temps, 0.0)
+            # A late hot reading counts, but is not the latest one.
+            newest = hot if last_ts is None else hot & (times >= np.datetime64(last_ts))
+            place = np.maximum.accumulate(np.where(newest, np.arange(len(temps)), -1))
+            previous = np.concatenate(([-1], place[:-1]))
+            start = np.nan if last_temp is None else last_temp
+            compared = np.where(previous >= 0, temps[np.maximum(previous, 0)], start)
+            trend = np.select([temps > compared, temps < compared], ["rising", "falling"], "stable")
+            yield piece.assign(
+                avg_temp=np.where(known, (earlier_sum + temps) / (earlier_n + 1), np.nan),
+                temperature_trend=trend, high_temp_count=counts,
+            )
+            n, total = int(counts[-1]), float(sums[-1])
+            if place[-1] >= 0:
+                last_ts, last_temp = pd.Timestamp(times[place[-1]]).to_pydatetime(), float(temps[place[-1]])
+        if n != before:
             self.state.update((n, total, last_ts, last_temp))
 
     def close(self) -> None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators import aggregates as A
 from millrace.operators import governance as G
 from millrace.operators import relational as R
+from millrace.streaming.runs import settings
 
 
 def test_bands_overlap_and_wrap(spark):
@@ -18,13 +19,17 @@ def test_bands_overlap_and_wrap(spark):
     }
 
 
-def test_lookup_broadcasts_only_when_small(spark):
+def test_lookup_broadcasts_only_below_the_threshold(spark):
     facts = spark.range(100).withColumnRenamed("id", "k")
     ref = spark.range(50).select(F.col("id").alias("k"), F.lit("v").alias("v"))
-    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in plan(R.lookup(facts, ref, "k"))
-    assert "broadcast" not in plan(R.lookup(facts, ref, "k", max_rows=10))
-    assert R.lookup(facts, ref, "k", max_rows=10).count() == 100
+
+    def plan(threshold):
+        with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": threshold}):
+            return R.lookup(facts, ref, "k")._jdf.queryExecution().executedPlan().toString()
+
+    assert "BroadcastHashJoin" in plan("10MB")
+    assert "SortMergeJoin" in plan("-1")
+    assert R.lookup(facts, ref, "k").count() == 100
 
 
 def test_latest_day_is_a_pushed_scalar(spark):
