@@ -156,6 +156,25 @@ def clustered_write(spark, d):
     return read_path(spark, path).filter("l_suppkey BETWEEN 10 AND 20").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("catalog_table", "SNK-07 SNK-19 CDC-12 CDC-13 CDC-15 GOV-04 SRC-01", """
+SELECT n_nationkey, n_name, 'true' AS contains_pii, false AS loaded_again FROM nation UNION ALL SELECT -1, 'NOWHERE', 'true', false
+""")
+def catalog_table(spark, d):
+    from millrace.operators.governance import classify_table
+    from millrace.sources.files import read_table
+
+    path = scratch_path(spark, "catalog")
+    name = "millrace_" + path.rsplit("-", 1)[1]
+    nations = table(spark, d, "nation").select("n_nationkey", "n_name")
+    S.load_if_empty(nations, name, path)
+    again = S.load_if_empty(nations.limit(0), name, path)
+    classify_table(spark, name, {"contains_pii": "true", "data_classification": "internal"})
+    spark.sql(f"INSERT INTO {name} VALUES (-1, 'NOWHERE')")
+    tagged = spark.sql(f"SHOW TBLPROPERTIES {name} ('contains_pii')").first()["value"]
+    rows = read_table(spark, name).select("n_nationkey", "n_name", F.lit(tagged).alias("contains_pii"), F.lit(again).alias("loaded_again"))
+    return rows
+
+
 # ---- data quality ----------------------------------------------------------
 
 LINE_RULES = [

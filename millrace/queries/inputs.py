@@ -73,6 +73,30 @@ def xml_stream(spark, d):
     return drained(spark, source, root).select("p_partkey", "p_name", F.col("p_size").cast("int").alias("p_size"))
 
 
+SUPPLIER_XSD = """<?xml version="1.0"?>
+<xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema"><xs:element name="supplier"><xs:complexType><xs:sequence>
+<xs:element name="s_name" type="xs:string"/><xs:element name="nation" type="xs:integer"/></xs:sequence>
+<xs:attribute name="id" type="xs:integer" use="required"/></xs:complexType></xs:element></xs:schema>"""
+
+
+@query("xml_checked", "SRC-14", """
+SELECT s_suppkey, s_nationkey <= 12 AS valid, CASE WHEN s_nationkey <= 12 THEN s_name END AS s_name FROM supplier
+""")
+def xml_checked(spark, d):
+    from pyspark.sql import types as T
+
+    path = scratch_path(spark, "xml-checked")
+    nation = F.when(F.col("s_nationkey") <= 12, F.col("s_nationkey").cast("string")).otherwise("unknown")
+    s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("_id"), "s_name", nation.alias("nation"))
+    s.write.format("xml").option("rowTag", "supplier").option("rootTag", "suppliers").save(path)
+    xsd = xml.send_xsd(spark, SUPPLIER_XSD, "supplier.xsd")
+    schema = T.StructType.fromDDL("_id bigint, s_name string, nation int")
+    read = xml.read_xml_checked(spark, path, "supplier", schema, xsd)
+    broken = F.col(xml.CORRUPT)
+    key = F.coalesce("_id", F.regexp_extract(broken, 'id="([0-9]+)"', 1).try_cast("bigint"))
+    return read.select(key.alias("s_suppkey"), broken.isNull().alias("valid"), F.when(broken.isNull(), F.col("s_name")).alias("s_name"))
+
+
 @query("message_replay", "SRC-18 SRC-19 FN-06 FN-09", """
 SELECT event_id, user_id, event_type, 'run-1' AS run_id, event_id AS "offset" FROM events WHERE event_id BETWEEN 100 AND 899 AND value > 1
 """)

@@ -324,19 +324,26 @@ MINUTES = f"""
 
 
 def points_text(fields):
-    return F.array_join(
-        F.transform("points", lambda p: F.concat_ws(",", *[F.coalesce(p[f].cast("string"), F.lit("")) for f in fields])), "|"
-    )
+    """Points as text: the time, then the fields with four decimals, empty when unknown."""
+    def shown(p):
+        return [F.coalesce(p[f].cast("decimal(18,4)").cast("string"), F.lit("")) for f in fields]
+
+    return F.array_join(F.transform("points", lambda p: F.concat_ws(",", p["ts"].cast("string"), *shown(p))), "|")
+
+
+def _point(fields):
+    cells = " || ',' || ".join(f"coalesce(CAST({f} AS DECIMAL(18, 4))::VARCHAR, '')" for f in fields)
+    return f"string_agg(m.ts || ',' || {cells}, '|' ORDER BY m.ts) AS track"
 
 
 @query("flight_prism", "JOB-07 JN-09 WIN-11 AGG-13", f"""
 WITH {STATES}, top AS (SELECT icao24, callsign FROM fly GROUP BY 1, 2 ORDER BY count(*) DESC, 1, 2 LIMIT 1500), m AS {MINUTES % 'top'}
 SELECT icao24, callsign, count(*) AS n, min(ts) AS t0, max(ts) AS t1,
-  string_agg(ts || ',' || lat || ',' || lon || ',' || coalesce(alt::VARCHAR, '') || ',' || vel, '|' ORDER BY ts) AS track FROM m GROUP BY 1, 2
+  {_point(['lat', 'lon', 'alt', 'vel'])} FROM m GROUP BY 1, 2
 """)
 def flight_prism(spark, d):
     out = tracks.prism(states(spark, d), "europe")
-    return out.select("icao24", "callsign", "n", "t0", "t1", points_text(["ts", "lat", "lon", "alt", "vel"]).alias("track"))
+    return out.select("icao24", "callsign", "n", "t0", "t1", points_text(["lat", "lon", "alt", "vel"]).alias("track"))
 
 
 @query("flight_density", "JOB-07 AGG-05 FN-17", f"""
@@ -365,12 +372,12 @@ WITH {STATES}, flags AS (SELECT icao24, callsign, max((squawk = '7500')::INT) AS
 r AS (SELECT *, row_number() OVER (ORDER BY max_vr DESC NULLS LAST, icao24, callsign) AS rk FROM flags),
 a AS (SELECT * FROM r WHERE e75 = 1 OR e76 = 1 OR e77 = 1 OR rk <= 20), m AS {MINUTES % 'a'}
 SELECT a.icao24, a.callsign, CASE WHEN e77 = 1 THEN 'emergency' WHEN e76 = 1 THEN 'radio' WHEN e75 = 1 THEN 'hijack' ELSE 'steep' END AS kind,
-  {rounded('max_vr', 1)} AS max_vr, t_emerg, count(*) AS n, string_agg(m.ts || ',' || lat || ',' || lon || ',' || coalesce(alt::VARCHAR, ''), '|' ORDER BY m.ts) AS track
+  {rounded('max_vr', 1)} AS max_vr, t_emerg, count(*) AS n, {_point(['lat', 'lon', 'alt'])}
 FROM a JOIN m USING (icao24, callsign) GROUP BY ALL
 """)
 def flight_anomalies(spark, d):
     out = tracks.anomalies(states(spark, d), "europe")
-    return out.select("icao24", "callsign", "kind", "max_vr", "t_emerg", "n", points_text(["ts", "lat", "lon", "alt"]).alias("track"))
+    return out.select("icao24", "callsign", "kind", "max_vr", "t_emerg", "n", points_text(["lat", "lon", "alt"]).alias("track"))
 
 
 @query("flight_live_figures", "AGG-29", f"""

@@ -208,7 +208,7 @@ def noon_slice(spark, d):
     return table(spark, d, "events").filter(within_clock(F.col("ts"), "12:00", "12:15")).select("event_id")
 
 
-@query("constant_lookup", "PRJ-24", """
+@query("constant_lookup", "PRJ-24 SRC-22", """
 WITH known(name, lat, lon) AS (VALUES ('AFRICA', 5.0::DOUBLE, 20.0::DOUBLE), ('ASIA', 40.0, 90.0), ('EUROPE', 50.0, 15.0))
 SELECT n_nationkey, r_name, lat, lon FROM nation JOIN region ON n_regionkey = r_regionkey LEFT JOIN known ON r_name = name
 """)

@@ -38,6 +38,21 @@ def stream_reads_new_files(spark, d):
     return spark.read.parquet(f"{root}/out").groupBy("run").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("trigger_types", "STR-12 STR-13 STR-14", """
+SELECT 'availableNow' AS trigger_type, count(*) AS n FROM events UNION ALL SELECT 'processingTime', count(*) FROM events
+""")
+def trigger_types(spark, d):
+    root = scratch_path(spark, "triggers")
+    parts = []
+    for kind, interval in (("availableNow", None), ("processingTime", "0 seconds")):
+        # Each query has its own checkpoint, so both see all rows.
+        writer = stream(spark, d, "events").select("event_id").writeStream.format("parquet").option("path", f"{root}/{kind}")
+        query_run = writer.option("checkpointLocation", f"{root}/checkpoints/{kind}").trigger(**runs.trigger_of(interval)).start()
+        runs.until_idle(query_run)
+        parts.append(spark.read.parquet(f"{root}/{kind}").agg(F.count(F.lit(1)).alias("n")).select(F.lit(kind).alias("trigger_type"), "n"))
+    return parts[0].union(parts[1])
+
+
 @query("sliding_window_stream", "STR-01 STR-02 STR-03 JOB-10", f"""
 WITH w AS (SELECT unnest([0, 6, 12, 18]) AS back, ts, value FROM events),
 p AS (SELECT TIMESTAMP '2024-01-01' + INTERVAL 1 HOUR * (CAST(floor((epoch(ts) - epoch(TIMESTAMP '2024-01-01')) / 21600) AS BIGINT) * 6 - back) AS s, value FROM w)

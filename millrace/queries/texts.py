@@ -115,6 +115,22 @@ def hash_choice(spark, d):
     return table(spark, d, "orders").groupBy(choice.alias("payment")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("md5_choice", "PRJ-21 UDF-01", """
+SELECT o_orderkey, ['card', 'cash', 'voucher'][CAST(('0x' || left(md5(CAST(o_orderkey AS VARCHAR)), 7)) AS BIGINT) % 3 + 1] AS payment FROM orders
+""")
+def md5_choice(spark, d):
+    choices = F.array(*[F.lit(c) for c in ("card", "cash", "voucher")])
+    index = values.md5_bucket(F.col("o_orderkey"), 3).cast("int") + 1
+    return table(spark, d, "orders").select("o_orderkey", F.element_at(choices, index).alias("payment"))
+
+
+@query("caller_identity", "FN-20", "SELECT n_nationkey, true AS has_caller, 'masked' AS name FROM nation")
+def caller_identity(spark, d):
+    roles = ["readers"]  # the groups of the caller are an argument, the user comes from the session
+    shown = G.role_mask(F.col("n_name"), roles, [("admins", lambda c: c)], G.fixed_text("masked"))
+    return table(spark, d, "nation").select("n_nationkey", (F.length(F.current_user()) > 0).alias("has_caller"), shown.alias("name"))
+
+
 @query("xml_round_trip", "FN-07 SRC-17", "SELECT s_suppkey, s_name, s_nationkey FROM supplier")
 def xml_round_trip(spark, d):
     from millrace.sources.xml import from_xml, to_xml

@@ -14,8 +14,10 @@ from millrace.session import delete_path, path_exists
 BUCKET, SEQ, DELETED = "_bucket", "_seq", "_deleted"
 
 
-def overwrite_table(df: DataFrame, table: str) -> None:
-    df.write.mode("overwrite").saveAsTable(table)
+def overwrite_table(df: DataFrame, table: str, path: str | None = None) -> None:
+    """Managed table, or a table at the given path."""
+    writer = df.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def append_table(df: DataFrame, table: str) -> None:
@@ -37,12 +39,12 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
-def load_if_empty(df: DataFrame, table: str) -> bool:
+def load_if_empty(df: DataFrame, table: str, path: str | None = None) -> bool:
     """Load only when the table is missing or has no row; tells whether it loaded."""
     spark = df.sparkSession
     if spark.catalog.tableExists(table) and spark.table(table).limit(1).count():
         return False
-    overwrite_table(df, table)
+    overwrite_table(df, table, path)
     return True
 
 

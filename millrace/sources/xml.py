@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,15 +19,20 @@ def read_xml(spark: SparkSession, path: str, row_tag: str, schema: T.StructType
 
 
 def read_xml_checked(spark: SparkSession, path: str, row_tag: str, schema: T.StructType, xsd: str) -> DataFrame:
-    """As :func:`read_xml`, rows that fail the XSD carry their text in ``_corrupt_record``.
-
-    On a cluster the XSD has to be distributed with ``SparkContext.addFile``.
-    """
+    """As :func:`read_xml`, rows that fail the XSD carry their text in ``_corrupt_record``."""
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     reader = spark.read.format("xml").option("rowTag", row_tag).option("rowValidationXSDPath", xsd)
     return reader.option("columnNameOfCorruptRecord", CORRUPT).schema(wide).load(path)
 
 
+def send_xsd(spark: SparkSession, text: str, name: str) -> str:
+    """Send an XSD to all executors; the result is the path to give to the reader."""
+    local = Path(tempfile.mkdtemp(prefix="millrace-xsd-")) / name
+    local.write_text(text, encoding="utf-8")
+    spark.sparkContext.addFile(str(local))
+    return name
+
+
 def create_xml_table(spark: SparkSession, name: str, path: str, row_tag: str) -> None:
     spark.sql(f"CREATE TABLE {name} USING XML OPTIONS (path '{path}', rowTag '{row_tag}')")
 

@@ -40,6 +40,12 @@ def wait(query: StreamingQuery, timeout: int = TIMEOUT) -> StreamingQuery:
     return query
 
 
+def until_idle(query: StreamingQuery) -> None:
+    """Let a query take all input present now, then stop it, whatever its trigger."""
+    query.processAllAvailable()
+    query.stop()
+
+
 def drain_to_parquet(stream: DataFrame, path: str, checkpoint: str, timeout: int = TIMEOUT) -> StreamingQuery:
     """Process all available input into a parquet table, each input once."""
     writer = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
