@@ -13,7 +13,7 @@ def json_field(text: Column, field: str, kind: str = "string") -> Column:
 
 
 def line_key(line: Column) -> Column:
-    return F.split_part(line, F.lit(":"), F.lit(1))
+    return F.substring_index(line, ":", 1)
 
 
 def line_value(line: Column) -> Column:

@@ -72,7 +72,7 @@ def access_audit(
     return recent.groupBy(*group).agg(
         F.max(ts).alias("last_accessed"),
         F.count(F.lit(1)).alias("reference_count"),
-        F.concat_ws(",", F.array_sort(F.collect_set(name))).alias("names_used"),
+        F.concat_ws(",", F.sort_array(F.collect_set(name))).alias("names_used"),
     )
 
 

@@ -16,9 +16,13 @@ MAX_SENT_KEYS = 100_000
 
 
 def latest_day(df: DataFrame, ts: str) -> DataFrame:
-    """Rows of the most recent day, found by a scalar subquery."""
-    newest = df.agg(F.max(F.to_date(ts))).scalar()
-    return df.filter(F.to_date(ts) == newest)
+    """Rows of the most recent day.
+
+    The start of that day is a scalar subquery compared with the bare column, so
+    the scan can skip files and row groups that end before it.
+    """
+    start = df.agg(F.to_date(F.max(ts)).cast(df.schema[ts].dataType)).scalar()
+    return df.filter(F.col(ts) >= start)
 
 
 def known_position(lat: Column, lon: Column) -> Column:

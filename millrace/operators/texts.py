@@ -47,14 +47,19 @@ def pivot_messages(
         F.filter(F.split(message, "\n"), lambda line: line != ""),
         lambda line: F.struct(line_key(line).alias("key"), line_value(line).alias("value")),
     )
+    # Sorted by key and value, the last pair of each key holds its greatest value.
+    sorted_lines = df.select(*group, lines.alias("_lines")).withColumn("_sorted", F.sort_array("_lines"))
+    following = F.col("_sorted")
+    last = F.filter("_sorted", lambda p, i: ~F.get(following, i + 1)["key"].eqNullSafe(p["key"]))
+    mapped = sorted_lines.withColumn("_values", F.map_from_entries(last))
 
     def cell(name: str) -> Column:
-        values = F.transform(F.filter(F.col("_lines"), lambda p: p["key"] == name), lambda p: p["value"])
         if name in repeated:
+            values = F.transform(F.filter("_lines", lambda p: p["key"] == name), lambda p: p["value"])
             return F.when(F.size(values) > 0, F.array_join(values, " ")).alias(name)
-        return F.array_max(values).alias(name)
+        return F.try_element_at("_values", F.lit(name)).alias(name)
 
-    return df.select(*group, lines.alias("_lines")).select(*group, *[cell(n) for n in names])
+    return mapped.select(*group, *[cell(n) for n in names])
 
 
 def chunk_words(df: DataFrame, text: str, size: int = 500, overlap: int = 75) -> DataFrame:
@@ -140,7 +145,7 @@ def build_prompt(template: Sequence[str | Column]) -> Column:
 
 def join_context(hits: DataFrame, group: Sequence[str], rank: str, text: str, separator: str = "\n\n") -> DataFrame:
     """Retrieved texts of each query in rank order as one text; a query has at most k hits."""
-    ordered = F.array_sort(F.collect_list(F.struct(rank, text)))
+    ordered = F.sort_array(F.collect_list(F.struct(rank, text)))
     return hits.groupBy(*group).agg(F.array_join(F.transform(ordered, lambda h: h[text]), separator).alias("context"))
 
 

@@ -51,7 +51,7 @@ def resampled(states: DataFrame) -> DataFrame:
 
 def track(points: DataFrame, fields: list[str]) -> DataFrame:
     """Points of each flight as one array in time order; a flight has at most one point per minute."""
-    ordered = F.array_sort(F.collect_list(F.struct("ts", *fields)))
+    ordered = F.sort_array(F.collect_list(F.struct("ts", *fields)))
     return points.groupBy(*KEYS).agg(
         F.count(F.lit(1)).alias("n"), F.min("ts").alias("t0"), F.max("ts").alias("t1"), ordered.alias("points")
     )

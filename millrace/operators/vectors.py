@@ -30,7 +30,7 @@ def centroids(df: DataFrame, group: str, vector: str) -> DataFrame:
     """Mean vector per group, by averaging each position."""
     cells = df.select(group, F.posexplode(vector).alias("pos", "x"))
     means = cells.groupBy(group, "pos").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "x")))
+    ordered = F.sort_array(F.collect_list(F.struct("pos", "x")))
     return means.groupBy(group).agg(F.transform(ordered, lambda p: p["x"]).alias(vector))
 
 

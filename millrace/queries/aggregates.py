@@ -113,7 +113,7 @@ SELECT user_id, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS type
        count(DISTINCT event_type) AS n_types FROM events GROUP BY user_id
 """)
 def collected_sets(spark, d):
-    types = F.array_sort(F.collect_set("event_type"))
+    types = F.sort_array(F.collect_set("event_type"))
     return table(spark, d, "events").groupBy("user_id").agg(types.alias("t")).select(
         "user_id", F.array_join("t", ",").alias("types"), F.size("t").cast("bigint").alias("n_types")
     )
@@ -386,7 +386,7 @@ SELECT user_id, count(*) AS n_buckets, string_agg(CAST(bucket AS VARCHAR) || '='
 def resample_tracks(spark, d):
     e = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     hourly = W.resample(e, ["user_id"], "ts", 3600, [F.count(F.lit(1)).alias("n"), F.max("value").alias("top")])
-    points = F.array_sort(F.collect_list(F.struct("bucket", "n")))
+    points = F.sort_array(F.collect_list(F.struct("bucket", "n")))
     text = F.transform(points, lambda p: F.concat_ws("=", p["bucket"].cast("string"), p["n"].cast("string")))
     return hourly.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_buckets"), F.array_join(text, ",").alias("track"))
 

@@ -31,6 +31,18 @@ def test_fail_names_the_rule(loans):
         Q.enforce(bad, RULES).collect()
 
 
+def test_fail_looks_only_at_the_rows_of_the_dataset(spark, tmp_path):
+    spark.createDataFrame([(1, 2.0)], "id int, v double").write.parquet(str(tmp_path / "sales"))
+    spark.createDataFrame([(1, "Bern"), (2, "test")], "id int, city string").write.parquet(str(tmp_path / "shops"))
+    sales, shops = (spark.read.parquet(str(tmp_path / n)) for n in ("sales", "shops"))
+    rule = [Q.expect_or_fail("real", "city != 'test'")]
+    # The shop without sales is no row of the joined dataset, nor is it one of the totals.
+    assert rows(Q.enforce(sales.join(shops, "id"), rule), "city") == [("Bern",)]
+    assert rows(Q.enforce(sales.join(shops, "id").groupBy("city").agg(F.sum("v").alias("v")), rule)) == [("Bern", 2.0)]
+    with pytest.raises(Exception, match="violated: real"):
+        Q.enforce(shops.join(sales, "id", "left"), rule).collect()
+
+
 def test_fail_is_not_pruned_away(loans):
     bad = loans.withColumn("center", F.lit(None).cast("string"))
     with pytest.raises(Exception, match="violated: center set"):
