@@ -98,7 +98,7 @@ def xml_checked(spark, d):
 
 
 @query("message_replay", "SRC-18 SRC-19 FN-06 FN-09", """
-SELECT event_id, user_id, event_type, 'run-1' AS run_id, event_id AS "offset" FROM events WHERE event_id BETWEEN 100 AND 899 AND value > 1
+SELECT event_id, user_id, event_type, 'run-1' AS run_id, event_id AS "offset" FROM events WHERE value > 1
 """)
 def message_replay(spark, d):
     root = scratch_path(spark, "messages")
@@ -108,7 +108,7 @@ def message_replay(spark, d):
         F.col("user_id").cast("string").alias("key"), F.to_json(F.struct("event_id", "user_id", "event_type")).alias("value"), F.lit("events").alias("topic"),
         F.lit(0).alias("partition"), F.col("event_id").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"), head.alias("headers"),
     ).write.json(f"{root}/in")
-    sent = messages.replay(spark, f"{root}/in", "events", first_offset=100, last_offset=899)
+    sent = messages.replay(spark, f"{root}/in", "events", first_offset=0)
     return messages.decoded(sent, "event_id bigint, user_id bigint, event_type string", "run_id", {"run_id": "run_id"}).drop("sink_timestamp")
 
 
