@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import language, quality
+from millrace.llm import bpe, language, quality
+from millrace.llm.queries import vocabulary
 from millrace.queries.registry import table
 from millrace.session import scratch_path
 
@@ -26,7 +27,13 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.score(docs, "text", weights, into="_quality").filter(f"_quality >= {LEAST_QUALITY}").select(*docs.columns)
 
 
-STAGES = [("language", language_stage), ("quality", quality_stage)]
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of the kept documents and their digests; the decoded text is compared through its digest."""
+    table(spark, sf_dir, "documents")
+    return bpe.digests(docs, vocabulary("word_bpe_49k.json"))
+
+
+STAGES = [("language", language_stage), ("quality", quality_stage), ("encoding", encoding_stage)]
 ORACLE_SQL = None
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import language, licenses, quality
+from millrace.llm import bpe, language, licenses, quality
 from millrace.llm.learning import in_fold
 from millrace.queries.registry import table
 
@@ -40,6 +40,18 @@ def op5_language_id(spark, sf):
     return out.select("doc_id", in_fold("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def vocabulary(name: str) -> str:
+    """Where the public tokenizer files lie; the operators take the path as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query()
+def op7_bpe_round_trip(spark, sf):
+    return bpe.digests(table(spark, sf, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 @query()
 def op10_license_scan(spark, sf):
     out = licenses.scan(table(spark, sf, "documents"))
