@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, language, licenses, quality
+from millrace.llm import bpe, language, licenses, packed, quality
 from millrace.llm.learning import in_fold
 from millrace.queries.registry import table
+from millrace.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,6 +53,13 @@ def op7_bpe_round_trip(spark, sf):
     return bpe.digests(table(spark, sf, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+@query()
+def op8_packed_ids(spark, sf):
+    path = scratch_path(spark, "packed")
+    packed.write_packed(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.json"), path)
+    return packed.read_packed(spark, path, with_ids=False)
+
+
 @query()
 def op10_license_scan(spark, sf):
     out = licenses.scan(table(spark, sf, "documents"))
