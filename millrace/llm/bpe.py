@@ -4,9 +4,8 @@ Frequent words are counted over all texts in Spark and compiled, with their ids,
 (``lexicon``), a file that Spark sends to every executor and that tasks map into memory.  A word it does not hold is merged
 exactly, pair by pair in the order of the vocabulary's merges.  Which words are compiled changes the speed, never the ids.
 
-Texts whose characters all lie below U+0180 are split by a pattern built from the Unicode categories of that range; any other
-text, and a text with a special token in it, is encoded by the tokenizers library itself, since only there normal forms
-and case rules beyond that range are the library's own.
+Texts of characters below U+0180 are split by a pattern (``splitting``); any other text, and a text with a special token in
+it, is encoded by the tokenizers library itself, since normal forms and case rules beyond that range are the library's own.
 
 Defined results: a null or empty text has no ids and decodes to an empty text; repeated rows get the same result each; an
 empty table gives an empty result and an empty lexicon; further columns are kept, those named like a result column are replaced.
@@ -31,24 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.lexicon import Lexicon, compile_lexicon
+from millrace.llm.splitting import LETTERS, NUMBERS, SPACES, Remembered, plain, portions, special_pattern
 
 LEXICON_WORDS = 65536
 #: A word is a candidate for the lexicon if it makes up this share of the words of some task: a word with that share of all
 #: words has it in at least one task.
 SHARE = 1e-6
-#: Words whose ids a task remembers; when full it starts anew.
-REMEMBERED = 300_000
 END = "</w>"
 
-_RANGE = [chr(i) for i in range(0x180)]
-_SPACE = "".join(c for c in _RANGE if c in "\t\n\v\f\r \x85\xa0")
-_LETTERS = "".join(c for c in _RANGE if unicodedata.category(c)[0] == "L")
-_NUMBERS = "".join(c for c in _RANGE if unicodedata.category(c)[0] == "N")
-#: Not handled by the pattern: the separators \x1c-\x1f, a capital whose lower case is two characters, anything from U+0180.
-ODD = re.compile("[\x1c-\x1fİƀ-\U0010ffff]")
-WORDS = re.compile(
-    f"[{re.escape(_LETTERS)}]+|[{re.escape(_NUMBERS)}]|'(?:s|t|re|ve|m|ll|d)|[^{re.escape(_SPACE + _LETTERS + _NUMBERS)}]+"
-)
+WORDS = re.compile(f"[{LETTERS}]+|[{NUMBERS}]|'(?:s|t|re|ve|m|ll|d)|[^{SPACES}{LETTERS}{NUMBERS}]+")
 
 
 def byte_characters() -> list[str]:
@@ -75,7 +65,7 @@ class WordBpe:
             self.tokens[i] = token
         for token in data["added_tokens"]:
             self.tokens[token["id"]] = token["content"]
-        self.special = re.compile("|".join(re.escape(t["content"]) for t in data["added_tokens"]) or "(?!)")
+        self.special = special_pattern(data["added_tokens"])
         pairs = [m.split(" ") if isinstance(m, str) else m for m in data["model"]["merges"]]
         self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
         letters = byte_characters()
@@ -115,16 +105,6 @@ def words_of(text: str) -> list[str]:
     return WORDS.findall(text.lower())
 
 
-def plain(model: WordBpe, text: str) -> bool:
-    """Whether the pattern splits the text as the library does: no odd character, no special token."""
-    try:
-        text.encode("latin-1")
-        odd = any(c in text for c in "\x1c\x1d\x1e\x1f")
-    except UnicodeEncodeError:
-        odd = ODD.search(text) is not None
-    return not odd and model.special.search(text) is None
-
-
 def frequent_words(docs: DataFrame, text_col: str, model_text, words: int = LEXICON_WORDS) -> list[str]:
     """The most frequent words of all texts, at most ``words``."""
 
@@ -132,7 +112,7 @@ def frequent_words(docs: DataFrame, text_col: str, model_text, words: int = LEXI
         model, counts = _model(model_text.value), Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                if text and plain(model, text):
+                if text and plain(text, model.special):
                     counts.update(words_of(text))
         least = max(2, SHARE * sum(counts.values()))
         kept = [(w, n) for w, n in counts.items() if n >= least]
@@ -149,9 +129,17 @@ def _model(text: str) -> WordBpe:
     return WordBpe(text)
 
 
-@lru_cache(maxsize=2)
-def _lexicon(name: str) -> Lexicon:
-    return Lexicon(SparkFiles.get(name))
+@lru_cache(maxsize=1)
+def _remembered(text: str, name: str) -> Remembered:
+    """Ids of words, from the mapped lexicon or else by merging."""
+    model, lexicon = _model(text), Lexicon(SparkFiles.get(name))
+
+    def encode(words: list[str]) -> list[bytes]:
+        raw = [w.encode() for w in words]
+        ranks = lexicon.ranks_of(raw).tolist()
+        return [np.array(lexicon.ids_of(r) if r >= 0 else model.merged(w), np.int32).tobytes() for w, r in zip(raw, ranks)]
+
+    return Remembered(encode)
 
 
 def send_lexicon(docs: DataFrame, text_col: str, model_text) -> str:
@@ -173,27 +161,18 @@ def encoded(docs: DataFrame, tokenizer_path: str, text_col: str = "text", into:
     keep = [c for c in docs.columns if c not in (text_col, into)]
 
     def encode(batches):
-        model, lexicon, known = _model(model_text.value), _lexicon(name), {}
+        model, words = _model(model_text.value), _remembered(model_text.value, name)
         for batch in batches:
             texts = pc.fill_null(batch.column(len(keep)), "").to_pylist()
-            for row, end in _portions(texts):
-                ids, offsets = [], [0]
-                split = [words_of(t) if plain(model, t) else None for t in texts[row:end]]
-                new = list({w for words in split if words for w in words if w not in known})
-                if len(known) + len(new) > REMEMBERED:
-                    known.clear()
-                    new = list({w for words in split if words for w in words})
-                raw = [w.encode() for w in new]
-                for word, data, rank in zip(new, raw, lexicon.ranks_of(raw).tolist()):
-                    known[word] = lexicon.ids_of(rank) if rank >= 0 else model.merged(data)
-                for words, text in zip(split, texts[row:end]):
-                    if words is None:
-                        ids.extend(model.by_library(text))
-                    else:
-                        for word in words:
-                            ids += known[word]
-                    offsets.append(len(ids))
-                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.array(ids, np.int32)))
+            for row, end in portions(texts):
+                split = [words_of(t) if plain(t, model.special) else None for t in texts[row:end]]
+                known = words.of(split)
+                coded = [
+                    b"".join([known[w] for w in found]) if found is not None else np.array(model.by_library(text), np.int32).tobytes()
+                    for found, text in zip(split, texts[row:end])
+                ]
+                offsets = np.cumsum([0, *(len(c) // 4 for c in coded)])
+                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(coded), np.int32)))
                 yield pa.RecordBatch.from_arrays([*(c.slice(row, end - row) for c in batch.columns[: len(keep)]), lists], names=[*keep, into])
 
     rows = docs.select(*keep, text_col)
@@ -201,17 +180,6 @@ def encoded(docs: DataFrame, tokenizer_path: str, text_col: str = "text", into:
     return rows.mapInArrow(encode, f"{schema}`{into}` array<int>")
 
 
-def _portions(texts: list[str], size: int = 1 << 20):
-    row = total = 0
-    for i, text in enumerate(texts):
-        total += len(text)
-        if total >= size:
-            yield row, i + 1
-            row, total = i + 1, 0
-    if row < len(texts):
-        yield row, len(texts)
-
-
 def decoded(rows: DataFrame, tokenizer_path: str, ids_col: str = "ids", into: str = "decoded") -> DataFrame:
     """``rows`` with the text of the ids, special tokens kept: this vocabulary has no decoder, so tokens are joined by a space."""
     model_text = rows.sparkSession.sparkContext.broadcast(Path(tokenizer_path).read_text())

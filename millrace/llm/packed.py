@@ -5,8 +5,8 @@ A block holds ``BLOCK`` ids, each in the bits that the largest id of the vocabul
 a byte, so any range of ids is read by unpacking the blocks it touches, with array operations.
 
 A dataset is a Parquet folder with one segment per row (written and read by Spark, so it lies in any store Spark reaches):
-texts are range-partitioned and sorted by document id, each task encodes its texts with the tokenizers library and appends
-segments of about ``SEGMENT`` ids; a document is never split.  Segments know their place within their partition, so the place
+texts are range-partitioned and sorted by document id, each task encodes its texts with the tokenizers library (a word that
+came before is remembered) and appends segments of about ``SEGMENT`` ids; a document is never split.  Segments know their place within their partition, so the place
 of every id in the whole corpus follows from one total per partition.
 
 Defined results: a null or empty text is only the end id; rows with one id stand next to each other, ordered by text; rows
@@ -17,8 +17,8 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
-from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
 
@@ -29,6 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.splitting import LETTERS, NUMBERS, SPACES, Remembered, plain, portions, special_pattern
+
 MAGIC = 0x4B43415053444954
 BLOCK = 4096
 SEGMENT = 1 << 18
@@ -91,15 +93,40 @@ class Segment:
         return np.concatenate(parts)[start - first * self.block : end - first * self.block]
 
 
-@lru_cache(maxsize=1)
-def _tokenizer(text: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
+#: The words of byte-level vocabularies, for plain texts.
+WORDS = re.compile(
+    f"'(?:s|t|re|ve|m|ll|d)| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
+)
+
+
+class Encoder:
+    """The tokenizers library; of plain texts it sees each word once, of others the whole text."""
+
+    def __init__(self, text: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(text)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.special = special_pattern(json.loads(text)["added_tokens"])
+        self.words = Remembered(self.library)
 
-    tokenizer = Tokenizer.from_str(text)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    return tokenizer
+    def library(self, texts: list[str]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(c.ids, "<u4").tobytes() for c in coded]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as bytes of 32-bit integers."""
+        split = [WORDS.findall(t) if plain(t, self.special) else None for t in texts]
+        known = self.words.of(split)
+        whole = iter(self.library([t for t, words in zip(texts, split) if words is None]))
+        return [b"".join([known[w] for w in words]) if words is not None else next(whole) for words in split]
+
+
+@lru_cache(maxsize=1)
+def _encoder(text: str) -> Encoder:
+    return Encoder(text)
 
 
 def vocabulary_size(text: str, *more: int) -> int:
@@ -114,13 +141,13 @@ def write_packed(docs: DataFrame, tokenizer_path: str, path: str, id_col: str =
     shipped = docs.sparkSession.sparkContext.broadcast(text)  # a vocabulary file: its size does not depend on the data
 
     def packed(batches):
-        tokenizer, part = _tokenizer(shipped.value), TaskContext.get().partitionId()
+        encoder, part, end_mark = _encoder(shipped.value), TaskContext.get().partitionId(), np.array([end_id], "<u4").tobytes()
         seq = begun = size = 0
         doc_ids, counts, ids = [], [], []
 
         def segment():
             nonlocal seq, begun, size
-            data = write_segment(np.array(doc_ids, np.int64), np.array(counts, np.int64), np.concatenate(ids), bits)
+            data = write_segment(np.array(doc_ids, np.int64), np.array(counts, np.int64), np.frombuffer(b"".join(ids), "<u4"), bits)
             row = pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([begun], pa.int64()), pa.array([size], pa.int64()), pa.array([data], pa.binary())],
                 names=["part", "seq", "start", "n_ids", "data"],
@@ -133,10 +160,10 @@ def write_packed(docs: DataFrame, tokenizer_path: str, path: str, id_col: str =
             keys = pc.fill_null(batch.column(0), NULL_ID).to_pylist()
             texts = pc.fill_null(batch.column(1), "").to_pylist()
             for row, end in portions(texts):
-                for key, coded in zip(keys[row:end], tokenizer.encode_batch_fast(texts[row:end], add_special_tokens=False)):
-                    one = np.array([*coded.ids, end_id], np.uint32)
-                    doc_ids.append(key), counts.append(len(one)), ids.append(one)
-                    size += len(one)
+                for key, coded in zip(keys[row:end], encoder.encode(texts[row:end])):
+                    count = len(coded) // 4 + 1
+                    doc_ids.append(key), counts.append(count), ids.append(coded + end_mark)
+                    size += count
                     if size >= SEGMENT:
                         yield segment()
         if size:
@@ -147,18 +174,6 @@ def write_packed(docs: DataFrame, tokenizer_path: str, path: str, id_col: str =
     ordered.mapInArrow(packed, "part int, seq int, start long, n_ids long, data binary").write.parquet(path)
 
 
-def portions(texts: list[str], size: int = 1 << 19) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``size`` characters."""
-    row = total = 0
-    for i, text in enumerate(texts):
-        total += len(text)
-        if total >= size:
-            yield row, i + 1
-            row, total = i + 1, 0
-    if row < len(texts):
-        yield row, len(texts)
-
-
 def _partition_starts(segments: DataFrame) -> dict[int, int]:
     """The place of the first id of every partition; one row per written partition comes to the driver."""
     totals = sorted((r.part, r.n) for r in segments.groupBy("part").agg(F.sum("n_ids").alias("n")).collect())

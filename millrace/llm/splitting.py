@@ -1,0 +1,63 @@
+"""Splitting texts into the words of a tokenizer with a compiled pattern, where its result is sure to equal the library's.
+
+That is so for texts of characters below U+0180: their categories are listed here, so no library's idea of a letter can
+differ.  Other texts, and texts with a special token, go to the tokenizers library whole.
+"""
+
+from __future__ import annotations
+
+import re
+import unicodedata
+
+_RANGE = [chr(i) for i in range(0x180)]
+SPACES = re.escape("".join(c for c in _RANGE if c in "\t\n\v\f\r \x85\xa0"))
+LETTERS = re.escape("".join(c for c in _RANGE if unicodedata.category(c)[0] == "L"))
+NUMBERS = re.escape("".join(c for c in _RANGE if unicodedata.category(c)[0] == "N"))
+#: The separators \x1c-\x1f, a capital whose lower case is two characters, anything from U+0180.
+ODD = re.compile("[\x1c-\x1fİƀ-\U0010ffff]")
+
+#: Words that a process remembers; when full it starts anew.
+REMEMBERED = 300_000
+
+
+def plain(text: str, special: re.Pattern) -> bool:
+    """Whether a pattern made of the classes above splits the text as the library does."""
+    try:
+        text.encode("latin-1")
+        odd = any(c in text for c in "\x1c\x1d\x1e\x1f")
+    except UnicodeEncodeError:
+        odd = ODD.search(text) is not None
+    return not odd and special.search(text) is None
+
+
+def special_pattern(added_tokens: list[dict]) -> re.Pattern:
+    return re.compile("|".join(re.escape(t["content"]) for t in added_tokens) or "(?!)")
+
+
+def portions(texts: list[str], size: int = 1 << 20):
+    """Row ranges of about ``size`` characters; a longer text is a range of its own."""
+    row = total = 0
+    for i, text in enumerate(texts):
+        total += len(text)
+        if total >= size:
+            yield row, i + 1
+            row, total = i + 1, 0
+    if row < len(texts):
+        yield row, len(texts)
+
+
+class Remembered:
+    """The ids of words seen before, as bytes of 32-bit integers; bounded, and kept between tasks of one process."""
+
+    def __init__(self, encode):
+        self.encode, self.known = encode, {}
+
+    def of(self, split: list[list[str] | None]) -> dict[str, bytes]:
+        """A table that holds all given words; ``encode`` gets the new ones at once."""
+        wanted = set().union(*(w for w in split if w))
+        new = [w for w in wanted if w not in self.known]
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+            new = list(wanted)
+        self.known.update(zip(new, self.encode(new)))
+        return self.known
