@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, language, licenses, packed, quality
+from millrace.llm import bpe, language, licenses, packed, quality, toxicity
 from millrace.llm.learning import in_fold
 from millrace.queries.registry import table
 from millrace.session import scratch_path
@@ -26,6 +26,14 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op2_toxicity(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    network = toxicity.train(docs, table(spark, sf, "labels"))
+    out = toxicity.score(docs, "text", network)
+    return out.select("doc_id", in_fold("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query()
 def op4_quality_classifier(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
