@@ -16,8 +16,8 @@ NUMBERS = re.escape("".join(c for c in _RANGE if unicodedata.category(c)[0] == "
 #: The separators \x1c-\x1f, a capital whose lower case is two characters, anything from U+0180.
 ODD = re.compile("[\x1c-\x1fİƀ-\U0010ffff]")
 
-#: Words that a process remembers; when full it starts anew.
-REMEMBERED = 300_000
+#: Words of a generation that a process remembers; two generations are kept.
+REMEMBERED = 250_000
 
 
 def plain(text: str, special: re.Pattern) -> bool:
@@ -47,17 +47,26 @@ def portions(texts: list[str], size: int = 1 << 20):
 
 
 class Remembered:
-    """The ids of words seen before, as bytes of 32-bit integers; bounded, and kept between tasks of one process."""
+    """The ids of words seen before, as bytes of 32-bit integers, kept between tasks of one process.
+
+    When a generation is full it becomes the old one, from which words still in use move on; so memory is bounded and
+    frequent words stay.
+    """
 
     def __init__(self, encode):
-        self.encode, self.known = encode, {}
+        self.encode, self.known, self.old = encode, {}, {}
 
     def of(self, split: list[list[str] | None]) -> dict[str, bytes]:
         """A table that holds all given words; ``encode`` gets the new ones at once."""
         wanted = set().union(*(w for w in split if w))
-        new = [w for w in wanted if w not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(wanted)
+        if len(self.known) > REMEMBERED:
+            self.known, self.old = {}, self.known
+        new = []
+        for word in wanted.difference(self.known):
+            ids = self.old.get(word)
+            if ids is None:
+                new.append(word)
+            else:
+                self.known[word] = ids
         self.known.update(zip(new, self.encode(new)))
         return self.known
