@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, language, licenses, packed, quality, toxicity
+from millrace.llm import bpe, language, licenses, packed, probminhash, quality, toxicity
 from millrace.llm.learning import in_fold
 from millrace.queries.registry import table
 from millrace.session import scratch_path
@@ -34,6 +34,12 @@ def op2_toxicity(spark, sf):
     return out.select("doc_id", in_fold("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query()
+def op3_probminhash(spark, sf):
+    out, _ = probminhash.near_copies(table(spark, sf, "documents"))
+    return out.select("doc_id", "copy_of", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
 @query()
 def op4_quality_classifier(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
