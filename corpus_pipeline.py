@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, language, quality
+from millrace.llm import bpe, contamination, language, probminhash, quality
 from millrace.llm.queries import vocabulary
 from millrace.queries.registry import table
 from millrace.session import scratch_path
@@ -27,13 +27,27 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.score(docs, "text", weights, into="_quality").filter(f"_quality >= {LEAST_QUALITY}").select(*docs.columns)
 
 
+def copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each class of near copies, that with the smallest id; documents without an id stay."""
+    table(spark, sf_dir, "documents")
+    classes, _ = probminhash.near_copies(docs)
+    dropped = classes.filter("class_id <> doc_id").select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that contain a benchmark item."""
+    found = contamination.flagged(docs, table(spark, sf_dir, "benchmark"))
+    return docs.join(found.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+
+
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of the kept documents and their digests; the decoded text is compared through its digest."""
     table(spark, sf_dir, "documents")
     return bpe.digests(docs, vocabulary("word_bpe_49k.json"))
 
 
-STAGES = [("language", language_stage), ("quality", quality_stage), ("encoding", encoding_stage)]
+STAGES = [("language", language_stage), ("quality", quality_stage), ("near copies", copies_stage), ("decontamination", decontamination_stage), ("encoding", encoding_stage)]
 ORACLE_SQL = None
 
 
@@ -41,7 +55,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over ``documents``; returns what the last one makes of the kept documents."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = scratch_path(spark, f"stage-{name}")
+        path = scratch_path(spark, f"stage-{name.replace(' ', '-')}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

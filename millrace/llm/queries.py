@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, language, licenses, packed, probminhash, quality, toxicity
+from millrace.llm import bpe, contamination, language, licenses, packed, probminhash, quality, toxicity
 from millrace.llm.learning import in_fold
 from millrace.queries.registry import table
 from millrace.session import scratch_path
@@ -74,6 +74,27 @@ def op8_packed_ids(spark, sf):
     return packed.read_packed(spark, path, with_ids=False)
 
 
+#: Words, five-word shingles of the documents and of the items, and the share of an item's shingles that a document has.
+CONTAINED = r"""
+WITH words AS (
+  SELECT 'd' AS side, doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL
+  SELECT 'i', item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
+), shingles AS (
+  SELECT DISTINCT side, id, array_to_string(w[j : j + 4], ' ') AS gram FROM (SELECT side, id, w, unnest(range(1, len(w) - 3)) AS j FROM words WHERE len(w) >= 5)
+), sizes AS (SELECT id, count(*) AS n FROM shingles WHERE side = 'i' GROUP BY id)
+SELECT d.id AS doc_id, i.id AS item_id, count(*) / any_value(n)::DOUBLE AS containment
+FROM shingles d JOIN shingles i ON d.side = 'd' AND i.side = 'i' AND d.gram = i.gram JOIN sizes ON sizes.id = i.id
+GROUP BY d.id, i.id HAVING count(*) >= 0.8 * any_value(n)
+"""
+
+
+@query(CONTAINED)
+def op9_containment(spark, sf):
+    found = contamination.contained(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "containment")
+
+
 @query()
 def op10_license_scan(spark, sf):
     out = licenses.scan(table(spark, sf, "documents"))
