@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,6 +52,31 @@ def groups(batches, columns: int) -> Iterator[pa.RecordBatch]:
         yield pa.Table.from_batches(open_).combine_chunks().to_batches()[0]
 
 
+def whole_groups(batches, columns: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Batches that hold whole groups only, and the first row of each group (one more entry than groups)."""
+    rest = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        if rest is not None:
+            batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+        starts = group_starts(batch, columns)
+        if starts[-1]:
+            yield batch.slice(0, starts[-1]), starts
+        rest = batch.slice(starts[-1])
+    if rest is not None and rest.num_rows:
+        yield rest, np.array([0, rest.num_rows])
+
+
+def group_starts(batch: pa.RecordBatch, columns: int) -> np.ndarray:
+    new = np.zeros(batch.num_rows, bool)
+    new[0] = True
+    for i in range(columns):
+        values = batch.column(i).to_numpy()
+        new[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(new)
+
+
 class Forest:
     """Union of nodes; the smallest node stands for its tree."""
 

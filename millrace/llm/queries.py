@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, contamination, language, licenses, packed, probminhash, quality, toxicity
+from millrace.llm import bpe, capfilters, contamination, language, licenses, packed, probminhash, quality, toxicity
 from millrace.llm.learning import in_fold
 from millrace.queries.registry import table
 from millrace.session import scratch_path
@@ -26,6 +26,27 @@ def query(sql: str | None = None):
     return register
 
 
+LINKED = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+), reach(id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.id, links.b FROM reach JOIN links ON links.a = reach.other
+)
+SELECT r.id AS vec_id, coalesce(any_value(n), 0)::BIGINT AS n_links, min(other) AS component_id, r.id = min(other) AS kept
+FROM reach r LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) c ON c.a = r.id GROUP BY r.id
+"""
+
+
+@query(LINKED)
+def op1_cap_filters(spark, sf):
+    return capfilters.near_vectors(table(spark, sf, "embeddings"))
+
+
 @query()
 def op2_toxicity(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
