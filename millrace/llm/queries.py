@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, capfilters, contamination, language, licenses, packed, probminhash, quality, toxicity
+from millrace.llm import bpe, capfilters, contamination, extraction, language, licenses, packed, probminhash, quality, toxicity
 from millrace.llm.learning import in_fold
 from millrace.queries.registry import table
 from millrace.session import scratch_path
@@ -83,6 +83,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query()
+def op6_page_text(spark, sf):
+    field = extraction.train(extraction.labelled_pages())
+    return extraction.extracted(table(spark, sf, "pages").select("page_id", "url", "html"), field)
+
+
 @query()
 def op7_bpe_round_trip(spark, sf):
     return bpe.digests(table(spark, sf, "documents"), vocabulary("word_bpe_49k.json"))
