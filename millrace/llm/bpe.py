@@ -13,12 +13,13 @@ empty table gives an empty result and an empty lexicon; further columns are kept
 
 from __future__ import annotations
 
-import hashlib
 import json
 import re
 import tempfile
 import unicodedata
+import uuid
 from collections import Counter
+from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
 
@@ -30,11 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.lexicon import Lexicon, compile_lexicon
-from millrace.llm.splitting import LETTERS, NUMBERS, SPACES, Remembered, plain, portions, special_pattern
+from millrace.llm.splitting import LETTERS, NUMBERS, SPACES, Remembered, plain, special_pattern
 
 LEXICON_WORDS = 65536
-#: A word is a candidate for the lexicon if it makes up this share of the words of some task: a word with that share of all
-#: words has it in at least one task.
+#: A task counts until it holds this many distinct words, passes on those that make up at least this share of what it
+#: counted, and starts anew: a word with that share of all words has it in at least one such portion.
+COUNTED = 150_000
 SHARE = 1e-6
 END = "</w>"
 
@@ -105,21 +107,39 @@ def words_of(text: str) -> list[str]:
     return WORDS.findall(text.lower())
 
 
+def text_portions(column: pa.Array, size: int = 1 << 20) -> Iterator[list[str]]:
+    """The texts of consecutive rows, about ``size`` bytes at a time; a longer text comes alone."""
+    column = pc.fill_null(column, "")
+    ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))
+    row = 0
+    while row < len(column):
+        end = max(row + 1, int(np.searchsorted(ends, (ends[row - 1] if row else 0) + size, "right")))
+        yield column.slice(row, end - row).to_pylist()
+        row = end
+
+
 def frequent_words(docs: DataFrame, text_col: str, model_text, words: int = LEXICON_WORDS) -> list[str]:
     """The most frequent words of all texts, at most ``words``."""
 
-    def counted(batches):
-        model, counts = _model(model_text.value), Counter()
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                if text and plain(text, model.special):
-                    counts.update(words_of(text))
+    def rows(counts):
         least = max(2, SHARE * sum(counts.values()))
         kept = [(w, n) for w, n in counts.items() if n >= least]
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [pa.array([w for w, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())], names=["word", "n"]
         )
 
+    def counted(batches):
+        model, counts = _model(model_text.value), Counter()
+        for batch in batches:
+            for texts in text_portions(batch.column(0)):
+                for text in texts:
+                    if plain(text, model.special):
+                        counts.update(words_of(text))
+                if len(counts) > COUNTED:
+                    yield rows(counts)
+                    counts.clear()
+        yield rows(counts)
+
     found = docs.select(text_col).mapInArrow(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return [r.word for r in found.orderBy(F.desc("n"), "word").limit(words).collect()]
 
@@ -146,7 +166,7 @@ def send_lexicon(docs: DataFrame, text_col: str, model_text) -> str:
     """Compiles the frequent words of ``docs`` and sends the file to the executors; returns its name there."""
     model = _model(model_text.value)
     data = compile_lexicon({w.encode(): model.merged(w.encode()) for w in frequent_words(docs, text_col, model_text)})
-    name = f"lexicon-{hashlib.sha256(data).hexdigest()[:16]}.bin"
+    name = f"lexicon-{uuid.uuid4().hex}.bin"
     path = Path(tempfile.mkdtemp(prefix="lexicon-")) / name
     path.write_bytes(data)
     docs.sparkSession.sparkContext.addFile(str(path))
@@ -163,17 +183,18 @@ def encoded(docs: DataFrame, tokenizer_path: str, text_col: str = "text", into:
     def encode(batches):
         model, words = _model(model_text.value), _remembered(model_text.value, name)
         for batch in batches:
-            texts = pc.fill_null(batch.column(len(keep)), "").to_pylist()
-            for row, end in portions(texts):
-                split = [words_of(t) if plain(t, model.special) else None for t in texts[row:end]]
+            row = 0
+            for texts in text_portions(batch.column(len(keep))):
+                split = [words_of(t) if plain(t, model.special) else None for t in texts]
                 known = words.of(split)
                 coded = [
                     b"".join([known[w] for w in found]) if found is not None else np.array(model.by_library(text), np.int32).tobytes()
-                    for found, text in zip(split, texts[row:end])
+                    for found, text in zip(split, texts)
                 ]
                 offsets = np.cumsum([0, *(len(c) // 4 for c in coded)])
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(coded), np.int32)))
-                yield pa.RecordBatch.from_arrays([*(c.slice(row, end - row) for c in batch.columns[: len(keep)]), lists], names=[*keep, into])
+                yield pa.RecordBatch.from_arrays([*(c.slice(row, len(texts)) for c in batch.columns[: len(keep)]), lists], names=[*keep, into])
+                row += len(texts)
 
     rows = docs.select(*keep, text_col)
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema.fields)
@@ -189,10 +210,12 @@ def decoded(rows: DataFrame, tokenizer_path: str, ids_col: str = "ids", into: st
     def decode(batches):
         tokens = np.array(_model(model_text.value).tokens, dtype=object)
         for batch in batches:
-            lists = batch.column(place)
-            flat, at = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-            texts = [" ".join(tokens[flat[a:b]].tolist()) for a, b in zip(at[:-1], at[1:])]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*keep, into])
+            for at in range(0, batch.num_rows, 500):
+                some = batch.slice(at, 500)
+                lists = some.column(place)
+                flat, offsets = lists.values, lists.offsets.to_numpy()
+                texts = [" ".join(tokens[flat.slice(a, b - a).to_numpy()].tolist()) for a, b in zip(offsets[:-1], offsets[1:])]
+                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(texts, pa.string())], names=[*keep, into])
 
     rows = rows.select(*keep)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
