@@ -31,7 +31,7 @@ from millrace.llm.components import components
 from millrace.session import durable
 
 TABLES = 16
-MEET = 0.999
+MEET = 1.0
 BLOCK = 1024
 
 
@@ -86,7 +86,7 @@ def decoded(plan: Plan, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 @lru_cache(maxsize=32)
-def plan(dim: int, threshold: float, meet: float = MEET, pairs: int = 1000) -> Plan:
+def plan(dim: int, threshold: float, meet: float = MEET, pairs: int = 2000) -> Plan:
     """The highest alpha at which the share ``meet`` of drawn pairs of the threshold's similarity shares a filter."""
     rng = np.random.default_rng(dim)
     a = rng.standard_normal((pairs, dim))

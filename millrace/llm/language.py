@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.arrays import joined_bytes, mixed, row_sums, span_hashes, spans, text_slices, byte_table
-from millrace.llm.learning import in_fold
+from millrace.llm.learning import in_fold, unused
 
 UNKNOWN = "und"
 LONGEST = 5
@@ -181,8 +181,8 @@ def predicted(docs: DataFrame, model: LanguageModel, text_col: str = "text", int
 
     lowered = docs.select(
         *[docs[c] for c in keep],
-        F.lower(docs[text_col]).alias("_lower"),
-        F.coalesce(docs[text_col].rlike(LETTER), F.lit(False)).alias("_letters"),
+        F.lower(docs[text_col]).alias(unused("lower", keep)),
+        F.coalesce(docs[text_col].rlike(LETTER), F.lit(False)).alias(unused("letters", keep)),
     )
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[docs[c] for c in keep]).schema.fields)
     return lowered.mapInArrow(scored, f"{schema}, `{into}` string, `{score}` double")

@@ -36,3 +36,11 @@ def sampled_texts(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     # The sample has a fixed number of rows, so it is sent to every task and the texts stay where they are.
     return texts.join(F.broadcast(sample), "_id").groupBy("_id", "_label").agg(F.max("_text").alias("_text"))
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, made longer until no column has it; Spark does not tell capitals from small letters."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

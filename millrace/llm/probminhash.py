@@ -108,7 +108,8 @@ def similarity(a: np.ndarray, a_counts: np.ndarray, b: np.ndarray, b_counts: np.
     ratio, x, y = ratio[order], x[order], y[order]
     last = np.searchsorted(ratio, ratio, "right")
     below, above = np.cumsum(x)[last - 1], np.append(np.cumsum(y[::-1])[::-1], 0.0)[last]
-    return float((x / (only_a + below + (only_b + above) / ratio)).sum())
+    # Rounded, so that a similarity of exactly the threshold does not depend on the order of the sum.
+    return round(float((x / (only_a + below + (only_b + above) / ratio)).sum()), 12)
 
 
 @contextmanager

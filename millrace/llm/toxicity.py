@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.arrays import WORD_BYTES, mixed, span_hashes, spans, text_slices
-from millrace.llm.learning import labelled_sample, sampled_texts
+from millrace.llm.learning import labelled_sample, sampled_texts, unused
 
 WINDOW, STRIDE = 32, 16
 WORD_BITS, CHAR_BITS = 16, 17
@@ -316,4 +316,4 @@ def score(docs: DataFrame, text_col: str, network: Network | None, into: str = "
 
     kept = docs.select(*[docs[c] for c in keep])
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept.schema.fields)
-    return docs.select(*[docs[c] for c in keep], F.lower(docs[text_col]).alias("_lower")).mapInArrow(scored, f"{schema}`{into}` double")
+    return docs.select(*[docs[c] for c in keep], F.lower(docs[text_col]).alias(unused("lower", keep))).mapInArrow(scored, f"{schema}`{into}` double")
