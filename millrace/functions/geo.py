@@ -35,6 +35,7 @@ FEET_PER_METRE = 3.28084
 KNOTS_PER_MPS = 1.94384
 FPM_PER_MPS = 196.85
 EARTH_RADIUS_M = 6371000.0
+DEFAULT_SPEED, DEGREES_PER_SPEED = 200.0, 0.009
 
 
 def region_box(name: str, boxes: dict[str, tuple] | None = None) -> tuple:
@@ -66,15 +67,16 @@ def grid_cell(lat: Column, lon: Column, degrees: float) -> Column:
     return F.concat_ws(":", row.cast("string"), col.cast("string"))
 
 
-def to_cartesian(lat: Column, lon: Column, alt: Column, scale: float = 1.0) -> dict[str, Column]:
-    """Point on a unit sphere: y to the north pole, altitude in earth radii times ``scale``."""
-    polar, azimuth = F.radians(90 - lat), F.radians(lon + 180)
-    radius = 1 + alt / EARTH_RADIUS_M * scale
-    return {
-        "x": -radius * F.sin(polar) * F.cos(azimuth),
-        "y": radius * F.cos(polar),
-        "z": radius * F.sin(polar) * F.sin(azimuth),
-    }
+def sphere_point(lat: Column, lon: Column, alt: Column, exaggerate: float = 1.0) -> dict[str, Column]:
+    """Cartesian point of a place on a sphere of radius 1, altitude on top.
+
+    Axes: x through latitude 0, longitude 0; y through the north pole; z through longitude 90 west, which makes the system
+    right-handed with y upwards.
+    """
+    phi, lam = F.radians(lat), F.radians(lon)
+    distance = (alt * exaggerate + EARTH_RADIUS_M) / EARTH_RADIUS_M
+    in_plane = distance * F.cos(phi)
+    return {"x": in_plane * F.cos(lam), "y": distance * F.sin(phi), "z": F.negative(in_plane * F.sin(lam))}
 
 
 def metres_to_feet(col: Column) -> Column:
@@ -90,22 +92,18 @@ def mps_to_fpm(col: Column) -> Column:
 
 
 def degree_minutes(value: Column, axis: str) -> Column:
-    """``48° 21.36' N``: whole degrees, minutes with two decimals, hemisphere letter."""
-    plus, minus = ("N", "S") if axis == "lat" else ("E", "W")
-    size = F.abs(value)
-    degrees = F.floor(size)
-    return F.concat(
-        degrees.cast("string"), F.lit("° "),
-        F.format_string("%.2f", F.round((size - degrees) * 60, 2)), F.lit("' "),
-        F.when(value >= 0, plus).otherwise(minus),
-    )
-
-
-def ahead(lat: Column, lon: Column, track: Column, speed: Column) -> dict[str, Column]:
-    """Point the given track leads to; speed 200 moves 1.8 degrees."""
-    reach = F.coalesce(speed, F.lit(200.0)) / 200 * 1.8
-    angle = F.radians(90 - F.coalesce(track, F.lit(0.0)))
-    return {"lon_ahead": lon + F.cos(angle) * reach, "lat_ahead": lat + F.sin(angle) * reach}
+    """``48° 21.36' N``: the angle in hundredths of a minute, split again, so 59.999' becomes the next degree."""
+    letters = {"lat": ("N", "S"), "lon": ("E", "W")}[axis]
+    hundredths = F.round(F.abs(value) * 6000).cast("bigint")
+    side = F.element_at(F.array(*map(F.lit, letters)), F.when(value < 0, 2).otherwise(1))
+    return F.format_string("%d° %.2f' %s", F.floor(hundredths / 6000), (hundredths % 6000) / 100, side)
+
+
+def dead_reckoning(lat: Column, lon: Column, track: Column, speed: Column) -> dict[str, Column]:
+    """Where a course leads on a flat map: east by the sine and north by the cosine of the track, from north clockwise."""
+    course = F.radians(F.ifnull(track, F.lit(0.0)))
+    degrees = F.ifnull(speed, F.lit(DEFAULT_SPEED)) * DEGREES_PER_SPEED
+    return {"lon_ahead": lon + degrees * F.sin(course), "lat_ahead": lat + degrees * F.cos(course)}
 
 
 def best_altitude(geo_alt: Column, baro_alt: Column) -> Column:

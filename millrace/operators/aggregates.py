@@ -85,20 +85,20 @@ def size_estimate(df: DataFrame, bytes_per_row: float = 288.0) -> DataFrame:
 
 def percentiles(df: DataFrame, group: Sequence[str], value: str, accuracy: int = 100_000) -> DataFrame:
     """Mean, p50, p95, p99 per group from a mergeable sketch of bounded size."""
-    cells = [
-        F.percentile_approx(value, F.lit(p), F.lit(accuracy)).alias(f"p{round(p * 100)}_{value}")
-        for p in (0.5, 0.95, 0.99)
-    ]
-    return df.groupBy(*group).agg(settle(F.avg(value), 4).alias(f"mean_{value}"), *cells)
+    shares = (0.5, 0.95, 0.99)
+    sketch = F.percentile_approx(value, F.array(*map(F.lit, shares)), F.lit(accuracy)).alias("_sketch")
+    cells = [F.col("_sketch")[i].alias(f"p{round(p * 100)}_{value}") for i, p in enumerate(shares)]
+    mean = f"mean_{value}"
+    return df.groupBy(*group).agg(settle(F.avg(value), 4).alias(mean), sketch).select(*group, mean, *cells)
 
 
 def exact_quantile(df: DataFrame, group: Sequence[str], value: str, p: float, tie: str) -> DataFrame:
     """Exact nearest-rank quantile per group without holding a group in one task."""
-    from millrace.operators.windows import with_positions
+    from millrace.operators.windows import join_on, with_positions
 
     rows = df.filter(F.col(value).isNotNull())
     totals = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    placed = with_positions(rows.select(*group, value, tie), group, [value, tie], "_pos").join(totals, list(group))
+    placed = join_on(with_positions(rows.select(*group, value, tie), group, [value, tie], "_pos"), totals, group)
     rank = F.greatest(F.lit(1), F.ceil(F.col("_n") * p))
     return placed.filter(F.col("_pos") == rank).select(*group, F.col(value).alias("quantile"))
 

@@ -65,10 +65,13 @@ def preprocessing(numeric: Sequence[str], categorical: Sequence[str] = ()) -> li
 def scaled_values(df: DataFrame, numeric: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """Imputed, standardised numbers as plain columns, from one aggregate over the table."""
     cells = [c for n in numeric for c in (F.avg(n).alias(f"{n}_m"), F.stddev_samp(n).alias(f"{n}_s"))]
-    stats = df.agg(*cells).first()
-    out = [
-        ((F.coalesce(F.col(n), F.lit(stats[f"{n}_m"])) - stats[f"{n}_m"]) / stats[f"{n}_s"]).alias(n) for n in numeric
-    ]
+    stats = df.agg(*cells)
+    out = []
+    for n in numeric:
+        mean, spread = stats.select(f"{n}_m").scalar(), stats.select(f"{n}_s").scalar()
+        scaled = F.try_divide(F.coalesce(F.col(n), mean) - mean, spread)
+        # A constant column has no spread: all its values are the mean.
+        out.append(F.when(mean.isNotNull(), F.coalesce(scaled, F.lit(0.0))).alias(n))
     return df.select(*keep, *out)
 
 

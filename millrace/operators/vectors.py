@@ -42,17 +42,19 @@ def _best_rows(sims: np.ndarray, keys: np.ndarray, take: int) -> np.ndarray:
 
 
 def _slice_top_k(vectors: DataFrame, key: str, vector: str, ids: list, matrix: np.ndarray, query_key: str, k: int, query_type) -> DataFrame:
-    """Best ``k`` vectors per query within each batch: one matrix product per batch, few rows out."""
+    """Best ``k`` vectors per query within each task: one matrix product per batch, ``k`` rows per query out."""
     schema = T.StructType([
         T.StructField(query_key, query_type), T.StructField(key, vectors.schema[key].dataType),
         T.StructField("similarity", T.DoubleType()),
     ])
-    arrow_type = to_arrow_type(query_type)
+    arrow_type, key_type = to_arrow_type(query_type), to_arrow_type(vectors.schema[key].dataType)
     unit = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
     shared = vectors.sparkSession.sparkContext.broadcast((ids, unit))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, queries = shared.value
+        # The best rows of the task so far, per query: similarities and keys.
+        best = [(np.zeros(0), np.zeros(0, object)) for _ in names]
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -60,18 +62,19 @@ def _slice_top_k(vectors: DataFrame, key: str, vector: str, ids: list, matrix: n
             with np.errstate(invalid="ignore", divide="ignore"):
                 sims = (rows / np.linalg.norm(rows, axis=1, keepdims=True)) @ queries.T
             sims = np.nan_to_num(sims, nan=-np.inf)
-            keys = batch.column(0).to_numpy(zero_copy_only=False)
-            take = min(k, batch.num_rows)
-            order = np.array([_best_rows(sims[:, q], keys, take) for q in range(len(names))])
-            flat = order.ravel()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([n for n in names for _ in range(take)], type=arrow_type),
-                    batch.column(0).take(pa.array(flat)),
-                    pa.array(np.take_along_axis(sims.T, order, axis=1).ravel()),
-                ],
-                names=[query_key, key, "similarity"],
-            )
+            keys = np.array(batch.column(0).to_pylist(), dtype=object)
+            for q, (old, old_keys) in enumerate(best):
+                all_sims, all_keys = np.concatenate([old, sims[:, q]]), np.concatenate([old_keys, keys])
+                rows_of = _best_rows(all_sims, all_keys, min(k, len(all_sims)))
+                best[q] = all_sims[rows_of], all_keys[rows_of]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([n for n, (found, _) in zip(names, best) for _ in found], type=arrow_type),
+                pa.array([x for _, found in best for x in found], type=key_type),
+                pa.array([s for found, _ in best for s in found], type=pa.float64()),
+            ],
+            names=[query_key, key, "similarity"],
+        )
 
     return vectors.select(key, vector).filter(F.col(vector).isNotNull()).mapInArrow(score, schema)
 
@@ -83,7 +86,7 @@ def cosine_top_k(
     """Exact ``k`` nearest vectors per query.
 
     The queries are sent to the tasks in slices of at most ``max_queries``; each
-    task keeps ``k`` rows per query and batch, so the shuffle for the final
+    task gives ``k`` rows per query, however many batches it reads, so the shuffle for the final
     ranking does not grow with the table but with tasks x queries x k.
     """
     rows = queries.select(query_key, query_vector).orderBy(query_key).toLocalIterator()

@@ -85,6 +85,15 @@ def with_positions(
     )
 
 
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """``left`` with the other columns of ``right``; a null key matches a null key."""
+    named = right.select(*[F.col(c).alias(f"_right_{c}" if c in keys else c) for c in right.columns])
+    match = F.lit(True)
+    for k in keys:
+        match = match & left[k].eqNullSafe(named[f"_right_{k}"])
+    return left.join(named, match, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def over_groups(
     df: DataFrame,
     keys: Sequence[str],
@@ -126,7 +135,7 @@ def even_subsample(
     """
     numbered = with_positions(df, keys, order, "_pos", max_group_rows)
     totals = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))
-    joined = numbered.join(totals, list(keys)) if keys else numbered.withColumn("_total", totals.scalar())
+    joined = join_on(numbered, totals, keys) if keys else numbered.withColumn("_total", totals.scalar())
     size, longer = F.floor(F.col("_total") / n).cast("bigint"), F.col("_total") % n
     index = F.col("_pos") - 1
     cut = longer * (size + 1)
@@ -198,7 +207,7 @@ def resample(
 def top_ranked(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
     """All rows that reach the highest value of their group (ties kept), by a join with the group maximum."""
     best = df.groupBy(*keys).agg(F.max(measure).alias(measure))
-    return df.join(best, [*keys, measure], "left_semi")
+    return join_on(df.filter(F.col(measure).isNotNull()), best, [*keys, measure], "left_semi")
 
 
 def dense_ids(df: DataFrame, order: Sequence[str], name: str = "id") -> DataFrame:
@@ -213,4 +222,4 @@ def number_batches(figures: DataFrame, group: Sequence[str], batch: str, name: s
 
 def dense_batch_number(df: DataFrame, group: Sequence[str], batch: str, name: str) -> DataFrame:
     """The same for rows of a batch: the distinct batches are ranked and joined back, not the rows."""
-    return df.join(number_batches(df.select(*group, batch).distinct(), group, batch, name), [*group, batch])
+    return join_on(df, number_batches(df.select(*group, batch).distinct(), group, batch, name), [*group, batch])

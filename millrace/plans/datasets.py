@@ -18,7 +18,7 @@ from millrace.operators.quality import Rule, enforce
 from millrace.session import path_exists
 from millrace.sinks.tables import KeyedTable
 from millrace.sources.files import stream_table
-from millrace.streaming.runs import TIMEOUT, drain_batches, observed, settings, trigger_of, wait
+from millrace.streaming.runs import drain_batches, observed, settings, trigger_of, wait
 
 STREAMED, STORED, VIEW, CHANGES, SINK = "streaming table", "materialized view", "view", "change table", "sink"
 
@@ -186,7 +186,7 @@ class Datasets:
             query = writer.trigger(**trigger_of(item.interval)).start()
         if item.interval:
             return
-        wait(query, TIMEOUT)
+        wait(query)
         if item.rules:
             self._note(item, observed(query, flow))
 

@@ -179,7 +179,7 @@ SELECT CAST(sum(n) AS BIGINT) AS input_rows FROM (SELECT count(*) AS n FROM even
 def progress_figures(spark, d):
     root = scratch_path(spark, "progress")
     run = runs.drain_to_parquet(stream(spark, d, "events").select("event_id"), f"{root}/out", f"{root}/checkpoint")
-    rows = spark.createDataFrame([(p.json,) for p in run.recentProgress], "value string")
+    rows = spark.createDataFrame([(p.json,) for p in runs.updates_of(run)], "value string")
     return runs.parse_progress(rows).agg(F.sum("numInputRows").alias("input_rows"))
 
 

@@ -219,7 +219,7 @@ SELECT event_id, {rounded('-(1 + value / 6371000.0e0) * sin(radians(90 - lat)) *
        {rounded('(1 + value / 6371000.0e0) * sin(radians(90 - lat)) * sin(radians(lon + 180))', 5)} AS z FROM p
 """)
 def unit_sphere(spark, d):
-    xyz = geo.to_cartesian(F.col("lat"), F.col("lon"), F.col("value"))
+    xyz = geo.sphere_point(F.col("lat"), F.col("lon"), F.col("value"))
     return places(spark, d).select("event_id", *[(settle(c, 5) + 0.0).alias(n) for n, c in xyz.items()])
 
 
@@ -254,7 +254,7 @@ def heading_points(spark, d):
     e = places(spark, d).join(
         table(spark, d, "events").select("event_id", (text.json_field(F.col("props"), "k", "int") * 3.6).alias("track")), "event_id"
     )
-    ahead = geo.ahead(F.col("lat"), F.col("lon"), F.col("track"), F.col("value"))
+    ahead = geo.dead_reckoning(F.col("lat"), F.col("lon"), F.col("track"), F.col("value"))
     return e.select("event_id", *[(settle(c, 5) + 0.0).alias(n) for n, c in ahead.items()])
 
 

@@ -25,9 +25,12 @@ def append_table(df: DataFrame, table: str) -> None:
 
 
 def replace_table(df: DataFrame, table: str) -> None:
-    """Overwrite also when the columns changed."""
-    df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
-    df.write.saveAsTable(table)
+    """Overwrite also when the columns changed; the old table goes only once the new one is written."""
+    spark, aside = df.sparkSession, f"{table}_new"
+    spark.sql(f"DROP TABLE IF EXISTS {aside}")
+    df.write.saveAsTable(aside)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {aside} RENAME TO {table}")
 
 
 def append_wider(df: DataFrame, path: str) -> None:
@@ -51,7 +54,8 @@ def load_if_empty(df: DataFrame, table: str, path: str | None = None) -> bool:
 def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     """Overwrite exactly the partitions present in ``df``."""
     (
-        df.repartition(*by).write.mode("overwrite")
+        # Unlike repartition, the hint lets Spark split a value that has very many rows.
+        df.hint("rebalance", *by).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
     )
 
@@ -75,11 +79,22 @@ class KeyedTable:
     being moved in, the next merge finds them complete and repeats the move.
     Merging the same changes twice gives the same table.
     Deleted keys stay as hidden rows, so a late older change cannot bring one back.
-    Choose the number of buckets so that one holds about a gigabyte.
+    Choose the number of buckets so that one holds about a gigabyte; it is stored
+    beside the table at its first merge, and holds from then on whatever is asked for.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 64):
-        self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), list(keys), buckets
+        self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
+        self.buckets = self._stored_buckets() or buckets
+
+    def _stored_buckets(self) -> int | None:
+        layout = f"{self.path}_layout"
+        return self.spark.read.json(layout, "buckets int").first()[0] if path_exists(self.spark, f"{layout}/_SUCCESS") else None
+
+    def _store_buckets(self) -> None:
+        if self._stored_buckets() is None:
+            one = self.spark.range(1).select(F.lit(self.buckets).alias("buckets"))
+            one.write.mode("overwrite").json(f"{self.path}_layout")
 
     def _bucketed(self, df: DataFrame) -> DataFrame:
         return df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
@@ -104,6 +119,7 @@ class KeyedTable:
         self, changes: DataFrame, sequence_by: Sequence[str], delete_when=None, except_columns: Sequence[str] = ()
     ) -> None:
         """Keep the row with the highest sequence per key, over the table and the changes."""
+        self._store_buckets()
         self.recover()
         newest = newest_changes(changes, self.keys, sequence_by, delete_when)
         newest = newest.withColumn(SEQ, F.struct(*sequence_by)).drop(*except_columns)
@@ -116,7 +132,7 @@ class KeyedTable:
                 kept = self._rows().filter(F.col(BUCKET).isin(touched))
                 both = kept.unionByName(incoming, allowMissingColumns=True)
                 merged = latest_per_key(both, self.keys, [SEQ])
-            merged.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}_staged")
+            merged.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}_staged")
         finally:
             incoming.unpersist()
         self.recover()

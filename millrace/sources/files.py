@@ -17,7 +17,7 @@ FORMATS = ("json", "csv", "xml", "parquet", "orc", "text")
 
 
 class SchemaChanged(RuntimeError):
-    """New files have columns the stored schema lacks."""
+    """New files have columns the stored schema lacks, or values its types cannot hold."""
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -39,10 +39,28 @@ def read_path(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame
 
 
 def merge_schemas(old: T.StructType, new: T.StructType) -> T.StructType:
-    """Old fields in their order and type, then the new ones; all nullable."""
-    known = {f.name for f in old.fields}
-    fields = [*old.fields, *[f for f in new.fields if f.name not in known]]
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
+    """Old fields in their order, then the new ones, all nullable; a changed type becomes one that holds both."""
+    found, known = {f.name: f.dataType for f in new.fields}, {f.name for f in old.fields}
+    fields = [T.StructField(f.name, wider(f.dataType, found.get(f.name, f.dataType)), True) for f in old.fields]
+    return T.StructType([*fields, *[T.StructField(f.name, f.dataType, True) for f in new.fields if f.name not in known]])
+
+
+WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def wider(old: T.DataType, new: T.DataType) -> T.DataType:
+    """The old type if it holds the new one's values, else a number type, else text."""
+    if old == new or isinstance(new, T.NullType) or isinstance(old, T.StringType) or isinstance(old, (T.StructType, T.ArrayType, T.MapType)):
+        return old
+    if isinstance(old, T.NullType):
+        return new
+    if isinstance(old, WHOLE) and isinstance(new, WHOLE):
+        return max(old, new, key=lambda t: [k for k, c in enumerate(WHOLE) if isinstance(t, c)][0])
+    if isinstance(old, (*WHOLE, T.FloatType, T.DoubleType)) and isinstance(new, (*WHOLE, T.FloatType, T.DoubleType)):
+        return T.DoubleType()
+    if isinstance(old, T.TimestampType) and isinstance(new, T.DateType):
+        return old
+    return T.StringType()
 
 
 class SchemaStore:
@@ -75,8 +93,8 @@ def resolve_schema(
 ) -> T.StructType:
     """Schema to read with: inferred once, then stored.
 
-    When files bring new columns, mode ``fail`` raises and ``add`` widens the
-    stored schema; the stream is restarted with the same checkpoint.
+    When files bring new columns or types, mode ``fail`` raises and ``add`` widens
+    the stored schema, so no value is read as null; the stream is restarted with the same checkpoint.
     """
     if mode not in (FAIL, ADD):
         raise ValueError(f"unknown schema mode {mode!r}")
@@ -85,14 +103,15 @@ def resolve_schema(
     if stored is None:
         store.save(merge_schemas(T.StructType([]), found))
         return store.load()
-    new = [f.name for f in found.fields if f.name not in stored.fieldNames()]
-    if not new:
+    merged = merge_schemas(stored, found)
+    new = [f.name for f in merged.fields if f.name not in stored.fieldNames()]
+    changed = [f.name for f in stored.fields if merged[f.name].dataType != f.dataType]
+    if not new and not changed:
         return stored
     if mode == FAIL:
-        raise SchemaChanged(f"new columns: {', '.join(new)}")
-    wider = merge_schemas(stored, found)
-    store.save(wider)
-    return wider
+        raise SchemaChanged("; ".join(f"{what}: {', '.join(names)}" for what, names in (("new columns", new), ("changed types", changed)) if names))
+    store.save(merged)
+    return merged
 
 
 def ingest(

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-TIMEOUT = 3600
+#: Seconds between two looks at a running query; Spark keeps its last hundred updates, so none is missed.
+POLL = 0.2
 
 
 @contextmanager
@@ -32,21 +33,39 @@ def trigger_of(interval: str | None) -> dict:
     return {"processingTime": interval} if interval else {"availableNow": True}
 
 
-def wait(query: StreamingQuery, timeout: int = TIMEOUT) -> StreamingQuery:
-    """Wait for the end of a draining query; one that does not end in time is stopped and reported."""
-    if not query.awaitTermination(timeout):
-        query.stop()
-        raise TimeoutError(f"stream did not end within {timeout} s")
+def wait(query: StreamingQuery, timeout: float | None = None) -> StreamingQuery:
+    """Wait for the end of a draining query, without a limit unless one is given, and keep all its updates.
+
+    A query that does not end in time is stopped and reported; so is a gap in the updates.
+    """
+    updates: dict[int, object] = {}
+    end = None if timeout is None else time.monotonic() + timeout
+    done = False
+    while not done:
+        done = query.awaitTermination(POLL)
+        for progress in query.recentProgress:
+            updates[progress.batchId] = progress
+        if not done and end is not None and time.monotonic() > end:
+            query.stop()
+            raise TimeoutError(f"stream did not end within {timeout} s")
+    if updates and len(updates) <= max(updates) - min(updates):
+        raise RuntimeError("updates of some batches were lost")
+    query.updates = [updates[b] for b in sorted(updates)]
     return query
 
 
+def updates_of(query: StreamingQuery) -> list:
+    """One update per batch of a query that was waited for."""
+    return query.updates
+
+
 def until_idle(query: StreamingQuery) -> None:
     """Let a query take all input present now, then stop it, whatever its trigger."""
     query.processAllAvailable()
     query.stop()
 
 
-def drain_to_parquet(stream: DataFrame, path: str, checkpoint: str, timeout: int = TIMEOUT) -> StreamingQuery:
+def drain_to_parquet(stream: DataFrame, path: str, checkpoint: str, timeout: float | None = None) -> StreamingQuery:
     """Process all available input into a parquet table, each input once."""
     writer = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
     return wait(writer.outputMode("append").trigger(availableNow=True).start(), timeout)
@@ -54,7 +73,7 @@ def drain_to_parquet(stream: DataFrame, path: str, checkpoint: str, timeout: int
 
 def drain_batches(
     stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "update",
-    timeout: int = TIMEOUT,
+    timeout: float | None = None,
 ) -> StreamingQuery:
     """Hand every micro-batch to a function, which must give the same result when a batch is repeated."""
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
@@ -76,7 +95,7 @@ def to_broker(stream: DataFrame, options: Mapping[str, str], checkpoint: str, mo
     return writer.outputMode(mode).trigger(**trigger_of(interval)).start()
 
 
-def stop_after_batches(query: StreamingQuery, batches: int, poll: float = 0.2, timeout: int = TIMEOUT) -> list[str]:
+def stop_after_batches(query: StreamingQuery, batches: int, poll: float = POLL, timeout: float = 3600) -> list[str]:
     """Stop a running query after that many batches with input; the progress of each as JSON text."""
     seen: dict[int, str] = {}
     end = time.monotonic() + timeout
@@ -91,9 +110,9 @@ def stop_after_batches(query: StreamingQuery, batches: int, poll: float = 0.2, t
 
 
 def observed(query: StreamingQuery, name: str) -> dict[str, int]:
-    """Counts of one observation, added over the batches of the run."""
+    """Counts of one observation, added over all batches of the run."""
     total: dict[str, int] = {}
-    for progress in query.recentProgress:
+    for progress in updates_of(query):
         row = progress.observedMetrics.get(name)
         if row is not None:
             for key, value in row.asDict().items():

@@ -40,8 +40,9 @@ def alert_text(col=F.col) -> Column:
 class CityMonitor(StatefulProcessor):
     """Adds mean, trend and hot count to the readings of one city.
 
-    Readings arrive in pieces of bounded size, so a busy city does not have to
-    fit in memory; within a piece they are handled in time order.
+    The readings of a micro-batch are handled in time order, in whatever pieces
+    they arrive; so those of one city and batch are held in memory, and a trigger
+    or a limit per batch bounds them.
     """
 
     def __init__(self, hot: float = LIMITS["temperature"], ttl_ms: int | None = None):
@@ -54,8 +55,8 @@ class CityMonitor(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         n, total, last_ts, last_temp = self.state.get() or (0, 0.0, None, None)
         before = n
-        for piece in rows:
-            piece = piece.sort_values(["timestamp", "sensor_id"], kind="stable")
+        whole = [pd.concat(list(rows), ignore_index=True).sort_values(["timestamp", "sensor_id"], kind="stable")]
+        for piece in whole:
             temps = piece["temperature"].to_numpy(dtype="float64")
             times = piece["timestamp"].to_numpy()
             known, hot = ~np.isnan(temps), temps > self.hot

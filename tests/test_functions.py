@@ -54,12 +54,12 @@ def test_age_text(spark, seconds, words):
 
 
 def test_degree_minutes(spark):
-    got = one(spark, geo.degree_minutes(F.lit(48.356), "lat"), geo.degree_minutes(F.lit(-30.147), "lat"), geo.degree_minutes(F.lit(-0.5), "lon"))
-    assert got == ("48° 21.36' N", "30° 8.82' S", "0° 30.00' W")
+    got = one(spark, geo.degree_minutes(F.lit(48.356), "lat"), geo.degree_minutes(F.lit(-30.147), "lat"), geo.degree_minutes(F.lit(-0.5), "lon"), geo.degree_minutes(F.lit(9.999999), "lon"))
+    assert got == ("48° 21.36' N", "30° 8.82' S", "0° 30.00' W", "10° 0.00' E")
 
 
 def test_cartesian_poles(spark):
-    north = geo.to_cartesian(F.lit(90.0), F.lit(0.0), F.lit(0.0))
+    north = geo.sphere_point(F.lit(90.0), F.lit(0.0), F.lit(0.0))
     x, y, z = one(spark, north["x"], north["y"], north["z"])
     assert (round(x, 9), round(y, 9), round(z, 9)) == (0, 1, 0)
 

@@ -8,7 +8,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from __spark_entry__ import SMALL, entry, oracle_sql, queries  # noqa: E402
-from tools.check import compare, connect  # noqa: E402
+from tools.check import compare, connect, without_sql  # noqa: E402
 
 pytestmark = pytest.mark.skipif(not Path(SMALL).exists(), reason="supplied tables are missing")
 
@@ -28,5 +28,9 @@ def test_entry_has_rows(spark):
     assert entry(spark).count() > 0
 
 
+def test_queries_without_sql_are_listed():
+    assert [name for name in queries() if name not in oracle_sql() and not without_sql(name)] == []
+
+
 def test_oracles_belong_to_queries():
     assert set(oracle_sql()) <= set(queries())
