@@ -28,9 +28,9 @@ def query(sql: str | None = None):
 
 LINKED = """
 WITH RECURSIVE usable AS (
-  SELECT vec_id, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
   WHERE list_cosine_similarity(a.e, b.e) >= 0.9
