@@ -139,6 +139,33 @@ def stateful_alerts(spark, d):
     )
 
 
+@query("stateful_readings", "STR-06 STR-08", f"""
+WITH r AS (SELECT event_id, CAST(user_id AS VARCHAR) AS city, ts, value AS t, value > 25 AS hot FROM events),
+w AS (
+  SELECT event_id, city, t, hot, count(*) FILTER (hot) OVER all_so_far AS high_temp_count, coalesce(sum(t) FILTER (hot) OVER earlier, 0) AS total,
+    count(*) FILTER (hot) OVER earlier AS n, last_value(CASE WHEN hot THEN t END IGNORE NULLS) OVER earlier AS previous
+  FROM r WINDOW all_so_far AS (PARTITION BY city ORDER BY ts, CAST(event_id AS VARCHAR) ROWS UNBOUNDED PRECEDING),
+    earlier AS (PARTITION BY city ORDER BY ts, CAST(event_id AS VARCHAR) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+)
+SELECT event_id, city, {rounded('(total + t) / (n + 1)', 4)} AS avg_temp, high_temp_count,
+  CASE WHEN t > previous THEN 'rising' WHEN t < previous THEN 'falling' ELSE 'stable' END AS temperature_trend FROM w
+""")
+def stateful_readings(spark, d):
+    """Mean, trend and count of every reading, with pieces so small that a city comes in many."""
+    root = scratch_path(spark, "readings")
+    small = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.execution.arrow.maxRecordsPerBatch": "50"}
+    with runs.settings(spark, small):
+        monitored = sensors.monitor(readings(stream(spark, d, "events")))
+        runs.drain_batches(
+            monitored, lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}"), f"{root}/checkpoint"
+        )
+    out = spark.read.parquet(f"{root}/out")
+    return out.select(
+        F.col("sensor_id").cast("bigint").alias("event_id"), "city", settle(F.col("avg_temp"), 4).alias("avg_temp"),
+        F.col("high_temp_count").cast("bigint").alias("high_temp_count"), "temperature_trend",
+    )
+
+
 @query("alert_texts", "STR-07", """
 SELECT event_id, CASE WHEN k > 80 THEN 'High humidity alert: ' || k || ' %;' ELSE '' END || CASE WHEN k / 2 > 35 THEN 'High pm25_level alert: ' || (k / 2) || ' µg/m³;' ELSE '' END AS alerts
 FROM (SELECT event_id, CAST(regexp_extract(props, '([0-9]+)', 1) AS DOUBLE) AS k FROM events)
