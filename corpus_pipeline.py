@@ -1,10 +1,17 @@
-"""A training-corpus pipeline over ``documents``: each stage works on what its predecessor kept, written as Parquet between."""
+"""A training-corpus pipeline over ``documents``: each stage works on what its predecessor kept, written as Parquet between.
+
+Defined results: null texts and texts without letters are rejected by the first stage; of equal or near texts the smallest id
+stays; rows that share an id stay or go together in the near-copy and decontamination stages, and rows without an id are kept
+there; further columns pass through all stages but the last; an empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.llm import bpe, contamination, language, probminhash, quality
+from millrace.llm.learning import unused
 from millrace.llm.queries import vocabulary
 from millrace.queries.registry import table
 from millrace.session import scratch_path
@@ -17,14 +24,16 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Rejects documents without letters and those that no learnt language fits better than chance."""
     table(spark, sf_dir, "documents")
     model = language.train(docs)
-    out = language.predicted(docs, model, into="_lang", score="_score")
-    return out.filter(f"_lang <> '{language.UNKNOWN}' AND _score >= {LEAST_LANGUAGE_SCORE}").select(*docs.columns)
+    lang, score = unused("stage_lang", docs.columns), unused("stage_score", docs.columns)
+    out = language.predicted(docs, model, into=lang, score=score)
+    return out.filter((F.col(lang) != language.UNKNOWN) & (F.col(score) >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents with a quality score below 0.7."""
     weights = quality.train(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "quality", 4, 2)
-    return quality.score(docs, "text", weights, into="_quality").filter(f"_quality >= {LEAST_QUALITY}").select(*docs.columns)
+    score = unused("stage_score", docs.columns)
+    return quality.score(docs, "text", weights, into=score).filter(F.col(score) >= LEAST_QUALITY).select(*docs.columns)
 
 
 def copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
