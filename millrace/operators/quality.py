@@ -142,9 +142,11 @@ def reconcile(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
         F.count(F.lit(1)).alias("shared_keys"), F.coalesce(F.sum(F.col("n_left") * F.col("n_right")), F.lit(0)).alias("joined_rows")
     )
 
-    def side(df: DataFrame, name: str) -> list[Column]:
-        rows = df.agg(F.count(F.lit(1))).scalar()
-        nulls = df.agg(F.count_if(F.col(key).isNull())).scalar()
+    def side(counts: DataFrame, name: str) -> list[Column]:
+        # From the counts per key, whose shuffle Spark reuses: each table is read once.
+        n = F.col(f"n_{name}")
+        rows = counts.agg(F.coalesce(F.sum(n), F.lit(0))).scalar()
+        nulls = counts.agg(F.coalesce(F.sum(F.when(F.col("k").isNull(), n)), F.lit(0))).scalar()
         return [rows.alias(f"{name}_rows"), nulls.alias(f"{name}_null_keys")]
 
-    return overlap.select(*side(left, "left"), *side(right, "right"), "shared_keys", "joined_rows")
+    return overlap.select(*side(a, "left"), *side(b, "right"), "shared_keys", "joined_rows")
