@@ -40,7 +40,7 @@ def word_inputs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     words = (span_hashes(data, starts, ends) >> np.uint64(64 - WORD_BITS)).astype(np.int64)
     n = len(starts)
     if n == 0:
-        return words, np.zeros(0, np.int64), np.zeros(1, np.int64)
+        return words, np.zeros(0, np.int32), np.zeros(1, np.int64)
     # The bytes of the words with a mark before and after each.
     lengths = ends - starts + 2
     first = np.zeros(n + 1, np.int64)
@@ -57,7 +57,7 @@ def word_inputs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
         ahead[: max(0, len(marked) - k + 1)] = marked[k - 1 :]
         rolled = rolled * np.uint64(0xD6E8FEB86659FD93) + ahead
         if k in GRAMS:
-            found.append((mixed(rolled + np.uint64(k)) >> np.uint64(64 - CHAR_BITS)).astype(np.int64))
+            found.append((mixed(rolled + np.uint64(k)) >> np.uint64(64 - CHAR_BITS)).astype(np.int32))
             fits.append(left >= k)
     # All n-grams that begin at a place stand together, so those of a word do too.
     fits = np.stack(fits, axis=1)
@@ -101,12 +101,14 @@ class Network:
 
     def inputs(self, words, grams, gram_first) -> np.ndarray:
         """The input of each distinct word."""
-        chars = np.zeros((len(words), CHAR_SIZE), np.float32)
-        count = np.diff(gram_first)
-        full = np.flatnonzero(count)
-        if len(full):
-            chars[full] = np.add.reduceat(self.p["char"][grams], gram_first[:-1][full], axis=0) / np.sqrt(count[full])[:, None]
-        return np.concatenate([self.p["word"][words], chars], axis=1)
+        out = np.zeros((len(words), WORD_SIZE + CHAR_SIZE), self.p["char"].dtype)
+        out[:, :WORD_SIZE] = self.p["word"][words]
+        for a in range(0, len(words), 10_000):  # every word has n-grams, and their vectors are many
+            b = min(a + 10_000, len(words))
+            first = gram_first[a : b + 1]
+            sums = np.add.reduceat(self.p["char"][grams[first[0] : first[-1]]], first[:-1] - first[0], axis=0)
+            out[a:b, WORD_SIZE:] = sums / np.sqrt(np.diff(first))[:, None]
+        return out
 
     def projected(self, x: np.ndarray) -> dict[str, np.ndarray]:
         """What each distinct word adds to the gates, per direction; the last row is what padding reads."""
@@ -229,6 +231,27 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit(rows["text"].combine_chunks().take(pa.array(order)), rows["_label"].to_numpy()[order], updates)
 
 
+def words_of_sample(texts: pa.Array):
+    """The same for all texts of the sample, which is bounded, but slice by slice, so that only the distinct words are held."""
+    keys, inputs, places, counts = [], [], [], []
+    for _, _, data, offsets in text_slices(texts):
+        starts, ends, first = spans(WORD_BYTES[data], offsets)
+        own, at, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        keys.append(own)
+        inputs.append(word_inputs(data, starts[at], ends[at]))
+        places.append(inverse)
+        counts.append(np.diff(first))
+    known, taken = np.unique(np.concatenate(keys), return_index=True)
+    words = np.concatenate([w for w, _, _ in inputs])[taken]
+    sizes = np.concatenate([np.diff(f) for _, _, f in inputs])
+    begins = (np.cumsum(sizes) - sizes)[taken]
+    gram_first = np.append(0, np.cumsum(sizes[taken]))
+    source = np.arange(gram_first[-1]) + np.repeat(begins - gram_first[:-1], sizes[taken])
+    grams = np.concatenate([g for _, g, _ in inputs])[source]
+    inverse = np.concatenate([np.searchsorted(known, k)[p] for k, p in zip(keys, places)])
+    return (words, grams, gram_first), inverse, np.append(0, np.cumsum(np.concatenate(counts)))
+
+
 def fit(texts: pa.Array, label: np.ndarray, updates: int = 400, passes: int = 16, batch: int = 64, dropped: float = 0.25) -> Network:
     """Bags of windows: after a start with random ones, the window that scores highest answers for a toxic text, and the two
     highest for a clean one.
@@ -238,9 +261,7 @@ def fit(texts: pa.Array, label: np.ndarray, updates: int = 400, passes: int = 16
     """
     network, rng = Network(), np.random.default_rng(11)
     label = label.astype(np.float32)
-    # The sample is bounded, so its words are made distinct once.
-    ((_, _, data, offsets),) = text_slices(texts, 1 << 62)
-    (words, grams, gram_first), inverse, first = distinct_words(data, offsets)
+    (words, grams, gram_first), inverse, first = words_of_sample(texts)
     pairs = np.unique(np.repeat(np.arange(len(label)), np.diff(first)) * (len(words) + 1) + inverse)
     texts_with = np.bincount(pairs % (len(words) + 1), minlength=len(words))
     learnt = {
