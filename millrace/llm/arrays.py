@@ -85,7 +85,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """A 64-bit hash of the bytes of each span; equal bytes have equal hashes wherever they stand."""
     if len(starts) == 0:
         return np.zeros(0, np.uint64)
-    size = 1 << max(21, int(len(data)).bit_length())
+    size = 1 << max(20, int(len(data)).bit_length())
     up, down = _powers(size)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])

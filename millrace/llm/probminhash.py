@@ -228,8 +228,11 @@ def compared_in_blocks(entries: DataFrame, sizes: DataFrame, docs: DataFrame, id
                     near = share >= least
                     bands = equal[near][:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).all(axis=2)
                     first = bands.argmax(axis=1) == band[0].as_py()
-                    pairs += [(s, i, j) for s, j in zip(share[near][first].tolist(), at[near][first].tolist())]
-            for _, i, j in sorted(pairs, key=lambda p: -p[0]):
+                    found = at[near][first]
+                    pairs.append(np.stack([(share[near][first] * SIZE).round().astype(np.int32), np.full(len(found), i, np.int32), found.astype(np.int32)]))
+            pairs = np.concatenate(pairs, axis=1) if pairs else np.zeros((3, 0), np.int32)
+            for at in np.argsort(-pairs[0], kind="stable"):  # the most alike first, so most others are connected by then
+                i, j = int(pairs[1, at]), int(pairs[2, at])
                 a, b = int(node[i]), int(node[j])
                 if forest.root(a) != forest.root(b):
                     for k in (i, j):

@@ -16,7 +16,7 @@ NUMBERS = re.escape("".join(c for c in _RANGE if unicodedata.category(c)[0] == "
 #: The separators \x1c-\x1f, a capital whose lower case is two characters, anything from U+0180.
 ODD = re.compile("[\x1c-\x1fİƀ-\U0010ffff]")
 
-#: Words of a generation that a process remembers; two generations are kept.
+#: Words of a generation that a process remembers, at about 200 bytes a word; two generations are kept.
 REMEMBERED = 250_000
 
 
@@ -53,13 +53,13 @@ class Remembered:
     frequent words stay.
     """
 
-    def __init__(self, encode):
-        self.encode, self.known, self.old = encode, {}, {}
+    def __init__(self, encode, size: int = REMEMBERED):
+        self.encode, self.size, self.known, self.old = encode, size, {}, {}
 
     def of(self, split: list[list[str] | None]) -> dict[str, bytes]:
         """A table that holds all given words; ``encode`` gets the new ones at once."""
         wanted = set().union(*(w for w in split if w))
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.size:
             self.known, self.old = {}, self.known
         new = []
         for word in wanted.difference(self.known):
