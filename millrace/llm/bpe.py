@@ -32,12 +32,16 @@ from pyspark.sql import functions as F
 
 from millrace.llm.lexicon import Lexicon, compile_lexicon
 from millrace.llm.splitting import LETTERS, NUMBERS, SPACES, Remembered, plain, special_pattern
+from millrace.session import durable
 
-LEXICON_WORDS = 65536
+#: The lexicon holds the words that make up at least this share of all words, so it has 1 / FREQUENT words at most.
+FREQUENT = 5e-6
 #: A task counts until it holds this many distinct words, passes on those that make up at least this share of what it
 #: counted, and starts anew: a word with that share of all words has it in at least one such portion.
 COUNTED = 150_000
 SHARE = 1e-6
+#: Words of a generation that a process remembers; the lexicon has the frequent ones, so fewer will do.
+REMEMBERED = 60_000
 END = "</w>"
 
 WORDS = re.compile(f"[{LETTERS}]+|[{NUMBERS}]|'(?:s|t|re|ve|m|ll|d)|[^{SPACES}{LETTERS}{NUMBERS}]+")
@@ -118,12 +122,13 @@ def text_portions(column: pa.Array, size: int = 1 << 20) -> Iterator[list[str]]:
         row = end
 
 
-def frequent_words(docs: DataFrame, text_col: str, model_text, words: int = LEXICON_WORDS) -> list[str]:
-    """The most frequent words of all texts, at most ``words``."""
+def frequent_words(docs: DataFrame, text_col: str, model_text, share: float = FREQUENT) -> list[str]:
+    """The words that make up at least ``share`` of the words of all texts; there are 1 / share of them at most."""
 
     def rows(counts):
-        least = max(2, SHARE * sum(counts.values()))
-        kept = [(w, n) for w, n in counts.items() if n >= least]
+        total = sum(counts.values())
+        least = max(2, SHARE * total)
+        kept = [(None, total), *((w, n) for w, n in counts.items() if n >= least)]
         return pa.RecordBatch.from_arrays(
             [pa.array([w for w, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())], names=["word", "n"]
         )
@@ -140,8 +145,10 @@ def frequent_words(docs: DataFrame, text_col: str, model_text, words: int = LEXI
                     counts.clear()
         yield rows(counts)
 
-    found = docs.select(text_col).mapInArrow(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r.word for r in found.orderBy(F.desc("n"), "word").limit(words).collect()]
+    # The row without a word has the number of all words.
+    found = durable(docs.select(text_col).mapInArrow(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    total = found.filter("word IS NULL").agg(F.sum("n")).first()[0] or 0
+    return sorted(r.word for r in found.filter(F.col("word").isNotNull() & (F.col("n") >= share * total)).select("word").collect())
 
 
 @lru_cache(maxsize=2)
@@ -159,7 +166,7 @@ def _remembered(text: str, name: str) -> Remembered:
         ranks = lexicon.ranks_of(raw).tolist()
         return [np.array(lexicon.ids_of(r) if r >= 0 else model.merged(w), np.int32).tobytes() for w, r in zip(raw, ranks)]
 
-    return Remembered(encode)
+    return Remembered(encode, REMEMBERED)
 
 
 def send_lexicon(docs: DataFrame, text_col: str, model_text) -> str:
