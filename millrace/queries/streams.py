@@ -8,7 +8,7 @@ from millrace.functions.values import settle
 from millrace.operators import quality as Q
 from millrace.queries.changes import IS_DELETE, SCD1, SEQUENCE
 from millrace.queries.registry import query, rounded, stream, table
-from millrace.session import ROCKSDB, scratch_path
+from millrace.session import scratch_path
 from millrace.streaming import latency, runs, sensors, windows
 
 
@@ -128,11 +128,10 @@ SELECT city, count(*) AS n, count(*) FILTER (t > 25) AS hot, count(*) FILTER (t
 """)
 def stateful_alerts(spark, d):
     root = scratch_path(spark, "sensors")
-    with runs.settings(spark, {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}):
-        monitored = sensors.monitor(readings(stream(spark, d, "events")))
-        runs.drain_batches(
-            monitored, lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}"), f"{root}/checkpoint"
-        )
+    monitored = sensors.monitor(readings(stream(spark, d, "events")))
+    runs.drain_batches(
+        monitored, lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}"), f"{root}/checkpoint"
+    )
     return spark.read.parquet(f"{root}/out").groupBy("city").agg(
         F.count(F.lit(1)).alias("n"), F.max("high_temp_count").alias("hot"), F.count_if(F.col("alerts") != "").alias("alerted"),
         F.count_if(F.col("alerts").contains("pm25")).alias("dusty"),
@@ -151,14 +150,12 @@ SELECT event_id, city, {rounded('(total + t) / (n + 1)', 4)} AS avg_temp, high_t
   CASE WHEN t > previous THEN 'rising' WHEN t < previous THEN 'falling' ELSE 'stable' END AS temperature_trend FROM w
 """)
 def stateful_readings(spark, d):
-    """Mean, trend and count of every reading, with pieces so small that a city comes in many."""
+    """Mean, trend and count of every reading."""
     root = scratch_path(spark, "readings")
-    small = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.execution.arrow.maxRecordsPerBatch": "50"}
-    with runs.settings(spark, small):
-        monitored = sensors.monitor(readings(stream(spark, d, "events")))
-        runs.drain_batches(
-            monitored, lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}"), f"{root}/checkpoint"
-        )
+    monitored = sensors.monitor(readings(stream(spark, d, "events")))
+    runs.drain_batches(
+        monitored, lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}"), f"{root}/checkpoint"
+    )
     out = spark.read.parquet(f"{root}/out")
     return out.select(
         F.col("sensor_id").cast("bigint").alias("event_id"), "city", settle(F.col("avg_temp"), 4).alias("avg_temp"),

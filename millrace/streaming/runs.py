@@ -75,7 +75,12 @@ def drain_batches(
     stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "update",
     timeout: float | None = None,
 ) -> StreamingQuery:
-    """Hand every micro-batch to a function, which must give the same result when a batch is repeated."""
+    """Hand every micro-batch to a function, which must give the same result when a batch is repeated.
+
+    ``stream`` may also be readings with figures of earlier batches (``sensors.monitor``).
+    """
+    if hasattr(stream, "handler"):
+        stream, handle = stream.readings, stream.handler(handle, checkpoint)
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return wait(writer.outputMode(mode).trigger(availableNow=True).start(), timeout)
 

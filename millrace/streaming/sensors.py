@@ -3,18 +3,19 @@
 Semantics: only hot readings are remembered.  The mean is over the remembered
 readings before the current one and the current one, counted once.  The trend
 compares with the latest remembered reading.  State per city is one row of
-fixed size, not a list that grows with the stream.
+fixed size, not a list that grows with the stream.  The readings of a micro-batch
+are handled in time order, in slices, so a city of any size is many tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from millrace.operators.windows import join_on
+from millrace.session import delete_path, path_exists
 
 # Alert limits.
 LIMITS = {"temperature": 25.0, "humidity": 80.0, "co2_level": 1000.0, "pm25_level": 35.0}
@@ -25,7 +26,10 @@ READING_SCHEMA = (
     "sensor_id string, city string, location string, timestamp timestamp, temperature double, humidity double, "
     "co2_level double, pm25_level double"
 )
-OUTPUT_SCHEMA = READING_SCHEMA + ", avg_temp double, temperature_trend string, high_temp_count bigint"
+_SLICE = "_slice"
+_FIGURES = "n bigint, total double, last struct<ts: timestamp, temp: double>"
+TOTALS_SCHEMA = f"{_SLICE} int, city string, {_FIGURES}"
+STATE_SCHEMA = f"city string, {_FIGURES}, seen timestamp"
 
 
 def alert_text(col=F.col) -> Column:
@@ -37,60 +41,129 @@ def alert_text(col=F.col) -> Column:
     return F.concat_ws("", *parts)
 
 
-class CityMonitor(StatefulProcessor):
-    """Adds mean, trend and hot count to the readings of one city.
+class Monitored:
+    """Readings with mean, trend, hot count and alert text, batch by batch.
 
-    The readings of a micro-batch are handled in time order, in whatever pieces
-    they arrive; so those of one city and batch are held in memory, and a trigger
-    or a limit per batch bounds them.
+    ``drain_batches`` takes it like a stream; with another trigger, give
+    ``handler(handle, checkpoint)`` to ``foreachBatch`` of ``readings``.  The state
+    is a small table beside the checkpoint, one row per city and version; the
+    version of a batch is made from the one before, so a repeated batch gives the same.
+    With ``ttl_ms``, a city without a hot reading for so long is forgotten.
     """
 
-    def __init__(self, hot: float = LIMITS["temperature"], ttl_ms: int | None = None):
-        self.hot, self.ttl_ms = hot, ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = "n bigint, total double, last_ts timestamp, last_temp double"
-        self.state = handle.getValueState("hot_readings", schema, self.ttl_ms)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        n, total, last_ts, last_temp = self.state.get() or (0, 0.0, None, None)
-        before = n
-        whole = [pd.concat(list(rows), ignore_index=True).sort_values(["timestamp", "sensor_id"], kind="stable")]
-        for piece in whole:
-            temps = piece["temperature"].to_numpy(dtype="float64")
-            times = piece["timestamp"].to_numpy()
-            known, hot = ~np.isnan(temps), temps > self.hot
-            # Remembered readings up to and including each row, and without it.
-            counts, sums = n + np.cumsum(hot), total + np.cumsum(np.where(hot, temps, 0.0))
-            earlier_n, earlier_sum = counts - hot, sums - np.where(hot, temps, 0.0)
-            # A late hot reading counts, but is not the latest one.
-            newest = hot if last_ts is None else hot & (times >= np.datetime64(last_ts))
-            place = np.maximum.accumulate(np.where(newest, np.arange(len(temps)), -1))
-            previous = np.concatenate(([-1], place[:-1]))
-            start = np.nan if last_temp is None else last_temp
-            compared = np.where(previous >= 0, temps[np.maximum(previous, 0)], start)
-            trend = np.select([temps > compared, temps < compared], ["rising", "falling"], "stable")
-            yield piece.assign(
-                avg_temp=np.where(known, (earlier_sum + temps) / (earlier_n + 1), np.nan),
-                temperature_trend=trend, high_temp_count=counts,
-            )
-            n, total = int(counts[-1]), float(sums[-1])
-            if place[-1] >= 0:
-                last_ts, last_temp = pd.Timestamp(times[place[-1]]).to_pydatetime(), float(temps[place[-1]])
-        if n != before:
-            self.state.update((n, total, last_ts, last_temp))
-
-    def close(self) -> None:
-        pass
-
-
-def monitor(readings: DataFrame, hot: float = LIMITS["temperature"], ttl_ms: int | None = None) -> DataFrame:
-    """Readings with running figures and alert text, per city with RocksDB state."""
-    columns = [f.split()[0] for f in READING_SCHEMA.split(", ")]
-    stateful = readings.select(*columns).groupBy("city").transformWithStateInPandas(
-        statefulProcessor=CityMonitor(hot, ttl_ms), outputStructType=OUTPUT_SCHEMA, outputMode="Update", timeMode="None"
+    def __init__(self, readings: DataFrame, hot: float = LIMITS["temperature"], ttl_ms: int | None = None):
+        columns = [f.split()[:2] for f in READING_SCHEMA.split(", ")]
+        # A value that is not a number is a missing one.
+        self.readings = readings.select(*[
+            F.when(~F.isnan(c), F.col(c)).alias(c) if t == "double" else F.col(c).cast(t).alias(c) for c, t in columns
+        ])
+        self.hot, self.ttl_ms, self.spark = hot, ttl_ms, readings.sparkSession
+
+    def handler(self, handle: Callable[[DataFrame, int], None], checkpoint: str) -> Callable[[DataFrame, int], None]:
+        root, spark = f"{checkpoint.rstrip('/')}/cities", self.spark
+
+        def run(batch: DataFrame, batch_id: int) -> None:
+            work = f"{root}/work/{batch_id}"
+            sliced(batch).write.mode("overwrite").parquet(f"{work}/rows")
+            rows = spark.read.schema(f"{READING_SCHEMA}, {_SLICE} int").parquet(f"{work}/rows")
+            slice_totals(rows, self.hot).write.mode("overwrite").parquet(f"{work}/totals")
+            totals = spark.read.schema(TOTALS_SCHEMA).parquet(f"{work}/totals")
+            state = self._state(root, batch_id)
+            merged_state(state, totals).write.mode("overwrite").parquet(f"{root}/state/{batch_id}")
+            handle(with_figures(rows, totals, state, self.hot).withColumn("alerts", alert_text()), batch_id)
+            delete_path(spark, work)
+            delete_path(spark, f"{root}/state/{batch_id - 2}")
+
+        return run
+
+    def _state(self, root: str, batch_id: int) -> DataFrame:
+        if batch_id == 0:
+            return self.spark.createDataFrame([], STATE_SCHEMA)
+        path = f"{root}/state/{batch_id - 1}"
+        if not path_exists(self.spark, f"{path}/_SUCCESS"):
+            raise RuntimeError(f"no state of the batch before in {path}; begin with a new checkpoint")
+        state = self.spark.read.schema(STATE_SCHEMA).parquet(path)
+        if self.ttl_ms is None:
+            return state
+        return state.filter(F.unix_millis(F.current_timestamp()) - F.unix_millis("seen") < self.ttl_ms)
+
+
+def in_order() -> list[Column]:
+    """Time order within a city: readings without a time last, equal times by sensor, then by the other columns."""
+    rest = [c for c in (f.split()[0] for f in READING_SCHEMA.split(", ")) if c not in ("city", "timestamp", "sensor_id")]
+    return [F.col("timestamp").isNull(), F.col("timestamp"), F.col("sensor_id").isNull(), F.col("sensor_id"), *[F.col(c) for c in rest]]
+
+
+def sliced(readings: DataFrame) -> DataFrame:
+    """Even ranges of consecutive readings, numbered in order; a large city lies in many of them."""
+    return readings.repartitionByRange(F.col("city"), *in_order()).withColumn(_SLICE, F.spark_partition_id())
+
+
+def is_hot(hot: float) -> Column:
+    return F.coalesce(F.col("temperature") > hot, F.lit(False))
+
+
+def last_hot(hot: float) -> Column:
+    """Time and temperature of a hot reading with a time, else null; only such a one can be the latest."""
+    return F.when(is_hot(hot) & F.col("timestamp").isNotNull(), F.struct(F.col("timestamp").alias("ts"), F.col("temperature").alias("temp")))
+
+
+def slice_totals(rows: DataFrame, hot: float) -> DataFrame:
+    """Hot count, sum and latest hot reading per slice and city, combined before the shuffle."""
+    latest = F.max_by(last_hot(hot), F.when(last_hot(hot).isNotNull(), F.struct(*in_order())))
+    return rows.groupBy(_SLICE, "city").agg(
+        F.count_if(is_hot(hot)).alias("n"), F.sum(F.when(is_hot(hot), F.col("temperature")).otherwise(0.0)).alias("total"), latest.alias("last")
+    )
+
+
+def newer(last: Column, state: Column) -> Column:
+    """The later of a batch's hot reading and the stored one; a late hot reading counts, but is not the latest one."""
+    return F.when(last.isNotNull() & (state.isNull() | (last["ts"] >= state["ts"])), last).otherwise(state)
+
+
+def merged_state(state: DataFrame, totals: DataFrame) -> DataFrame:
+    """The state after a batch: one row per city with a hot reading so far."""
+    batch = totals.groupBy("city").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.max_by("last", F.struct("last.ts", _SLICE)).alias("last"))
+    changed = batch.filter("n > 0").withColumn("seen", F.current_timestamp()).alias("b")
+    both = state.alias("s").join(changed, F.col("s.city").eqNullSafe(F.col("b.city")), "full")
+    return both.select(
+        F.coalesce("b.city", "s.city").alias("city"), *[(F.coalesce(f"s.{c}", F.lit(0)) + F.coalesce(f"b.{c}", F.lit(0))).alias(c) for c in ("n", "total")],
+        newer(F.col("b.last"), F.col("s.last")).alias("last"), F.coalesce("b.seen", "s.seen").alias("seen"),
+    )
+
+
+def with_figures(rows: DataFrame, totals: DataFrame, state: DataFrame, hot: float) -> DataFrame:
+    """Every reading with mean, trend and count: running figures of its slice plus those of earlier slices and batches.
+
+    A window holds the readings of one city in one slice, in Spark's memory or on disk.
+    """
+    # One row per slice and city, so a city spans at most as many rows here as there are slices.
+    earlier = Window.partitionBy("city").orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(
+        _SLICE, "city", F.sum("n").over(earlier).alias("_n"), F.sum("total").over(earlier).alias("_total"), F.last("last", True).over(earlier).alias("_last")
     )
-    return stateful.withColumn("alerts", alert_text())
+    stored = state.select("city", F.col("n").alias("_state_n"), F.col("total").alias("_state_total"), F.col("last").alias("_state_last"))
+    before = join_on(before, stored, ["city"], "left")
+    local = Window.partitionBy(_SLICE, "city").orderBy(*in_order())
+    up_to, above = local.rowsBetween(Window.unboundedPreceding, 0), local.rowsBetween(Window.unboundedPreceding, -1)
+    temp = F.col("temperature")
+    running = rows.withColumns({
+        "_hot": is_hot(hot).cast("long"), "_up_to": F.sum(is_hot(hot).cast("long")).over(up_to),
+        "_above": F.sum(F.when(is_hot(hot), temp).otherwise(0.0)).over(above), "_previous": F.last(last_hot(hot), True).over(above),
+    })
+    joined = join_on(running, before, [_SLICE, "city"])
+    n = F.col("_up_to") + F.coalesce("_n", F.lit(0)) + F.coalesce("_state_n", F.lit(0))
+    total = F.coalesce("_above", F.lit(0.0)) + F.coalesce("_total", F.lit(0.0)) + F.coalesce("_state_total", F.lit(0.0))
+    compared = newer(F.coalesce("_previous", "_last"), F.col("_state_last"))["temp"]
+    return joined.select(
+        *[f.split()[0] for f in READING_SCHEMA.split(", ")], ((total + temp) / (n - F.col("_hot") + 1)).alias("avg_temp"),
+        F.when(temp > compared, "rising").when(temp < compared, "falling").otherwise("stable").alias("temperature_trend"), n.alias("high_temp_count"),
+    )
+
+
+def monitor(readings: DataFrame, hot: float = LIMITS["temperature"], ttl_ms: int | None = None) -> Monitored:
+    """Readings with running figures and alert text, for ``drain_batches``."""
+    return Monitored(readings, hot, ttl_ms)
 
 
 def rate_readings(spark, rows_per_second: int = 200, cities: int = 64, partitions: int = 8) -> DataFrame:

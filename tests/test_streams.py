@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from conftest import rows
@@ -88,6 +89,37 @@ def test_city_monitor(spark, tmp_path):
     assert got[("x", 1)].alerts == ""
 
 
+def test_large_city_is_many_slices(spark, tmp_path):
+    """Two batches of one city, with late, missing and equal readings, against a plain loop; before, one task held a city's batch."""
+    root, rng, n, total, last = str(tmp_path), random.Random(5), 0, 0.0, None
+    expected, largest = [], []
+    for part in (1, 2):
+        data = [reading("x", rng.randrange(80 * part), rng.choice([None, 20.0, 25.0, 26.5, 30.0, 41.0])) for _ in range(300)]
+        data += [reading(None, 1, 30.0 + part), ("s", "x", "site", None, 50.0, 1.0, 1.0, 1.0)]
+        for r in sorted((r for r in data if r[1]), key=lambda r: (r[3] is None, r[3] or at(0), r[0], r[4] is not None, r[4] or 0)):
+            t = r[4]
+            hot = t is not None and t > 25
+            trend = "stable" if t is None or last is None or t == last[1] else "rising" if t > last[1] else "falling"
+            n += hot
+            expected.append((part, r[3], t, None if t is None else (total + t) / (n - hot + 1), trend, n))
+            total += t if hot else 0
+            if hot and r[3] is not None and (last is None or r[3] >= last[0]):
+                last = (r[3], t)
+        expected.append((part, at(1), 30.0 + part, 31.0 if part == 1 else 31.5, "stable" if part == 1 else "rising", part))
+
+        def keep(batch, i, part=part):
+            slices = spark.read.parquet(f"{root}/cp/cities/work/{i}/rows").filter("city = 'x'").groupBy("_slice").count()
+            largest.append(slices.agg(F.max("count")).first()[0])
+            batch.write.mode("overwrite").parquet(f"{root}/out/part={part}")
+
+        stream = feed(spark, f"{root}/in", part, data, sensors.READING_SCHEMA)
+        with runs.settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+            runs.drain_batches(sensors.monitor(stream), keep, f"{root}/cp", timeout=180)
+    got = spark.read.parquet(f"{root}/out").select("part", "timestamp", "temperature", "avg_temp", "temperature_trend", "high_temp_count")
+    assert sorted(map(str, rows(got))) == sorted(map(str, expected))
+    assert len(largest) == 2 and max(largest) <= 150  # rows of one city that one task sorts
+
+
 def test_bounded_run_over_the_rate_source(spark, tmp_path):
     rates = sensors.rate_readings(spark, 50, 4, 2)
     with runs.settings(spark, {"spark.sql.shuffle.partitions": "2"}):
