@@ -179,3 +179,36 @@ def test_decoding_lists_all_filters_that_are_passed():
             a, b = np.nonzero((first @ y[:12])[:, None] + (second @ y[12:])[None, :] >= 0.5 * np.sqrt(2))
             expected += [(i, (table * n + p) * n + q) for p, q in zip(a, b)]
     assert list(zip(rows.tolist(), found.tolist())) == sorted(expected)
+
+
+def test_short_near_copies_share_a_band_as_often_as_stated():
+    rng, n = np.random.default_rng(7), 20000
+    grams = rng.integers(1, 1 << 62, (n, 5)).astype(np.uint64)
+    rows = np.concatenate([np.repeat(np.arange(n), 4), n + np.repeat(np.arange(n), 5)])
+    signature = probminhash.signatures(rows, np.concatenate([grams[:, :4].ravel(), grams.ravel()]), np.ones(len(rows)), 2 * n)
+    same = signature[:n] == signature[n:]
+    missed = ~same[:, :125].reshape(n, 25, 5).all(axis=2).any(axis=1)
+    assert missed.sum() <= 6  # one is expected
+
+
+def test_a_pair_of_a_low_estimate_is_compared(spark):
+    rng, n = random.Random(1), 40000
+    bases = [[f"w{rng.randrange(10**9)}" for _ in range(9)] for _ in range(n)]
+    data = [" ".join(w[: 8 + k]).encode() for w in bases for k in (0, 1)]
+    offsets = np.cumsum([0, *map(len, data)])
+    same = np.concatenate([
+        s[0::2] == s[1::2]
+        for at in range(0, 2 * n, 8000)
+        for part in [np.frombuffer(b"".join(data[at : at + 8000]), np.uint8)]
+        for s in [probminhash.signatures(*probminhash.weighted_shingles(part, offsets[at : at + 8001] - offsets[at]), 8000)]
+    ])
+    bands = same[:, :125].reshape(n, 25, 5).all(axis=2)
+    least = 0.8 - 4 * np.sqrt(0.16 / probminhash.SIZE)
+    low = np.flatnonzero(bands.any(axis=1) & (same.mean(axis=1) < least))
+    assert len(low)
+    i = int(low[0])
+    docs = spark.createDataFrame([(k, data[2 * i + k].decode()) for k in (0, 1)], "doc_id long, text string")
+    band = int(bands[i].argmax())
+    entries = spark.createDataFrame([(7, band, 0, 0), (7, band, 1, 1)], "key long, band int, node long, component long")
+    sizes = spark.createDataFrame([(7, 2)], "key long, n long")
+    assert [(r.a, r.b, r.similarity) for r in probminhash.compared_in_blocks(entries, sizes, docs, "doc_id", "text", 0.8).collect()] == [(0, 1, 0.8)]
