@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.arrays import joined_bytes, mixed, row_sums, span_hashes, spans, text_slices, byte_table
-from millrace.llm.learning import in_fold, unused
+from millrace.llm.learning import dealt, in_fold, unused
 
 UNKNOWN = "und"
 LONGEST = 5
@@ -100,9 +100,10 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 4, held: int = 2,
           sample_rows: int = 12000, min_count: int = 4) -> LanguageModel:
-    """Counts from at most ``sample_rows`` texts outside the held-out fold, chosen by the hash of their ids."""
+    """Counts from at most ``sample_rows`` texts outside the held-out fold, chosen by language and the hash of their ids."""
     known = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("lang"))
-    sample = known.filter(~in_fold("_id", folds, held) & F.col("lang").isNotNull()).select("_id").distinct().orderBy(F.xxhash64("_id"), "_id").limit(sample_rows)
+    known = known.filter(~in_fold("_id", folds, held) & F.col("lang").isNotNull()).select("_id", F.col("lang").alias("_label")).distinct()
+    sample = dealt(known, sample_rows)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     texts = texts.filter(F.col("lang").isNotNull()).join(F.broadcast(sample), "_id")
     counts = word_counts(texts)

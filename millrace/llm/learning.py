@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -17,8 +17,26 @@ def in_fold(id_col: str, folds: int, held: int) -> Column:
     return F.coalesce(fold(id_col, folds) == held, F.lit(True))
 
 
+#: Rows that any one label is granted at most; Spark keeps no more of a label per task before the shuffle.
+GRANTED = 500
+
+
+def dealt(known: DataFrame, rows: int) -> DataFrame:
+    """At most ``rows`` ids (_id) of distinct pairs (_id, _label): a fifth is granted to the labels evenly, the rest goes by the hash of the id.
+
+    A label that is common enough gets its grant by the hash anyway, so only rare labels change the sample.
+    """
+    by_hash = [F.xxhash64("_id"), F.col("_id")]
+    grant = min(GRANTED, max(1, rows // (5 * max(1, known.select("_label").distinct().count()))))
+    rank = F.row_number().over(Window.partitionBy("_label").orderBy(*by_hash))
+    granted = known.withColumn("_rank", rank).filter(F.col("_rank") <= grant).select("_id").distinct().orderBy(*by_hash).limit(rows)
+    rest = known.select("_id").distinct().orderBy(*by_hash).limit(rows)
+    first = granted.withColumn("_rest", F.lit(0)).union(rest.withColumn("_rest", F.lit(1)))
+    return first.groupBy("_id").agg(F.min("_rest").alias("_rest")).orderBy("_rest", *by_hash).limit(rows).select("_id")
+
+
 def labelled_sample(labels: DataFrame, id_col: str, label_col: str, folds: int, held: int, rows: int) -> DataFrame:
-    """(id, label) of at most ``rows`` labelled ids outside the held-out fold, chosen by the hash of the id.
+    """(id, label) of at most ``rows`` labelled ids outside the held-out fold, chosen by label and the hash of the id.
 
     An id with contradicting labels is left out; null ids and null labels too.
     """
@@ -28,7 +46,8 @@ def labelled_sample(labels: DataFrame, id_col: str, label_col: str, folds: int,
         .groupBy("_id").agg(F.min("_label").alias("_label"), F.max("_label").alias("_other"))
         .filter("_label = _other")
     )
-    return known.select("_id", "_label").orderBy(F.xxhash64("_id"), "_id").limit(rows)
+    known = known.select("_id", "_label")
+    return known.join(F.broadcast(dealt(known, rows)), "_id").select("_id", "_label")
 
 
 def sampled_texts(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str) -> DataFrame:

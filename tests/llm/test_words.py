@@ -147,6 +147,24 @@ def test_toxicity_learns_and_handles_odd_rows(spark):
     assert toxicity.score(docs, "text", None).first().score == 0.0
 
 
+def test_rare_labels_and_languages_are_learnt(spark):
+    from pyspark.sql import functions as F
+
+    from millrace.llm.learning import in_fold, labelled_sample
+
+    ids = spark.range(20000).withColumnRenamed("id", "doc_id")
+    rare = ids.withColumn("toxic", (F.col("doc_id") % 1000 == 7).cast("int"))
+    outside = rare.filter(~in_fold("doc_id", 4, 2))
+    sample = labelled_sample(rare, "doc_id", "toxic", 4, 2, 300).collect()
+    assert len(sample) == 300 and sum(r._label for r in sample) == outside.filter("toxic = 1").count() > 4
+    even = ids.withColumn("toxic", (F.col("doc_id") % 3 == 0).cast("int"))
+    plain = even.filter(~in_fold("doc_id", 4, 2)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(300).collect()
+    assert {(r._id, r._label) for r in labelled_sample(even, "doc_id", "toxic", 4, 2, 300).collect()} == {(r.doc_id, r.toxic) for r in plain}
+    text = F.when(F.col("toxic") == 1, "zwarte kat slaapt hier").otherwise("the black cat sleeps")
+    docs = rare.select("doc_id", text.alias("text"), F.when(F.col("toxic") == 1, "nl").otherwise("en").alias("lang"))
+    assert language.train(docs, sample_rows=300).languages == ["en", "nl"]
+
+
 def test_language_words_first_then_shorter_ngrams(spark):
     said = {"aa": "kato hundo birdo sur tablo", "bb": "zwergen mit bart und hut", "cc": "щука и рак"}
     rows = [(i, " ".join([said[k]] * 3), k) for i, k in enumerate(list(said) * 20)]
