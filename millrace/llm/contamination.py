@@ -35,8 +35,8 @@ TABLE_BITS = 22
 
 
 def size_class(n: np.ndarray) -> np.ndarray:
-    """The class of items of n shingles: sizes up to 8, 16, 32 and so on."""
-    return np.maximum(3, np.ceil(np.log2(np.maximum(n, 1)))).astype(np.int64)
+    """The class of items of n shingles: sizes up to 2, 4, 8 and so on."""
+    return np.maximum(1, np.ceil(np.log2(np.maximum(n, 1)))).astype(np.int64)
 
 
 def hashed(grams: np.ndarray, function: int) -> np.ndarray:

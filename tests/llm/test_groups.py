@@ -139,6 +139,15 @@ def test_containment_against_plain_counting(spark):
     assert contamination.contained(frame.limit(0), spark.createDataFrame(bench, "item_id long, text string")).count() == 0
 
 
+def test_items_of_five_words_are_found_at_the_edge_of_documents(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    items = [" ".join(word() for _ in range(5)) for _ in range(1000)]
+    docs = [(i, " ".join([x, *(word() for _ in range(60))])) for i, x in enumerate(items)]
+    found = contamination.contained(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+    assert len({(r.doc, r.item) for r in found.collect() if r.doc == r.item}) == 1000
+
+
 def test_near_vectors_against_all_pairs(spark, monkeypatch):
     rng = np.random.default_rng(8)
     centre = rng.standard_normal((12, 48))
