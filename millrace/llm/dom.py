@@ -2,6 +2,8 @@
 
 This is a small tolerant reader, not a full parser: tags are found by a pattern, elements that a new block closes are closed
 (``p``, list items, table cells), an end tag without its start is ignored, inline tags do not part a block.
+Quotes delimit a value only after an equals sign; an element that is left out but has no end tag hides nothing, unless it is
+``script``, ``style``, ``textarea`` or ``title``; formulas are text.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ import re
 from dataclasses import dataclass
 from html import unescape
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>|<[!?][^>]*>", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z_:-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 
 # Elements as HTML sorts them.
@@ -20,7 +22,9 @@ BLOCKS = set(
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no text of the page.
-SILENT = set("script style noscript template textarea select button svg math iframe object canvas audio video title option datalist".split())
+SILENT = set("script style noscript template textarea select button svg iframe object canvas audio video title option datalist".split())
+#: Those that hold no elements: without an end tag they take the rest of the page; of others only the tag itself is skipped.
+RAW = {"script", "style", "textarea", "title"}
 #: A new element of the key closes an open one of the value.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -60,6 +64,7 @@ def blocks_of(html: str) -> list[Block]:
     stack: list[Element] = []
     parts: list[tuple[str, bool]] = []
     known: dict[tuple, Element] = {}
+    endless: set[str] = set()
     at, in_link = 0, False
 
     def flush() -> None:
@@ -83,9 +88,14 @@ def blocks_of(html: str) -> list[Block]:
             continue
         tag, closing = found.group(2).lower(), found.group(1) == "/"
         if tag in SILENT:
-            if not closing and not found.group(3).endswith("/"):
+            if not closing and not found.group(3).endswith("/") and tag not in endless:
                 end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
-                at = end.end() if end else len(html)
+                if end:
+                    at = end.end()
+                elif tag in RAW:
+                    at = len(html)
+                else:
+                    endless.add(tag)  # no end tag follows, so none is looked for again
             continue
         if tag == "a":
             in_link = not closing

@@ -23,6 +23,18 @@ def test_blocks():
     assert blocks_of("<p>ab<a href='>'>cd</a></p>")[0].linked == 2
 
 
+def test_malformed_pages_keep_their_text():
+    texts = lambda html: [b.text for b in blocks_of(html)]
+    for tag in ("button", "noscript", "svg", "object", "canvas", "select", "option"):
+        assert texts(f"<p>one</p><{tag}><p>two</p><{tag}><p>three</p>") == ["one", "two", "three"]
+        assert texts(f"<p>one</p><{tag}>no</{tag}><p>two</p>") == ["one", "two"]
+    for tag in ("script", "style", "textarea", "title"):
+        assert texts(f"<p>one</p><{tag}><p>two</p>") == ["one"]
+    assert texts("<p>sum <math><mi>x</mi><mo>+</mo><mn>1</mn></math> here</p>") == ["sum x+1 here"]
+    assert texts("<p title=Don't>Two is text</p><p>It's three</p>") == ["Two is text", "It's three"]
+    assert texts("<p title=\"a > b\" data-x = 'c > d'>four</p>") == ["four"]
+
+
 def test_viterbi_finds_the_best_labels():
     pages = extraction.labelled_pages(30, 5)
     field = extraction.train(pages, rounds=15)
