@@ -40,19 +40,48 @@ def multiline_json_ingest(spark, d):
     return drained(spark, source, root)
 
 
-@query("schema_evolution", "SRC-16 SRC-15 SNK-03", """
-SELECT n_nationkey, n_name, CAST(NULL AS BIGINT) AS n_regionkey FROM nation UNION ALL SELECT n_nationkey, n_name, n_regionkey FROM nation
+@query("schema_evolution", "SRC-16 SRC-15 SNK-03 SRC-08", """
+SELECT n_nationkey, n_name, CAST(NULL AS BIGINT) AS n_regionkey, CAST(NULL AS VARCHAR) AS rescued FROM nation
+UNION ALL SELECT n_nationkey, n_name, n_regionkey, NULL FROM nation
+UNION ALL SELECT n_nationkey, n_name, NULL, '{"n_regionkey":"region ' || n_regionkey || '"}' FROM nation
+UNION ALL SELECT n_nationkey, n_name, n_regionkey, '{"n_comment":"new"}' FROM nation
 """)
 def schema_evolution(spark, d):
+    """Four drops into one folder: two columns; a third one, added; text in it, rescued; a fourth column in mode rescue, rescued."""
     root = scratch_path(spark, "evolution")
-    n = table(spark, d, "nation")
-    n.select("n_nationkey", "n_name").write.json(f"{root}/in")
-    drained(spark, files.ingest(spark, f"{root}/in", "json", f"{root}/schemas", mode=files.ADD), root)
-    n.write.mode("append").json(f"{root}/in")
-    # The stored schema grows by the new column; the checkpoint is kept.
-    runs.drain_to_parquet(files.ingest(spark, f"{root}/in", "json", f"{root}/schemas", mode=files.ADD), f"{root}/out", f"{root}/checkpoint")
+    n = table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region_text = F.concat(F.lit("region "), F.col("n_regionkey").cast("string"))
+    drops = [
+        (n.drop("n_regionkey"), files.ADD), (n, files.ADD), (n.withColumn("n_regionkey", region_text), files.ADD),
+        (n.withColumn("n_comment", F.lit("new")), files.RESCUE),
+    ]
+    for part, mode in drops:
+        part.write.mode("append").json(f"{root}/in")
+        # Every start reads the schema of the new files only; schema and checkpoint are kept.
+        source = files.ingest(spark, f"{root}/in", "json", f"{root}/schemas", mode=mode, rescue="rescued")
+        runs.drain_to_parquet(source, f"{root}/out", f"{root}/checkpoint")
     out = spark.read.option("mergeSchema", "true").parquet(f"{root}/out")
-    return out.select(F.col("n_nationkey").cast("int").alias("n_nationkey"), "n_name", "n_regionkey")
+    return out.select(F.col("n_nationkey").cast("int").alias("n_nationkey"), "n_name", "n_regionkey", "rescued")
+
+
+@query("rescued_records", "SRC-09 SRC-15", """
+SELECT 'csv' AS kind, CAST(s_suppkey AS BIGINT) AS id, CASE WHEN s_nationkey = 3 THEN NULL ELSE s_nationkey END AS nation,
+  CASE WHEN s_nationkey = 3 THEN s_suppkey || ',n/a' END AS rescued FROM supplier
+UNION ALL SELECT 'xml', s_suppkey, CASE WHEN s_nationkey = 3 THEN NULL ELSE s_nationkey END, CASE WHEN s_nationkey = 3 THEN '{"nation":"n/a"}' END FROM supplier
+""")
+def rescued_records(spark, d):
+    """Suppliers as CSV and XML with an unreadable nation: the other columns are read, what does not fit is kept."""
+    root = scratch_path(spark, "records")
+    nation = F.when(F.col("s_nationkey") == 3, "n/a").otherwise(F.col("s_nationkey").cast("string"))
+    s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), nation.alias("nation"))
+    s.write.option("header", True).csv(f"{root}/csv")
+    s.write.format("xml").option("rowTag", "s").option("rootTag", "all").save(f"{root}/xml")
+    out = []
+    for kind, options in (("csv", {}), ("xml", {"rowTag": "s"})):
+        source = files.ingest(spark, f"{root}/{kind}", kind, schema="id long, nation int", rescue="rescued", options=options)
+        runs.drain_to_parquet(source, f"{root}/out/{kind}", f"{root}/checkpoint/{kind}")
+        out.append(spark.read.parquet(f"{root}/out/{kind}").select(F.lit(kind).alias("kind"), "id", "nation", "rescued"))
+    return out[0].union(out[1])
 
 
 @query("xml_files", "SRC-13 FN-07", "SELECT s_suppkey, s_name, s_nationkey FROM supplier")

@@ -178,3 +178,99 @@ def test_stream_table_reads_only_new_files(spark, tmp_path):
     assert drain(spark, files.stream_table(spark, str(tmp_path / "t")), tmp_path).count() == 3
     spark.range(3, 5).write.mode("append").parquet(str(tmp_path / "t"))
     assert drain(spark, files.stream_table(spark, str(tmp_path / "t"), 1), tmp_path).count() == 5
+
+
+# ---- schemas of new files only, and rescued values ----------------------------
+
+
+def test_only_new_files_are_read_for_their_schema(spark, tmp_path, monkeypatch):
+    folder, store = tmp_path / "in", str(tmp_path / "schemas")
+    folder.mkdir()
+    read = []
+    infer = files.infer_schema
+
+    def noted(spark, paths, fmt, options):
+        read.append(sorted(p.rsplit("/", 1)[-1] for p in paths))
+        return infer(spark, paths, fmt, options)
+
+    monkeypatch.setattr(files, "infer_schema", noted)
+    for i in range(100):
+        (folder / f"{i:03}.json").write_text(f'{{"id": {i}}}')
+    files.ingest(spark, str(folder), "json", store)
+    assert len(read[0]) == 100
+    files.ingest(spark, str(folder), "json", store)
+    assert len(read) == 1  # nothing new, nothing read
+    (folder / "new.json").write_text('{"id": 1, "extra": 2}')
+    with pytest.raises(files.SchemaChanged, match="extra"):
+        files.ingest(spark, str(folder), "json", store)
+    # A refused file is not in the ledger, so it is refused again, and taken once columns may be added.
+    assert read[1:] == [["new.json"]]
+    assert files.ingest(spark, str(folder), "json", store, mode=files.ADD).columns == ["id", "extra"]
+    assert files.Ledger(spark, store).known().count() == 101
+    (folder / "000.json").write_text('{"id": 1, "later": 2}')
+    assert files.ingest(spark, str(folder), "json", store, mode=files.ADD).columns == ["id", "extra", "later"]
+    assert read[-1] == ["000.json"]
+
+
+def test_a_bounded_sample_of_new_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "SAMPLED_FILES", 2)
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for i in range(5):
+        (folder / f"{i}.json").write_text(f'{{"id": {i}, "c{i}": 1}}')
+    stream = files.ingest(spark, str(folder), "json", str(tmp_path / "schemas"), rescue="_rescued")
+    out = drain(spark, stream, tmp_path)
+    assert len(out.columns) == 4  # id, two sampled columns, the rescue column
+    assert out.filter("_rescued IS NOT NULL").count() == 3
+
+
+def test_values_that_do_not_fit_are_rescued(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    lines = [
+        '{"id": 1, "at": {"x": 1.5, "y": 2}, "tags": ["a"]}', '{"id": "one", "at": {"x": "far", "z": 3}, "tags": "b", "new": {"deep": true}}',
+        '{"id": null, "at": 7}', "not json", "", '{"at": null, "ID": 5}',
+    ]
+    (folder / "a.json").write_text("\n".join(lines))
+    schema = "id long, at struct<x: double, y: long>, tags array<string>"
+    stream = files.ingest(spark, str(folder), "json", schema=schema, rescue="_rescued")
+    got = [(r.id, r.at and tuple(r.at), r.tags, r._rescued and dict(sorted(json.loads(r._rescued).items()))) for r in drain(spark, stream, tmp_path).collect()]
+    expected = [
+        (1, (1.5, 2), ["a"], None),
+        (None, (None, None), None, {"at.x": "far", "at.z": "3", "id": "one", "new": '{"deep":true}', "tags": "b"}),
+        (None, None, None, {"at": "7"}), (None, None, None, {"_corrupt_record": "not json"}), (None, None, None, {"ID": "5"}),
+    ]
+    assert sorted(map(str, got)) == sorted(map(str, expected))
+
+
+def test_rescue_mode_adds_no_column(spark, tmp_path):
+    folder, store = tmp_path / "in", str(tmp_path / "schemas")
+    folder.mkdir()
+    (folder / "a.json").write_text('[{"id": 1},\n {"id": 2}]')
+    args = dict(mode=files.RESCUE, rescue="_rescued", options={"multiLine": "true"})
+    drain(spark, files.ingest(spark, str(folder), "json", store, **args), tmp_path)
+    (folder / "b.json").write_text('\n{"id": 3,\n "extra": "x"}')
+    out = drain(spark, files.ingest(spark, str(folder), "json", store, **args), tmp_path)
+    assert rows(out) == [(1, None), (2, None), (3, '{"extra":"x"}')]
+    with pytest.raises(ValueError, match="needs a column"):
+        files.resolve_schema(spark, str(folder), "json", store, files.RESCUE)
+    with pytest.raises(ValueError, match="choose another"):
+        files.ingest(spark, str(folder), "json", store, mode=files.RESCUE, rescue="ID", options={"multiLine": "true"})
+    with pytest.raises(ValueError, match="nothing to rescue"):
+        files.ingest(spark, str(folder), "parquet", schema="id long", rescue="_rescued")
+
+
+def test_csv_and_xml_records_are_rescued(spark, tmp_path):
+    (tmp_path / "csv").mkdir()
+    (tmp_path / "csv" / "a.csv").write_text("id,v\n1,2.5\n2,n/a\n3,4.5,extra\n")
+    stream = files.ingest(spark, str(tmp_path / "csv"), "csv", schema="id int, v double", rescue="_rescued")
+    assert rows(drain(spark, stream, tmp_path / "c")) == [(1, 2.5, None), (2, None, "2,n/a"), (3, 4.5, "3,4.5,extra")]
+    (tmp_path / "xml").mkdir()
+    pages = "<p><id>1</id></p><p><id>two</id><at><x>1</x><x>far</x></at></p><p><id>3</id><more>x</more><on>05/2024</on></p>"
+    (tmp_path / "xml" / "a.xml").write_text(f"<all>{pages}</all>")
+    options = {"rowTag": "p", "timestampFormat": "MM/yyyy"}
+    stream = files.ingest(spark, str(tmp_path / "xml"), "xml", schema="id int, at struct<x: array<int>>, on timestamp", rescue="_rescued", options=options)
+    got = {r.id: r for r in drain(spark, stream, tmp_path / "x").collect()}
+    assert got[1]._rescued is None and got[1]["at"] is None
+    assert json.loads(got[3]._rescued) == {"_other_elements": '["x"]'} and got[3].on.year == 2024
+    assert json.loads(got[None]._rescued) == {"id": "two", "at": '{"x":["1","far"]}'} and got[None]["at"].x == [1, None]
