@@ -18,7 +18,7 @@ from millrace.operators.quality import Rule, enforce
 from millrace.session import path_exists
 from millrace.sinks.tables import KeyedTable
 from millrace.sources.files import stream_table
-from millrace.streaming.runs import drain_batches, observed, settings, trigger_of, wait
+from millrace.streaming.runs import Running, drain_batches, observed, run_recorded, settings
 
 STREAMED, STORED, VIEW, CHANGES, SINK = "streaming table", "materialized view", "view", "change table", "sink"
 
@@ -45,6 +45,7 @@ class Datasets:
         self.done: set[str] = set()
         self.open: list[str] = []
         self.metrics: list[tuple] = []
+        self.running: dict[str, tuple[Dataset, Running]] = {}
 
     # ---- definition -------------------------------------------------------
     def _add(self, kind: str, name: str | None, **options):
@@ -138,10 +139,14 @@ class Datasets:
         self.done, self.open, self.metrics = set(), [], []
         for name in names or list(self.defined):
             self._refreshed(name)
+        self._store_metrics()
+
+    def _store_metrics(self) -> None:
         if self.metrics:
             schema = "dataset string, rule string, action string, passed bigint, failed bigint"
             rows = self.spark.createDataFrame(self.metrics, schema).withColumn("refreshed_at", F.current_timestamp())
             rows.coalesce(1).write.mode("append").parquet(f"{self.root}/_metrics")
+            self.metrics = []
 
     def _refreshed(self, name: str) -> Dataset:
         if name not in self.defined:
@@ -181,15 +186,32 @@ class Datasets:
             writer = stream.writeStream.format(item.change["fmt"]).options(**item.change["options"]).outputMode(item.change["mode"])
         else:
             writer = stream.writeStream.format("parquet").option("path", f"{self.path(item.name)}/{flow}").outputMode("append")
-        writer = writer.option("checkpointLocation", self._checkpoint(f"{item.name}-{flow}"))
+        checkpoint = self._checkpoint(f"{item.name}-{flow}")
         with settings(self.spark, conf):
-            query = writer.trigger(**trigger_of(item.interval)).start()
-        if item.interval:
-            return
-        wait(query)
+            if item.interval:
+                # Takes what is there, so that readers find it, and goes on by itself; ``stop`` ends it and notes its metrics.
+                if flow not in self.running:
+                    self.running[flow] = item, Running(writer, checkpoint, item.interval)
+                self.running[flow][1].query.processAllAvailable()
+                return
+            query = run_recorded(writer.trigger(availableNow=True), checkpoint)
         if item.rules:
             self._note(item, observed(query, flow))
 
+    def stop(self) -> None:
+        """Ends the flows that run at an interval; an error of one of them is raised."""
+        errors = []
+        for flow, (item, run) in list(self.running.items()):
+            run.stop()
+            del self.running[flow]
+            if run.error is not None:
+                errors.append(f"{flow}: {run.error}")
+            elif item.rules:
+                self._note(item, run.metrics(flow))
+        self._store_metrics()
+        if errors:
+            raise RuntimeError("; ".join(errors))
+
     def _note(self, item: Dataset, counts: Mapping[str, int]) -> None:
         for r in item.rules:
             failed = counts.get(f"failed: {r.name}", 0)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.functions.values import settle
@@ -9,6 +10,7 @@ from millrace.operators import quality as Q
 from millrace.queries.changes import IS_DELETE, SCD1, SEQUENCE
 from millrace.queries.registry import query, rounded, stream, table
 from millrace.session import scratch_path
+from millrace.sources import files
 from millrace.streaming import latency, runs, sensors, windows
 
 
@@ -127,11 +129,9 @@ SELECT city, count(*) AS n, count(*) FILTER (t > 25) AS hot, count(*) FILTER (t
   count(*) FILTER (k / 2 > 35) AS dusty FROM r GROUP BY city
 """)
 def stateful_alerts(spark, d):
+    """State per city: figures and alerts are complete as they leave the stream."""
     root = scratch_path(spark, "sensors")
-    monitored = sensors.monitor(readings(stream(spark, d, "events")))
-    runs.drain_batches(
-        monitored, lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}"), f"{root}/checkpoint"
-    )
+    runs.drain_to_parquet(sensors.monitor(readings(stream(spark, d, "events"))), f"{root}/out", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/out").groupBy("city").agg(
         F.count(F.lit(1)).alias("n"), F.max("high_temp_count").alias("hot"), F.count_if(F.col("alerts") != "").alias("alerted"),
         F.count_if(F.col("alerts").contains("pm25")).alias("dusty"),
@@ -150,13 +150,11 @@ SELECT event_id, city, {rounded('(total + t) / (n + 1)', 4)} AS avg_temp, high_t
   CASE WHEN t > previous THEN 'rising' WHEN t < previous THEN 'falling' ELSE 'stable' END AS temperature_trend FROM w
 """)
 def stateful_readings(spark, d):
-    """Mean, trend and count of every reading."""
+    """Mean, trend and count of every reading; the state is kept per city and week, so a hot city is many keys."""
     root = scratch_path(spark, "readings")
-    monitored = sensors.monitor(readings(stream(spark, d, "events")))
-    runs.drain_batches(
-        monitored, lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}"), f"{root}/checkpoint"
-    )
-    out = spark.read.parquet(f"{root}/out")
+    before = sensors.hot_before(readings(stream(spark, d, "events")), slice_seconds=7 * 86400)
+    runs.drain_to_parquet(before, f"{root}/out", f"{root}/checkpoint")
+    out = sensors.figures(sensors.with_earlier_slices(spark.read.parquet(f"{root}/out")))
     return out.select(
         F.col("sensor_id").cast("bigint").alias("event_id"), "city", settle(F.col("avg_temp"), 4).alias("avg_temp"),
         F.col("high_temp_count").cast("bigint").alias("high_temp_count"), "temperature_trend",
@@ -164,12 +162,15 @@ def stateful_readings(spark, d):
 
 
 @query("alert_texts", "STR-07", """
-SELECT event_id, CASE WHEN k > 80 THEN 'High humidity alert: ' || k || ' %;' ELSE '' END || CASE WHEN k / 2 > 35 THEN 'High pm25_level alert: ' || (k / 2) || ' µg/m³;' ELSE '' END AS alerts
-FROM (SELECT event_id, CAST(regexp_extract(props, '([0-9]+)', 1) AS DOUBLE) AS k FROM events)
+SELECT event_id, CASE WHEN t > 25 THEN 'High temperature alert: ' || t || ' °C;' ELSE '' END || CASE WHEN k > 80 THEN 'High humidity alert: ' || k || ' %;' ELSE '' END
+  || CASE WHEN t * 40 > 1000 THEN 'High co2_level alert: ' || (t * 40) || ' ppm;' ELSE '' END || CASE WHEN k / 2 > 35 THEN 'High pm25_level alert: ' || (k / 2) || ' µg/m³;' ELSE '' END AS alerts
+FROM (SELECT event_id, floor(value * 4) / 4 AS t, CAST(regexp_extract(props, '([0-9]+)', 1) AS DOUBLE) AS k FROM events)
 """)
 def alert_texts(spark, d):
-    calm = readings(table(spark, d, "events")).withColumns({"temperature": F.lit(20.0), "co2_level": F.lit(500.0)})
-    return calm.select(F.col("sensor_id").cast("bigint").alias("event_id"), sensors.alert_text().alias("alerts"))
+    """All four sentences; temperatures in quarters of a degree, so that every engine writes their digits alike."""
+    quarters = F.floor(F.col("temperature") * 4) / 4
+    shown = readings(table(spark, d, "events")).withColumn("temperature", quarters).withColumn("co2_level", F.col("temperature") * 40)
+    return shown.select(F.col("sensor_id").cast("bigint").alias("event_id"), sensors.alert_text().alias("alerts"))
 
 
 def latencies(spark, d):
@@ -197,14 +198,63 @@ def latency_comparison(spark, d):
     return latency.compare_trigger_types([both.filter("trigger_type = 'click'"), both.filter("trigger_type != 'click'")])
 
 
-@query("progress_figures", "STR-09 STR-10", """
-SELECT CAST(sum(n) AS BIGINT) AS input_rows FROM (SELECT count(*) AS n FROM events)
+@query("progress_figures", "STR-09 STR-10 SRC-27", """
+WITH w AS (SELECT date_trunc('week', ts) AS week, user_id FROM events)
+SELECT count(DISTINCT week) AS batches, count(*) AS input_rows, (SELECT CAST(sum(n) AS BIGINT) FROM (SELECT count(DISTINCT user_id) AS n FROM w GROUP BY week)) AS state_updates,
+  count(DISTINCT user_id) AS state_rows, count(DISTINCT week) AS timed FROM w
 """)
 def progress_figures(spark, d):
+    """One batch per week of events, counted per user: updates, input, state and times of every batch, from the recorded updates."""
     root = scratch_path(spark, "progress")
-    run = runs.drain_to_parquet(stream(spark, d, "events").select("event_id"), f"{root}/out", f"{root}/checkpoint")
-    rows = spark.createDataFrame([(p.json,) for p in runs.updates_of(run)], "value string")
-    return runs.parse_progress(rows).agg(F.sum("numInputRows").alias("input_rows"))
+    weeks = table(spark, d, "events").select("user_id", F.date_trunc("week", "ts").alias("week"))
+    weeks.repartition("week").write.partitionBy("week").parquet(f"{root}/in")
+    source = files.stream_table(spark, f"{root}/in", files_per_batch=1)
+    counted = source.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    with runs.settings(spark, {"spark.sql.shuffle.partitions": "2"}):
+        run = runs.drain_batches(counted, lambda batch, _: batch.write.format("noop").mode("overwrite").save(), f"{root}/checkpoint")
+    figures = runs.parse_progress(runs.updates_of(run))
+    state = runs.state_operators(figures)
+    return figures.agg(
+        F.count_distinct("batchId").alias("batches"), F.sum("numInputRows").alias("input_rows"),
+        F.count_if((F.col("work_ms") >= 0) & (F.col("trigger_ms") >= F.col("work_ms"))).alias("timed"),
+    ).select(
+        "batches", "input_rows", "timed", state.agg(F.sum("numRowsUpdated")).scalar().alias("state_updates"),
+        state.agg(F.max("numRowsTotal")).scalar().alias("state_rows"),
+    )
+
+
+@query("interval_runs", "STR-14 STR-09", """
+WITH e AS (SELECT count(DISTINCT date_trunc('week', ts)) AS batches, count(*) AS n FROM events)
+SELECT millis, batches, n AS input_rows, batches - 1 AS intervals FROM e, (VALUES (500), (1000)) i(millis)
+""")
+def interval_runs(spark, d):
+    """Two queries that run on at their own interval, a week's file at a time, until all are in, then stopped.
+
+    Batches begin at whole multiples of the interval, or at once if the one before took longer: ``intervals`` counts those that began
+    in a later interval than the one before, which is all but the first, however slow the machine.
+    """
+    root = scratch_path(spark, "intervals")
+    weeks = table(spark, d, "events").select("event_id", F.date_trunc("week", "ts").alias("week"))
+    weeks.repartition("week").write.partitionBy("week").parquet(f"{root}/in")
+    out = None
+    for millis in (500, 1000):
+        source = files.stream_table(spark, f"{root}/in", files_per_batch=1)
+        writer = source.writeStream.format("parquet").option("path", f"{root}/out/{millis}").outputMode("append")
+        with runs.Running(writer, f"{root}/checkpoints/{millis}", f"{millis} milliseconds") as run:
+            run.query.processAllAvailable()
+        if run.error is not None:
+            raise RuntimeError(run.error)
+        at = F.unix_millis(F.to_timestamp(F.get_json_object("value", "$.timestamp")))
+        begun = run.updates().filter(F.get_json_object("value", "$.numInputRows").cast("bigint") > 0).select("batch_id", at.alias("at"))
+        # One row per batch of a run.
+        number = F.floor(F.col("at") / millis)
+        later = begun.withColumn("later", number > F.lag(number).over(Window.orderBy("batch_id")))
+        apart = F.count_if(F.col("later"))
+        counts = later.agg(F.count(F.lit(1)).alias("batches"), apart.alias("intervals"))
+        written = spark.read.parquet(f"{root}/out/{millis}").agg(F.count(F.lit(1))).scalar()
+        one = counts.select(F.lit(millis).alias("millis"), "batches", written.alias("input_rows"), "intervals")
+        out = one if out is None else out.union(one)
+    return out
 
 
 @query("loan_datasets", "JOB-02 DQ-01 DQ-02 DQ-03 STR-16 SRC-27 SNK-13", """

@@ -95,6 +95,16 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return fs.exists(location) and fs.getFileStatus(location).isDirectory()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """One small file, written by the driver to any store that Spark reaches."""
+    fs, location = _located(spark, path)
+    out = fs.create(location, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, location = _located(spark, path)
     fs.delete(location, True)

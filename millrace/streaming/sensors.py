@@ -1,21 +1,22 @@
 """Keyed state over sensor readings: running mean, trend, counts and alerts.
 
-Semantics: only hot readings are remembered.  The mean is over the remembered
-readings before the current one and the current one, counted once.  The trend
-compares with the latest remembered reading.  State per city is one row of
-fixed size, not a list that grows with the stream.  The readings of a micro-batch
-are handled in time order, in slices, so a city of any size is many tasks.
+Only hot readings are remembered.  The mean is over the remembered readings before the current one and the current one, counted
+once; the trend compares with the latest remembered reading.  The state is kept by Spark's state operator, per city, or per city and
+slice of event time: then a large city is many keys, which any number of tasks share, and ``with_earlier_slices`` adds what
+the slices before hold.  Readings of one key and micro-batch are handled in time order, whatever the pieces they arrive in.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.operators.windows import join_on
-from millrace.session import delete_path, path_exists
 
 # Alert limits.
 LIMITS = {"temperature": 25.0, "humidity": 80.0, "co2_level": 1000.0, "pm25_level": 35.0}
@@ -26,10 +27,15 @@ READING_SCHEMA = (
     "sensor_id string, city string, location string, timestamp timestamp, temperature double, humidity double, "
     "co2_level double, pm25_level double"
 )
-_SLICE = "_slice"
-_FIGURES = "n bigint, total double, last struct<ts: timestamp, temp: double>"
-TOTALS_SCHEMA = f"{_SLICE} int, city string, {_FIGURES}"
-STATE_SCHEMA = f"city string, {_FIGURES}, seen timestamp"
+SLICE = "slice"
+#: Settings under which a query with a time to live ends when its input does.
+DRAINING = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+#: The slice of readings without a time, within the operator.
+NO_TIME = -(1 << 62)
+COLUMNS = [f.split()[0] for f in READING_SCHEMA.split(", ")]
+#: The figures before a reading: hot readings, their sum, and the latest of them.
+BEFORE_SCHEMA = "n bigint, total double, last_time timestamp, last_temp double"
+OUTPUT_SCHEMA = f"{READING_SCHEMA}, {SLICE} bigint, {BEFORE_SCHEMA}"
 
 
 def alert_text(col=F.col) -> Column:
@@ -41,129 +47,145 @@ def alert_text(col=F.col) -> Column:
     return F.concat_ws("", *parts)
 
 
-class Monitored:
-    """Readings with mean, trend, hot count and alert text, batch by batch.
+class HotReadings(StatefulProcessor):
+    """Every reading with the hot ones that its key had before: their number, sum, and the latest.
 
-    ``drain_batches`` takes it like a stream; with another trigger, give
-    ``handler(handle, checkpoint)`` to ``foreachBatch`` of ``readings``.  The state
-    is a small table beside the checkpoint, one row per city and version; the
-    version of a batch is made from the one before, so a repeated batch gives the same.
-    With ``ttl_ms``, a city without a hot reading for so long is forgotten.
+    The state is one value of fixed size.  With ``ttl_ms`` it is a list of the hot readings instead, each forgotten so many milliseconds
+    after the batch that brought it; Spark takes that time from the batch, so a repeated batch gives the same.  With
+    ``closing``, a timer on event time forgets a slice once the watermark is past its end.
     """
 
-    def __init__(self, readings: DataFrame, hot: float = LIMITS["temperature"], ttl_ms: int | None = None):
-        columns = [f.split()[:2] for f in READING_SCHEMA.split(", ")]
-        # A value that is not a number is a missing one.
-        self.readings = readings.select(*[
-            F.when(~F.isnan(c), F.col(c)).alias(c) if t == "double" else F.col(c).cast(t).alias(c) for c, t in columns
-        ])
-        self.hot, self.ttl_ms, self.spark = hot, ttl_ms, readings.sparkSession
-
-    def handler(self, handle: Callable[[DataFrame, int], None], checkpoint: str) -> Callable[[DataFrame, int], None]:
-        root, spark = f"{checkpoint.rstrip('/')}/cities", self.spark
-
-        def run(batch: DataFrame, batch_id: int) -> None:
-            work = f"{root}/work/{batch_id}"
-            sliced(batch).write.mode("overwrite").parquet(f"{work}/rows")
-            rows = spark.read.schema(f"{READING_SCHEMA}, {_SLICE} int").parquet(f"{work}/rows")
-            slice_totals(rows, self.hot).write.mode("overwrite").parquet(f"{work}/totals")
-            totals = spark.read.schema(TOTALS_SCHEMA).parquet(f"{work}/totals")
-            state = self._state(root, batch_id)
-            merged_state(state, totals).write.mode("overwrite").parquet(f"{root}/state/{batch_id}")
-            handle(with_figures(rows, totals, state, self.hot).withColumn("alerts", alert_text()), batch_id)
-            delete_path(spark, work)
-            delete_path(spark, f"{root}/state/{batch_id - 2}")
-
-        return run
-
-    def _state(self, root: str, batch_id: int) -> DataFrame:
-        if batch_id == 0:
-            return self.spark.createDataFrame([], STATE_SCHEMA)
-        path = f"{root}/state/{batch_id - 1}"
-        if not path_exists(self.spark, f"{path}/_SUCCESS"):
-            raise RuntimeError(f"no state of the batch before in {path}; begin with a new checkpoint")
-        state = self.spark.read.schema(STATE_SCHEMA).parquet(path)
-        if self.ttl_ms is None:
-            return state
-        return state.filter(F.unix_millis(F.current_timestamp()) - F.unix_millis("seen") < self.ttl_ms)
-
-
-def in_order() -> list[Column]:
-    """Time order within a city: readings without a time last, equal times by sensor, then by the other columns."""
-    rest = [c for c in (f.split()[0] for f in READING_SCHEMA.split(", ")) if c not in ("city", "timestamp", "sensor_id")]
-    return [F.col("timestamp").isNull(), F.col("timestamp"), F.col("sensor_id").isNull(), F.col("sensor_id"), *[F.col(c) for c in rest]]
-
-
-def sliced(readings: DataFrame) -> DataFrame:
-    """Even ranges of consecutive readings, numbered in order; a large city lies in many of them."""
-    return readings.repartitionByRange(F.col("city"), *in_order()).withColumn(_SLICE, F.spark_partition_id())
-
-
-def is_hot(hot: float) -> Column:
-    return F.coalesce(F.col("temperature") > hot, F.lit(False))
-
-
-def last_hot(hot: float) -> Column:
-    """Time and temperature of a hot reading with a time, else null; only such a one can be the latest."""
-    return F.when(is_hot(hot) & F.col("timestamp").isNotNull(), F.struct(F.col("timestamp").alias("ts"), F.col("temperature").alias("temp")))
+    def __init__(self, hot: float, slice_seconds: int | None, ttl_ms: int | None, closing: bool):
+        self.hot, self.slice_seconds, self.ttl_ms, self.closing = hot, slice_seconds, ttl_ms, closing
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        if self.ttl_ms is None:
+            self.figures = handle.getValueState("figures", BEFORE_SCHEMA)
+        else:
+            self.hot_list = handle.getListState("hot", "time timestamp, temperature double", self.ttl_ms)
 
-def slice_totals(rows: DataFrame, hot: float) -> DataFrame:
-    """Hot count, sum and latest hot reading per slice and city, combined before the shuffle."""
-    latest = F.max_by(last_hot(hot), F.when(last_hot(hot).isNotNull(), F.struct(*in_order())))
-    return rows.groupBy(_SLICE, "city").agg(
-        F.count_if(is_hot(hot)).alias("n"), F.sum(F.when(is_hot(hot), F.col("temperature")).otherwise(0.0)).alias("total"), latest.alias("last")
+    def _before(self) -> tuple[int, float, pd.Timestamp | None, float | None]:
+        if self.ttl_ms is None:
+            return self.figures.get() if self.figures.exists() else (0, 0.0, None, None)
+        known = list(self.hot_list.get()) if self.hot_list.exists() else []
+        timed = [(pd.Timestamp(t), x) for t, x in known if not pd.isna(t)]
+        # The later of equal times is the one that came later.
+        latest = max(enumerate(timed), key=lambda r: (r[1][0], r[0]))[1] if timed else (None, None)
+        return len(known), float(sum(x for _, x in known)), *latest
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        # A key's readings of one batch: choose slices that a task can hold.
+        frame = _in_order(pd.concat(list(rows), ignore_index=True))
+        n, total, last_time, last_temp = self._before()
+        temperature = frame["temperature"].to_numpy(float)
+        hot = temperature > self.hot
+        counted, summed = np.cumsum(hot), np.cumsum(np.where(hot, temperature, 0.0))
+        frame["n"] = n + counted - hot
+        frame["total"] = total + summed - np.where(hot, temperature, 0.0)
+        # Only a hot reading with a time can be the latest; a late one counts, but an earlier one stays the latest.
+        timed = hot & frame["timestamp"].notna().to_numpy()
+        if last_time is not None and not pd.isna(last_time):
+            timed &= ~(frame["timestamp"] < pd.Timestamp(last_time)).to_numpy()
+        place = np.maximum.accumulate(np.where(timed, np.arange(len(frame)), -1))
+        before = np.concatenate([[-1], place[:-1]])
+        known = before >= 0
+        frame["last_time"] = frame["timestamp"].to_numpy()[np.maximum(before, 0)]
+        frame["last_temp"] = np.where(known, temperature[np.maximum(before, 0)], np.nan if last_temp is None else last_temp)
+        frame.loc[~known, "last_time"] = pd.NaT if last_time is None else pd.Timestamp(last_time)
+        if hot.any():
+            if self.ttl_ms is None:
+                end = place[-1]
+                newest = (frame["timestamp"].iloc[end].to_pydatetime(), float(temperature[end])) if end >= 0 else (last_time, last_temp)
+                self.figures.update((int(n + counted[-1]), float(total + summed[-1]), *newest))
+            else:
+                self.hot_list.appendList([(None if pd.isna(t) else t.to_pydatetime(), float(x)) for t, x in zip(frame["timestamp"][hot], temperature[hot])])
+        if self.closing and key[1] != NO_TIME:
+            self.handle.registerTimer(int((key[1] + 1) * self.slice_seconds * 1000))
+        yield frame
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.figures.clear()
+        return iter([])
+
+
+def _in_order(frame: pd.DataFrame) -> pd.DataFrame:
+    """Time order within a key: readings without a time last, equal times by sensor, then by the other columns, nulls first."""
+    rest = [c for c in COLUMNS if c not in ("city", "timestamp", "sensor_id")]
+    keys = [frame["timestamp"].isna(), frame["timestamp"], frame["sensor_id"].isna(), frame["sensor_id"].fillna("")]
+    for c in rest:
+        keys += [frame[c].notna(), frame[c].fillna("" if c == "location" else 0.0)]
+    order = pd.concat([key.rename(i) for i, key in enumerate(keys)], axis=1).sort_values(list(range(len(keys))), kind="stable").index
+    return frame.loc[order].reset_index(drop=True)
+
+
+def slice_of(slice_seconds: int | None) -> Column:
+    """The slice of event time of a reading; null without a time, one for all where there are no slices."""
+    if slice_seconds is None:
+        return F.lit(0).cast("bigint")
+    return F.floor(F.unix_micros("timestamp") / (slice_seconds * 1_000_000)).cast("bigint")
+
+
+def hot_before(
+    readings: DataFrame, hot: float = LIMITS["temperature"], slice_seconds: int | None = None, ttl_ms: int | None = None, lateness: str | None = None
+) -> DataFrame:
+    """The stream of readings with their slice and the figures before them in their city and slice.
+
+    ``lateness`` sets a watermark: slices behind it are forgotten, and readings behind it dropped.  With ``ttl_ms`` Spark would run
+    batches without input for ever; start a query that shall drain with the settings ``DRAINING``.
+    """
+    if lateness is not None and (slice_seconds is None or ttl_ms is not None):
+        raise ValueError("a lateness needs slices, and no time to live beside it")
+    columns = [f.split()[:2] for f in READING_SCHEMA.split(", ")]
+    # A value that is not a number is a missing one.
+    typed = readings.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) if t == "double" else F.col(c).cast(t).alias(c) for c, t in columns])
+    if lateness is not None:
+        typed = typed.withWatermark("timestamp", lateness)
+    mode = "EventTime" if lateness is not None else "ProcessingTime" if ttl_ms is not None else "None"
+    # No null among the numbers of the key: pandas would make the whole column floats, which the state cannot tell from null.
+    keyed = typed.withColumn(SLICE, F.coalesce(slice_of(slice_seconds), F.lit(NO_TIME))).groupBy("city", SLICE)
+    out = keyed.transformWithStateInPandas(HotReadings(hot, slice_seconds, ttl_ms, lateness is not None), OUTPUT_SCHEMA, "Append", mode)
+    return out.withColumn(SLICE, F.when(F.col(SLICE) != NO_TIME, F.col(SLICE)))
+
+
+def figures(before: DataFrame, hot: float = LIMITS["temperature"]) -> DataFrame:
+    """Mean, trend, hot count and alert text of every reading from the figures before it."""
+    temp, last = F.col("temperature"), F.col("last_temp")
+    trend = F.when(temp > last, "rising").when(temp < last, "falling").otherwise("stable")
+    count = F.col("n") + F.coalesce(temp > hot, F.lit(False)).cast("bigint")
+    return before.select(
+        *COLUMNS, ((F.col("total") + temp) / (F.col("n") + 1)).alias("avg_temp"), trend.alias("temperature_trend"),
+        count.alias("high_temp_count"), alert_text().alias("alerts"),
     )
 
 
-def newer(last: Column, state: Column) -> Column:
-    """The later of a batch's hot reading and the stored one; a late hot reading counts, but is not the latest one."""
-    return F.when(last.isNotNull() & (state.isNull() | (last["ts"] >= state["ts"])), last).otherwise(state)
+def monitor(readings: DataFrame, hot: float = LIMITS["temperature"], ttl_ms: int | None = None) -> DataFrame:
+    """The stream of readings with running figures per city and alert text."""
+    return figures(hot_before(readings, hot, ttl_ms=ttl_ms), hot)
 
 
-def merged_state(state: DataFrame, totals: DataFrame) -> DataFrame:
-    """The state after a batch: one row per city with a hot reading so far."""
-    batch = totals.groupBy("city").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.max_by("last", F.struct("last.ts", _SLICE)).alias("last"))
-    changed = batch.filter("n > 0").withColumn("seen", F.current_timestamp()).alias("b")
-    both = state.alias("s").join(changed, F.col("s.city").eqNullSafe(F.col("b.city")), "full")
-    return both.select(
-        F.coalesce("b.city", "s.city").alias("city"), *[(F.coalesce(f"s.{c}", F.lit(0)) + F.coalesce(f"b.{c}", F.lit(0))).alias(c) for c in ("n", "total")],
-        newer(F.col("b.last"), F.col("s.last")).alias("last"), F.coalesce("b.seen", "s.seen").alias("seen"),
-    )
-
+def with_earlier_slices(before: DataFrame, hot: float = LIMITS["temperature"]) -> DataFrame:
+    """A written table of ``hot_before``, with the hot readings of all earlier slices of the city added to each reading.
 
-def with_figures(rows: DataFrame, totals: DataFrame, state: DataFrame, hot: float) -> DataFrame:
-    """Every reading with mean, trend and count: running figures of its slice plus those of earlier slices and batches.
-
-    A window holds the readings of one city in one slice, in Spark's memory or on disk.
+    Slices are summed up with partial sums before the shuffle, and there is one row per city and slice to put in order, so a large
+    city costs no more than its slices.  Readings without a time come after all others.
     """
-    # One row per slice and city, so a city spans at most as many rows here as there are slices.
-    earlier = Window.partitionBy("city").orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select(
-        _SLICE, "city", F.sum("n").over(earlier).alias("_n"), F.sum("total").over(earlier).alias("_total"), F.last("last", True).over(earlier).alias("_last")
+    is_hot = F.coalesce(F.col("temperature") > hot, F.lit(False))
+    timed = F.when(is_hot & F.col("timestamp").isNotNull(), F.struct(F.col("timestamp").alias("time"), F.col("sensor_id").alias("sensor"), F.col("temperature").alias("temp")))
+    sums = before.groupBy("city", SLICE).agg(
+        F.count_if(is_hot).alias("n"), F.sum(F.when(is_hot, F.col("temperature")).otherwise(0.0)).alias("total"), F.max(timed).alias("last")
     )
-    stored = state.select("city", F.col("n").alias("_state_n"), F.col("total").alias("_state_total"), F.col("last").alias("_state_last"))
-    before = join_on(before, stored, ["city"], "left")
-    local = Window.partitionBy(_SLICE, "city").orderBy(*in_order())
-    up_to, above = local.rowsBetween(Window.unboundedPreceding, 0), local.rowsBetween(Window.unboundedPreceding, -1)
-    temp = F.col("temperature")
-    running = rows.withColumns({
-        "_hot": is_hot(hot).cast("long"), "_up_to": F.sum(is_hot(hot).cast("long")).over(up_to),
-        "_above": F.sum(F.when(is_hot(hot), temp).otherwise(0.0)).over(above), "_previous": F.last(last_hot(hot), True).over(above),
-    })
-    joined = join_on(running, before, [_SLICE, "city"])
-    n = F.col("_up_to") + F.coalesce("_n", F.lit(0)) + F.coalesce("_state_n", F.lit(0))
-    total = F.coalesce("_above", F.lit(0.0)) + F.coalesce("_total", F.lit(0.0)) + F.coalesce("_state_total", F.lit(0.0))
-    compared = newer(F.coalesce("_previous", "_last"), F.col("_state_last"))["temp"]
-    return joined.select(
-        *[f.split()[0] for f in READING_SCHEMA.split(", ")], ((total + temp) / (n - F.col("_hot") + 1)).alias("avg_temp"),
-        F.when(temp > compared, "rising").when(temp < compared, "falling").otherwise("stable").alias("temperature_trend"), n.alias("high_temp_count"),
+    earlier = Window.partitionBy("city").orderBy(F.col(SLICE).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    carried = sums.select(
+        "city", SLICE, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_n"), F.coalesce(F.sum("total").over(earlier), F.lit(0.0)).alias("_total"),
+        F.last("last", True).over(earlier).alias("_last"),
+    )
+    own = F.col("last_time").isNotNull()
+    return join_on(before, carried, ["city", SLICE]).select(
+        *COLUMNS, SLICE, (F.col("n") + F.col("_n")).alias("n"), (F.col("total") + F.col("_total")).alias("total"),
+        F.when(own, F.col("last_time")).otherwise(F.col("_last.time")).alias("last_time"),
+        F.when(own, F.col("last_temp")).otherwise(F.col("_last.temp")).alias("last_temp"),
     )
-
-
-def monitor(readings: DataFrame, hot: float = LIMITS["temperature"], ttl_ms: int | None = None) -> Monitored:
-    """Readings with running figures and alert text, for ``drain_batches``."""
-    return Monitored(readings, hot, ttl_ms)
 
 
 def rate_readings(spark, rows_per_second: int = 200, cities: int = 64, partitions: int = 8) -> DataFrame:

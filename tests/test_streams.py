@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import time
 
 import pytest
 from conftest import rows
@@ -69,16 +70,19 @@ def reading(city, second, temp, humidity=50.0, co2=400.0, pm=10.0):
     return (f"s{second:03}", city, "site", at(second), temp, humidity, co2, pm)
 
 
-def test_city_monitor(spark, tmp_path):
-    root = str(tmp_path)
+def monitored(spark, root, part, data, **options):
+    """One more run over one more file; all rows written so far."""
+    stream = sensors.hot_before(feed(spark, f"{root}/in", part, data, sensors.READING_SCHEMA), **options)
+    with runs.settings(spark, sensors.DRAINING if "ttl_ms" in options else {}):
+        runs.drain_to_parquet(stream, f"{root}/out", f"{root}/cp", 180)
+    return spark.read.parquet(f"{root}/out")
 
-    def run(part, data):
-        stream = feed(spark, f"{root}/in", part, data, sensors.READING_SCHEMA)
-        runs.drain_batches(sensors.monitor(stream), lambda b, i: b.write.mode("overwrite").parquet(f"{root}/out/run={part}-{i}"), f"{root}/cp", timeout=180)
 
-    run(1, [reading("x", 2, 30.0), reading("x", 1, 20.0), reading("x", 3, 28.0), reading("y", 1, 10.0, pm=40.0)])
-    run(2, [reading("x", 4, 40.0, humidity=90.0, co2=1500.0), reading("x", 5, None)])
-    got = {(r.city, r.timestamp.second): r for r in spark.read.parquet(f"{root}/out").collect()}
+def test_city_monitor(spark, tmp_path):
+    root = str(tmp_path)
+    monitored(spark, root, 1, [reading("x", 2, 30.0), reading("x", 1, 20.0), reading("x", 3, 28.0), reading("y", 1, 10.0, pm=40.0)])
+    out = sensors.figures(monitored(spark, root, 2, [reading("x", 4, 40.0, humidity=90.0, co2=1500.0), reading("x", 5, None)]))
+    got = {(r.city, r.timestamp.second): r for r in out.collect()}
     facts = {k: (r.avg_temp, r.temperature_trend, r.high_temp_count) for k, r in got.items()}
     assert facts == {
         ("x", 1): (20.0, "stable", 0), ("x", 2): (30.0, "stable", 1), ("x", 3): (29.0, "falling", 2),
@@ -89,48 +93,126 @@ def test_city_monitor(spark, tmp_path):
     assert got[("x", 1)].alerts == ""
 
 
-def test_large_city_is_many_slices(spark, tmp_path):
-    """Two batches of one city, with late, missing and equal readings, against a plain loop; before, one task held a city's batch."""
-    root, rng, n, total, last = str(tmp_path), random.Random(5), 0, 0.0, None
-    expected, largest = [], []
+def in_time_order(data):
+    return sorted(data, key=lambda r: (r[3] is None, r[3] or at(0), r[0], r[2], r[4] is not None, r[4] or 0))
+
+
+def plain_monitor(batches, slice_seconds=None):
+    """A loop over the readings: hot ones of the city's slice in the order they came, after all of earlier slices."""
+    out, seen = [], []
+    key = lambda r: (r[1], None if r[3] is None or not slice_seconds else int((r[3] - dt.datetime(1970, 1, 1)).total_seconds() // slice_seconds))
+    hot = lambda r: r[4] is not None and r[4] > 25
+    for data in batches:
+        for r in in_time_order(data):
+            own = [s for s in seen if s[1] == r[1] and key(s) == key(r)]
+            last = None
+            for s in own:
+                if hot(s) and s[3] is not None and (last is None or s[3] >= last[3]):
+                    last = s
+            out.append((r, own, last))
+            seen.append(r)
+    got = []
+    for r, own, last in out:
+        earlier = [s for s in seen if slice_seconds and s[1] == r[1] and key(s) != key(r) and (key(r)[1] is None or key(s)[1] is not None and key(s)[1] < key(r)[1])]
+        known = [s[4] for s in own + earlier if hot(s)]
+        if last is None:
+            timed = [s for s in earlier if hot(s) and s[3] is not None]
+            last = max(timed, key=lambda s: (s[3], s[0], s[4])) if timed else None
+        t = r[4]
+        trend = "stable" if t is None or last is None or t == last[4] else "rising" if t > last[4] else "falling"
+        mean = None if t is None else round((sum(known) + t) / (len(known) + 1), 6)
+        got.append((r[1], r[3], t, mean, trend, len(known) + hot(r)))
+    return got
+
+
+def noisy_batches(rng):
+    out = []
     for part in (1, 2):
         data = [reading("x", rng.randrange(80 * part), rng.choice([None, 20.0, 25.0, 26.5, 30.0, 41.0])) for _ in range(300)]
-        data += [reading(None, 1, 30.0 + part), ("s", "x", "site", None, 50.0, 1.0, 1.0, 1.0)]
-        for r in sorted((r for r in data if r[1]), key=lambda r: (r[3] is None, r[3] or at(0), r[0], r[4] is not None, r[4] or 0)):
-            t = r[4]
-            hot = t is not None and t > 25
-            trend = "stable" if t is None or last is None or t == last[1] else "rising" if t > last[1] else "falling"
-            n += hot
-            expected.append((part, r[3], t, None if t is None else (total + t) / (n - hot + 1), trend, n))
-            total += t if hot else 0
-            if hot and r[3] is not None and (last is None or r[3] >= last[0]):
-                last = (r[3], t)
-        expected.append((part, at(1), 30.0 + part, 31.0 if part == 1 else 31.5, "stable" if part == 1 else "rising", part))
-
-        def keep(batch, i, part=part):
-            slices = spark.read.parquet(f"{root}/cp/cities/work/{i}/rows").filter("city = 'x'").groupBy("_slice").count()
-            largest.append(slices.agg(F.max("count")).first()[0])
-            batch.write.mode("overwrite").parquet(f"{root}/out/part={part}")
-
-        stream = feed(spark, f"{root}/in", part, data, sensors.READING_SCHEMA)
-        with runs.settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
-            runs.drain_batches(sensors.monitor(stream), keep, f"{root}/cp", timeout=180)
-    got = spark.read.parquet(f"{root}/out").select("part", "timestamp", "temperature", "avg_temp", "temperature_trend", "high_temp_count")
-    assert sorted(map(str, rows(got))) == sorted(map(str, expected))
-    assert len(largest) == 2 and max(largest) <= 150  # rows of one city that one task sorts
+        # Sensors of their own, so that no two readings tie.
+        data = [(f"{r[0]}-{part}-{i:03}", *r[1:]) for i, r in enumerate(data)]
+        out.append(data + [reading(None, 1, 30.0 + part), (f"s{part}", "x", "site", None, 50.0, 1.0, 1.0, 1.0)])
+    return out
+
+
+@pytest.mark.parametrize("slice_seconds, piece", [(None, 50), (None, 10000), (20, 50)])
+def test_state_operator_equals_a_plain_loop(spark, tmp_path, slice_seconds, piece):
+    """Two batches of one city, with late, missing and equal readings, in Arrow pieces that cut a key's readings."""
+    batches = noisy_batches(random.Random(5))
+    with runs.settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(piece), "spark.sql.execution.arrow.transformWithStateInPandas.maxRecordsPerBatch": str(piece)}):
+        for part, data in enumerate(batches):
+            out = monitored(spark, str(tmp_path), part, data, slice_seconds=slice_seconds)
+    if slice_seconds:
+        # One city, many keys, each of a bounded number of readings.
+        assert out.filter("city = 'x'").groupBy("slice").count().agg(F.max("count")).first()[0] < 250
+        out = sensors.with_earlier_slices(out)
+    figures = sensors.figures(out).select("city", "timestamp", "temperature", F.round("avg_temp", 6), "temperature_trend", "high_temp_count")
+    assert sorted(map(str, rows(figures))) == sorted(map(str, plain_monitor(batches, slice_seconds)))
+
+
+def test_hot_readings_are_forgotten_after_their_time(spark, tmp_path):
+    root = str(tmp_path)
+    monitored(spark, root, 1, [reading("x", 1, 30.0), reading("x", 2, 40.0)], ttl_ms=3_600_000)
+    kept = monitored(spark, root, 2, [reading("x", 3, 50.0)], ttl_ms=3_600_000)
+    assert rows(kept.filter("temperature = 50"), "n", "total", "last_temp") == [(2, 70.0, 40.0)]
+    root = str(tmp_path / "short")
+    monitored(spark, root, 1, [reading("x", 1, 30.0)], ttl_ms=1)
+    time.sleep(0.1)
+    gone = monitored(spark, root, 2, [reading("x", 3, 50.0), reading("x", 4, 60.0)], ttl_ms=1)
+    # The list is empty again; readings of one batch still count for each other.
+    assert rows(gone.filter("temperature > 45"), "temperature", "n", "total", "last_temp") == [(50.0, 0, 0.0, None), (60.0, 1, 50.0, 50.0)]
+
+
+def test_slices_behind_the_watermark_are_closed(spark, tmp_path):
+    root = str(tmp_path)
+    options = {"slice_seconds": 10, "lateness": "5 seconds"}
+    for part, second in enumerate((1, 12, 23, 500)):
+        out = monitored(spark, root, part, [reading("x", second, 30.0)], **options)
+    assert rows(out, "slice", "n") == rows(out.selectExpr("floor(unix_seconds(timestamp) / 10)", "0L"))
+    log = runs.Updates(spark, f"{root}/cp/updates").table()
+    kept = runs.state_operators(runs.parse_progress(log)).orderBy(F.desc("batchId")).first()
+    assert kept.numRowsTotal <= 4  # the state and the timer of the slices that are still open, not of all four
+    with pytest.raises(ValueError, match="lateness"):
+        sensors.hot_before(out.select(*sensors.COLUMNS), lateness="5 seconds")
 
 
 def test_bounded_run_over_the_rate_source(spark, tmp_path):
     rates = sensors.rate_readings(spark, 50, 4, 2)
-    with runs.settings(spark, {"spark.sql.shuffle.partitions": "2"}):
-        query = rates.writeStream.format("memory").queryName("rates").option("checkpointLocation", str(tmp_path / "cp")).trigger(processingTime="0 seconds").start()
-    progress = runs.stop_after_batches(query, 2, timeout=120)
-    assert len(progress) == 2 and not query.isActive
-    figures = runs.parse_progress(spark.createDataFrame([(p,) for p in progress], "value string"))
-    assert all(r.numInputRows > 0 and r.end_to_end_p99 is None for r in figures.collect())
+    writer = rates.writeStream.format("memory").queryName("rates").option("checkpointLocation", str(tmp_path / "cp")).trigger(processingTime="0 seconds")
+    with runs.recorded(spark, str(tmp_path / "updates")) as log, runs.settings(spark, {"spark.sql.shuffle.partitions": "2"}):
+        query = writer.start()
+        progress = runs.stop_after_batches(query, 2, log, timeout=120)
+        assert progress.count() == 2 and not query.isActive
+    figures = runs.parse_progress(progress)
+    assert all(r.numInputRows > 0 and r.end_to_end_p99 is None and r.trigger_ms >= r.work_ms for r in figures.collect())
     assert spark.table("rates").filter("temperature BETWEEN 14 AND 30").count() > 0
 
 
+def test_every_update_of_many_batches_is_kept(spark, tmp_path):
+    """Three times as many batches as Spark remembers."""
+    for i in range(300):
+        (tmp_path / f"in/k={i % 3}").mkdir(parents=True, exist_ok=True)
+        (tmp_path / f"in/k={i % 3}/{i:03}.json").write_text(f'{{"v": {i}}}')
+    stream = spark.readStream.schema("v int, k int").option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
+    run = runs.drain_to_parquet(stream, str(tmp_path / "out"), str(tmp_path / "cp"), 300)
+    figures = runs.parse_progress(runs.updates_of(run))
+    assert figures.filter("numInputRows = 1 AND trigger_ms >= work_ms").select("batchId").distinct().count() == 300 == figures.count()
+    assert len(list((tmp_path / "cp" / "updates").glob("*.json"))) >= 6
+    assert run.log.lines == []
+
+
+def test_running_query_shows_its_error(spark, tmp_path):
+    stream = feed(spark, str(tmp_path / "in"), 1, [("a",)], "k string")
+    bad = stream.select(F.raise_error("broken").cast("string").alias("k"))
+    with runs.Running(bad.writeStream.format("noop"), str(tmp_path / "cp"), "1 second") as run:
+        assert run.after(1, 60) is False
+    assert "broken" in run.error
+    good = stream.observe("seen", F.count(F.lit(1)).alias("n"))
+    with runs.Running(good.writeStream.format("noop"), str(tmp_path / "cp2"), "1 second") as run:
+        assert run.after(1, 60) is True
+    assert run.error is None and run.metrics("seen") == {"n": 1} and run.updates().count() >= 1
+
+
 def test_progress_with_latencies(spark):
     text = '{"batchId": 3, "numInputRows": 5, "latencies": {"e2eLatencyMs": {"P0": 1, "P50": 27, "P90": 48, "P95": 50, "P99": 62}}, "stateOperators": [{"operatorName": "tws", "numRowsTotal": 9}]}'
     got = runs.parse_progress(spark.createDataFrame([(text,)], "value string"))
@@ -204,6 +286,25 @@ def test_datasets_run_in_order_and_incrementally(spark, shop):
     assert rows(got) == [("clean", "set", 4, 1), ("clean", "small", 3, 2), ("totals", "plus", 4, 2)]
 
 
+def test_datasets_at_an_interval_run_until_stopped(spark, tmp_path):
+    sets = Datasets(spark, str(tmp_path / "sets"))
+    landing = str(tmp_path / "landing")
+
+    @sets.table("raw", interval="200 milliseconds", rules=[expect("small", "id < 2")])
+    def raw():
+        return spark.readStream.schema("id int").json(landing)
+
+    spark.range(2).selectExpr("int(id) id").write.json(landing)
+    sets.refresh("raw")
+    assert rows(sets.read("raw")) == [(0,), (1,)]
+    spark.range(2, 5).selectExpr("int(id) id").write.mode("append").json(landing)
+    _, run = sets.running["raw"]
+    run.query.processAllAvailable()
+    sets.stop()
+    assert sets.running == {} and sets.read("raw").count() == 5
+    assert rows(sets.rule_metrics(), "dataset", "rule", "passed", "failed") == [("raw", "small", 2, 3)]
+
+
 def test_dataset_errors(spark, shop):
     sets, _ = shop
 
