@@ -400,6 +400,20 @@ def cosine_topk(spark, d):
     return hits.select("query_label", "vec_id", settle(F.col("similarity"), 5).alias("similarity"), "rank")
 
 
+@query("nearest_rows", "UDF-11", f"""
+WITH u AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)
+SELECT query_id, vec_id, {rounded('similarity', 5)} AS similarity, rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(similarity, 12) DESC, vec_id) AS INT) AS rank
+  FROM (SELECT a.vec_id AS query_id, b.vec_id, list_cosine_similarity(a.v, b.v) AS similarity FROM u a JOIN u b ON a.vec_id % 100 = 0)) WHERE rank <= 10
+""")
+def nearest_rows(spark, d):
+    """Every hundredth vector against all vectors."""
+    e = table(spark, d, "embeddings")
+    queries = e.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    hits = V.cosine_top_k(e, "vec_id", "embedding", queries, "query_id", "query", 10)
+    return hits.select("query_id", "vec_id", settle(F.col("similarity"), 5).alias("similarity"), "rank")
+
+
 @query("retrieved_context", "UDF-12", """
 WITH u AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
      x AS (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM u),

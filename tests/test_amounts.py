@@ -60,18 +60,9 @@ def test_a_changed_type_is_noticed_and_kept(spark, tmp_path):
     assert rows(spark.read.schema(schema).json(str(folder))) == [(1, "5"), (2, "five")]
 
 
-def test_a_task_gives_k_rows_however_many_batches(spark):
-    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
-    try:
+def test_nearest_vectors_from_many_small_batches(spark):
+    with runs.settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "10"}):
         table = spark.range(200).coalesce(1).select("id", F.array(F.cos(F.col("id") / 100), F.sin(F.col("id") / 100)).alias("v"))
         queries = spark.createDataFrame([(q, [1.0, q / 10]) for q in range(5)], "q int, v array<double>")
-        ids, matrix = zip(*((r.q, r.v) for r in queries.collect()))
-        import numpy as np
-
-        part = vectors._slice_top_k(table, "id", "v", list(ids), np.array(matrix), "q", 3, queries.schema["q"].dataType)
-        assert part.count() == 15
         best = vectors.cosine_top_k(table, "id", "v", queries, "q", "v", 1)
         assert rows(best.select("q", "id")) == [(0, 0), (1, 10), (2, 20), (3, 29), (4, 38)]
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)

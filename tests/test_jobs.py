@@ -15,25 +15,64 @@ from millrace.sinks import artifacts, messages
 from millrace.sinks.serving import snapshot_to_store
 
 
-def test_cosine_top_k_equals_brute_force(spark):
+def brute_force(unit, query, k):
+    sims = np.round(unit @ (query / np.linalg.norm(query)), 12)
+    best = sorted(range(len(unit)), key=lambda i: (-sims[i], i))[:k]
+    return [(i, sims[i]) for i in best]
+
+
+@pytest.mark.parametrize("cells, piece, block", [(None, 8192, 1024), (12, 20, 2)])
+def test_cosine_top_k_equals_brute_force(spark, monkeypatch, cells, piece, block):
+    monkeypatch.setattr(V, "PIECE_ROWS", piece)
+    monkeypatch.setattr(V, "QUERY_ROWS", block)
     rng = np.random.default_rng(3)
-    data = rng.normal(size=(300, 8))
+    data = rng.normal(size=(300, 8)).astype("float32").astype("float64")
     data[50:150] = data[49]  # a third of the vectors are copies
-    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "id bigint, v array<float>").repartition(5)
-    queries = spark.createDataFrame([(q, data[q].tolist()) for q in (3, 49, 200)], "q bigint, qv array<double>")
-    unit = data.astype("float32").astype("float64")
-    unit = unit / np.linalg.norm(unit, axis=1, keepdims=True)
-    for limit in (100, 2):
-        got = V.cosine_top_k(vectors, "id", "v", queries, "q", "qv", 4, max_queries=limit)
-        found = {(r.q, r["rank"]): (r.id, r.similarity) for r in got.collect()}
-        for q in (3, 49, 200):
-            sims = unit @ (data[q] / np.linalg.norm(data[q]))
-            best = sorted(range(300), key=lambda i: (-round(sims[i], 12), i))[:4]
-            if q != 49:
-                assert [found[q, k + 1][0] for k in range(4)] == best
-            assert [found[q, k + 1][1] for k in range(4)] == pytest.approx([sims[i] for i in best])
-    with pytest.raises(ValueError):
-        V.cosine_top_k(vectors, "id", "v", queries.filter("q < 0"), "q", "qv")
+    odd = [(1000, None), (1001, []), (1002, [0.0] * 8), (1003, [float("nan")] + [1.0] * 7)]
+    table = [(i, v.tolist()) for i, v in enumerate(data)] + odd
+    vectors = spark.createDataFrame(table, "id bigint, v array<float>").repartition(5)
+    asked = [3, 49, 200, 250, 299]
+    queries = spark.createDataFrame([(q, data[q].tolist()) for q in asked] + [(-1, None), (-2, [0.0] * 8)], "q bigint, qv array<double>")
+    index = V.VectorIndex(vectors, "id", "v", cells)
+    assert index.counts.sum() == 300
+    got = index.nearest(queries, "q", "qv", 4, 1).collect()
+    unit = data / np.linalg.norm(data, axis=1, keepdims=True)
+    found = {(r.q, r["rank"]): (r.id, r.similarity) for r in got}
+    assert len(found) == len(got) == 4 * len(asked)
+    for q in asked:
+        expected = brute_force(unit, data[q], 4)
+        assert [found[q, k + 1][0] for k in range(4)] == [i for i, _ in expected]
+        assert [found[q, k + 1][1] for k in range(4)] == pytest.approx([x for _, x in expected], abs=1e-9)
+    assert index.nearest(queries.limit(0), "q", "qv").count() == 0
+    assert V.cosine_top_k(vectors.limit(0), "id", "v", queries, "q", "qv").count() == 0
+    with pytest.raises(ValueError, match="differently"):
+        index.nearest(queries.withColumnRenamed("q", "id"), "id", "qv")
+
+
+def test_index_skips_cells_and_first_round_recalls(spark):
+    """Clustered vectors: the exact search compares a small part of all pairs, and its first round alone finds nearly all."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(40, 16))
+    data = (centres[rng.integers(0, 40, 8000)] + 0.15 * rng.normal(size=(8000, 16)))
+    unit = data / np.linalg.norm(data, axis=1, keepdims=True)
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "id bigint, v array<double>")
+    queries = vectors.filter("id % 100 = 0").selectExpr("id q", "v qv")
+    index = V.VectorIndex(vectors, "id", "v", 40)
+    pairs = []
+    best = index._best
+
+    def counted(wanted, query_key, k):
+        sizes = spark.createDataFrame([(i, int(n)) for i, n in enumerate(index.counts)], "_cell int, n long")
+        pairs.append(wanted.join(sizes, "_cell").agg(F.sum("n")).first()[0] or 0)
+        return best(wanted, query_key, k)
+
+    index._best = counted
+    exact = {(r.q, r["rank"]): r.id for r in index.nearest(queries, "q", "qv", 3).collect()}
+    for q in range(0, 8000, 100):
+        assert [exact[q, k] for k in (1, 2, 3)] == [i for i, _ in brute_force(unit, data[q], 3)]
+    assert sum(pairs) < 0.3 * 80 * 8000
+    first = {(r.q, r["rank"]): r.id for r in index.nearest(queries, "q", "qv", 3, exact=False).collect()}
+    assert sum(first.get(k) == v for k, v in exact.items()) >= 0.9 * len(exact)
 
 
 def test_centroids_and_cosine(spark):
