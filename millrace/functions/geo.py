@@ -35,7 +35,6 @@ FEET_PER_METRE = 3.28084
 KNOTS_PER_MPS = 1.94384
 FPM_PER_MPS = 196.85
 EARTH_RADIUS_M = 6371000.0
-DEFAULT_SPEED, DEGREES_PER_SPEED = 200.0, 0.009
 
 
 def region_box(name: str, boxes: dict[str, tuple] | None = None) -> tuple:
@@ -67,16 +66,14 @@ def grid_cell(lat: Column, lon: Column, degrees: float) -> Column:
     return F.concat_ws(":", row.cast("string"), col.cast("string"))
 
 
-def sphere_point(lat: Column, lon: Column, alt: Column, exaggerate: float = 1.0) -> dict[str, Column]:
-    """Cartesian point of a place on a sphere of radius 1, altitude on top.
+def sphere_point(lat: Column, lon: Column, alt: Column) -> dict[str, Column]:
+    """Geocentric coordinates in earth radii: x to latitude 0 and longitude 0, y to longitude 90 east, z to the north pole.
 
-    Axes: x through latitude 0, longitude 0; y through the north pole; z through longitude 90 west, which makes the system
-    right-handed with y upwards.
+    The altitude in metres is added to the radius of a spherical earth.
     """
     phi, lam = F.radians(lat), F.radians(lon)
-    distance = (alt * exaggerate + EARTH_RADIUS_M) / EARTH_RADIUS_M
-    in_plane = distance * F.cos(phi)
-    return {"x": in_plane * F.cos(lam), "y": distance * F.sin(phi), "z": F.negative(in_plane * F.sin(lam))}
+    radius = 1 + alt / EARTH_RADIUS_M
+    return {"x": radius * F.cos(phi) * F.cos(lam), "y": radius * F.cos(phi) * F.sin(lam), "z": radius * F.sin(phi)}
 
 
 def metres_to_feet(col: Column) -> Column:
@@ -99,11 +96,15 @@ def degree_minutes(value: Column, axis: str) -> Column:
     return F.format_string("%d° %.2f' %s", F.floor(hundredths / 6000), (hundredths % 6000) / 100, side)
 
 
-def dead_reckoning(lat: Column, lon: Column, track: Column, speed: Column) -> dict[str, Column]:
-    """Where a course leads on a flat map: east by the sine and north by the cosine of the track, from north clockwise."""
-    course = F.radians(F.ifnull(track, F.lit(0.0)))
-    degrees = F.ifnull(speed, F.lit(DEFAULT_SPEED)) * DEGREES_PER_SPEED
-    return {"lon_ahead": lon + degrees * F.sin(course), "lat_ahead": lat + degrees * F.cos(course)}
+def dead_reckoning(lat: Column, lon: Column, track: Column, speed: Column, seconds: float) -> dict[str, Column]:
+    """Where a great circle leads in so many seconds: degrees, the longitude from -180 to below 180; null without course or speed."""
+    phi, course = F.radians(lat), F.radians(track)
+    angle = speed * seconds / EARTH_RADIUS_M
+    # Rounding may lead a little past the pole.
+    sine = F.sin(phi) * F.cos(angle) + F.cos(phi) * F.sin(angle) * F.cos(course)
+    ahead = F.asin(F.when(F.abs(sine) > 1, F.signum(sine)).otherwise(sine))
+    turned = F.degrees(F.atan2(F.sin(course) * F.sin(angle) * F.cos(phi), F.cos(angle) - F.sin(phi) * F.sin(ahead)))
+    return {"lat_ahead": F.degrees(ahead), "lon_ahead": F.pmod(lon + turned + 180, F.lit(360.0)) - 180}
 
 
 def best_altitude(geo_alt: Column, baro_alt: Column) -> Column:

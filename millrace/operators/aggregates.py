@@ -83,13 +83,43 @@ def size_estimate(df: DataFrame, bytes_per_row: float = 288.0) -> DataFrame:
     return df.agg(rows.alias("n_rows"), F.round(rows * bytes_per_row / (1024 * 1024), 2).alias("size_mb"))
 
 
-def percentiles(df: DataFrame, group: Sequence[str], value: str, accuracy: int = 100_000) -> DataFrame:
-    """Mean, p50, p95, p99 per group from a mergeable sketch of bounded size."""
-    shares = (0.5, 0.95, 0.99)
-    sketch = F.percentile_approx(value, F.array(*map(F.lit, shares)), F.lit(accuracy)).alias("_sketch")
-    cells = [F.col("_sketch")[i].alias(f"p{round(p * 100)}_{value}") for i, p in enumerate(shares)]
-    mean = f"mean_{value}"
-    return df.groupBy(*group).agg(settle(F.avg(value), 4).alias(mean), sketch).select(*group, mean, *cells)
+SHARES = (0.5, 0.95, 0.99)
+#: Size of a quantile sketch; the error of a rank is about 2.3 / size, so 0.06 % here.
+SKETCH_SIZE = 4096
+
+
+def quantile_sketches(df: DataFrame, group: Sequence[str], value: str, size: int = SKETCH_SIZE) -> DataFrame:
+    """Per group: rows with a value (n), their sum (total) and a sketch of bounded size, to be stored and merged later."""
+    number = F.col(value).cast("double")
+    sketch = F.kll_sketch_agg_double(number, size).alias("sketch")
+    return df.filter(number.isNotNull() & ~F.isnan(number)).groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.sum(number).alias("total"), sketch)
+
+
+def merged_sketches(sketches: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Sketches of parts, e.g. of batches, as one per group; the rows themselves are not needed again."""
+    return sketches.groupBy(*group).agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.kll_merge_agg_double("sketch").alias("sketch"))
+
+
+def quantiles_of(sketches: DataFrame, group: Sequence[str], value: str, shares: Sequence[float] = SHARES) -> DataFrame:
+    """Mean and quantiles per group: the smallest value that reaches the share, up to the error of the sketch."""
+    found = F.kll_sketch_get_quantile_double("sketch", F.array(*map(F.lit, shares)))
+    cells = [found[i].alias(f"p{round(p * 100)}_{value}") for i, p in enumerate(shares)]
+    return sketches.select(*group, "n", settle(F.col("total") / F.col("n"), 4).alias(f"mean_{value}"), *cells)
+
+
+def percentiles(df: DataFrame, group: Sequence[str], value: str, size: int = SKETCH_SIZE) -> DataFrame:
+    """Rows, mean, p50, p95, p99 per group from one mergeable sketch of bounded size a group."""
+    return quantiles_of(quantile_sketches(df, group, value, size), group, value)
+
+
+def ranks_of(df: DataFrame, figures: DataFrame, group: Sequence[str], value: str, shares: Sequence[float] = SHARES) -> DataFrame:
+    """The share of a group's rows at or below each of its quantiles, to hold an estimate against its share."""
+    from millrace.operators.windows import join_on
+
+    names = [f"p{round(p * 100)}_{value}" for p in shares]
+    both = join_on(df.filter(F.col(value).isNotNull()).select(*group, value), figures.select(*group, *names), group)
+    cells = [(F.count_if(F.col(value) <= F.col(name)) / F.count(F.lit(1))).alias(f"rank_{name}") for name in names]
+    return both.groupBy(*group).agg(*cells)
 
 
 def exact_quantile(df: DataFrame, group: Sequence[str], value: str, p: float, tie: str) -> DataFrame:
@@ -103,12 +133,6 @@ def exact_quantile(df: DataFrame, group: Sequence[str], value: str, p: float, ti
     return placed.filter(F.col("_pos") == rank).select(*group, F.col(value).alias("quantile"))
 
 
-def sum_with_flags(df: DataFrame, group: Sequence[str], flags: Mapping[str, Column]) -> DataFrame:
-    """Per group 1/0 columns telling whether any row satisfies each condition."""
-    cells = [F.max(F.when(cond, 1).otherwise(0)).alias(name) for name, cond in flags.items()]
-    return df.groupBy(*group).agg(*cells)
-
-
 def pivot_text(df: DataFrame, group: Sequence[str], key: str, value: str, names: Sequence[str]) -> DataFrame:
     """Named rows to columns, greatest text per cell; the fixed list saves a pass to find the names."""
     return df.groupBy(*group).pivot(key, list(names)).agg(F.max(value))

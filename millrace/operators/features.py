@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier
@@ -14,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.values import md5_bucket
+from millrace.operators.changes import upsert
+from millrace.operators.quality import require_unique
 
 
 def status_label(df: DataFrame, status: str, bad: str, keep: Sequence[str], name: str = "is_bad") -> DataFrame:
@@ -33,6 +37,18 @@ def hash_split(df: DataFrame, key: str, parts: Mapping[str, int] | None = None,
     return df.withColumn(name, out)
 
 
+def merge_features(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A feature table with new rows merged in by its primary key of one or more columns: rows of a known key replace it, others are added.
+
+    Keys must be set and unique among the new rows; else nothing is merged.
+    """
+    missing = rows.filter(reduce(or_, [F.col(k).isNull() for k in keys]))
+    if not missing.isEmpty():
+        raise ValueError(f"keys without a value over {', '.join(keys)}")
+    require_unique(rows, keys)
+    return upsert(target, rows, keys)
+
+
 def feature_lookup(labels: DataFrame, features: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Label rows with the chosen features of their key; missing keys give nulls."""
     return labels.join(features.select(*keys, *columns), list(keys), "left")
@@ -94,6 +110,21 @@ def score(model, df: DataFrame, keep: Sequence[str], probability: bool = False)
     return out.select(*keep, "prediction", *extra)
 
 
+def confusion(scored: DataFrame, label: str) -> DataFrame:
+    """Rows per pair of label and prediction, both as whole numbers; as many rows as pairs of classes."""
+    return scored.groupBy(F.col(label).cast("int").alias("label"), F.col("prediction").cast("int").alias("predicted")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def weighted_f1(pairs: DataFrame) -> DataFrame:
+    """One row: f1 over the classes, weighted by their rows, from the counts of ``confusion``."""
+    right = F.sum(F.when(F.col("label") == F.col("predicted"), F.col("n")).otherwise(0))
+    actual = pairs.groupBy(F.col("label").alias("c")).agg(F.sum("n").alias("actual"), right.alias("right"))
+    said = pairs.groupBy(F.col("predicted").alias("c")).agg(F.sum("n").alias("said"))
+    both = actual.join(said, "c", "left")
+    per_class = 2 * F.col("right") / (F.col("actual") + F.coalesce("said", F.lit(0)))
+    return both.agg((F.sum(per_class * F.col("actual")) / F.sum("actual")).alias("f1"))
+
+
 def f1(scored: DataFrame, label: str) -> float:
     return MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName="f1").evaluate(scored)
 

@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from millrace.functions.geo import LONGITUDE_BANDS, in_band
 from millrace.functions.values import md5_bucket
 
-# Group keys that may be sent to every executor; a longer list is shuffled.
-MAX_SENT_KEYS = 100_000
-
 
 def latest_day(df: DataFrame, ts: str) -> DataFrame:
     """Rows of the most recent day.
@@ -96,14 +93,39 @@ def with_left_attribute(df: DataFrame, other: DataFrame, on: Sequence[str], requ
     return df.join(other, list(on), "left").filter(F.col(required).isNotNull())
 
 
+#: Rows of one key that one task of a split join takes.
+ROWS_PER_PIECE = 1_000_000
+
+
+def split_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
+    """Left join whose right side may hold very many rows of one key, which Spark's own skew handling does not split there.
+
+    A key with more rows than a piece is cut into pieces, and its left rows are copied once for each; a key without rows on the
+    right keeps its left rows with nulls.  Keys are looked up, not guessed: their rows are counted with partial counts first.
+    Null keys match nothing, as in any join.
+    """
+    counts = right.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / rows_per_piece).cast("int").alias("_pieces"))
+    counts = counts.dropna(subset=list(keys))
+    # At most one key per ``rows_per_piece`` rows of the right side.
+    large = F.broadcast(counts.filter("_pieces > 1"))
+    # By the row itself, so that a task that runs again deals its rows alike; only equal rows stay together.
+    own = F.pmod(F.xxhash64(*right.columns), F.coalesce("_pieces", F.lit(1))).cast("int")
+    pieces = right.join(large, list(keys), "left").withColumn("_piece", own).drop("_pieces")
+    copied = left.join(counts, list(keys), "left").withColumn("_piece", F.explode(F.coalesce(F.sequence(F.lit(0), F.col("_pieces") - 1), F.array(F.lit(0)))))
+    found = copied.filter("_pieces IS NOT NULL").drop("_pieces").join(pieces, [*keys, "_piece"]).drop("_piece")
+    rest = [c for c in right.columns if c not in keys]
+    missing = copied.filter("_pieces IS NULL").select(*[c for c in left.columns], *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in rest])
+    return found.select(*left.columns, *rest).unionByName(missing)
+
+
 def only_top_groups(df: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
     """Rows of the ``k`` largest groups; ties are broken by the key.
 
-    The group list has ``k`` rows, so it is safe to broadcast.
+    The group list has ``k`` rows; Spark sends it to all tasks if it is below its threshold.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     top = counts.orderBy(F.desc("_n"), *keys).limit(k).select(*keys)
-    return df.join(F.broadcast(top) if k <= MAX_SENT_KEYS else top, list(keys), "left_semi")
+    return df.join(top, list(keys), "left_semi")
 
 
 def child_summary(parents: DataFrame, children: DataFrame, key: str, order: str, first: str) -> DataFrame:

@@ -137,10 +137,13 @@ def anomalies(states: DataFrame, region: str, steepest: int = STEEPEST) -> DataF
     return joined.select(*KEYS, "kind", "label", "max_vr", "t_emerg", "n", "points")
 
 
+def severity() -> Column:
+    return F.array_position(F.array(*[F.lit(k) for k in KIND_ORDER]), F.col("kind"))
+
+
 def anomaly_order() -> list[Column]:
     """Report order: by severity, then steepest first."""
-    severity = F.array_position(F.array(*[F.lit(k) for k in KIND_ORDER]), F.col("kind"))
-    return [severity, F.desc("max_vr"), F.col("icao24"), F.col("callsign")]
+    return [severity(), F.desc("max_vr"), F.col("icao24"), F.col("callsign")]
 
 
 def live_figures(states: DataFrame) -> DataFrame:

@@ -48,14 +48,15 @@ def write_report(spark: SparkSession, states: DataFrame, root: str, regions: Seq
     entries = {}
     for region in regions:
         curve = dense_curve(tracks.curve(states, region), "tb", ["total", "c0", "c1", "c2"])
+        day = F.floor(F.col("tb") * tracks.DENSITY_SECONDS / 86400).cast("bigint")
         parts = {
-            "prism": (tracks.prism(states, region), tracks.KEYS),
-            "density": (tracks.density(states, region), ["tb", "cell"]),
-            "curve": (curve, ["tb"]),
-            "anomaly": (tracks.anomalies(states, region).filter("n >= 2"), tracks.anomaly_order()),
+            "prism": (tracks.prism(states, region), tracks.KEYS, None),  # a fixed number of flights
+            "density": (tracks.density(states, region), ["tb", "cell"], day),  # cells of the region times ten minutes of a day
+            "curve": (curve, ["tb"], None),
+            "anomaly": (tracks.anomalies(states, region).filter("n >= 2"), tracks.anomaly_order(), tracks.severity()),
         }
-        for name, (df, order) in parts.items():
+        for name, (df, order, piece) in parts.items():
             path = f"{root}/{region}/{name}"
-            write_json_gz(df, path, order)
+            write_json_gz(df, path, order, piece)
             entries[f"{region}/{name}"] = path
     write_manifest(spark, f"{root}/manifest", entries)

@@ -6,25 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.governance import anonymous_id
+from millrace.operators.relational import split_left_join
 
 
 def analyst_view(employees: DataFrame, pay: DataFrame, reviews: DataFrame, hidden: str = "Legal") -> DataFrame:
     """Pseudonym, department, years and quarters only; one department left out, free text dropped."""
-    return (
-        employees.filter(F.col("department") != hidden)
-        .join(pay, "employee_id", "left").join(reviews, "employee_id", "left")
-        .select(
-            anonymous_id(F.col("employee_id")).alias("anonymous_id"), "department", F.year("hire_date").alias("hire_year"),
-            "base_salary", "bonus", "stock_options", F.year("effective_date").alias("comp_year"), "rating",
-            F.quarter("review_date").alias("review_quarter"), F.year("review_date").alias("review_year"),
-        )
+    shown = employees.filter(F.col("department") != hidden)
+    # An employee may have very many rows in either table.
+    joined = split_left_join(split_left_join(shown, pay, ["employee_id"]), reviews, ["employee_id"])
+    return joined.select(
+        anonymous_id(F.col("employee_id")).alias("anonymous_id"), "department", F.year("hire_date").alias("hire_year"),
+        "base_salary", "bonus", "stock_options", F.year("effective_date").alias("comp_year"), "rating",
+        F.quarter("review_date").alias("review_quarter"), F.year("review_date").alias("review_year"),
     )
 
 
 def full_view(employees: DataFrame, pay: DataFrame, reviews: DataFrame, cases: DataFrame) -> DataFrame:
-    return (
-        employees.join(pay, "employee_id", "left").join(reviews, "employee_id", "left").join(cases, "employee_id", "left")
-    )
+    out = employees
+    for other in (pay, reviews, cases):
+        out = split_left_join(out, other, ["employee_id"])
+    return out
 
 
 def performance(view: DataFrame, as_of: Column) -> DataFrame:

@@ -68,7 +68,7 @@ def keyed_table_merges(spark, d):
     return store.read().select("user_id", "event_type", "value")
 
 
-@query("upsert_merge", "CDC-06 CDC-07", """
+@query("upsert_merge", "CDC-06", """
 SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal, c_mktsegment FROM customer
 """)
 def upsert_merge(spark, d):
@@ -107,7 +107,7 @@ def add_column(spark, d):
     return C.add_columns(table(spark, d, "nation").select("n_nationkey"), {"note": "string"})
 
 
-@query("replace_partitions", "CDC-05 SNK-01 SNK-02", f"""
+@query("replace_partitions", "CDC-05 SNK-01", f"""
 SELECT o_orderstatus, count(*) AS n, {rounded("sum(CASE WHEN o_orderstatus = 'F' THEN 0 ELSE o_totalprice END)", 2)} AS total FROM orders GROUP BY 1
 """)
 def replace_partitions(spark, d):
@@ -118,7 +118,41 @@ def replace_partitions(spark, d):
     return spark.read.parquet(path).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
-@query("append_wider", "SNK-03 SNK-04", """
+@query("table_writes", "SNK-02 SNK-04 SNK-01", """
+SELECT 'appended' AS step, s_suppkey AS id, s_name AS label, CAST(NULL AS INT) AS nation FROM supplier
+UNION ALL SELECT 'replaced', s_suppkey, NULL, s_nationkey FROM supplier WHERE s_acctbal > 0
+""")
+def table_writes(spark, d):
+    """A table written, appended to with its columns in another order, and then replaced by one with other columns."""
+    path = scratch_path(spark, "writes")
+    name = "millrace_" + path.rsplit("-", 1)[1]
+    s = table(spark, d, "supplier")
+    first = s.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("label"))
+    S.overwrite_table(first.filter("id % 2 = 0"), name, f"{path}/first")
+    S.append_table(first.filter("id % 2 = 1").select("label", "id"), name)
+    # Kept aside, since the table is replaced before the rows are asked for.
+    spark.table(name).write.parquet(f"{path}/kept")
+    S.replace_table(s.filter("s_acctbal > 0").select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("nation")), name, f"{path}/second")
+    none = F.lit(None)
+    appended = spark.read.parquet(f"{path}/kept").select(F.lit("appended").alias("step"), "id", "label", none.cast("int").alias("nation"))
+    return appended.union(spark.table(name).select(F.lit("replaced"), "id", none.cast("string"), "nation"))
+
+
+@query("feature_merge", "CDC-07 CDC-06", """
+WITH f AS (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS day, sum(l_quantity) AS units, count(*) AS n FROM lineitem GROUP BY 1, 2)
+SELECT l_suppkey, day, CASE WHEN year(day) % 2 = 0 THEN units + 1 ELSE units END AS units, n FROM f
+""")
+def feature_merge(spark, d):
+    """Features of a supplier and day: those of odd years and old ones of some even years, merged with new ones of even years."""
+    from millrace.operators import features as X
+
+    facts = table(spark, d, "lineitem").groupBy("l_suppkey", F.to_date("l_shipdate").alias("day")).agg(F.sum("l_quantity").alias("units"), F.count(F.lit(1)).alias("n"))
+    even = F.year("day") % 2 == 0
+    stored = facts.filter(~even | (F.year("day") % 4 == 0))
+    return X.merge_features(stored, facts.filter(even).withColumn("units", F.col("units") + 1), ["l_suppkey", "day"])
+
+
+@query("append_wider", "SNK-03", """
 SELECT n_nationkey, n_name, CAST(NULL AS INT) AS region FROM nation UNION ALL SELECT n_nationkey, n_name, n_regionkey FROM nation
 """)
 def append_wider(spark, d):
@@ -232,15 +266,29 @@ def declared_types(spark, d):
     return Q.enforce(typed, [Q.expect_or_drop("customer known", "customer_id IS NOT NULL")])
 
 
-@query("profile_table", "DQ-08", """
-SELECT 'c_custkey' AS column_name, count(*) AS n_rows, count(*) - count(c_custkey) AS n_nulls, min(c_custkey)::DOUBLE AS min_value, max(c_custkey)::DOUBLE AS max_value FROM customer
-UNION ALL SELECT 'c_acctbal', count(*), count(*) - count(c_acctbal), min(c_acctbal), max(c_acctbal) FROM customer
-UNION ALL SELECT 'c_name', count(*), count(*) - count(c_name), NULL, NULL FROM customer
-""")
+def profiled_sql(column: str, numeric: bool) -> str:
+    span = f"min({column})::DOUBLE AS min_value, max({column})::DOUBLE AS max_value" if numeric else "NULL::DOUBLE AS min_value, NULL::DOUBLE AS max_value"
+    return f"""SELECT '{column}' AS column_name, count(*) AS n_rows, count(*) - count({column}) AS n_nulls, count(DISTINCT {column}) AS n_distinct,
+      true AS near, {span} FROM orders"""
+
+
+PROFILED = {"o_orderkey": True, "o_custkey": True, "o_orderstatus": False, "o_totalprice": True, "o_orderpriority": False}
+
+
+@query("profile_table", "DQ-08", " UNION ALL ".join(profiled_sql(c, numeric) for c, numeric in PROFILED.items()))
 def profile_table(spark, d):
-    c = table(spark, d, "customer")
-    # The distinct estimate is left out: it is approximate.
-    return Q.profile(c, ["c_custkey", "c_acctbal", "c_name"], ["c_custkey", "c_acctbal"]).drop("approx_distinct")
+    """Sketches per order status and year, stored, read back and merged; ``near``: the estimate is within 3 % of the distinct values."""
+    path = scratch_path(spark, "profile")
+    o = table(spark, d, "orders")
+    numeric = [c for c, known in PROFILED.items() if known]
+    parts = o.withColumn("part", F.concat_ws("/", "o_orderstatus", F.year("o_orderdate").cast("string")))
+    Q.column_sketches(parts, list(PROFILED), ["part"], numeric).write.parquet(path)
+    merged = Q.merged_profile(spark.read.parquet(path))
+    # The distinct values themselves, to hold the estimates against: one row per column and value.
+    cells = o.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in PROFILED])).alias("x")).select("x.*")
+    exact = cells.filter("value IS NOT NULL").distinct().groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct"))
+    near = F.abs(F.col("approx_distinct") - F.col("n_distinct")) <= 0.03 * F.col("n_distinct")
+    return merged.join(exact, "column_name").select("column_name", "n_rows", "n_nulls", "n_distinct", near.alias("near"), "min_value", "max_value")
 
 
 @query("duplicate_keys", "DQ-08", """

@@ -93,6 +93,17 @@ def xml_files(spark, d):
     return read.select(F.col("_id").alias("s_suppkey"), "s_name", F.col("s_nationkey").cast("int").alias("s_nationkey"))
 
 
+@query("xml_table", "SRC-17", "SELECT s_nationkey, count(*) AS n, min(s_name) AS first_name FROM supplier GROUP BY 1")
+def xml_table(spark, d):
+    """XML files as a table of the catalog, read by its name in SQL."""
+    path = scratch_path(spark, "xml-table")
+    name = "millrace_" + path.rsplit("-", 1)[1]
+    s = table(spark, d, "supplier").select("s_name", "s_nationkey")
+    s.write.format("xml").option("rowTag", "supplier").option("rootTag", "suppliers").save(path)
+    xml.create_xml_table(spark, name, path, "supplier")
+    return spark.sql(f"SELECT CAST(s_nationkey AS INT) AS s_nationkey, count(*) AS n, min(s_name) AS first_name FROM {name} GROUP BY 1")
+
+
 @query("xml_stream", "SRC-15 STR-04", "SELECT p_partkey, p_name, p_size FROM part")
 def xml_stream(spark, d):
     root = scratch_path(spark, "xml-stream")

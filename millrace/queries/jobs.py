@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.functions import geo
 from millrace.functions.text import json_field
 from millrace.functions.values import settle
 from millrace.operators import tracks
@@ -406,18 +407,52 @@ def flight_noon_slice(spark, d):
     return flights.slice_of_day(states(spark, d)).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("flight_artifacts", "JOB-07 SNK-17 SNK-18", f"""
-WITH {STATES} SELECT count(*) AS n_cells, CAST(sum(c0 + c1 + c2) AS BIGINT) AS total FROM (SELECT CAST(floor(lat / 0.5e0) AS BIGINT) AS a, CAST(floor(lon / 0.5e0) AS BIGINT) AS b, sec // 600 AS tb,
-  count(DISTINCT CASE WHEN alt < 3000 THEN icao24 END) AS c0, count(DISTINCT CASE WHEN alt >= 3000 AND alt < 8000 THEN icao24 END) AS c1,
-  count(DISTINCT CASE WHEN alt < 8000 THEN NULL ELSE icao24 END) AS c2 FROM fly GROUP BY 1, 2, 3)
-""")
+def artifact_sql(region: str) -> str:
+    """Rows and a total of each artifact of a region, from the states in its box."""
+    south, north, west, east = geo.REPORT_BOXES[region]
+    band = "count(DISTINCT CASE WHEN alt < 3000 THEN icao24 END) AS c0, count(DISTINCT CASE WHEN alt >= 3000 AND alt < 8000 THEN icao24 END) AS c1"
+    return f"""
+SELECT * FROM (WITH {STATES.replace("BETWEEN 35 AND 60", f"BETWEEN {south} AND {north}").replace("BETWEEN -12 AND 30", f"BETWEEN {west} AND {east}")},
+minutes AS (SELECT icao24, callsign, count(DISTINCT sec // 60) AS n, count(*) AS pts, max(abs(vr)) AS max_vr, max(CASE WHEN squawk IN ('7500', '7600', '7700') THEN 1 ELSE 0 END) AS coded FROM fly GROUP BY 1, 2),
+cells AS (SELECT {band}, count(DISTINCT CASE WHEN alt < 8000 THEN NULL ELSE icao24 END) AS c2 FROM fly GROUP BY floor(lat / 0.5e0), floor(lon / 0.5e0), sec // 600),
+curve AS (SELECT sec // 600 AS tb, count(DISTINCT icao24) AS total FROM fly GROUP BY 1)
+SELECT '{region}/prism' AS artifact, count(*) AS n_rows, CAST(coalesce(sum(n), 0) AS BIGINT) AS total FROM (SELECT n FROM minutes ORDER BY pts DESC, icao24, callsign LIMIT 1500)
+UNION ALL SELECT '{region}/density', count(*), CAST(coalesce(sum(c0 + c1 + c2), 0) AS BIGINT) FROM cells
+UNION ALL SELECT '{region}/curve', coalesce(max(tb) - min(tb) + 1, 0), CAST(coalesce(sum(total), 0) AS BIGINT) FROM curve
+UNION ALL SELECT '{region}/anomaly', count(*), CAST(coalesce(sum(n), 0) AS BIGINT) FROM (SELECT *, row_number() OVER (ORDER BY max_vr DESC NULLS LAST, icao24, callsign) AS rk FROM minutes) WHERE n >= 2 AND (coded = 1 OR rk <= 20))"""
+
+
+ARTIFACTS = " UNION ALL ".join(map(artifact_sql, geo.REPORT_BOXES))
+
+
+@query("flight_artifacts", "JOB-07 SNK-17 SNK-18", f"SELECT artifact, n_rows, total, true AS listed, true AS same_bytes FROM ({ARTIFACTS})")
 def flight_artifacts(spark, d):
+    """All artifacts of all regions, written twice from differently dealt rows: what they hold, whether the manifest lists them, whether
+    every file has the same bytes in both."""
     from millrace.session import scratch_path
+    from millrace.sinks import artifacts
 
     root = scratch_path(spark, "artifacts")
-    flights.write_report(spark, states(spark, d), root, ["europe"])
-    written = spark.read.json(f"{root}/europe/density", schema="cell string, tb bigint, c0 bigint, c1 bigint, c2 bigint")
-    return written.agg(F.count(F.lit(1)).alias("n_cells"), F.sum(F.col("c0") + F.col("c1") + F.col("c2")).alias("total"))
+    seen = states(spark, d)
+    flights.write_report(spark, seen, f"{root}/a")
+    flights.write_report(spark, seen.repartition(3, "icao24"), f"{root}/b")
+    points = "icao24 string, callsign string, n bigint"
+    schemas = {
+        "prism": (points, "n"), "density": ("cell string, tb bigint, c0 bigint, c1 bigint, c2 bigint", "c0 + c1 + c2"),
+        "curve": ("tb bigint, total bigint", "total"), "anomaly": (points, "n"),
+    }
+    out = None
+    for region in geo.REPORT_BOXES:
+        for name, (schema, total) in schemas.items():
+            label = f"{region}/{name}"
+            held = artifacts.read_json_gz(spark, f"{root}/a/{label}", schema).agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(F.expr(total)), F.lit(0)).alias("total"))
+            hashes = artifacts.file_hashes(spark, f"{root}/a/{label}").union(artifacts.file_hashes(spark, f"{root}/b/{label}"))
+            # Every file stands twice with one length and one hash.
+            same = hashes.groupBy("file", "length", "hash").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.bool_and(F.col("n") == 2), F.lit(True)))
+            one = held.select(F.lit(label).alias("artifact"), "n_rows", "total", same.scalar().alias("same_bytes"))
+            out = one if out is None else out.union(one)
+    listed = spark.read.json(f"{root}/a/manifest", schema="artifact string, path string").select("artifact", F.col("path").endswith(F.col("artifact")).alias("listed"))
+    return out.join(listed, "artifact", "full").select("artifact", "n_rows", "total", F.coalesce("listed", F.lit(False)).alias("listed"), "same_bytes")
 
 
 # ---- telemetry, customers, HR ----------------------------------------------

@@ -213,10 +213,8 @@ def places(spark, d):
 
 
 @query("unit_sphere", "FN-16", f"""
-WITH p AS (SELECT event_id, {PLACE}, value FROM events)
-SELECT event_id, {rounded('-(1 + value / 6371000.0e0) * sin(radians(90 - lat)) * cos(radians(lon + 180))', 5)} AS x,
-       {rounded('(1 + value / 6371000.0e0) * cos(radians(90 - lat))', 5)} AS y,
-       {rounded('(1 + value / 6371000.0e0) * sin(radians(90 - lat)) * sin(radians(lon + 180))', 5)} AS z FROM p
+WITH p AS (SELECT event_id, radians(lat) AS north, radians(lon) AS east, 1 + value / 6371000.0e0 AS r FROM (SELECT event_id, {PLACE}, value FROM events))
+SELECT event_id, {rounded('r * cos(north) * cos(east)', 5)} AS x, {rounded('r * cos(north) * sin(east)', 5)} AS y, {rounded('r * sin(north)', 5)} AS z FROM p
 """)
 def unit_sphere(spark, d):
     xyz = geo.sphere_point(F.col("lat"), F.col("lon"), F.col("value"))
@@ -246,15 +244,17 @@ def unit_conversions(spark, d):
 
 
 @query("heading_points", "FN-19", f"""
-WITH p AS (SELECT event_id, {PLACE}, value, {K} * 3.6e0 AS track FROM events)
-SELECT event_id, {rounded('lon + cos(radians(90 - track)) * (value / 200 * 1.8e0)', 5)} AS lon_ahead,
-       {rounded('lat + sin(radians(90 - track)) * (value / 200 * 1.8e0)', 5)} AS lat_ahead FROM p
+WITH p AS (SELECT event_id, radians(lat) AS a, lon, radians({K} * 3.6e0) AS c, value * 600.0e0 / 6371000.0e0 AS w FROM (SELECT event_id, {PLACE}, value, props FROM events)),
+q AS (SELECT *, asin(greatest(-1.0e0, least(1.0e0, sin(a) * cos(w) + cos(a) * sin(w) * cos(c)))) AS b FROM p),
+r AS (SELECT event_id, degrees(b) AS lat_ahead, lon + degrees(atan2(sin(c) * sin(w) * cos(a), cos(w) - sin(a) * sin(b))) AS l FROM q)
+SELECT event_id, {rounded('lat_ahead', 5)} AS lat_ahead, {rounded('l - 360 * floor((l + 180) / 360)', 5)} AS lon_ahead FROM r
 """)
 def heading_points(spark, d):
+    """Ten minutes ahead on a great circle."""
     e = places(spark, d).join(
         table(spark, d, "events").select("event_id", (text.json_field(F.col("props"), "k", "int") * 3.6).alias("track")), "event_id"
     )
-    ahead = geo.dead_reckoning(F.col("lat"), F.col("lon"), F.col("track"), F.col("value"))
+    ahead = geo.dead_reckoning(F.col("lat"), F.col("lon"), F.col("track"), F.col("value"), 600)
     return e.select("event_id", *[(settle(c, 5) + 0.0).alias(n) for n, c in ahead.items()])
 
 
@@ -504,34 +504,66 @@ def group_mean(spark, d):
 
 
 def document_features(spark, d):
+    """Shape of the documents with a label: sizes, and shares that do not depend on them."""
+    words = text.words(F.col("text"))
+    share = lambda found, of: F.coalesce(F.try_divide(found.cast("double"), of.cast("double")), F.lit(0.0))
+    lines = F.split("text", "\n")
     docs = table(spark, d, "documents").select(
-        "doc_id", "lang", F.col("n_chars").cast("double").alias("n_chars"),
-        F.size(text.words(F.col("text"))).cast("double").alias("n_words"), F.size(F.split("text", "\n")).cast("double").alias("n_lines"),
+        "doc_id", "lang", F.col("n_chars").cast("double").alias("n_chars"), F.size(words).cast("double").alias("n_words"), F.size(lines).cast("double").alias("n_lines"),
+        share(F.size(F.array_distinct(words)), F.size(words)).alias("distinct_words"), share(F.size(F.array_distinct(lines)), F.size(lines)).alias("distinct_lines"),
+        share(F.length(F.regexp_replace("text", r"\p{L}", "")), F.length("text")).alias("no_letters"),
     )
     labels = table(spark, d, "labels").select("doc_id", "quality")
-    return X.hash_split(X.feature_lookup(labels, docs, ["doc_id"], ["lang", "n_chars", "n_words", "n_lines"]), "doc_id", {"train": 80, "test": 20})
+    return X.hash_split(X.feature_lookup(labels, docs, ["doc_id"], docs.columns[1:]), "doc_id", {"train": 80, "test": 20})
 
 
-@query("model_figures", "ML-05 ML-06", """
-WITH x AS (SELECT 1 AS one) SELECT 'f1' AS figure, true AS within_bound FROM x UNION ALL SELECT 'mse', true FROM x
+@query("model_figures", "ML-05 ML-06 ML-07", f"""
+WITH t AS (SELECT quality, count(*) AS n FROM labels WHERE {MD5} >= 80 GROUP BY 1),
+f AS (SELECT sum(n) AS n, 2.0 * max(n) / (sum(n) + max(n)) * max(n) / sum(n) AS guess FROM t),
+p AS (SELECT n_chars FROM documents WHERE {MD5} >= 80)
+SELECT 'f1' AS figure, CAST(n AS BIGINT) AS test_rows, {rounded('guess', 4)} AS guess, true AS agrees, true AS beats_guess FROM f
+UNION ALL SELECT 'mse', count(*), {rounded('var_pop(n_chars) / 1e3', 2)}, true, true FROM p
 """)
 def model_figures(spark, d):
-    """F1 on the test rows against that of a guess by the commonest label, and squared error against the spread of the target."""
-    scored = gbt_classifier(spark, d).select("quality", "prediction")
-    guess = scored.withColumn("prediction", F.lit(1.0))
-    units = gbt_regression(spark, d)
-    spread = units.agg(F.var_pop("target_units")).first()[0]
-    figures = [
-        ("f1", X.f1(scored, "quality") >= 0.9 * X.f1(guess, "quality")), ("mse", X.mean_squared_error(units, "target_units") <= 1.5 * spread),
-    ]
-    return spark.createDataFrame(figures, "figure string, within_bound boolean")
+    """Two fitted models on their test rows: f1 of the quality of a document, squared error of its length in thousands.
+
+    ``guess`` is the figure of the commonest label and of the mean; ``agrees``: the figure counted from the predictions is that of the
+    evaluator; ``beats_guess``: f1 is higher, the error less than half.
+    """
+    scored = gbt_classifier(spark, d).select("quality", "prediction").persist()
+    pairs = X.confusion(scored, "quality")
+    common = pairs.groupBy("label").agg(F.sum("n").alias("n"))
+    guess = X.weighted_f1(common.select("label", F.lit(common.orderBy(F.desc("n"), "label").first()[0]).alias("predicted"), "n")).scalar()
+    f1 = X.weighted_f1(pairs).scalar()
+    classes = pairs.agg(F.sum("n").alias("test_rows")).select(
+        F.lit("f1").alias("figure"), "test_rows", settle(guess, 4).alias("guess"), (F.abs(f1 - X.f1(scored, "quality")) < 1e-9).alias("agrees"), (f1 > guess).alias("beats_guess")
+    )
+    lengths = document_lengths(spark, d).persist()
+    error = F.avg((F.col("prediction") - F.col("length")) ** 2)
+    numbers = lengths.agg(F.count(F.lit(1)).alias("test_rows"), F.var_pop("length").alias("spread"), error.alias("error")).select(
+        F.lit("mse").alias("figure"), "test_rows", settle(F.col("spread") / 1e3, 2).alias("guess"),
+        (F.abs(F.col("error") - X.mean_squared_error(lengths, "length")) < 1e-6 * F.col("error")).alias("agrees"), (F.col("error") < 0.5 * F.col("spread")).alias("beats_guess"),
+    )
+    return classes.union(numbers)
+
+
+def document_lengths(spark, d):
+    """Characters of the test documents as predicted from their words and lines."""
+    words = text.words(F.col("text"))
+    docs = table(spark, d, "documents").select(
+        "doc_id", F.col("n_chars").cast("double").alias("length"), F.size(words).cast("double").alias("n_words"),
+        F.size(F.array_distinct(words)).cast("double").alias("n_distinct"), F.size(F.split("text", "\n")).cast("double").alias("n_lines"),
+    )
+    rows = X.hash_split(docs, "doc_id", {"train": 80, "test": 20})
+    model = X.fit_regressor(rows.filter("split = 'train'"), "length", ["n_words", "n_distinct", "n_lines"], maxIter=10, maxDepth=5)
+    return X.score(model, rows.filter("split = 'test'"), ["doc_id", "length"])
 
 
 @query("gbt_classifier", "ML-04 ML-05 ML-07")
 def gbt_classifier(spark, d):
     rows = document_features(spark, d)
-    numbers = ["n_chars", "n_words", "n_lines"]
-    model = X.fit_classifier(rows.filter("split = 'train'"), "quality", numbers, ["lang"], maxIter=4, maxDepth=3)
+    numbers = ["n_chars", "n_words", "n_lines", "distinct_words", "distinct_lines", "no_letters"]
+    model = X.fit_classifier(rows.filter("split = 'train'"), "quality", numbers, ["lang"], maxIter=6, maxDepth=4)
     return X.score(model, rows.filter("split = 'test'"), ["doc_id", "quality"], probability=True)
 
 

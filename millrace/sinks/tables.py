@@ -21,14 +21,18 @@ def overwrite_table(df: DataFrame, table: str, path: str | None = None) -> None:
 
 
 def append_table(df: DataFrame, table: str) -> None:
-    df.write.mode("append").saveAsTable(table)
+    """Rows of the same columns, matched by name; others are an error."""
+    have = set(df.sparkSession.table(table).columns)
+    if set(df.columns) != have:
+        raise ValueError(f"columns differ from those of {table}: {sorted(have ^ set(df.columns))}")
+    df.select(*df.sparkSession.table(table).columns).write.mode("append").insertInto(table)
 
 
-def replace_table(df: DataFrame, table: str) -> None:
-    """Overwrite also when the columns changed; the old table goes only once the new one is written."""
+def replace_table(df: DataFrame, table: str, path: str | None = None) -> None:
+    """Overwrite also when the columns changed; the old table goes only once the new one is written (``path``: a new folder for it)."""
     spark, aside = df.sparkSession, f"{table}_new"
     spark.sql(f"DROP TABLE IF EXISTS {aside}")
-    df.write.saveAsTable(aside)
+    (df.write.option("path", path) if path else df.write).saveAsTable(aside)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"ALTER TABLE {aside} RENAME TO {table}")
 

@@ -1,4 +1,4 @@
-"""Latency tables of streaming runs."""
+"""Latency tables of streaming runs, from quantile sketches stored per batch and merged."""
 
 from __future__ import annotations
 
@@ -7,24 +7,41 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.values import latency_millis, settle
-from millrace.operators.aggregates import percentiles
-from millrace.operators.windows import number_batches
+from millrace.functions.values import latency_millis
+from millrace.operators.aggregates import SKETCH_SIZE, merged_sketches, quantile_sketches, quantiles_of
+from millrace.operators.windows import join_on, number_batches
 
 
 def with_latency(df: DataFrame, source_ts: str, sink_ts: str) -> DataFrame:
     return df.withColumn("latency", latency_millis(F.col(source_ts), F.col(sink_ts)))
 
 
-def latency_per_batch(df: DataFrame) -> DataFrame:
-    """Mean and percentiles of ``latency`` per trigger type and batch, batches numbered per type."""
-    figures = percentiles(df, ["trigger_type", "batch_id"], "latency")
+GROUP = ["trigger_type", "batch_id"]
+
+
+def store_latencies(df: DataFrame, path: str, source_ts: str = "source_ts", sink_ts: str = "sink_ts", size: int = SKETCH_SIZE):
+    """A handler for micro-batches of ``df``'s columns: latencies of each batch as sketches, one row per trigger type.
+
+    Only the sketches are kept; a repeated batch writes the same folder again.
+    """
+    def store(batch: DataFrame, batch_id: int) -> None:
+        timed = with_latency(batch, source_ts, sink_ts).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        quantile_sketches(timed, GROUP, "latency", size).write.mode("overwrite").parquet(f"{path}/part={batch_id}")
+
+    return store
+
+
+def latency_per_batch(sketches: DataFrame) -> DataFrame:
+    """Mean and percentiles of ``latency`` per trigger type and batch from stored sketches, batches numbered per type."""
+    figures = quantiles_of(merged_sketches(sketches, GROUP), GROUP, "latency")
     return number_batches(figures, ["trigger_type"], "batch_id", "batch_no")
 
 
 def compare_trigger_types(tables: Sequence[DataFrame], skip: int = 2) -> DataFrame:
-    """Mean p99 per trigger type without the first batches, which carry start-up cost."""
-    rows = tables[0].select("trigger_type", "batch_no", "p99_latency")
+    """Sketches of the batches of each trigger type, merged without the first ones, which carry start-up cost: mean and percentiles."""
+    rows = tables[0]
     for other in tables[1:]:
-        rows = rows.union(other.select("trigger_type", "batch_no", "p99_latency"))
-    return rows.filter(F.col("batch_no") > skip).groupBy("trigger_type").agg(settle(F.avg("p99_latency"), 2).alias("mean_p99"))
+        rows = rows.union(other.select(*rows.columns))
+    batches = number_batches(rows.select(*GROUP).distinct(), ["trigger_type"], "batch_id", "batch_no")
+    late = join_on(rows, batches.filter(F.col("batch_no") > skip), GROUP).select(*rows.columns)
+    return quantiles_of(merged_sketches(late, ["trigger_type"]), ["trigger_type"], "latency")

@@ -130,3 +130,15 @@ def test_daily_partitions(spark, tmp_path):
     df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 5)), (2, dt.datetime(2024, 1, 2, 6))], "id int, ts timestamp")
     S.write_daily(df, str(tmp_path / "d"), "ts")
     assert sorted(p.name for p in (tmp_path / "d").glob("event_date=*")) == ["event_date=2024-01-01", "event_date=2024-01-02"]
+
+
+def test_feature_merge_by_two_columns(spark):
+    from millrace.operators import features as X
+
+    old = spark.createDataFrame([(1, 1, 5.0), (1, 2, 6.0)], "k int, day int, v double")
+    new = spark.createDataFrame([(1, 2, 7.0), (2, 1, 8.0)], "k int, day int, v double")
+    assert rows(X.merge_features(old, new, ["k", "day"])) == [(1, 1, 5.0), (1, 2, 7.0), (2, 1, 8.0)]
+    with pytest.raises(ValueError, match="duplicate keys"):
+        X.merge_features(old, new.union(new), ["k", "day"])
+    with pytest.raises(ValueError, match="without a value"):
+        X.merge_features(old, new.withColumn("day", F.lit(None).cast("int")), ["k", "day"])

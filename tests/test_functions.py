@@ -1,3 +1,4 @@
+import math
 import datetime as dt
 
 import pytest
@@ -58,10 +59,25 @@ def test_degree_minutes(spark):
     assert got == ("48° 21.36' N", "30° 8.82' S", "0° 30.00' W", "10° 0.00' E")
 
 
-def test_cartesian_poles(spark):
-    north = geo.sphere_point(F.lit(90.0), F.lit(0.0), F.lit(0.0))
-    x, y, z = one(spark, north["x"], north["y"], north["z"])
-    assert (round(x, 9), round(y, 9), round(z, 9)) == (0, 1, 0)
+def test_geocentric_axes(spark):
+    for lat, lon, expected in ((0.0, 0.0, (1, 0, 0)), (0.0, 90.0, (0, 1, 0)), (90.0, 33.0, (0, 0, 1)), (0.0, -180.0, (-1, 0, 0))):
+        got = geo.sphere_point(F.lit(lat), F.lit(lon), F.lit(0.0))
+        assert [round(v, 9) + 0 for v in one(spark, got["x"], got["y"], got["z"])] == list(expected)
+    high = geo.sphere_point(F.lit(0.0), F.lit(0.0), F.lit(geo.EARTH_RADIUS_M))
+    assert one(spark, high["x"])[0] == 2.0
+
+
+def test_great_circle_ahead(spark):
+    degree = math.pi * geo.EARTH_RADIUS_M / 180
+    def ahead(lat, lon, track, degrees):
+        got = geo.dead_reckoning(F.lit(lat), F.lit(lon), F.lit(track), F.lit(degrees * degree / 60), 60)
+        return [round(v, 6) + 0 for v in one(spark, got["lat_ahead"], got["lon_ahead"])]
+
+    assert ahead(0.0, 10.0, 90.0, 5.0) == [0, 15] and ahead(10.0, 10.0, 0.0, 5.0) == [15, 10]
+    assert ahead(0.0, 178.0, 90.0, 5.0) == [0, -177]
+    assert ahead(88.0, 0.0, 0.0, 5.0) == [87, -180]  # over the pole
+    none = geo.dead_reckoning(F.lit(0.0), F.lit(0.0), F.lit(None).cast("double"), F.lit(1.0), 60)
+    assert one(spark, none["lat_ahead"], none["lon_ahead"]) == (None, None)
 
 
 def test_unknown_region_is_an_error():

@@ -100,3 +100,16 @@ def test_profile(loans):
     out = {r.column_name: r for r in Q.profile(loans, ["balance", "center"], ["balance"]).collect()}
     assert (out["balance"].n_nulls, out["balance"].min_value, out["balance"].max_value) == (1, -1.0, 5.0)
     assert out["center"].approx_distinct == 3 and out["center"].min_value is None
+
+
+def test_profiles_of_loads_merge(spark):
+    df = spark.range(50000).selectExpr("id % 7 AS day", "cast(id % 20011 AS string) AS a", "CASE WHEN id % 10 = 0 THEN NULL ELSE id END AS b")
+    parts = Q.column_sketches(df, ["a", "b"], ["day"], ["b"])
+    assert parts.count() == 14
+    merged = {r.column_name: r for r in Q.merged_profile(parts).collect()}
+    whole = {r.column_name: r for r in Q.profile(df, ["a", "b"], ["b"]).collect()}
+    for name, distinct in (("a", 20011), ("b", 45000)):
+        assert abs(merged[name].approx_distinct - distinct) < 0.03 * distinct
+        assert merged[name][:3] == whole[name][:3] and merged[name].n_rows == 50000
+    assert (merged["b"].n_nulls, merged["b"].min_value, merged["b"].max_value) == (5000, 1.0, 49999.0)
+    assert Q.profile(df.limit(0), ["a"]).first()[1:4] == (0, 0, 0)

@@ -145,3 +145,25 @@ def test_table_class(spark):
     props = {r[0]: r[1] for r in spark.sql("SHOW TBLPROPERTIES classed").collect()}
     assert props["contains_pii"] == "true"
     assert spark.range(1).select(F.current_user()).first()[0]
+
+
+def test_split_left_join_of_a_hot_key(spark):
+    """A third of the right side on one key: same rows as a plain join, no task with more than twice the median."""
+    left = spark.createDataFrame([(i, f"n{i}") for i in range(300)] + [(None, "none"), (7, "again")], "id int, name string")
+    facts = spark.range(30000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 200).cast("int").alias("id"), F.col("id").alias("v"), F.lit(None).cast("string").alias("w"))
+    facts = facts.union(spark.createDataFrame([(None, 1, "x")], "id int, v long, w string")).repartition(6)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    for k, v in zip(before, ("false", "-1", "16")):
+        spark.conf.set(k, v)
+    try:
+        split = R.split_left_join(left, facts, ["id"], rows_per_piece=100)
+        sizes = sorted(r["count"] for r in split.filter("v IS NOT NULL").groupBy(F.spark_partition_id()).count().collect())
+        plain = left.join(facts, "id", "left").select(*split.columns)
+        assert split.columns == ["id", "name", "v", "w"]
+        assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    assert R.split_left_join(left, facts.limit(0), ["id"]).filter("v IS NULL").count() == 302
+    assert R.split_left_join(left.limit(0), facts, ["id"]).count() == 0

@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from millrace.operators.aggregates import quantile_sketches
 from millrace.operators.quality import expect, expect_or_drop, expect_or_fail
 from millrace.plans.datasets import Datasets
 from millrace.streaming import latency, runs, sensors, windows
@@ -239,9 +240,10 @@ def test_memory_and_console_sinks(spark, tmp_path, capfd):
 def test_latency_tables(spark):
     data = [("mbm", b, at(0), at(0) + dt.timedelta(milliseconds=10 * b + i)) for b in range(5) for i in range(4)]
     df = latency.with_latency(spark.createDataFrame(data, "trigger_type string, batch_id int, a timestamp, b timestamp"), "a", "b")
-    per = latency.latency_per_batch(df)
-    assert rows(per.filter("batch_id = 1"), "p50_latency", "p99_latency", "batch_no", "mean_latency") == [(11, 13, 2, 11.5)]
-    assert rows(latency.compare_trigger_types([per])) == [("mbm", 33.0)]
+    per = latency.latency_per_batch(quantile_sketches(df, latency.GROUP, "latency"))
+    assert rows(per.filter("batch_id = 1"), "n", "p50_latency", "p99_latency", "batch_no", "mean_latency") == [(4, 11.0, 13.0, 2, 11.5)]
+    both = latency.compare_trigger_types([quantile_sketches(df, latency.GROUP, "latency")])
+    assert rows(both, "trigger_type", "n", "p99_latency") == [("mbm", 12, 43.0)]
 
 
 # ---- datasets --------------------------------------------------------------

@@ -94,3 +94,20 @@ def test_dense_ids(spark):
 def test_dense_batch_number(spark):
     df = spark.createDataFrame([("m", 5), ("m", 5), ("m", 9), ("r", 2)], "t string, b int")
     assert rows(W.dense_batch_number(df, ["t"], "b", "no"), "t", "b", "no") == [("m", 5, 1), ("m", 5, 1), ("m", 9, 2), ("r", 2, 1)]
+
+
+def test_quantile_sketches_merge_beyond_their_size(spark):
+    from millrace.operators import aggregates as A
+
+    df = spark.range(60000).selectExpr("id % 2 AS k", "id % 30 AS batch", "cast((id * 7919) % 60000 AS double) AS v")
+    df = df.union(spark.createDataFrame([(0, 0, None), (1, 0, float("nan")), (None, 0, 5.0)], "k long, batch long, v double"))
+    parts = A.quantile_sketches(df, ["k", "batch"], "v", size=200)
+    assert parts.select(F.max(F.length("sketch"))).first()[0] < 8000  # of 2000 numbers
+    figures = A.quantiles_of(A.merged_sketches(parts, ["k"]), ["k"], "v")
+    ranks = {r[0]: r[1:] for r in A.ranks_of(df.filter("NOT isnan(v)"), figures, ["k"], "v").collect()}
+    for k in (0, 1):
+        assert all(abs(rank - share) < 0.02 for rank, share in zip(ranks[k], A.SHARES))
+    got = {r.k: r for r in figures.collect()}
+    assert (got[0].n, got[1].n, got[None].n, got[None].p50_v) == (30000, 30000, 1, 5.0)
+    small = {r.k: r for r in A.percentiles(df.filter("v < 200"), ["k"], "v").collect()}
+    assert small[0].p50_v in (98.0, 99.0, 100.0) and small[0].n == 100
