@@ -105,3 +105,10 @@ class Lexicon:
 
     def ids_of(self, rank: int) -> list[int]:
         return self.ids[self.offsets[rank] : self.offsets[rank + 1]].tolist()
+
+    def ids_of_all(self, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some ranks one after the other, and how many each has."""
+        sizes = self.offsets[ranks + 1] - self.offsets[ranks]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.arange(total) + np.repeat(self.offsets[ranks] - (ends - sizes), sizes)].astype(np.uint32), sizes

@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.splitting import portions
+from millrace.llm.pretokens import portions
 
 UNITS = regex.compile(r"([\x20\x09-\x0D]*+[^\x20\x09-\x0D]++|[\x20\x09-\x0D]++)*+")
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"

@@ -5,8 +5,8 @@ A block holds ``BLOCK`` ids, each in the bits that the largest id of the vocabul
 a byte, so any range of ids is read by unpacking the blocks it touches, with array operations.
 
 A dataset is a Parquet folder with one segment per row (written and read by Spark, so it lies in any store Spark reaches):
-texts are range-partitioned and sorted by document id, each task encodes its texts with the tokenizers library (a word that
-came before is remembered) and appends segments of about ``SEGMENT`` ids; a document is never split.  Segments know their place within their partition, so the place
+texts are range-partitioned and sorted by document id, each task cuts its texts into words by array operations, encodes words that
+it has not seen before with the tokenizers library, and appends segments of about ``SEGMENT`` ids; a document is never split.  Segments know their place within their partition, so the place
 of every id in the whole corpus follows from one total per partition.
 
 Defined results: a null or empty text is only the end id; rows with one id stand next to each other, ordered by text; rows
@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
 from functools import lru_cache
 from pathlib import Path
@@ -29,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.splitting import LETTERS, NUMBERS, SPACES, Remembered, plain, portions, special_pattern
+from millrace.llm.pretokens import Ids, Known, Pretokens, flat_ids, portions, special_pattern, with_whole_texts
 
 MAGIC = 0x4B43415053444954
 BLOCK = 4096
@@ -93,14 +92,12 @@ class Segment:
         return np.concatenate(parts)[start - first * self.block : end - first * self.block]
 
 
-#: The words of byte-level vocabularies, for plain texts.
-WORDS = re.compile(
-    f"'(?:s|t|re|ve|m|ll|d)| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
-)
+#: Words that a process remembers, at about 40 bytes a word.
+REMEMBERED = 1_500_000
 
 
 class Encoder:
-    """The tokenizers library; of plain texts it sees each word once, of others the whole text."""
+    """The tokenizers library, which sees each word once; texts with a special token go to it whole."""
 
     def __init__(self, text: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -110,18 +107,20 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = special_pattern(json.loads(text)["added_tokens"])
-        self.words = Remembered(self.library)
+        self.known = Known(REMEMBERED)
 
-    def library(self, texts: list[str]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(c.ids, "<u4").tobytes() for c in coded]
+    def library(self, texts: list[str]) -> Ids:
+        return flat_ids([c.ids for c in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as bytes of 32-bit integers."""
-        split = [WORDS.findall(t) if plain(t, self.special) else None for t in texts]
-        known = self.words.of(split)
-        whole = iter(self.library([t for t, words in zip(texts, split) if words is None]))
-        return [b"".join([known[w] for w in words]) if words is not None else next(whole) for words in split]
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and the place of the first one of each (one more entry than texts)."""
+        whole = [i for i, t in enumerate(texts) if self.special.search(t)]
+        if whole:
+            flat, sizes = self.library([texts[i] for i in whole])
+            apart = dict(zip(whole, np.split(flat, np.cumsum(sizes)[:-1])))
+            texts = ["" if i in apart else t for i, t in enumerate(texts)]
+        ids, offsets = Pretokens(texts, lower=False).ids(self.known, self.library, self.library)
+        return with_whole_texts(ids, offsets, apart) if whole else (ids, offsets)
 
 
 @lru_cache(maxsize=1)
@@ -141,13 +140,13 @@ def write_packed(docs: DataFrame, tokenizer_path: str, path: str, id_col: str =
     shipped = docs.sparkSession.sparkContext.broadcast(text)  # a vocabulary file: its size does not depend on the data
 
     def packed(batches):
-        encoder, part, end_mark = _encoder(shipped.value), TaskContext.get().partitionId(), np.array([end_id], "<u4").tobytes()
+        encoder, part = _encoder(shipped.value), TaskContext.get().partitionId()
         seq = begun = size = 0
         doc_ids, counts, ids = [], [], []
 
         def segment():
             nonlocal seq, begun, size
-            data = write_segment(np.array(doc_ids, np.int64), np.array(counts, np.int64), np.frombuffer(b"".join(ids), "<u4"), bits)
+            data = write_segment(np.concatenate(doc_ids), np.concatenate(counts), np.concatenate(ids), bits)
             row = pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([begun], pa.int64()), pa.array([size], pa.int64()), pa.array([data], pa.binary())],
                 names=["part", "seq", "start", "n_ids", "data"],
@@ -157,13 +156,21 @@ def write_packed(docs: DataFrame, tokenizer_path: str, path: str, id_col: str =
             return row
 
         for batch in batches:
-            keys = pc.fill_null(batch.column(0), NULL_ID).to_pylist()
+            keys = pc.fill_null(batch.column(0), NULL_ID).to_numpy(zero_copy_only=False)
             texts = pc.fill_null(batch.column(1), "").to_pylist()
             for row, end in portions(texts):
-                for key, coded in zip(keys[row:end], encoder.encode(texts[row:end])):
-                    count = len(coded) // 4 + 1
-                    doc_ids.append(key), counts.append(count), ids.append(coded + end_mark)
-                    size += count
+                coded, offsets = encoder.encode(texts[row:end])
+                # The end id goes after each document.
+                coded = np.insert(coded, offsets[1:], end_id)
+                offsets = offsets + np.arange(len(offsets))
+                at = 0
+                while at < end - row:
+                    # As many documents as make the segment long enough, at least one.
+                    to = min(end - row, int(np.searchsorted(offsets, offsets[at] + SEGMENT - size, "left")))
+                    to = max(to, at + 1)
+                    doc_ids.append(keys[row + at : row + to]), counts.append(np.diff(offsets[at : to + 1])), ids.append(coded[offsets[at] : offsets[to]])
+                    size += int(offsets[to] - offsets[at])
+                    at = to
                     if size >= SEGMENT:
                         yield segment()
         if size:

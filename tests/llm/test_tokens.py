@@ -31,6 +31,81 @@ def odd_texts(n):
 TEXTS = [None, "", " ", "The quick brown fox's 123", "word " * 30000, "same", "same", *odd_texts(300)]
 
 
+POOLS = ["abc 'stredvml \n  ", "αβγ Ωςσ ’“”—…€", "中文字 カナ ", "\u2003\u3000 \t", "éàçüß ½²", "🙂👍\u200d\u0301", "1234 ٣४", "\x1c\x1d\u0085\u180e"]
+
+
+def mixed_texts(n):
+    rng = random.Random(3)
+
+    def one():
+        pools = [rng.choice(POOLS) for _ in range(rng.randint(0, 12))]
+        return "".join(rng.choice(p) for p in pools for _ in range(rng.randint(1, 6)))
+
+    every = [f"{chr(c)}a {chr(c)} 'b" for c in range(0x3000)]
+    return [one() for _ in range(n)] + every + ["IT'S it'LL 'tis ''s", "aaaa aaaaaa aaa", "İstanbul SİĞ", "e\u0301 \u1100\u1161", ""]
+
+
+def by_parts(encode, texts):
+    """Lists of ids of the texts from an encoder that gives ids and offsets."""
+    out = []
+    for at in range(0, len(texts), 500):
+        ids, offsets = encode(texts[at : at + 500])
+        out += [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])]
+    return out
+
+
+def test_every_character_is_cut_as_the_library_does():
+    texts = mixed_texts(3000) + ["x <|endoftext|>  y", "<|endoftext|>"]
+    encoder = packed.Encoder(open(vocabulary("byte_bpe_50k.json")).read())
+    tokenizer = library("byte_bpe_50k.json")
+    expected = [c.ids for c in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert by_parts(encoder.encode, texts) == expected
+    # The same with few words remembered, so that some are forgotten and met again.
+    encoder.known = packed.Known(50)
+    assert by_parts(encoder.encode, texts) == expected
+
+
+def test_only_special_tokens_and_young_characters_go_to_the_library():
+    model = bpe.WordBpe(open(vocabulary("word_bpe_49k.json")).read())
+    tokenizer, asked, real = library("word_bpe_49k.json"), [], model.by_library
+
+    def counted(texts):
+        asked.extend(texts)
+        return real(texts)
+
+    def encode(texts):
+        split, whole = model.pretokens(texts)
+        assert whole == [i for i, t in enumerate(texts) if "<|" in t]
+        known = bpe.Known(100_000)
+        return split.ids(known, lambda words: model.merged([w.encode() for w in words]), counted)
+
+    plain = ["“Curly” quotes — dashes… 5 €", "Ελληνικά και ΣΊΓΜΑ", "中文 字符，。", "Тест русского", "naïve café’s", "word " * 3000, "ﬁne ½ ² №"]
+    assert by_parts(encode, plain) == [c.ids for c in tokenizer.encode_batch(plain, add_special_tokens=False)]
+    assert asked == []
+    mixed = mixed_texts(2000)
+    assert by_parts(encode, mixed) == [c.ids for c in tokenizer.encode_batch(mixed, add_special_tokens=False)]
+    by_parts(encode, ["smile 🙂 there", "<|endoftext|> x"])
+    assert asked[-1] == "🙂"
+
+
+def test_words_merged_side_by_side_equal_one_by_one():
+    model = bpe.WordBpe(open(vocabulary("word_bpe_49k.json")).read())
+    pairs = {int(k): (int(r), int(m)) for k, r, m in zip(model.pairs, model.ranks, model.made)}
+    rng, n = random.Random(9), len(model.tokens)
+    words = [("".join(rng.choice("aabcdelnorst") for _ in range(rng.randint(1, 14)))).encode() for _ in range(800)] + [b"a" * 200, b"a"]
+    flat, sizes = model.merged(words)
+    for word, got in zip(words, np.split(flat, np.cumsum(sizes)[:-1])):
+        ids = [*model.inner[list(word[:-1])].tolist(), int(model.final[word[-1]])]
+        while True:
+            found = [(pairs[a * n + b][0], i) for i, (a, b) in enumerate(zip(ids, ids[1:])) if a * n + b in pairs]
+            if not found:
+                break
+            i = min(found)[1]
+            ids[i : i + 2] = [pairs[ids[i] * n + ids[i + 1]][1]]
+        assert got.tolist() == ids, word
+    assert [len(x) for x in model.merged([])] == [0, 0]
+
+
 def test_lexicon_holds_its_words_and_no_others(tmp_path):
     rng = random.Random(5)
     words = {("".join(rng.choice("abé") for _ in range(rng.randint(1, 7)))).encode() for _ in range(400)}
