@@ -15,8 +15,14 @@ def block_pairs(rows: DataFrame, key: str, member: str | Column, sizes: DataFram
 
     ``sizes`` has the number of rows, n, of every key.  A member's block is a hash of the member, so it is the same in each pair.
     """
+    dealt = rows.join(sizes.select(key, F.ceil(F.col("n") / block).cast("int").alias("_count")), key)
+    return block_number(dealt, member, F.col("_count"), block).drop("_count")
+
+
+def block_number(rows: DataFrame, member: str | Column, blocks: Column, block: int) -> DataFrame:
+    """The same where the number of blocks of a row's key is known."""
     member = F.col(member) if isinstance(member, str) else member
-    dealt = rows.join(sizes.select(key, F.ceil(F.col("n") / block).cast("int").alias("_blocks")), key)
+    dealt = rows.withColumn("_blocks", blocks)
     own = F.pmod(F.xxhash64(member, F.lit(block)), F.col("_blocks")).cast("int")
     return (
         dealt.withColumn("_own", own)

@@ -175,21 +175,77 @@ def test_near_vectors_against_all_pairs(spark, monkeypatch):
     assert capfilters.near_vectors(frame.limit(0)).count() == 0
 
 
-def test_decoding_lists_all_filters_that_are_passed():
-    plan = capfilters.Plan(24, 0.5)
+@pytest.mark.parametrize("parts, words", [(1, 9), (2, 20), (3, 8)])
+def test_decoding_lists_all_filters_that_are_passed(parts, words):
+    plan = capfilters.Plan(24, parts, words, 0.35)
     x = np.random.default_rng(1).standard_normal((20, 24))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     rows, found = capfilters.decoded(plan, x)
-    n, expected = plan.codewords, []
+    turns, edges, codewords = capfilters.codes(24, parts, words)
+    expected = []
     for i, v in enumerate(x):
-        for table in range(capfilters.TABLES):
-            rotation, first, second = capfilters.codes(24, n, table)
-            y = v @ rotation
-            a, b = np.nonzero((first @ y[:12])[:, None] + (second @ y[12:])[None, :] >= 0.5 * np.sqrt(2))
-            expected += [(i, (table * n + p) * n + q) for p, q in zip(a, b)]
+        for table, (order, signs) in enumerate(turns):
+            y = (v * signs)[order]
+            sums, code = np.zeros(1), np.array([table])
+            for k in range(parts):
+                own = codewords[k] @ y[edges[k] : edges[k + 1]]
+                sums, code = (sums[:, None] + own).ravel(), (code[:, None] * words + np.arange(words)).ravel()
+            expected += [(i, c) for c in code[sums >= plan.least]]
     assert list(zip(rows.tolist(), found.tolist())) == sorted(expected)
 
 
+@pytest.mark.parametrize("dim", [64, 256])
+def test_pairs_at_the_threshold_share_a_filter(dim):
+    """Recall of fresh pairs at exactly 0.9, and as many filters per vector for ten times the vectors."""
+    rng = np.random.default_rng(99)
+    a, b = rng.standard_normal((2, 1500, dim))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b = 0.9 * a + np.sqrt(0.19) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    filters, met = [], []
+    for n in (3000, 30000):
+        plan = capfilters.with_alpha(capfilters.shape_of(dim, n), 0.9)
+        sides = [capfilters.decoded(plan, x) for x in (a, b)]
+        together = np.intersect1d(*(r * (1 << 40) + f for r, f in sides))
+        filters.append(len(sides[0][0]) / len(a))
+        met.append(len(np.unique(together >> 40)) / len(a))
+    assert min(met) >= 0.998
+    assert filters[1] <= 1.6 * filters[0] <= 200
+
+
+def test_a_dense_group_and_planted_links_in_many_vectors(spark):
+    """One group of near vectors with a block border in it, pairs at many similarities, the rest far from all: every link counted once."""
+    rng = np.random.default_rng(12)
+    dense = rng.standard_normal(64) + 0.15 * rng.standard_normal((1300, 64))
+    left = rng.standard_normal((400, 64))
+    left /= np.linalg.norm(left, axis=1, keepdims=True)
+    other = rng.standard_normal((400, 64))
+    other -= (left * other).sum(axis=1, keepdims=True) * left
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    t = np.linspace(0.86, 0.99, 400)[:, None]
+    x = np.concatenate([dense, left, t * left + np.sqrt(1 - t * t) * other, rng.standard_normal((2000, 64))])
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = np.triu(unit @ unit.T >= 0.9, 1)
+    degree = near.sum(axis=0) + near.sum(axis=1)
+    roots = classes(range(len(x)), zip(*np.nonzero(near)))
+    got = {r.vec_id: r for r in capfilters.near_vectors(frame).collect()}
+    assert all(got[i].n_links <= degree[i] for i in range(len(x)))
+    assert sum(r.n_links for r in got.values()) >= 0.999 * degree.sum()
+    assert sum(got[i].component_id != roots[i] for i in range(len(x))) <= 4
+
+
+def test_earlier_filters_by_matrix_and_by_pair_agree():
+    rng = np.random.default_rng(5)
+    lists = [np.sort(rng.choice(60 if i % 2 else 4000, rng.integers(0, 12), replace=False)) for i in range(90)]
+    flat, first = np.concatenate(lists), np.append(0, np.cumsum([len(x) for x in lists]))
+    matrix = capfilters.met_matrix(flat, first)
+    p, q = np.triu_indices(90, 1)
+    expected = [bool(set(lists[i]) & set(lists[j])) for i, j in zip(p, q)]
+    assert capfilters.met_before(p, q, flat, first).tolist() == expected
+    assert matrix[p, q].tolist() == expected and (matrix == matrix.T)[p, q].all()
+
+
 def test_short_near_copies_share_a_band_as_often_as_stated():
     rng, n = np.random.default_rng(7), 20000
     grams = rng.integers(1, 1 << 62, (n, 5)).astype(np.uint64)
