@@ -2,8 +2,9 @@
 
 This is a small tolerant reader, not a full parser: tags are found by a pattern, elements that a new block closes are closed
 (``p``, list items, table cells), an end tag without its start is ignored, inline tags do not part a block.
-Quotes delimit a value only after an equals sign; an element that is left out but has no end tag hides nothing, unless it is
-``script``, ``style``, ``textarea`` or ``title``; formulas are text.
+Quotes delimit a value only after an equals sign; a ``<`` that no ``>`` closes before the next ``<`` is text.  An element that is left
+out ends with the end tag of its own depth; without one it hides nothing, unless it is ``script``, ``style``, ``textarea`` or
+``title``; formulas are text.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import re
 from dataclasses import dataclass
 from html import unescape
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>|<[!?][^>]*>", re.S)
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/<>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^<>])*+)>|<[!?][^>]*>", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z_:-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 
 # Elements as HTML sorts them.
@@ -58,6 +59,19 @@ def marks_of(attributes: str) -> tuple[str, ...]:
     return tuple(dict.fromkeys(found))
 
 
+def _end_of(html: str, tag: str, at: int) -> int | None:
+    """Where the element ends whose start tag ends at ``at``; elements of the same name in it are passed, unless it holds none."""
+    depth = 1
+    for found in re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^<>]*>", re.I).finditer(html, at):
+        if found.group(1):
+            depth -= 1
+            if depth == 0 or tag in RAW:
+                return found.end()
+        elif tag not in RAW and not found.group(0).endswith("/>"):
+            depth += 1
+    return None
+
+
 def blocks_of(html: str) -> list[Block]:
     """The blocks of a whole page in page order; blocks without text are left out."""
     out: list[Block] = []
@@ -89,9 +103,9 @@ def blocks_of(html: str) -> list[Block]:
         tag, closing = found.group(2).lower(), found.group(1) == "/"
         if tag in SILENT:
             if not closing and not found.group(3).endswith("/") and tag not in endless:
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
-                if end:
-                    at = end.end()
+                end = _end_of(html, tag, at)
+                if end is not None:
+                    at = end
                 elif tag in RAW:
                     at = len(html)
                 else:

@@ -1,14 +1,15 @@
 """Main text of web pages: a linear-chain conditional random field over the leaf blocks of the page.
 
 A block's features are the tags and the words of class, id and role of the elements around it, and what its text is like: length,
-share inside links, signs at its end, repetition of a path.  The field has weights for features and for the step from one block to the next,
+share inside links, signs at its end, repetition of a path, and how much of the page's text its container holds.  The field has weights for features and for the step from one block to the next,
 apart for blocks of one container and others.  It is trained in numpy by maximum likelihood (forward-backward, Adam) on
 labelled pages that ``labelled_pages`` lays out: articles in many containers, with menus, headers, footers, sidebars, notices,
 adverts, forms and reader comments around and inside them.  Viterbi gives the labels; the blocks labelled as main text are
 joined by a line feed.
 
 Defined results: a null or empty page has no blocks and an empty text; every row of repeated pages gets its text; a page of
-any length is handled whole; an empty table gives an empty result; further columns are kept, those named like a result column are replaced.
+any length is handled whole; of labellings that are equally likely the one with fewer blocks is taken; an empty table gives an empty result;
+further columns are kept, those named like a result column, in whatever case, are replaced.
 """
 
 from __future__ import annotations
@@ -23,8 +24,11 @@ from pyspark.sql import DataFrame
 
 from millrace.llm.dom import Block, blocks_of
 
-PAGES = 500
+PAGES = 1000
 ROUNDS = 120
+#: Shares of laid-out pages with a very short article, an article without an element of its own, one whose element has a misleading name, and
+#: nothing beside the article.
+SHORT, BARE, MISLEADING, ALONE = 0.15, 0.12, 0.3, 0.1
 
 # How pages name their parts.
 MAIN_MARKS = "content article post entry body story main text page blog single news maincontent detail".split()
@@ -45,8 +49,35 @@ BLOCK_TAGS = {"menu": ["nav", "div", "ul"], "head": ["header", "div"], "foot": [
               "comments": ["section", "div", "ol"], "share": ["div", "ul"]}
 
 
-def features(block: Block, before: Block | None, place: float) -> list[str]:
-    return [*path_features(block.path), *text_features(block, before, place)]
+#: Elements that stand for a piece of a container, not for one.
+PIECES = set("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table tbody thead tr td th figure figcaption caption".split())
+
+
+def container(path: tuple) -> tuple:
+    """The elements around a block without those that only part its text."""
+    end = len(path)
+    while end and path[end - 1].tag in PIECES and not path[end - 1].marks:
+        end -= 1
+    return path[:end]
+
+
+def features(blocks: list[Block]) -> list[list[str]]:
+    """The features of every block of a page."""
+    homes = [container(b.path) for b in blocks]
+    held: dict[tuple, int] = {}
+    for home, b in zip(homes, blocks):
+        held[home] = held.get(home, 0) + len(b.text) - b.linked
+    total, most = max(1, sum(held.values())), max(held.values(), default=0)
+    shares = {
+        # A name means less on an element that holds much of the page.
+        home: (f"holds:{int(4 * n / total)}", *(["most"] if n == most else []), *(f"{'big' if 4 * n >= total else 'small'}:{m}" for e in home[-1:] for m in e.marks))
+        for home, n in held.items()
+    }
+    out, before = [], None
+    for i, (home, b) in enumerate(zip(homes, blocks)):
+        out.append([*path_features(b.path), *text_features(b, before, i), *shares[home]])
+        before = b
+    return out
 
 
 @lru_cache(maxsize=20_000)
@@ -111,7 +142,9 @@ class Layout:
     def other(self, kind: str) -> str:
         tag = self.r.choice(BLOCK_TAGS[kind])
         plain = tag in ("div", "section", "ul", "ol", "dialog")
-        marks = self.marks(OTHER_MARKS[kind], 1.0 if plain else 0.4)
+        # Boxes are often called after what they stand beside: main-menu, page-footer, article-tools.
+        names = OTHER_MARKS[kind] if self.r.random() < 0.75 else [*self.r.sample(OTHER_MARKS[kind], 1), self.r.choice(MAIN_MARKS)]
+        marks = self.marks(names, 1.0 if plain else 0.4)
         p = lambda low, high: f"<p>{escape(self.sentence(low, high))}</p>"
         if kind == "menu":
             inside = self.links(2, 9)
@@ -120,7 +153,7 @@ class Layout:
         elif kind == "foot":
             inside = self.r.choice([f"&copy; {self.words(1, 3)} &middot; {escape(self.sentence(1, 12))}", p(2, 14) + p(1, 6), self.links(2, 6) + p(2, 9), "<p>&copy; 2024 " + self.words(1, 4) + "</p>"])
         elif kind == "side":
-            inside = f"<h3>{escape(self.words(1, 3))}</h3>" + self.r.choice([self.links(2, 7), p(3, 20), p(5, 20) + self.links(1, 4)])
+            inside = f"<{(h := self.r.choice(['h2', 'h3', 'h4']))}>{escape(self.words(1, 3))}</{h}>" + self.r.choice([self.links(2, 7), p(3, 20), p(5, 20) + self.links(1, 4)])
         elif kind == "notice":
             inside = self.r.choice([p(4, 25), escape(self.sentence(4, 25))]) + self.r.choice(["", "<button>OK</button>", '<a href="#">more</a>'])
         elif kind == "advert":
@@ -134,14 +167,18 @@ class Layout:
                 made = one()
                 inside += made + f"</{made[1:].split(' ')[0].split('>')[0]}>"
         else:
-            inside = self.links(2, 5)
+            inside = self.r.choice([self.links(2, 5), self.links(2, 5), escape(self.words(1, 5)), "".join(f"<span>{self.words(1, 2)}</span> " for _ in range(self.r.randint(2, 4)))])
         return f"<{tag}{marks}>{inside}</{tag}>"
 
     def article(self) -> str:
         """The main text; its blocks stand between \\x01 and \\x02."""
         said = lambda x: f"\x01{escape(x)}\x02"
-        parts = [f"<h1>{said(self.words(2, 10))}</h1>"] if self.r.random() < 0.8 else []
-        for _ in range(self.r.choice([1, 1, 2, 3, 5, 8, 14])):
+        short = self.r.random() < SHORT
+        parts = [f"<h1>{said(self.words(2, 10))}</h1>"] if self.r.random() < (0.2 if short else 0.8) else []
+        for _ in range(1 if short else self.r.choice([1, 1, 2, 3, 5, 8, 14])):
+            if short:
+                parts.append(f"<p>{said(self.sentence(1, 5))}</p>")
+                continue
             what = self.r.random()
             if what < 0.75:
                 text = self.paragraph()
@@ -154,11 +191,16 @@ class Layout:
                 parts.append("<table>" + "".join(f"<tr><td>{said(self.words(1, 4))}</td><td>{said(self.words(1, 3))}</td></tr>" for _ in range(self.r.randint(1, 4))) + "</table>")
             else:
                 parts.append(f"<blockquote>{said(self.paragraph())}</blockquote>")
-            if self.r.random() < 0.07:
-                parts.append(self.other(self.r.choice(["advert", "share", "side", "form", "notice"])))
+            if self.r.random() < 0.15:
+                parts.append(self.other(self.r.choice(["advert", "share", "share", "share", "side", "form", "notice"])))
         tag = self.r.choice(["article", "article", "main", "div", "div", "section", "td"])
         marks = self.marks(MAIN_MARKS, 0.3 if tag in ("article", "main") else 0.9)
         inside = "".join(parts)
+        if self.r.random() < BARE:
+            return inside
+        if tag in ("article", "main") and self.r.random() < MISLEADING:
+            # An article's own element may be called like something else.
+            marks = self.marks(OTHER_MARKS[self.r.choice(sorted(OTHER_MARKS))], 1.0)
         return f"<table><tr><td{marks}>{inside}</td></tr></table>" if tag == "td" else f"<{tag}{marks}>{inside}</{tag}>"
 
     def page(self) -> str:
@@ -166,7 +208,13 @@ class Layout:
         above, below = ["head", "menu", "notice", "advert", "form", "side"], ["share", "side", "advert", "comments", "form", "menu", "notice"]
         self.r.shuffle(above)
         self.r.shuffle(below)
-        body = some(above, 0.45) + self.article() + some(below, 0.4) + (self.other("foot") if self.r.random() < 0.85 else "")
+        middle = self.article()
+        if self.r.random() < 0.2:
+            tag = self.r.choice(["main", "main", "div", "section"])
+            middle = f"<{tag}{self.marks(MAIN_MARKS + OUTER_MARKS, 0.4)}>{middle}{some(['side', 'share', 'advert'], 0.5)}</{tag}>"
+        body = some(above, 0.45) + middle + some(below, 0.4) + (self.other("foot") if self.r.random() < 0.85 else "")
+        if self.r.random() < ALONE:
+            body = middle
         for _ in range(self.r.randint(0, 2)):
             body = f"<div{self.marks(OUTER_MARKS, 0.8)}>{body}</div>"
         return f"<!DOCTYPE html><html><head><title>{self.words(1, 9)}</title></head><body>{body}</body></html>"
@@ -194,11 +242,10 @@ class Field:
 
     def rows(self, blocks: list[Block]) -> tuple[list[list[int]], np.ndarray]:
         """Feature numbers of each block, and whether it has the container of the block before."""
-        found, same, before = [], np.zeros(len(blocks), int), None
-        for i, block in enumerate(blocks):
-            found.append([n for f in features(block, before, i) if (n := self.numbers.get(f)) is not None])
-            same[i] = before is not None and before.path[:-1] == block.path[:-1]
-            before = block
+        found = [[n for f in own if (n := self.numbers.get(f)) is not None] for own in features(blocks)]
+        same = np.zeros(len(blocks), int)
+        for i, (before, block) in enumerate(zip(blocks, blocks[1:])):
+            same[i + 1] = before.path[:-1] == block.path[:-1]
         return found, same
 
     def labels(self, blocks: list[Block]) -> list[int]:
@@ -221,15 +268,13 @@ class Field:
         return out[::-1]
 
 
-def train(pages: list[tuple[list[Block], np.ndarray]], rounds: int = ROUNDS, l2: float = 0.02, rate: float = 0.15) -> Field:
+def train(pages: list[tuple[list[Block], np.ndarray]], rounds: int = ROUNDS, l2: float = 0.05, rate: float = 0.15) -> Field:
     """Maximum likelihood with an L2 penalty; all pages are padded to one length and go through the chain together."""
     seen: dict[str, int] = {}
     for blocks, _ in pages:
-        before = None
-        for i, b in enumerate(blocks):
-            for f in features(b, before, i):
+        for own in features(blocks):
+            for f in own:
                 seen[f] = seen.get(f, 0) + 1
-            before = b
     field = Field({f: i for i, f in enumerate(sorted(f for f, n in seen.items() if n >= 3))})
     pages = [p for p in pages if p[0]]
     n, longest = len(pages), max(len(b) for b, _ in pages)
@@ -283,7 +328,7 @@ def main_text(field: Field, html: str | None) -> str:
 
 def extracted(pages: DataFrame, field: Field, html_col: str = "html", into: str = "text", chars: str = "n_chars") -> DataFrame:
     """``pages`` without their html but with the main text of the whole page and its number of code points."""
-    keep = [c for c in pages.columns if c not in (html_col, into, chars)]
+    keep = [c for c in pages.columns if c != html_col and c.lower() not in (into.lower(), chars.lower())]
 
     def made(batches):
         for batch in batches:

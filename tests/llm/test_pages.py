@@ -1,6 +1,7 @@
 """Blocks of pages, the field's training and decoding, and extraction."""
 
 import itertools
+import random
 
 import numpy as np
 
@@ -72,3 +73,74 @@ def test_field_on_pages_it_has_not_seen(spark):
     assert [(r.text, r.n_chars) for r in out[:4]] == [(text, len(text))] * 2 + [("", 0)] * 2
     assert out[4].n_chars == len("Title & more\nFirst words here.\n") + 50000 * 5 - 1
     assert extraction.extracted(frame.limit(0), field).count() == 0
+
+
+def second_pages(n, seed=3):
+    """Pages written apart from the field's own layouts: (html, main text), in four styles."""
+    rng = random.Random(seed)
+    stock = "river mountain government library music weather season market history science children village kitchen garden".split()
+
+    def line(low, high):
+        return " ".join(rng.choice(stock) for _ in range(rng.randint(low, high))).capitalize()
+
+    def prose(sentences):
+        return " ".join(line(5, 18) + rng.choice([".", ".", "?", "!"]) for _ in range(sentences))
+
+    def said(paragraphs):
+        return [line(2, 7), *[prose(rng.randint(1, 6)) for _ in range(paragraphs)]]
+
+    out = []
+    for i in range(n):
+        text = said(rng.randint(1, 9))
+        body = f"<h1>{text[0]}</h1>" + "".join(f"<p>{p}</p>" for p in text[1:])
+        menu = "".join(f"<li><a href='/{k}'>{line(1, 2)}</a></li>" for k in range(rng.randint(3, 7)))
+        others = "".join(f"<li><a href='/r{k}'>{line(3, 6)}</a></li>" for k in range(rng.randint(2, 5)))
+        style = i % 4
+        if style == 0:  # a weblog
+            page = (
+                f"<div id='masthead'><a href='/'>{line(1, 3)}</a></div><ul class='main-menu'>{menu}</ul><div class='entry-content'>{body}"
+                f"<div class='sharing'><a href='#'>Send</a> <a href='#'>Print</a></div></div><div id='sidebar-right'><h3>Archive</h3><ul>{others}</ul></div>"
+                f"<div class='comments-area'><h3>Replies</h3><ol>" + "".join(f"<li class='comment'><p>{prose(2)}</p></li>" for _ in range(rng.randint(0, 3))) + "</ol></div>"
+                f"<div class='site-footer'><p>&copy; 2021 {line(1, 3)}</p></div>"
+            )
+        elif style == 1:  # a newspaper
+            page = (
+                f"<header><nav><ul>{menu}</ul></nav></header><div class='cookie-consent'>{prose(1)} <button>Accept</button></div><main><article>{body}</article>"
+                f"<aside class='related'><h2>Also read</h2><ul>{others}</ul></aside></main><div class='newsletter'><p>{line(3, 8)}.</p><form><input><button>Join</button></form></div>"
+                f"<footer><ul>{menu}</ul><p>Imprint</p></footer>"
+            )
+        elif style == 2:  # an old page of tables
+            page = f"<table><tr><td class='nav'>{' | '.join(f'<a href=/{k}>{line(1, 1)}</a>' for k in range(4))}</td></tr><tr><td class='content'>{body}</td></tr><tr><td class='footer'>&copy; {line(1, 2)}</td></tr></table>"
+        else:  # a manual
+            page = f"<div class='toc'><ul>{menu}</ul></div><div role='main'>{body}</div><div class='ads'><p>{line(4, 9)}!</p></div><footer><p>{line(2, 6)}</p></footer>"
+        out.append((f"<!doctype html><html><head><title>x</title><style>p{{}}</style></head><body>{page}</body></html>", text))
+    return out
+
+
+def test_pages_written_apart_and_probes():
+    field = extraction.train(extraction.labelled_pages())
+    right = total = whole = 0
+    pages = second_pages(400)
+    for html, text in pages:
+        blocks = blocks_of(html)
+        got = [b.text for b, label in zip(blocks, field.labels(blocks)) if label]
+        wanted = set(text)
+        right += sum((b.text in wanted) == bool(label) for b, label in zip(blocks, field.labels(blocks)))
+        total += len(blocks)
+        whole += got == text
+    assert right / total >= 0.99 and whole / len(pages) >= 0.9
+    said = "The quick sentence went over the lazy hill and came back again. "
+    main = lambda html: extraction.main_text(field, html)
+    assert main(f"<p>{said}</p><p>{said}</p><p>{said}</p>") == "\n".join([said.strip()] * 3)
+    assert main("<article><p>Short note</p></article>") == "Short note"
+    assert main("<article class='comment-policy widget'>" + f"<p>{said * 4}</p>" * 5 + "</article>").count("\n") == 4
+    assert main(f"<article><p>if a<b then c</p><p>{said}</p></article>") == f"if a<b then c\n{said.strip()}"
+    assert main(f"<article><p>{said * 3}</p><div class='share'>Tweet Share</div><p>{said}</p></article>") == f"{(said * 3).strip()}\n{said.strip()}"
+    assert main(f"<article><p>{said}</p><svg><svg>x</svg>hidden</svg><p>{said}</p></article>") == f"{said.strip()}\n{said.strip()}"
+
+
+def test_elements_end_at_their_own_depth():
+    assert texts("<p>a</p><svg><g><svg>x</svg></g>y</svg><p>b</p>") == ["a", "b"]
+    assert texts("<select><option>x<select><option>y</select>z</select>after") == ["after"]
+    assert texts("<svg/>shown<p>b</p>") == ["shown", "b"]
+    assert texts("<p>1 < 2 and a<b</p><p>next</p>") == ["1 < 2 and a<b", "next"]
