@@ -60,13 +60,13 @@ def track(points: DataFrame, fields: list[str]) -> DataFrame:
 def prism(states: DataFrame, region: str, top: int = TOP_FLIGHTS) -> DataFrame:
     """Tracks of the flights with most observations in the region.
 
-    The flights to keep are ``top`` rows, so they are sent to all tasks and the
-    observations are reduced to minutes before any shuffle.
+    The flights to keep are ``top`` rows; Spark sends them to all tasks if they are below its threshold, and the
+    observations are reduced to minutes before any other shuffle.
     """
     seen = named(airborne(states, region))
     counts = seen.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("pts"))
     keep = counts.orderBy(F.desc("pts"), *KEYS).limit(top).select(*KEYS)
-    return track(resampled(seen.join(F.broadcast(keep), KEYS, "left_semi")), ["lat", "lon", "alt", "vel"])
+    return track(resampled(seen.join(keep, KEYS, "left_semi")), ["lat", "lon", "alt", "vel"])
 
 
 def altitude_bands(col: Column) -> dict[str, Column]:

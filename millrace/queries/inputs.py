@@ -32,10 +32,13 @@ def csv_ingest(spark, d):
 @query("multiline_json_ingest", "SRC-10", "SELECT n_nationkey AS id, n_name AS name FROM nation")
 def multiline_json_ingest(spark, d):
     root = scratch_path(spark, "multiline")
-    # One file per region, each a JSON array over several lines.
+    # Per region and thousand of keys a folder of files, each a JSON array over several lines.
     one = F.concat(F.lit('{\n  "id": '), F.col("n_nationkey").cast("string"), F.lit(',\n  "name": "'), F.col("n_name"), F.lit('"\n}'))
-    arrays = table(spark, d, "nation").groupBy("n_regionkey").agg(F.array_join(F.collect_list(one), ",\n").alias("body"))
-    arrays.select("n_regionkey", F.concat(F.lit("["), "body", F.lit("]")).alias("value")).write.partitionBy("n_regionkey").text(f"{root}/in")
+    thousand = F.floor(F.col("n_nationkey") / 1000).alias("thousand")
+    arrays = table(spark, d, "nation").groupBy("n_regionkey", thousand).agg(F.array_join(F.collect_list(one), ",\n").alias("body"))
+    whole = arrays.select("n_regionkey", F.concat(F.lit("["), "body", F.lit("]")).alias("value"))
+    # An array a row, so one row a file.
+    whole.write.option("maxRecordsPerFile", 1).partitionBy("n_regionkey").text(f"{root}/in")
     source = files.ingest(spark, f"{root}/in/*/*.txt", "json", schema="id int, name string", options={"multiLine": "true"})
     return drained(spark, source, root)
 
