@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.windows import MAX_GROUP_ROWS, latest_per_key, over_groups
+from millrace.operators.windows import latest_per_key, over_groups
 
 
 def _condition(cond: str | Column | None) -> Column:
@@ -42,12 +42,11 @@ def change_history(
     sequence_by: Sequence[str],
     delete_when: str | Column | None = None,
     except_columns: Sequence[str] = (),
-    max_group_rows: int = MAX_GROUP_ROWS,
-    block_rows: int = 500_000,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """SCD type 2: every version with its validity; a delete ends the version before it.
 
-    Each row only needs the next change of its key, so hot keys are cut into
+    Each row only needs the next change of its key, so the rows are cut into
     blocks that carry one row of the next block.
     """
     start = sequence_by[0]
@@ -55,7 +54,7 @@ def change_history(
     chained = over_groups(
         flagged, keys, sequence_by,
         lambda w: {"valid_from": F.col(start), "valid_to": F.lead(start, 1).over(w)},
-        after=1, max_group_rows=max_group_rows, block_rows=block_rows,
+        after=1, block_rows=block_rows,
     )
     return chained.filter(~F.col("_deleted")).drop("_deleted", *except_columns)
 

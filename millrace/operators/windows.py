@@ -4,9 +4,9 @@ A window partitioned by a key sorts all rows of that key in one task.  Three
 ways around it are used here:
 
 * latest row per key: an aggregate (``max_by``), combined before the shuffle;
-* bounded look-back (lag, rolling mean, next row): long groups are cut into
-  blocks of consecutive rows, each with the few neighbour rows it needs;
-* row numbers over long groups: range-partitioned slices plus slice offsets.
+* row numbers: a prefix scan, range-partitioned slices numbered by their tasks plus the rows of the slices before;
+* bounded look-back (lag, rolling mean, next row): the numbered rows are cut into
+  blocks of consecutive rows, each with the few neighbour rows it needs.
 """
 
 from __future__ import annotations
@@ -19,22 +19,16 @@ from pyspark.sql import functions as F
 from millrace.functions.times import bucket_start, time_bucket
 from millrace.session import durable
 
-# Rows of one key that one task may sort; beyond it the group is cut into slices.
-MAX_GROUP_ROWS = 2_000_000
+#: Rows of a block: as many rows of one key a window holds at most.
+BLOCK_ROWS = 500_000
 
-_SLICE, _POS, _BLOCK, _OWN, _COUNT, _BEFORE = "_slice", "_pos", "_block", "_own", "_count", "_before"
+_SLICE, _AT, _POS, _BLOCK, _OWN, _COUNT, _BEFORE = "_slice", "_at", "_pos", "_block", "_own", "_count", "_before"
 
 
 def _order(columns: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in columns]
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Row count of the biggest group; only the key columns are read."""
-    counts = df.groupBy(*keys).count()
-    return counts.agg(F.max("count")).first()[0] or 0
-
-
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], where: Column | None = None) -> DataFrame:
     """Newest row per key, as ``max_by`` over the whole row.
 
@@ -54,35 +48,37 @@ def first_row_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str |
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def with_positions(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    name: str = "position",
-    max_group_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
+def numbered(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """0-based place of every row in the whole order: a prefix scan over range-partitioned slices.
+
+    A task sorts its slice and numbers it; the rows of the slices before, one number a slice, are added.  Equal rows of one
+    place in the order may be numbered either way, so the slices are written once.
+    """
+    ranged = df.repartitionByRange(*_order(order)).sortWithinPartitions(*_order(order))
+    # The upper bits are the slice, the lower 33 the place in it.
+    placed = durable(ranged.withColumn(_AT, F.monotonically_increasing_id()))
+    part = F.shiftright(_AT, 33)
+    slices = placed.groupBy(part.alias(_SLICE)).agg(F.count(F.lit(1)).alias(_COUNT))
+    earlier = Window.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    # One row per task.
+    shifts = F.broadcast(slices.select(_SLICE, (F.coalesce(F.sum(_COUNT).over(earlier), F.lit(0)) - F.shiftleft(F.col(_SLICE), 33)).alias(_BEFORE)))
+    return placed.withColumn(_SLICE, part).join(shifts, _SLICE).withColumn(name, F.col(_AT) + F.col(_BEFORE)).select(*df.columns, name)
+
+
+def with_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "position") -> DataFrame:
     """1-based row number per key (of the whole table when ``keys`` is empty).
 
-    ``order`` must be a total order within a key.  Short groups use a plain
-    window; otherwise the rows are range-partitioned into even slices, numbered
-    per slice, and shifted by the count of earlier slices.
+    ``order`` must be a total order within a key.  Rows are numbered in the order of key and ``order``, and the number of the
+    key's first row is taken off; it is looked up per block of rows and key, so a hot key is many lookups of bounded size.
     """
-    if keys and largest_group(df, keys) <= max_group_rows:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*_order(order))))
-    ranged = df.repartitionByRange(*[F.col(k) for k in keys], *_order(order))
-    sliced = durable(ranged.withColumn(_SLICE, F.spark_partition_id()))
-    counts = sliced.groupBy(_SLICE, *keys).agg(F.count(F.lit(1)).alias(_COUNT))
-    # One row per slice and key: a key spans at most as many rows here as there are slices.
-    earlier = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn(_BEFORE, F.coalesce(F.sum(_COUNT).over(earlier), F.lit(0))).drop(_COUNT)
-    local = F.row_number().over(Window.partitionBy(_SLICE, *keys).orderBy(*_order(order)))
-    numbered = sliced.withColumn(_POS, local)
-    match = numbered[_SLICE] == offsets[_SLICE]
-    for k in keys:
-        match = match & numbered[k].eqNullSafe(offsets[k])
-    return numbered.join(offsets, match).select(
-        *[numbered[c] for c in df.columns], (numbered[_POS] + offsets[_BEFORE]).cast("bigint").alias(name)
-    )
+    if not keys:
+        return numbered(df, order, name).withColumn(name, F.col(name) + 1)
+    scanned = numbered(df, [*keys, *order], _POS).withColumn(_BLOCK, F.floor(F.col(_POS) / BLOCK_ROWS).cast("bigint"))
+    pieces = scanned.groupBy(*keys, _BLOCK).agg(F.min(_POS).alias(_BEFORE))
+    # One row per block and key.
+    firsts = pieces.withColumn(_BEFORE, F.min(_BEFORE).over(Window.partitionBy(*keys)))
+    joined = join_on(scanned, firsts, [*keys, _BLOCK])
+    return joined.select(*df.columns, (F.col(_POS) - F.col(_BEFORE) + 1).alias(name))
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -101,41 +97,36 @@ def over_groups(
     build: Callable[[WindowSpec], dict[str, Column]],
     before: int = 0,
     after: int = 0,
-    max_group_rows: int = MAX_GROUP_ROWS,
-    block_rows: int = 500_000,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Add window columns that look at most ``before`` rows back and ``after`` rows ahead.
 
-    When a group is long, each block of ``block_rows`` consecutive rows also
-    receives copies of the neighbour rows its frames reach; the copies are
-    removed after the window, so the result equals that of the plain window.
+    Rows are numbered in the order of key and ``order`` and cut into blocks of ``block_rows``; a block also receives copies of the
+    neighbour rows its frames reach, which are removed after the window.  So a window holds at most a block of one key, however
+    long the key's group is, and the result equals that of the plain window.
     """
-    if largest_group(df, keys) <= max_group_rows:
-        w = Window.partitionBy(*keys).orderBy(*_order(order))
-        return df.select("*", *[c.alias(n) for n, c in build(w).items()])
+    block_rows = BLOCK_ROWS if block_rows is None else block_rows
     if max(before, after) > block_rows:
         raise ValueError("frames must be shorter than a block")
-    numbered = with_positions(df, keys, order, _POS, max_group_rows)
-    home = F.floor((F.col(_POS) - 1) / block_rows).cast("bigint")
-    offset = F.pmod(F.col(_POS) - 1, F.lit(block_rows))
+    scanned = numbered(df, [*keys, *order], _POS)
+    home = F.floor(F.col(_POS) / block_rows).cast("bigint")
+    offset = F.col(_POS) % block_rows
     targets = F.array(home, F.when(offset >= block_rows - before, home + 1), F.when(offset < after, home - 1))
-    spread = numbered.withColumn(_OWN, home).withColumn(_BLOCK, F.explode(F.array_compact(targets)))
+    spread = scanned.withColumn(_OWN, home).withColumn(_BLOCK, F.explode(F.array_compact(targets)))
     w = Window.partitionBy(*keys, _BLOCK).orderBy(_POS)
     out = spread.select("*", *[c.alias(n) for n, c in build(w).items()])
     return out.filter(F.col(_OWN) == F.col(_BLOCK)).drop(_POS, _OWN, _BLOCK)
 
 
-def even_subsample(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, max_group_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
+def even_subsample(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
     """At most ``n`` rows per key, evenly spread: the first row of each of ``n`` equal tiles.
 
     Keys with up to ``n`` rows keep all of them.  The first ``total % n`` tiles
     are one row longer, as with NTILE.
     """
-    numbered = with_positions(df, keys, order, "_pos", max_group_rows)
+    placed = with_positions(df, keys, order, "_pos")
     totals = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))
-    joined = join_on(numbered, totals, keys) if keys else numbered.withColumn("_total", totals.scalar())
+    joined = join_on(placed, totals, keys) if keys else placed.withColumn("_total", totals.scalar())
     size, longer = F.floor(F.col("_total") / n).cast("bigint"), F.col("_total") % n
     index = F.col("_pos") - 1
     cut = longer * (size + 1)

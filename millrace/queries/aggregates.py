@@ -396,7 +396,7 @@ SELECT event_type, event_id, tile FROM firsts WHERE rn = 1
 """)
 def even_subsample_sliced(spark, d):
     e = table(spark, d, "events").select("event_type", "event_id", "ts")
-    return W.even_subsample(e, ["event_type"], ["ts", "event_id"], 500, max_group_rows=100).select("event_type", "event_id", "tile")
+    return W.even_subsample(e, ["event_type"], ["ts", "event_id"], 500).select("event_type", "event_id", "tile")
 
 
 @query("resample_tracks", "WIN-11 AGG-13 TOP-08", """

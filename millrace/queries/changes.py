@@ -46,7 +46,7 @@ def apply_changes_scd2(spark, d):
 
 @query("apply_changes_scd2_blocks", "CDC-04", SCD2)
 def apply_changes_scd2_blocks(spark, d):
-    return C.change_history(feed(spark, d), ["user_id"], SEQUENCE, IS_DELETE, ["ts"], max_group_rows=10, block_rows=7)
+    return C.change_history(feed(spark, d), ["user_id"], SEQUENCE, IS_DELETE, ["ts"], block_rows=7)
 
 
 @query("history_as_of", "CDC-04 SRC-29", f"""

@@ -41,7 +41,7 @@ def test_scd2_blocks_equal_plain(spark):
     data = [("hot" if rnd.random() < 0.5 else f"k{rnd.randrange(9)}", i, rnd.choice(["U", "U", "DELETE"]), i) for i in range(400)]
     log = spark.createDataFrame(data, "k string, seq int, op string, v int").repartition(4)
     plain = C.change_history(log, ["k"], ["seq"], "op = 'DELETE'")
-    blocks = C.change_history(log, ["k"], ["seq"], "op = 'DELETE'", max_group_rows=5, block_rows=4)
+    blocks = C.change_history(log, ["k"], ["seq"], "op = 'DELETE'", block_rows=4)
     assert rows(plain) == rows(blocks)
     # Intervals of a key do not overlap.
     ends = {}

@@ -20,7 +20,7 @@ def skewed(spark):
 
 def test_positions_equal_row_number(skewed):
     plain = skewed.withColumn("p", F.row_number().over(Window.partitionBy("k").orderBy("t", "id")).cast("bigint"))
-    sliced = W.with_positions(skewed, ["k"], ["t", "id"], "p", max_group_rows=50)
+    sliced = W.with_positions(skewed, ["k"], ["t", "id"], "p")
     assert rows(sliced, "k", "id", "p") == rows(plain, "k", "id", "p")
 
 
@@ -38,25 +38,27 @@ def test_blocked_windows_equal_plain(skewed, block):
             "m": F.round(F.avg("v").over(w.rowsBetween(-6, 0)), 9),
         }
 
-    plain = W.over_groups(skewed, ["k"], ["t", "id"], build, 7, 2)
-    blocked = W.over_groups(skewed, ["k"], ["t", "id"], build, 7, 2, max_group_rows=20, block_rows=block)
+    w = Window.partitionBy("k").orderBy("t", "id")
+    plain = skewed.select("*", *[c.alias(n) for n, c in build(w).items()])
+    blocked = W.over_groups(skewed, ["k"], ["t", "id"], build, 7, 2, block_rows=block)
     assert rows(plain) == rows(blocked)
 
 
 def test_frames_longer_than_a_block_are_refused(skewed):
     with pytest.raises(ValueError, match="shorter"):
-        W.over_groups(skewed, ["k"], ["t", "id"], lambda w: {}, 9, 0, max_group_rows=1, block_rows=8)
+        W.over_groups(skewed, ["k"], ["t", "id"], lambda w: {}, 9, 0, block_rows=8)
 
 
 @pytest.mark.parametrize("n", [1, 7, 30, 64])
-def test_even_subsample_equals_ntile(skewed, n):
+def test_even_subsample_equals_ntile(skewed, n, monkeypatch):
     w = Window.partitionBy("k").orderBy("t", "id")
     tiles = skewed.withColumn("tile", F.ntile(n).over(w)).withColumn("total", F.count("*").over(Window.partitionBy("k")))
     first = Window.partitionBy("k", "tile").orderBy("t", "id")
     want = tiles.withColumn("rn", F.row_number().over(first)).filter("rn = 1 OR total <= %d" % n)
     keyed = skewed.filter("k IS NOT NULL")
-    for limit in (10, 10_000):
-        got = W.even_subsample(keyed, ["k"], ["t", "id"], n, max_group_rows=limit)
+    for block in (10, 10_000):
+        monkeypatch.setattr(W, "BLOCK_ROWS", block)
+        got = W.even_subsample(keyed, ["k"], ["t", "id"], n)
         assert rows(got, "k", "id") == rows(want.filter("k IS NOT NULL"), "k", "id")
         assert max(r["count"] for r in got.groupBy("k").count().collect()) <= n
 
