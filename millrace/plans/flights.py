@@ -43,6 +43,20 @@ def regional_summary(states: DataFrame) -> DataFrame:
     )
 
 
+def write_regions(states: DataFrame, root: str) -> None:
+    """The three regional tables, ``band=<name>`` below ``root``, from one pass; a state where bands overlap is in both.
+
+    The rebalance hint lets Spark split a region that has most of the rows.
+    """
+    tagged = tag_longitude_bands(clean(states), "longitude")
+    tagged.hint("rebalance", "band").write.mode("overwrite").partitionBy("band").parquet(root)
+
+
+def read_region(spark: SparkSession, root: str, band: str) -> DataFrame:
+    """One of the regional tables; only its folder is read, and a region without states is empty."""
+    return spark.read.parquet(root).filter(F.col("band") == band).drop("band")
+
+
 def write_report(spark: SparkSession, states: DataFrame, root: str, regions: Sequence[str] = tuple(REPORT_BOXES)) -> None:
     """All artifacts of the regions, then the manifest."""
     entries = {}

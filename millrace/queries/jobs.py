@@ -400,6 +400,29 @@ def flight_regions(spark, d):
     return out.withColumn("mean_altitude", settle(F.col("mean_altitude"), 2))
 
 
+@query("regional_tables", "JOB-08 PRJ-22 SNK-01", f"""
+WITH {STATES}, m AS (SELECT icao24, lat, lon * 7 AS x FROM sv), c AS (SELECT icao24, x - 360 * floor(x / 360) - 180 AS lon FROM m WHERE lat BETWEEN -90 AND 90)
+SELECT 'americas' AS band, count(*) AS n, count(DISTINCT icao24) AS n_aircraft, min(lon) AS west, max(lon) AS east FROM c WHERE lon BETWEEN -170 AND -30
+UNION ALL SELECT 'emea', count(*), count(DISTINCT icao24), min(lon), max(lon) FROM c WHERE lon BETWEEN -30 AND 75
+UNION ALL SELECT 'apac', count(*), count(DISTINCT icao24), min(lon), max(lon) FROM c WHERE lon BETWEEN 60 AND 180 OR lon BETWEEN -180 AND -120
+""")
+def regional_tables(spark, d):
+    """The regional tables as written and read back, one after the other; positions are moved so that every region has some."""
+    from millrace.session import scratch_path
+
+    root = scratch_path(spark, "regions")
+    x = F.col("longitude") * 7
+    flights.write_regions(states(spark, d).withColumn("longitude", x - 360 * F.floor(x / 360) - 180), root)
+    out = None
+    for band in geo.LONGITUDE_BANDS:
+        figures = flights.read_region(spark, root, band).agg(
+            F.count(F.lit(1)).alias("n"), F.countDistinct("icao24").alias("n_aircraft"), F.min("longitude").alias("west"), F.max("longitude").alias("east")
+        )
+        one = figures.select(F.lit(band).alias("band"), *figures.columns)
+        out = one if out is None else out.union(one)
+    return out
+
+
 @query("flight_noon_slice", "JOB-08 PRJ-23", f"""
 WITH {STATES} SELECT count(*) AS n FROM sv WHERE hour(ts) * 60 + minute(ts) >= 720 AND hour(ts) * 60 + minute(ts) < 735
 """)
