@@ -6,6 +6,7 @@ so nothing is ever cut.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -18,6 +19,15 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 ROLL = np.uint64(0xD6E8FEB86659FD93)
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system at the end of a task, since a Python process goes on to serve other stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library: it has its own way
+
+
 def byte_table(*ranges: tuple[int, int]) -> np.ndarray:
     """True for the byte values of the given inclusive ranges."""
     table = np.zeros(256, bool)

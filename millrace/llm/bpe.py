@@ -32,6 +32,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.arrays import give_back
 from millrace.llm.lexicon import Lexicon, compile_lexicon
 from millrace.llm.pretokens import Ids, Known, Pretokens, chosen_ids, flat_ids, special_pattern, with_whole_texts
 from millrace.session import durable
@@ -168,6 +169,7 @@ def frequent_words(docs: DataFrame, text_col: str, model_text, share: float = FR
                     yield rows(counts)
                     counts.clear()
         yield rows(counts)
+        give_back()
 
     # The row without a word has the number of all words.
     found = durable(docs.select(text_col).mapInArrow(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
@@ -228,6 +230,7 @@ def encoded(docs: DataFrame, tokenizer_path: str, text_col: str = "text", into:
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids.view(np.int32)))
                 yield pa.RecordBatch.from_arrays([*(c.slice(row, len(texts)) for c in batch.columns[: len(keep)]), lists], names=[*keep, into])
                 row += len(texts)
+        give_back()
 
     rows = docs.select(*keep, text_col)
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema.fields)
@@ -249,6 +252,7 @@ def decoded(rows: DataFrame, tokenizer_path: str, ids_col: str = "ids", into: st
                 flat, offsets = lists.values, lists.offsets.to_numpy()
                 texts = [" ".join(tokens[flat.slice(a, b - a).to_numpy()].tolist()) for a, b in zip(offsets[:-1], offsets[1:])]
                 yield pa.RecordBatch.from_arrays([*some.columns, pa.array(texts, pa.string())], names=[*keep, into])
+        give_back()
 
     rows = rows.select(*keep)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)

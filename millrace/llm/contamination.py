@@ -14,8 +14,9 @@ before anything is shuffled; then the shingles of the candidate documents that s
 shingles and counted, which is the exact containment.
 
 Defined results: an item of fewer than five words has no shingle and is contained nowhere; null and empty texts contain
-nothing; repeated items are searched each; repeated rows of a document count once per id; rows without an id are not searched
-(nothing could be said of them); empty tables give an empty result.
+nothing; very long texts are searched whole; repeated items are searched each; repeated rows of a document count once per id; a
+containment of exactly the threshold is found; rows without an id are not searched (nothing could be said of them); empty tables give
+an empty result; further columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations

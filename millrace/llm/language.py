@@ -9,9 +9,9 @@ shortened by ``BACKOFF`` for each step; a one-character tail that nobody knows s
 Each word's scores become shares of the languages, so no odd word decides a text; a text's language is the one with the
 highest sum of shares, and ``score`` is its part of that sum, which is low for texts of mixed languages.
 
-Defined results: null texts and texts without a letter are ``und`` with score 0; ties go to the language first in the
-alphabet; a corpus without any labelled text makes every prediction ``und``; repeated rows get the same result each;
-further columns are kept, those named like a result column are replaced.
+Defined results: null and empty texts and texts without a letter are ``und`` with score 0; very long texts are read whole; ties go to the
+language first in the alphabet; a corpus without any labelled text makes every prediction ``und``; repeated rows get the same result each; an
+empty table gives an empty result; further columns are kept, those named like a result column, in whatever case, are replaced.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.arrays import joined_bytes, mixed, row_sums, span_hashes, spans, text_slices, byte_table
+from millrace.llm.arrays import give_back, joined_bytes, mixed, row_sums, span_hashes, spans, text_slices, byte_table
 from millrace.llm.learning import dealt, in_fold, unused
 
 UNKNOWN = "und"
@@ -148,7 +148,7 @@ def _model(languages: list[str], words: list[str], table: np.ndarray) -> Languag
 
 def predicted(docs: DataFrame, model: LanguageModel, text_col: str = "text", into: str = "lang_pred", score: str = "score") -> DataFrame:
     """``docs`` with the predicted language and its score, from the whole text."""
-    keep = [c for c in docs.columns if c not in (into, score)]
+    keep = [c for c in docs.columns if c.lower() not in (into.lower(), score.lower())]
     place, languages = keep.index(text_col), np.array([*model.languages, UNKNOWN], dtype=object)
 
     def scored(batches):
@@ -179,6 +179,7 @@ def predicted(docs: DataFrame, model: LanguageModel, text_col: str = "text", int
                 [*batch.columns[: len(keep)], pa.array(languages[best], pa.string()), pa.array(share)],
                 names=[*keep, into, score],
             )
+        give_back()
 
     lowered = docs.select(
         *[docs[c] for c in keep],

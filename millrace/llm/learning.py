@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+from collections import Counter
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from millrace.session import durable
 
 
 def fold(id_col: str | Column, folds: int) -> Column:
@@ -17,22 +23,40 @@ def in_fold(id_col: str, folds: int, held: int) -> Column:
     return F.coalesce(fold(id_col, folds) == held, F.lit(True))
 
 
-#: Rows that any one label is granted at most; Spark keeps no more of a label per task before the shuffle.
+#: Rows that any one label is granted at most.
 GRANTED = 500
+#: Bytes of text that a sample holds at most.
+SAMPLE_BYTES = 64 << 20
+
+
+def _share(wanted: int, rows: int) -> float:
+    """A share of the hashes under which ``wanted`` of so many rows lie but in one case of many millions."""
+    return min(1.0, (wanted + 6 * math.sqrt(wanted) + 10) / max(1, rows))
 
 
 def dealt(known: DataFrame, rows: int) -> DataFrame:
     """At most ``rows`` ids (_id) of distinct pairs (_id, _label): a fifth is granted to the labels evenly, the rest goes by the hash of the id.
 
-    A label that is common enough gets its grant by the hash anyway, so only rare labels change the sample.
+    A label that is common enough gets its grant by the hash anyway, so only rare labels change the sample.  From the number of rows
+    of each label follows how small a hash must be to come into question; only such ids are looked at one by one, which are
+    little more than those chosen, so no task and no driver holds a label.  As many numbers as there are labels come to the driver.
     """
-    by_hash = [F.xxhash64("_id"), F.col("_id")]
-    grant = min(GRANTED, max(1, rows // (5 * max(1, known.select("_label").distinct().count()))))
-    rank = F.row_number().over(Window.partitionBy("_label").orderBy(*by_hash))
-    granted = known.withColumn("_rank", rank).filter(F.col("_rank") <= grant).select("_id").distinct().orderBy(*by_hash).limit(rows)
-    rest = known.select("_id").distinct().orderBy(*by_hash).limit(rows)
-    first = granted.withColumn("_rest", F.lit(0)).union(rest.withColumn("_rest", F.lit(1)))
-    return first.groupBy("_id").agg(F.min("_rest").alias("_rest")).orderBy("_rest", *by_hash).limit(rows).select("_id")
+    counts = {r["_label"]: r["n"] for r in known.groupBy("_label").agg(F.count("*").alias("n")).collect()}
+    grant = min(GRANTED, max(1, rows // (5 * max(1, len(counts)))))
+    of_all = _share(rows, sum(counts.values()))
+    spark = known.sparkSession
+    ids = known.schema["_id"]
+    limits = [(label, min((1 << 63) - 1, int(max(of_all, _share(grant, n)) * 2.0**64) - (1 << 63))) for label, n in counts.items()]
+    schema = T.StructType([known.schema["_label"], T.StructField("_limit", T.LongType())])
+    small = known.join(F.broadcast(spark.createDataFrame(limits, schema)), "_label").withColumn("_hash", F.xxhash64("_id"))
+    asked = small.filter(F.col("_hash") <= F.col("_limit")).select("_hash", "_id", "_label").collect()
+    taken = Counter()
+    asked.sort(key=lambda r: (r["_hash"], r["_id"]))
+    first, rest = [], []
+    for r in asked:
+        taken[r["_label"]] += 1
+        (first if taken[r["_label"]] <= grant else rest).append(r["_id"])
+    return spark.createDataFrame([(i,) for i in list(dict.fromkeys([*first, *rest]))[:rows]], T.StructType([ids]))
 
 
 def labelled_sample(labels: DataFrame, id_col: str, label_col: str, folds: int, held: int, rows: int) -> DataFrame:
@@ -50,11 +74,26 @@ def labelled_sample(labels: DataFrame, id_col: str, label_col: str, folds: int,
     return known.join(F.broadcast(dealt(known, rows)), "_id").select("_id", "_label")
 
 
-def sampled_texts(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(_id, _label, _text) of the sampled ids; one text for an id that stands more than once."""
+def sampled_texts(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str, most_bytes: int | None = None) -> DataFrame:
+    """(_id, _label, _text) of the sampled ids; one text for an id that stands more than once.
+
+    Texts are taken in the order of the hashes of their ids; one that is longer than what is left of ``most_bytes`` is passed over.
+    """
+    most_bytes = SAMPLE_BYTES if most_bytes is None else most_bytes
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     # The sample has a fixed number of rows, so it is sent to every task and the texts stay where they are.
-    return texts.join(F.broadcast(sample), "_id").groupBy("_id", "_label").agg(F.max("_text").alias("_text"))
+    labels = [c for c in sample.columns if c != "_id"]
+    found = durable(texts.join(F.broadcast(sample), "_id").groupBy("_id", *labels).agg(F.max("_text").alias("_text")))
+    sizes = found.select("_id", F.coalesce(F.octet_length("_text"), F.lit(0)).alias("size"), F.xxhash64("_id").alias("hash")).collect()
+    left, over = most_bytes, []
+    for r in sorted(sizes, key=lambda r: (r["hash"], r["_id"])):
+        if r["size"] > left:
+            over.append((r["_id"],))
+        else:
+            left -= r["size"]
+    if not over:
+        return found
+    return found.join(F.broadcast(docs.sparkSession.createDataFrame(over, T.StructType([found.schema["_id"]]))), "_id", "left_anti")
 
 
 def unused(name: str, columns: list[str]) -> str:

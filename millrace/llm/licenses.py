@@ -10,8 +10,9 @@ module), so only matches travel.  The join compares the hash and the words thems
 words.  A short phrase is a template whose k is its length: each place where it stands is a span of its own and is never
 merged with another.
 
-Defined results: a null or empty text has no words and no span; a text that stands in several rows gets the same result in
-each; rows with one id and different texts are kept apart; an empty table gives an empty result.
+Defined results: a null or empty text has no words and no span; very long texts are scanned whole; a text that stands in several rows gets the
+same result in each; rows with one id and different texts are kept apart; a span that covers exactly the least share counts; an empty
+table gives an empty result; further columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations

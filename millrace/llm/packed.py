@@ -9,8 +9,9 @@ texts are range-partitioned and sorted by document id, each task cuts its texts
 it has not seen before with the tokenizers library, and appends segments of about ``SEGMENT`` ids; a document is never split.  Segments know their place within their partition, so the place
 of every id in the whole corpus follows from one total per partition.
 
-Defined results: a null or empty text is only the end id; rows with one id stand next to each other, ordered by text; rows
-without an id stand first; an empty table gives a dataset without segments.
+Defined results: a null or empty text is only the end id; a very long text is encoded whole and is never split over segments; rows with one
+id, repeated ones too, stand next to each other, ordered by text; rows without an id stand first; an empty table gives a dataset without segments;
+further columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations

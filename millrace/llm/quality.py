@@ -7,12 +7,14 @@ n-grams times ``SCALE``, so a score is a sparse dot product that does not grow w
 
 Training reads a bounded sample of labelled rows (``sample_rows``) on the driver, as hashed counts; scoring runs over
 Arrow batches with array operations only.  Defined results: a null, empty or blank text has no feature and gets the score
-of the intercept; repeated rows get the same score each; without any labelled row every score is 0.5; an empty table gives
-an empty result; further columns of the input are kept, those named like a result column are replaced.
+of the intercept; very long texts are scored whole; repeated rows get the same score each, and ties do not arise; of several texts with one id
+the greatest is learnt from; without any labelled row every score is 0.5; an empty table gives an empty result; further columns of the
+input are kept, those named like a result column, in whatever case, are replaced.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.arrays import byte_table, ngrams_of, row_sums, span_hashes, text_slices
+from millrace.llm.arrays import byte_table, give_back, ngrams_of, row_sums, span_hashes, text_slices
 from millrace.llm.learning import labelled_sample, sampled_texts
 
 SPACE = byte_table((0x00, 0x20))
@@ -105,11 +107,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
           sample_rows: int = 6000, passes: int = 3) -> np.ndarray:
     """Weights learnt from at most ``sample_rows`` labelled texts outside the held-out fold."""
     sample = labelled_sample(labels, id_col, label_col, folds, held, sample_rows)
-    rows = (
-        sampled_texts(docs, sample, id_col, text_col).select("_id", "_label", "_text")
-        .mapInArrow(_feature_batches, "_id long, _label int, _index array<int>, _value array<float>")
-        .toArrow()
-    )
+    texts = sampled_texts(docs, sample, id_col, text_col).select("_id", "_label", "_text")
+    kind = texts.schema["_id"].dataType.simpleString()
+    rows = texts.mapInArrow(_feature_batches, f"_id {kind}, _label int, _index array<int>, _value array<float>").toArrow()
     model = Leader()
     order = np.argsort([hash_order(x) for x in rows["_id"].to_pylist()])
     label, index, value = rows["_label"].to_numpy(), rows["_index"].combine_chunks(), rows["_value"].combine_chunks()
@@ -119,14 +119,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
     return model.weights().astype(np.float32)
 
 
-def hash_order(x: int) -> int:
-    """An order of training that does not follow the ids."""
-    return (x * 0x9E3779B97F4A7C15) % (1 << 64)
+def hash_order(x) -> int:
+    """An order of training that does not follow the ids, which are numbers or texts."""
+    if isinstance(x, int):
+        return (x * 0x9E3779B97F4A7C15) % (1 << 64)
+    return int.from_bytes(hashlib.blake2b(str(x).encode(), digest_size=8).digest(), "big")
 
 
 def score(docs: DataFrame, text_col: str, weights: np.ndarray, into: str = "score") -> DataFrame:
     """``docs`` with a double column ``into``: the probability of label 1 for the whole text."""
-    keep = [c for c in docs.columns if c != into]
+    keep = [c for c in docs.columns if c.lower() != into.lower()]
     place = keep.index(text_col)
 
     def scored(batches):
@@ -140,6 +142,7 @@ def score(docs: DataFrame, text_col: str, weights: np.ndarray, into: str = "scor
                 logit[row:end] += SCALE * total / np.maximum(n, 1)
             p = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], names=[*batch.schema.names, into])
+        give_back()
 
     kept = docs.select(*[docs[c] for c in keep])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)

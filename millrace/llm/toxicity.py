@@ -11,8 +11,9 @@ Training reads a bounded sample of labelled texts (``sample_rows``, whole texts,
 The inputs of a word's step depend on the word alone, so each distinct word of a batch is computed once.
 
 Defined results: a null text or one without words is a window of padding only and gets the score the network gives it; without any labelled
-row every score is 0; repeated rows get the same score each; an empty table gives an empty result; further columns are kept,
-those named like a result column are replaced.
+row every score is 0; very long texts are scored whole, window by window; repeated rows get the same score each; of windows with equal scores
+either gives the text's; an empty table gives an empty result; further columns are kept, those named like a result column, in whatever case,
+are replaced.
 """
 
 from __future__ import annotations
@@ -328,7 +329,7 @@ def scores_of(network: Network, column: pa.Array) -> np.ndarray:
 
 def score(docs: DataFrame, text_col: str, network: Network | None, into: str = "score") -> DataFrame:
     """``docs`` with a double column ``into``: how toxic the worst window of the whole text is."""
-    keep = [c for c in docs.columns if c != into]
+    keep = [c for c in docs.columns if c.lower() != into.lower()]
 
     def scored(batches):
         for batch in batches:
