@@ -16,8 +16,9 @@ pivot, the node that shares the most buckets, so a group of m near copies mostly
 still hold several components are nodes of different components compared, in pairs of bounded blocks inside tasks, which give
 no more links than connect them.  Every pair that shares a band is compared or connected already, and pairs are never listed.
 
-Defined results: null and empty texts link with nothing; texts of one to four words are a single shingle; texts without a word are copies
-only of equal texts; rows without an id have no class; an empty table gives an empty result; other columns are not touched.
+Defined results: null and empty texts link with nothing; very long texts are compared whole; texts of one to four words are a single shingle;
+texts without a word are copies only of equal texts; repeated rows are copies of each other; a similarity of exactly 0.8 is a link; rows
+without an id have no class; an empty table gives an empty result; other columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -30,16 +31,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.arrays import distinct_shingles, mixed, ngrams_of, row_numbers, text_slices, words_of
+from millrace.llm.arrays import distinct_shingles, give_back, mixed, ngrams_of, row_numbers, text_slices, words_of
 from millrace.llm.blocks import Forest, block_pairs, gathered, groups
 from millrace.llm.components import components
-from millrace.session import durable
+from millrace.session import durable, release
 
 SHINGLE = 5
 SIZE = 127
 BANDS, ROWS = 25, 5
 #: Nodes of a block; a bucket of more nodes is compared block by block.
 BLOCK = 512
+#: Shingles that a task keeps of the texts of a block.
+KEPT = 1 << 19
+#: Bytes of text whose signatures are made at a time.
+SLICE = 1 << 18
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -142,7 +147,7 @@ def banded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def values(batches):
         for batch in batches:
             lists = []
-            for _, _, data, offsets in text_slices(batch.column(2)):
+            for _, _, data, offsets in text_slices(batch.column(2), SLICE):
                 n = len(offsets) - 1
                 rows, grams, counts = weighted_shingles(data, offsets)
                 bands = band_values(signatures(rows, grams, counts, n))
@@ -151,6 +156,7 @@ def banded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 lists.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bands[full].reshape(-1))))
             made = pa.concat_arrays(lists) if lists else pa.array([], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), made], names=["node", "copy", "bands"])
+        give_back()
 
     rows = docs.select(
         F.col(id_col).cast("long").alias("node"), F.when(F.length(text_col) > 0, F.md5(text_col)).alias("copy"), F.lower(text_col).alias("text")
@@ -175,6 +181,7 @@ def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, thre
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], names=["a", "b", "similarity"]
             )
+        give_back()
 
     spark = docs.sparkSession
     with small_batches(spark, 100):
@@ -186,6 +193,23 @@ def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, thre
         return durable(both.mapInArrow(compared, "a long, b long, similarity double"))
 
 
+class Recent:
+    """The shingles of the texts asked for last, as many as fit in ``KEPT`` numbers, and of one more."""
+
+    def __init__(self):
+        self.known, self.size = {}, 0
+
+    def of(self, row: int, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        found = self.known.pop(row, None)
+        if found is None:
+            found = shingles_of(texts[row].as_py())
+            self.size += len(found[0])
+            while self.size > KEPT and self.known:
+                self.size -= len(self.known.pop(next(iter(self.known)))[0])
+        self.known[row] = found
+        return found
+
+
 def shingles_of(text: str) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(text.encode(), np.uint8)
     words, _ = words_of(data, np.array([0, len(data)]))
@@ -201,6 +225,7 @@ def links(entries: DataFrame, docs: DataFrame, id_col: str, text_col: str, thres
     pivots = scored.groupBy("key").agg(F.max_by("node", F.struct("score", -F.col("node"))).alias("pivot"))
     star = entries.join(pivots, "key").filter("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
     found = verified(star, docs, id_col, text_col, threshold)
+    release(docs.sparkSession)  # texts were shuffled; the files go before they are shuffled again
     joined = entries.join(components(found), "node", "left").select("key", "band", "node", F.coalesce("component", "node").alias("component"))
     # What is left: buckets that hold several components.
     open_ = joined.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
@@ -219,9 +244,9 @@ def compared_in_blocks(entries: DataFrame, sizes: DataFrame, docs: DataFrame, id
             band, side, node, component, texts = (group.column(i) for i in range(3, 8))
             node, component, side = node.to_numpy(), component.to_numpy(), side.to_numpy()
             parts = []
-            for _, _, data, offsets in text_slices(texts):
+            for _, _, data, offsets in text_slices(texts, SLICE):
                 parts.append(signatures(*weighted_shingles(data, offsets), len(offsets) - 1).astype(np.uint32))
-            signature, forest, out, known = np.concatenate(parts), Forest(), [], {}
+            signature, forest, out, known = np.concatenate(parts), Forest(), [], Recent()
             for n, c in zip(node.tolist(), component.tolist()):
                 forest.join(n, c)
             across = group.column(1)[0].as_py() < group.column(2)[0].as_py()
@@ -244,16 +269,14 @@ def compared_in_blocks(entries: DataFrame, sizes: DataFrame, docs: DataFrame, id
                 i, j = int(pairs[1, at]), int(pairs[2, at])
                 a, b = int(node[i]), int(node[j])
                 if forest.root(a) != forest.root(b):
-                    for k in (i, j):
-                        if k not in known:
-                            known[k] = shingles_of(texts[k].as_py())
-                    s = similarity(*known[i], *known[j])
+                    s = similarity(*known.of(i, texts), *known.of(j, texts))
                     if s >= threshold:
                         forest.join(a, b)
                         out.append((min(a, b), max(a, b), s))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], names=["a", "b", "similarity"]
             )
+        give_back()
 
     dealt = block_pairs(entries, "key", "node", sizes, BLOCK).join(texts, "node")
     rows = gathered(dealt.select("key", "left", "right", "band", "side", "node", "component", "text"), "key")
@@ -270,7 +293,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     nodes = rows.filter("node IS NOT NULL AND copy IS NOT NULL").groupBy("copy").agg(F.min("node").alias("first"), F.any_value("bands").alias("bands"))
     nodes = durable(nodes)
     entries = nodes.select(F.col("first").alias("node"), F.posexplode("bands").alias("band", "key")).distinct()
-    found = links(entries, docs, id_col, text_col, threshold)
+    found = durable(links(entries, docs, id_col, text_col, threshold))
+    release(docs.sparkSession)
     labels = components(found)
     member = nodes.select("copy", "first").join(labels.withColumnRenamed("node", "first"), "first", "left")
     out = rows.select("node", "copy").join(member, "copy", "left")
