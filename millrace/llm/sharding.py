@@ -198,9 +198,12 @@ def sharded(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col:
         held = durable(held)  # a few bytes a row, so that the texts are read once
     groups = durable(held.groupBy(F.col("_key").alias("key")).agg(F.sum("size").alias("size")))
     own, after = plan(groups, shards)
-    # Equal rows with one id differ by their place in the table, so that many of them do not end in one task.
-    placed = held.withColumn("shard", shard_of(F.col("_key"), own, after)).withColumn("_place", F.monotonically_increasing_id())
-    out = _slots(placed, ["_key", id_col, "_place"])
+    placed = held.withColumn("shard", shard_of(F.col("_key"), own, after))
+    order = ["_key", id_col]
+    if not keep:
+        # Of a written table, equal rows with one id differ by their place, so that many of them do not end in one task.
+        placed, order = placed.withColumn("_place", F.monotonically_increasing_id()), [*order, "_place"]
+    out = _slots(placed, order)
     return out.select(*columns, "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
