@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.arrays import ROLL, mixed, ngrams_of, text_slices, words_of
+from millrace.llm.arrays import ROLL, give_back, mixed, ngrams_of, text_slices, words_of
 from millrace.session import durable
 
 SHINGLE = 5
@@ -153,6 +153,7 @@ def window_minima(docs: DataFrame, id_col: str, text_col: str, classes: list[int
                                  pa.array((low[hit] ^ np.uint64(1 << 63)).view(np.int64))],
                                 names=["doc", "size", "function", "minimum"],
                             )
+        give_back()
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc"), F.lower(text_col).alias("text")).filter("doc IS NOT NULL")
@@ -170,6 +171,7 @@ def shared_shingles(docs: DataFrame, id_col: str, text_col: str, table: np.ndarr
                 if len(hit):
                     owner = np.searchsorted(first, hit, "right") - 1 + row
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), pa.array(grams[hit].view(np.int64))], names=["doc", "gram"])
+        give_back()
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc"), F.lower(text_col).alias("text"))
