@@ -59,6 +59,32 @@ def test_pipeline_keeps_what_is_clean(spark, tmp_path):
             assert got[i].n_tokens == len(ids) and got[i].ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
 
 
+def test_every_row_is_judged_by_itself(spark, tmp_path):
+    """Null, repeated and shared ids: a clean row stays whatever its id, and one row of a group, whatever their ids."""
+    rng = random.Random(2)
+    text = lambda n=60: " ".join(rng.choice("abcdefghij") + str(rng.randrange(400)) for _ in range(n))
+    first, second, third, item = text(), text(), text(), text(30)
+    rows = [
+        (1, first), (2, first + " end"), (2, second), (2, second), (None, third), (None, first), (None, third + " end"), (5, "x " + item),
+        (5, text()), (None, item + " y"), (None, None), (7, ""),
+    ]
+    schema = "doc_id long, text string, row_key string"
+    docs = spark.createDataFrame([(*r, "kept") for r in rows], schema).repartition(3)
+    folder = str(tmp_path / "in")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    left = corpus_pipeline.copies_stage(spark, docs, folder)
+    assert left.columns == docs.columns
+    got = sorted((str(r.doc_id), r.text or "") for r in left.collect())
+    texts = [t for _, t in got]
+    assert ("1", first) in got and ("2", second) in got and texts.count(second) == 1 and rows[8] == (5, rows[8][1]) and ("5", rows[8][1]) in got
+    assert not any(t == first + " end" for t in texts) and texts.count(first) == 1
+    assert sum(t in (third, third + " end") for t in texts) == 1
+    clean = corpus_pipeline.decontamination_stage(spark, left, folder)
+    kept = sorted(r.text or "" for r in clean.collect())
+    assert kept == sorted(t for t in texts if item not in t) and rows[8][1] in kept
+
+
 def test_pipeline_over_an_empty_table(spark, tmp_path):
     folder = made(tmp_path / "in", spark, [], [])
     assert corpus_pipeline.run(spark, folder).count() == 0
