@@ -18,7 +18,6 @@ from functools import lru_cache
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 
 from millrace.llm.arrays import span_hashes
 
@@ -158,11 +157,8 @@ def word_keys(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 
 def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Number of the distinct key at each place, the distinct keys, and where each stands first."""
-    codes, known = pd.factorize(keys)
-    if not len(codes):
-        return codes, known, codes
-    seen = np.maximum.accumulate(codes)
-    return codes, known, np.flatnonzero(np.append(True, seen[1:] > seen[:-1]))
+    known, first, codes = np.unique(keys, return_index=True, return_inverse=True)
+    return codes, known, first
 
 
 #: The ids of some words one after the other, and how many each word has.
