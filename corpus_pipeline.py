@@ -1,8 +1,9 @@
 """A training-corpus pipeline over ``documents``: each stage works on what its predecessor kept, written as Parquet between.
 
-Defined results: null texts and texts without letters are rejected by the first stage; of equal or near texts the smallest id
-stays; rows that share an id stay or go together in the near-copy and decontamination stages, and rows without an id are kept
-there; further columns pass through all stages but the last; an empty table gives an empty result.
+Defined results: null texts and texts without letters are rejected by the first stage; texts are looked at whole, however long; every row
+is judged by itself, also where rows share an id or have none; of rows with equal or near texts that with the smallest id stays, one
+without an id only if none has one, and of equal ids the first in the table; further columns pass through all stages but the
+last; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -14,45 +15,70 @@ from millrace.llm import bpe, contamination, language, probminhash, quality
 from millrace.llm.learning import unused
 from millrace.llm.queries import vocabulary
 from millrace.queries.registry import table
-from millrace.session import scratch_path
+from millrace.session import delete_path, scratch_path, ship_package
 
-LEAST_LANGUAGE_SCORE = 0.3
+#: Times the score of chance, one over the number of languages, that a document must reach.
+LEAST_ABOVE_CHANCE = 1.2
 LEAST_QUALITY = 0.7
 
 
+#: Rows of an Arrow batch; they carry whole texts.
+BATCH_ROWS = 2000
+
+
+def modest(spark: SparkSession) -> None:
+    """The package on the executors, and batches of whole texts that leave room for the other stages in a worker that serves them all."""
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without letters and those that no learnt language fits better than chance."""
-    table(spark, sf_dir, "documents")
+    modest(spark)
     model = language.train(docs)
     lang, score = unused("stage_lang", docs.columns), unused("stage_score", docs.columns)
     out = language.predicted(docs, model, into=lang, score=score)
-    return out.filter((F.col(lang) != language.UNKNOWN) & (F.col(score) >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+    # With one language nothing can be told by the score.
+    least = LEAST_ABOVE_CHANCE / len(model.languages) if len(model.languages) > 1 else 0.0
+    return out.filter((F.col(lang) != language.UNKNOWN) & (F.col(score) >= least)).select(*docs.columns)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents with a quality score below 0.7."""
+    modest(spark)
     weights = quality.train(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "quality", 4, 2)
     score = unused("stage_score", docs.columns)
     return quality.score(docs, "text", weights, into=score).filter(F.col(score) >= LEAST_QUALITY).select(*docs.columns)
 
 
+def keyed(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents with a number of their own for every row, written once so that it stays the same, and the name of its column."""
+    key, path = unused("row_key", docs.columns), scratch_path(spark, "keyed")
+    docs.withColumn(key, F.monotonically_increasing_id()).write.parquet(path)
+    return spark.read.parquet(path), key
+
+
 def copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each class of near copies, that with the smallest id; documents without an id stay."""
-    table(spark, sf_dir, "documents")
-    classes, _ = probminhash.near_copies(docs)
-    dropped = classes.filter("class_id <> doc_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """Keeps one row of each class of near copies, that with the smallest id."""
+    modest(spark)
+    rows, key = keyed(spark, docs)
+    classes, _ = probminhash.near_copies(rows, key)
+    ranked = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(key).alias("key"))
+    kept = classes.select(key, "class_id").join(rows.select(key, "doc_id"), key).groupBy("class_id").agg(F.min(ranked)["key"].alias(key))
+    return rows.join(kept.select(key), key, "left_semi").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that contain a benchmark item."""
-    found = contamination.flagged(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    modest(spark)
+    rows, key = keyed(spark, docs)
+    found = contamination.flagged(rows, table(spark, sf_dir, "benchmark"), key)
+    return rows.join(found.select(key), key, "left_anti").select(*docs.columns)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of the kept documents and their digests; the decoded text is compared through its digest."""
-    table(spark, sf_dir, "documents")
+    modest(spark)
     return bpe.digests(docs, vocabulary("word_bpe_49k.json"))
 
 
@@ -62,9 +88,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over ``documents``; returns what the last one makes of the kept documents."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"stage-{name.replace(' ', '-')}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            delete_path(spark, before)  # nothing reads it any more
+        before = path
     return docs
