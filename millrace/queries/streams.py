@@ -133,7 +133,8 @@ SELECT city, count(*) AS n, count(*) FILTER (t > 25) AS hot, count(*) FILTER (t
 def stateful_alerts(spark, d):
     """State per city: figures and alerts are complete as they leave the stream."""
     root = scratch_path(spark, "sensors")
-    runs.drain_to_parquet(sensors.monitor(readings(stream(spark, d, "events"))), f"{root}/out", f"{root}/checkpoint")
+    with runs.settings(spark, sensors.STATE_STORE):
+        runs.drain_to_parquet(sensors.monitor(readings(stream(spark, d, "events"))), f"{root}/out", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/out").groupBy("city").agg(
         F.count(F.lit(1)).alias("n"), F.max("high_temp_count").alias("hot"), F.count_if(F.col("alerts") != "").alias("alerted"),
         F.count_if(F.col("alerts").contains("pm25")).alias("dusty"),
@@ -155,7 +156,8 @@ def stateful_readings(spark, d):
     """Mean, trend and count of every reading; the state is kept per city and week, so a hot city is many keys."""
     root = scratch_path(spark, "readings")
     before = sensors.hot_before(readings(stream(spark, d, "events")), slice_seconds=7 * 86400)
-    runs.drain_to_parquet(before, f"{root}/out", f"{root}/checkpoint")
+    with runs.settings(spark, sensors.STATE_STORE):
+        runs.drain_to_parquet(before, f"{root}/out", f"{root}/checkpoint")
     out = sensors.figures(sensors.with_earlier_slices(spark.read.parquet(f"{root}/out")))
     return out.select(
         F.col("sensor_id").cast("bigint").alias("event_id"), "city", settle(F.col("avg_temp"), 4).alias("avg_temp"),

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.operators.windows import join_on
+from millrace.session import ROCKSDB
 
 # Alert limits.
 LIMITS = {"temperature": 25.0, "humidity": 80.0, "co2_level": 1000.0, "pm25_level": 35.0}
@@ -28,6 +29,8 @@ READING_SCHEMA = (
     "co2_level double, pm25_level double"
 )
 SLICE = "slice"
+#: The state needs a store with column families; Spark's default store has none, and a caller's session may have kept it.
+STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
 #: Settings under which a query with a time to live ends when its input does.
 DRAINING = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
 #: The slice of readings without a time, within the operator.
@@ -131,8 +134,9 @@ def hot_before(
 ) -> DataFrame:
     """The stream of readings with their slice and the figures before them in their city and slice.
 
-    ``lateness`` sets a watermark: slices behind it are forgotten, and readings behind it dropped.  With ``ttl_ms`` Spark would run
-    batches without input for ever; start a query that shall drain with the settings ``DRAINING``.
+    Start the query with the settings ``STATE_STORE``.  ``lateness`` sets a watermark: slices behind it are forgotten, and readings
+    behind it dropped.  With ``ttl_ms`` Spark would run batches without input for ever; start a query that shall drain with the
+    settings ``DRAINING``.
     """
     if lateness is not None and (slice_seconds is None or ttl_ms is not None):
         raise ValueError("a lateness needs slices, and no time to live beside it")

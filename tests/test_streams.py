@@ -151,6 +151,23 @@ def test_state_operator_equals_a_plain_loop(spark, tmp_path, slice_seconds, piec
     assert sorted(map(str, rows(figures))) == sorted(map(str, plain_monitor(batches, slice_seconds)))
 
 
+def test_sensor_queries_bring_their_state_store(spark, tmp_path):
+    """A session with Spark's default state store, as one that this package did not build."""
+    from millrace.queries.streams import stateful_alerts, stateful_readings
+
+    events = [(1, at(1), 7, "view", 30.0, '{"k": 90}'), (2, at(2), 7, "view", 20.0, '{"k": 1}'), (3, at(3), 8, "view", 26.0, '{"k": 2}')]
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(events, schema).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    with runs.settings(spark, {provider: default}):
+        assert rows(stateful_alerts(spark, str(tmp_path))) == [("7", 2, 1, 1, 1), ("8", 1, 1, 1, 0)]
+        assert rows(stateful_readings(spark, str(tmp_path)), "event_id", "avg_temp", "high_temp_count", "temperature_trend") == [
+            (1, 30.0, 1, "stable"), (2, 25.0, 1, "falling"), (3, 26.0, 1, "stable")
+        ]
+        assert spark.conf.get(provider) == default
+
+
 def test_hot_readings_are_forgotten_after_their_time(spark, tmp_path):
     root = str(tmp_path)
     monitored(spark, root, 1, [reading("x", 1, 30.0), reading("x", 2, 40.0)], ttl_ms=3_600_000)
