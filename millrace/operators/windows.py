@@ -21,6 +21,8 @@ from millrace.session import durable
 
 #: Rows of a block: as many rows of one key a window holds at most.
 BLOCK_ROWS = 500_000
+#: Rows of a task whose rows are kept in memory.
+TASK_ROWS = 250_000
 
 _SLICE, _AT, _POS, _BLOCK, _OWN, _COUNT, _BEFORE = "_slice", "_at", "_pos", "_block", "_own", "_count", "_before"
 
@@ -90,6 +92,16 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return left.join(named, match, how).drop(*[f"_right_{k}" for k in keys])
 
 
+def in_bounded_tasks(df: DataFrame, keys: Sequence[str], rows: int, task_rows: int | None = None) -> DataFrame:
+    """``df`` of at most ``rows`` rows, dealt by ``keys`` to as many tasks as keep each at about ``task_rows`` rows.
+
+    For groups that are much smaller than a task: windows by ``keys`` then need no further shuffle.  Where the session has
+    as many tasks anyway, the rows stay as they are.
+    """
+    tasks = -(-rows // (TASK_ROWS if task_rows is None else task_rows))
+    return df.repartition(tasks, *keys) if tasks > df.sparkSession.sparkContext.defaultParallelism else df
+
+
 def over_groups(
     df: DataFrame,
     keys: Sequence[str],

@@ -574,9 +574,12 @@ def gbt_classifier(spark, d):
 
 @query("gbt_regression", "ML-06 ML-07")
 def gbt_regression(spark, d):
-    from millrace.operators.windows import lag_features
+    from millrace.operators.windows import in_bounded_tasks, lag_features
 
-    daily = table(spark, d, "lineitem").groupBy("l_suppkey", F.to_date("l_shipdate").alias("day")).agg(F.sum("l_quantity").alias("units"))
+    items = table(spark, d, "lineitem")
+    daily = items.groupBy("l_suppkey", F.to_date("l_shipdate").alias("day")).agg(F.sum("l_quantity").alias("units"))
+    # The trees are fitted on rows that stay in memory as the windows left them, so their tasks must not grow with the table.
+    daily = in_bounded_tasks(daily, ["l_suppkey"], items.count())
     rows = lag_features(daily, ["l_suppkey"], "day", "units").withColumn("key", F.concat_ws("/", "l_suppkey", "day"))
     rows = X.hash_split(rows, "key", {"train": 80, "test": 20})
     numbers = ["units", "units_d1", "units_d2", "units_d3", "units_d7", "mean_7d_units", "dow"]

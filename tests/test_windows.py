@@ -113,3 +113,29 @@ def test_quantile_sketches_merge_beyond_their_size(spark):
     assert (got[0].n, got[1].n, got[None].n, got[None].p50_v) == (30000, 30000, 1, 5.0)
     small = {r.k: r for r in A.percentiles(df.filter("v < 200"), ["k"], "v").collect()}
     assert small[0].p50_v in (98.0, 99.0, 100.0) and small[0].n == 100
+
+
+def test_rows_kept_in_memory_are_dealt_by_their_number(spark):
+    """Windows over small groups keep the tasks they were dealt to: more rows are more tasks, not larger ones."""
+    daily = spark.range(600).select((F.col("id") % 60).alias("k"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") / 60).cast("int")).alias("day"), F.col("id").alias("units"))
+    plain = W.lag_features(daily, ["k"], "day", "units")
+    dealt = W.lag_features(W.in_bounded_tasks(daily, ["k"], 600, 30), ["k"], "day", "units")
+    assert plain.rdd.getNumPartitions() <= 4 and dealt.rdd.getNumPartitions() == 20
+    assert rows(dealt) == rows(plain)
+    assert W.in_bounded_tasks(daily, ["k"], 600) is daily
+
+
+def test_regression_rows_are_dealt_by_their_number(spark, tmp_path, monkeypatch):
+    from millrace.operators import features
+    from millrace.queries.texts import gbt_regression
+
+    items = spark.range(400).select(
+        (F.col("id") % 40).alias("l_suppkey"), F.timestamp_add("DAY", (F.col("id") / 40).cast("int"), F.lit("2024-01-01").cast("timestamp_ntz")).alias("l_shipdate"), F.lit(1.0).alias("l_quantity")
+    )
+    items.write.parquet(f"{tmp_path}/lineitem.parquet")
+    tasks = []
+    monkeypatch.setattr(W, "TASK_ROWS", 25)
+    monkeypatch.setattr(features, "fit_regressor", lambda train, *args, **options: tasks.append(train.rdd.getNumPartitions()))
+    monkeypatch.setattr(features, "score", lambda model, df, keep: df.select(*keep))
+    gbt_regression(spark, str(tmp_path))
+    assert tasks == [16]
