@@ -107,6 +107,43 @@ def quantiles_of(sketches: DataFrame, group: Sequence[str], value: str, shares:
     return sketches.select(*group, "n", settle(F.col("total") / F.col("n"), 4).alias(f"mean_{value}"), *cells)
 
 
+def exact_quantiles(df: DataFrame, sketches: DataFrame, group: Sequence[str], value: str, slack: float, shares: Sequence[float] = SHARES) -> DataFrame:
+    """Mean and exact nearest-rank quantiles per group of ``df``, from the merged sketches of its rows.
+
+    A sketch tells between which two values a quantile lies: those of the shares ``slack`` below and above.  Rows are counted below
+    and between them, and only those between are put in order.  Where the counts show that a sketch was wrong, its end is left
+    open, so the result is exact whatever the sketch says.
+    """
+    from millrace.operators.windows import join_on, with_positions
+
+    number = F.col(value).cast("double")
+    rows = df.select(*group, number.alias("_value")).filter(F.col("_value").isNotNull() & ~F.isnan("_value"))
+    ends = F.array(*[F.lit(x) for p in shares for x in (max(p - slack, 0.0), min(p + slack, 1.0))])
+    found = F.kll_sketch_get_quantile_double("sketch", ends)
+    places = F.array(*[
+        F.struct(F.lit(i).alias("_share"), F.greatest(F.lit(1), F.ceil(F.col("n") * p)).alias("_rank"), found[2 * i].alias("_low"), found[2 * i + 1].alias("_high"))
+        for i, p in enumerate(shares)
+    ])
+    # One row per group and share.
+    bounds = sketches.select(*group, F.inline(places))
+    counts = join_on(rows, bounds, group).groupBy(*group, "_share", "_rank", "_low", "_high").agg(
+        F.count_if(F.col("_value") < F.col("_low")).alias("_below"), F.count_if(F.col("_value") <= F.col("_high")).alias("_reached")
+    )
+    early, late = F.col("_rank") <= F.col("_below"), F.col("_rank") > F.col("_reached")
+    kept = counts.select(
+        *group, "_share", F.when(~early, F.col("_low")).alias("_low"), F.when(~late, F.col("_high")).alias("_high"),
+        (F.col("_rank") - F.when(early, 0).otherwise(F.col("_below"))).alias("_rank"),
+    )
+    between = join_on(rows, kept, group).filter((F.col("_low").isNull() | (F.col("_value") >= F.col("_low"))) & (F.col("_high").isNull() | (F.col("_value") <= F.col("_high"))))
+    placed = with_positions(between.select(*group, "_share", "_rank", "_value"), [*group, "_share"], ["_value"], "_pos")
+    exact = placed.filter(F.col("_pos") == F.col("_rank")).groupBy(*group).agg(
+        *[F.max(F.when(F.col("_share") == i, F.col("_value"))).alias(f"p{round(p * 100)}_{value}") for i, p in enumerate(shares)]
+    )
+    means = sketches.select(*group, "n", settle(F.col("total") / F.col("n"), 4).alias(f"mean_{value}"))
+    # A group without a value has a row too.
+    return join_on(join_on(df.select(*group).distinct(), means, group, "left"), exact, group, "left")
+
+
 def percentiles(df: DataFrame, group: Sequence[str], value: str, size: int = SKETCH_SIZE) -> DataFrame:
     """Rows, mean, p50, p95, p99 per group from one mergeable sketch of bounded size a group."""
     return quantiles_of(quantile_sketches(df, group, value, size), group, value)
