@@ -218,7 +218,7 @@ def dense_ids(df: DataFrame, order: Sequence[str], name: str = "id") -> DataFram
     return with_positions(df, [], order, "_pos").withColumn(name, F.col("_pos") - 1).drop("_pos")
 
 
-def number_batches(figures: DataFrame, group: Sequence[str], batch: str, name: str) -> DataFrame:
+def number_batches(figures: DataFrame, group: Sequence[str], batch: str | Column, name: str) -> DataFrame:
     """Dense rank of the batch id per group, for a small table with one row per group and batch."""
     return figures.withColumn(name, F.dense_rank().over(Window.partitionBy(*group).orderBy(batch)))
 

@@ -6,8 +6,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from millrace.operators.aggregates import quantile_sketches
+from millrace.operators.aggregates import exact_quantiles, quantile_sketches
 from millrace.operators.quality import expect, expect_or_drop, expect_or_fail
+from millrace.operators.windows import join_on
 from millrace.plans.datasets import Datasets
 from millrace.streaming import latency, runs, sensors, windows
 
@@ -263,6 +264,49 @@ def test_latency_tables(spark):
     assert rows(both, "trigger_type", "n", "p99_latency") == [("mbm", 12, 43.0)]
 
 
+def nearest_rank(values, share):
+    """The smallest value that reaches the share."""
+    values = sorted(values)
+    return values[max(-(-len(values) * round(share * 100) // 100), 1) - 1]
+
+
+@pytest.mark.parametrize("size, slack, known", [(8, 0.02, 1.0), (256, 0.02, 1.0), (256, 0.0, 1.0), (256, 0.02, 0.1)])
+def test_exact_quantiles_whatever_the_sketch_says(spark, size, slack, known):
+    """Groups far beyond a sketch, with ties; coarse sketches, and ones that miss most rows but tell their number."""
+    rng = random.Random(3)
+    data = {"a": [round(rng.expovariate(0.01), 1) for _ in range(3000)], "b": [7.0] * 500 + [rng.random() for _ in range(400)], None: [3.0, 1.0]}
+    flat = [(k, v, i) for k, values in data.items() for i, v in enumerate(sorted(values))] + [("c", None, 0), ("a", None, 0)]
+    df = spark.createDataFrame(flat, "k string, v double, i int").repartition(4)
+    sketches = quantile_sketches(df.filter(F.col("i") < F.lit(known) * 3000), ["k"], "v", size)
+    whole = quantile_sketches(df, ["k"], "v", size)
+    sketches = join_on(sketches.select("k", "sketch"), whole.select("k", "n", "total"), ["k"])
+    got = {r.k: tuple(r)[1:] for r in exact_quantiles(df, sketches, ["k"], "v", slack).select("k", "n", "p50_v", "p95_v", "p99_v").collect()}
+    want = {k: (len(v), *[nearest_rank(v, p) for p in (0.5, 0.95, 0.99)]) for k, v in data.items()}
+    assert got == {**want, "c": (None, None, None, None)}
+
+
+def test_percentile_queries_return_the_percentiles(spark, tmp_path):
+    """Values of groups larger than a sketch, not only their ranks; one batch a day, also for events without a time."""
+    from millrace.queries.aggregates import sketched_percentiles
+    from millrace.queries.streams import latency_per_batch
+
+    rng = random.Random(4)
+    events = [(kind, None if i % 50 == 0 else at(86400 * (i % 9)), rng.random() * 100) for kind in ("click", "view") for i in range(2000)]
+    spark.createDataFrame(events, "event_type string, ts timestamp_ntz, value double").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+
+    def figures(values):
+        return tuple(nearest_rank(values, p) for p in (0.5, 0.95, 0.99))
+
+    kinds = {kind: figures([v for k, _, v in events if k == kind]) for kind in ("click", "view")}
+    got = sketched_percentiles(spark, str(tmp_path)).select("event_type", "p50_value", "p95_value", "p99_value").collect()
+    assert {r[0]: tuple(r)[1:] for r in got} == kinds
+    groups = {}
+    for kind, ts, v in events:
+        groups.setdefault((kind, None if ts is None else (ts - T0).days), []).append(v)
+    got = latency_per_batch(spark, str(tmp_path)).select("trigger_type", "batch_id", "batch_no", "p50_latency", "p95_latency", "p99_latency").collect()
+    assert {tuple(r)[:3]: tuple(r)[3:] for r in got} == {(k, b, 10 if b is None else b + 1): figures(v) for (k, b), v in groups.items()}
+
+
 # ---- datasets --------------------------------------------------------------
 
 
