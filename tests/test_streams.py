@@ -169,6 +169,17 @@ def test_sensor_queries_bring_their_state_store(spark, tmp_path):
         assert spark.conf.get(provider) == default
 
 
+def test_readings_without_a_time_come_last(spark, tmp_path):
+    from millrace.queries.streams import stateful_readings
+
+    events = [(1, None, 7, "view", 40.0, None), (2, None, 7, "view", 35.0, None), (3, at(5), 7, "view", 30.0, None), (4, None, 7, "view", 36.0, None)]
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(events, schema).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    assert rows(stateful_readings(spark, str(tmp_path)), "event_id", "avg_temp", "high_temp_count", "temperature_trend") == [
+        (1, 35.0, 2, "rising"), (2, 35.0, 3, "falling"), (3, 30.0, 1, "stable"), (4, 35.25, 4, "rising")
+    ]
+
+
 def test_hot_readings_are_forgotten_after_their_time(spark, tmp_path):
     root = str(tmp_path)
     monitored(spark, root, 1, [reading("x", 1, 30.0), reading("x", 2, 40.0)], ttl_ms=3_600_000)
