@@ -15,7 +15,7 @@ from millrace.llm import bpe, contamination, language, probminhash, quality
 from millrace.llm.learning import unused
 from millrace.llm.queries import vocabulary
 from millrace.queries.registry import table
-from millrace.session import delete_path, scratch_path, ship_package
+from millrace.session import delete_path, durable, scratch_path, ship_package, shuffles_removed
 
 #: Times the score of chance, one over the number of languages, that a document must reach.
 LEAST_ABOVE_CHANCE = 1.2
@@ -51,29 +51,42 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.score(docs, "text", weights, into=score).filter(F.col(score) >= LEAST_QUALITY).select(*docs.columns)
 
 
-def keyed(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, str]:
-    """The documents with a number of their own for every row, written once so that it stays the same, and the name of its column."""
-    key, path = unused("row_key", docs.columns), scratch_path(spark, "keyed")
-    docs.withColumn(key, F.monotonically_increasing_id()).write.parquet(path)
-    return spark.read.parquet(path), key
+def written(spark: SparkSession, docs: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """The documents written once and read again, and their folder."""
+    path = scratch_path(spark, purpose)
+    docs.write.parquet(path)
+    return spark.read.parquet(path), path
+
+
+def keyed(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """The documents with a number of their own for every row, written once so that it stays the same, the name of its column, and the folder."""
+    key = unused("row_key", docs.columns)
+    rows, path = written(spark, docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    return rows, key, path
 
 
 def copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each class of near copies, that with the smallest id."""
     modest(spark)
-    rows, key = keyed(spark, docs)
-    classes, _ = probminhash.near_copies(rows, key)
-    ranked = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(key).alias("key"))
-    kept = classes.select(key, "class_id").join(rows.select(key, "doc_id"), key).groupBy("class_id").agg(F.min(ranked)["key"].alias(key))
-    return rows.join(kept.select(key), key, "left_semi").select(*docs.columns)
+    with shuffles_removed(spark):
+        rows, key, path = keyed(spark, docs)
+        classes, _ = probminhash.near_copies(rows, key)
+        ranked = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(key).alias("key"))
+        kept = classes.select(key, "class_id").join(rows.select(key, "doc_id"), key).groupBy("class_id").agg(F.min(ranked)["key"].alias(key))
+        out, _ = written(spark, rows.join(durable(kept).select(key), key, "left_semi").select(*docs.columns), "copies")
+    delete_path(spark, path)
+    return out
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that contain a benchmark item."""
     modest(spark)
-    rows, key = keyed(spark, docs)
-    found = contamination.flagged(rows, table(spark, sf_dir, "benchmark"), key)
-    return rows.join(found.select(key), key, "left_anti").select(*docs.columns)
+    with shuffles_removed(spark):
+        rows, key, path = keyed(spark, docs)
+        found = durable(contamination.flagged(rows, table(spark, sf_dir, "benchmark"), key))
+        out, _ = written(spark, rows.join(found.select(key), key, "left_anti").select(*docs.columns), "clean")
+    delete_path(spark, path)
+    return out
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

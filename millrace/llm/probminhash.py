@@ -23,9 +23,6 @@ without an id have no class; an empty table gives an empty result; other columns
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +31,7 @@ from pyspark.sql import functions as F
 from millrace.llm.arrays import distinct_shingles, give_back, mixed, ngrams_of, row_numbers, text_slices, words_of
 from millrace.llm.blocks import Forest, block_pairs, gathered, groups
 from millrace.llm.components import components
-from millrace.session import durable, release
+from millrace.session import durable, release, setting, shuffles_removed
 
 SHINGLE = 5
 SIZE = 127
@@ -129,16 +126,9 @@ def similarity(a: np.ndarray, a_counts: np.ndarray, b: np.ndarray, b_counts: np.
     return round(float((x / (only_a + below + (only_b + above) / ratio)).sum()), 12)
 
 
-@contextmanager
-def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+def small_batches(spark: SparkSession, rows: int):
     """Arrow batches of few rows, for rows that carry whole texts."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+    return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def banded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -225,7 +215,6 @@ def links(entries: DataFrame, docs: DataFrame, id_col: str, text_col: str, thres
     pivots = scored.groupBy("key").agg(F.max_by("node", F.struct("score", -F.col("node"))).alias("pivot"))
     star = entries.join(pivots, "key").filter("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
     found = verified(star, docs, id_col, text_col, threshold)
-    release(docs.sparkSession)  # texts were shuffled; the files go before they are shuffled again
     joined = entries.join(components(found), "node", "left").select("key", "band", "node", F.coalesce("component", "node").alias("component"))
     # What is left: buckets that hold several components.
     open_ = joined.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
@@ -289,13 +278,15 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     copy_of is the smallest id with the same text, class_id the smallest id reachable by links; a null id has neither.
     """
-    rows = durable(banded(docs, id_col, text_col))
-    nodes = rows.filter("node IS NOT NULL AND copy IS NOT NULL").groupBy("copy").agg(F.min("node").alias("first"), F.any_value("bands").alias("bands"))
-    nodes = durable(nodes)
-    entries = nodes.select(F.col("first").alias("node"), F.posexplode("bands").alias("band", "key")).distinct()
-    found = durable(links(entries, docs, id_col, text_col, threshold))
-    release(docs.sparkSession)
-    labels = components(found)
+    spark = docs.sparkSession
+    with shuffles_removed(spark):  # texts are shuffled twice; the files of each step go before the next
+        rows = durable(banded(docs, id_col, text_col))
+        nodes = rows.filter("node IS NOT NULL AND copy IS NOT NULL").groupBy("copy").agg(F.min("node").alias("first"), F.any_value("bands").alias("bands"))
+        nodes = durable(nodes)
+        entries = nodes.select(F.col("first").alias("node"), F.posexplode("bands").alias("band", "key")).distinct()
+        found = durable(links(entries, docs, id_col, text_col, threshold))
+        release(spark)
+        labels = components(found)
     member = nodes.select("copy", "first").join(labels.withColumnRenamed("node", "first"), "first", "left")
     out = rows.select("node", "copy").join(member, "copy", "left")
     return (

@@ -6,11 +6,14 @@ import gc
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 # Settings that hold on a laptop and on a cluster.  The number of shuffle
 # partitions is left to the caller: AQE merges small ones, so a cluster sets it high.
@@ -81,8 +84,30 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting of the session for some steps; afterwards it is as it was."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def shuffles_removed(spark: SparkSession):
+    """Spark deletes the shuffle files of every query made and run inside as soon as it ends, whatever the driver's memory still holds.
+
+    For steps whose result is written (``durable``): a frame made inside that is run once more would have to shuffle again.
+    """
+    return setting(spark, SHUFFLE_CLEANUP, "true")
+
+
 def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of steps that are over; it does so when the driver's JVM finds their plans unused."""
+    """Let Spark delete the files of plans that are over; it does so when the driver's JVM finds them unused, so it is not certain when."""
     gc.collect()  # the Python side holds plans too
     spark._jvm.java.lang.System.gc()
 

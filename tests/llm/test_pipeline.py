@@ -2,11 +2,15 @@
 
 import hashlib
 import random
+import time
+from pathlib import Path
 
 import pytest
 
 import corpus_pipeline
+from millrace.llm import probminhash
 from millrace.llm.queries import vocabulary
+from millrace.session import SHUFFLE_CLEANUP
 
 tokenizers = pytest.importorskip("tokenizers")
 
@@ -85,6 +89,39 @@ def test_every_row_is_judged_by_itself(spark, tmp_path):
     assert kept == sorted(t for t in texts if item not in t) and rows[8][1] in kept
 
 
+def files_left(spark, before, seconds=15):
+    """Shuffle files that are new and still there after some seconds; Spark deletes them without waiting until they are gone."""
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    for _ in range(seconds * 5 + 1):
+        left = {str(f) for folder in folders for f in Path(folder).rglob("shuffle_*.data")} - before
+        if not left:
+            break
+        time.sleep(0.2)
+    return left
+
+
+def test_near_copies_and_decontamination_leave_no_shuffle_files(spark, tmp_path, monkeypatch):
+    """Whatever the driver's memory holds: files that wait for its garbage collector pile up over the steps and stages."""
+    rng = random.Random(4)
+    text = lambda n=60: " ".join(rng.choice("abcdefghij") + str(rng.randrange(400)) for _ in range(n))
+    base, item = text(), text(30)
+    rows = [(i, text()) for i in range(30)] + [(30 + i, f"{base} end{i}") for i in range(20)] + [(60, "x " + item)]
+    folder = str(tmp_path / "in")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    docs, setting = spark.read.parquet(f"{folder}/documents.parquet"), spark.conf.get(SHUFFLE_CLEANUP)
+    monkeypatch.setattr(probminhash, "release", lambda spark: None)
+    before = files_left(spark, set(), 0)
+    left = corpus_pipeline.copies_stage(spark, docs, folder)
+    assert sorted(r.doc_id for r in left.collect()) == [*range(31), 60]
+    assert not files_left(spark, before)
+    clean = corpus_pipeline.decontamination_stage(spark, left, folder)
+    for _ in range(2):  # the result may be read again
+        assert sorted(r.doc_id for r in clean.collect()) == [*range(31)]
+    assert not files_left(spark, before)
+    assert spark.conf.get(SHUFFLE_CLEANUP) == setting
+
+
 def test_pipeline_over_an_empty_table(spark, tmp_path):
     folder = made(tmp_path / "in", spark, [], [])
     assert corpus_pipeline.run(spark, folder).count() == 0
