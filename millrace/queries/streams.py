@@ -153,11 +153,11 @@ SELECT event_id, city, {rounded('(total + t) / (n + 1)', 4)} AS avg_temp, high_t
   CASE WHEN t > previous THEN 'rising' WHEN t < previous THEN 'falling' ELSE 'stable' END AS temperature_trend FROM w
 """)
 def stateful_readings(spark, d):
-    """Mean, trend and count of every reading; the state is kept per city and week, so a hot city is many keys."""
+    """Mean, trend and count of every reading; the state is kept per city and week, so a hot city is many keys, in buckets of small cities."""
     root = scratch_path(spark, "readings")
     # Here events without a time come after all others and are remembered too: at the end of the times that pandas can hold.
     timed = readings(stream(spark, d, "events")).withColumn("timestamp", F.coalesce("timestamp", F.lit("2262-04-11").cast("timestamp")))
-    before = sensors.hot_before(timed, slice_seconds=7 * 86400)
+    before = sensors.hot_before(timed, slice_seconds=7 * 86400, buckets=sensors.buckets_for(table(spark, d, "events").count()))
     with runs.settings(spark, sensors.STATE_STORE):
         runs.drain_to_parquet(before, f"{root}/out", f"{root}/checkpoint")
     out = sensors.figures(sensors.with_earlier_slices(spark.read.parquet(f"{root}/out")))

@@ -3,7 +3,9 @@
 Only hot readings are remembered.  The mean is over the remembered readings before the current one and the current one, counted
 once; the trend compares with the latest remembered reading.  The state is kept by Spark's state operator, per city, or per city and
 slice of event time: then a large city is many keys, which any number of tasks share, and ``with_earlier_slices`` adds what
-the slices before hold.  Readings of one key and micro-batch are handled in time order, whatever the pieces they arrive in.
+the slices before hold.  A call of the operator costs the same for one reading as for hundreds, so many small cities can be dealt to
+buckets: a key of the operator is then a bucket, whose state has an entry for each of its cities.  Readings of one key and micro-batch
+are handled by city and in time order, whatever the pieces they arrive in.
 """
 
 from __future__ import annotations
@@ -29,6 +31,9 @@ READING_SCHEMA = (
     "co2_level double, pm25_level double"
 )
 SLICE = "slice"
+BUCKET = "bucket"
+#: Readings of a bucket, of all slices together, where their number is known beforehand.
+BUCKET_ROWS = 20_000
 #: The state needs a store with column families; Spark's default store has none, and a caller's session may have kept it.
 STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
 #: Settings under which a query with a time to live ends when its input does.
@@ -38,6 +43,7 @@ NO_TIME = -(1 << 62)
 COLUMNS = [f.split()[0] for f in READING_SCHEMA.split(", ")]
 #: The figures before a reading: hot readings, their sum, and the latest of them.
 BEFORE_SCHEMA = "n bigint, total double, last_time timestamp, last_temp double"
+NOTHING = (0, 0.0, None, None)
 OUTPUT_SCHEMA = f"{READING_SCHEMA}, {SLICE} bigint, {BEFORE_SCHEMA}"
 
 
@@ -51,11 +57,11 @@ def alert_text(col=F.col) -> Column:
 
 
 class HotReadings(StatefulProcessor):
-    """Every reading with the hot ones that its key had before: their number, sum, and the latest.
+    """Every reading with the hot ones that its city had before within the key: their number, sum, and the latest.
 
-    The state is one value of fixed size.  With ``ttl_ms`` it is a list of the hot readings instead, each forgotten so many milliseconds
-    after the batch that brought it; Spark takes that time from the batch, so a repeated batch gives the same.  With
-    ``closing``, a timer on event time forgets a slice once the watermark is past its end.
+    The state is a list of one entry of fixed size per city of the key that had hot readings.  With ``ttl_ms`` it is a list of the hot
+    readings instead, each forgotten so many milliseconds after the batch that brought it; Spark takes that time from the batch, so a
+    repeated batch gives the same.  With ``closing``, a timer on event time forgets a slice once the watermark is past its end.
     """
 
     def __init__(self, hot: float, slice_seconds: int | None, ttl_ms: int | None, closing: bool):
@@ -64,62 +70,87 @@ class HotReadings(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         if self.ttl_ms is None:
-            self.figures = handle.getValueState("figures", BEFORE_SCHEMA)
+            self.figures = handle.getListState("figures", f"city string, {BEFORE_SCHEMA}")
         else:
-            self.hot_list = handle.getListState("hot", "time timestamp, temperature double", self.ttl_ms)
+            self.hot_list = handle.getListState("hot", "city string, time timestamp, temperature double", self.ttl_ms)
 
-    def _before(self) -> tuple[int, float, pd.Timestamp | None, float | None]:
+    def _before(self) -> dict[str | None, tuple]:
+        """(n, total, last_time, last_temp) of every city in the state."""
         if self.ttl_ms is None:
-            return self.figures.get() if self.figures.exists() else (0, 0.0, None, None)
-        known = list(self.hot_list.get()) if self.hot_list.exists() else []
-        timed = [(pd.Timestamp(t), x) for t, x in known if not pd.isna(t)]
-        # The later of equal times is the one that came later.
-        latest = max(enumerate(timed), key=lambda r: (r[1][0], r[0]))[1] if timed else (None, None)
-        return len(known), float(sum(x for _, x in known)), *latest
+            return {city: tuple(known) for city, *known in self.figures.get()} if self.figures.exists() else {}
+        out: dict[str | None, tuple] = {}
+        for city, t, x in self.hot_list.get() if self.hot_list.exists() else ():
+            n, total, last_time, last_temp = out.get(city, NOTHING)
+            # The later of equal times is the one that came later.
+            if not pd.isna(t) and (last_time is None or t >= last_time):
+                last_time, last_temp = t, x
+            out[city] = n + 1, total + x, last_time, last_temp
+        return out
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # A key's readings of one batch: choose slices that a task can hold.
-        frame = _in_order(pd.concat(list(rows), ignore_index=True))
-        n, total, last_time, last_temp = self._before()
-        temperature = frame["temperature"].to_numpy(float)
+        # A key's readings of one batch: choose slices and buckets that a task can hold.
+        frame = pd.concat(list(rows), ignore_index=True)
+        codes, cities = pd.factorize(frame["city"], use_na_sentinel=False)
+        order = _in_order(frame, codes)
+        frame, city = frame.take(order).reset_index(drop=True), codes[order]
+        cities = [None if pd.isna(c) else c for c in cities]
+        known = self._before()
+        start_n, start_total, start_time, start_temp = zip(*[known.get(c, NOTHING) for c in cities])
+        start_time = pd.to_datetime(pd.Series(start_time, dtype=object)).to_numpy("datetime64[ns]")
+        start_temp = np.array(start_temp, float)
+        # The places of the first and the last reading of every city, and of its city's first for every reading.
+        first = np.flatnonzero(np.concatenate([[True], city[1:] != city[:-1]]))
+        last = np.concatenate([first[1:], [len(city)]]) - 1
+        begin = np.repeat(first, last - first + 1)
+        time, temperature = frame["timestamp"].to_numpy("datetime64[ns]"), frame["temperature"].to_numpy(float)
         hot = temperature > self.hot
-        counted, summed = np.cumsum(hot), np.cumsum(np.where(hot, temperature, 0.0))
-        frame["n"] = n + counted - hot
-        frame["total"] = total + summed - np.where(hot, temperature, 0.0)
+        counted = np.cumsum(hot)
+        counted -= (counted - hot)[begin]
+        values = np.where(hot, temperature, 0.0)
+        # Each city by itself, so that no other city's values round its sums.
+        summed = np.concatenate([np.cumsum(v) for v in np.split(values, first[1:])])
         # Only a hot reading with a time can be the latest; a late one counts, but an earlier one stays the latest.
-        timed = hot & frame["timestamp"].notna().to_numpy()
-        if last_time is not None and not pd.isna(last_time):
-            timed &= ~(frame["timestamp"] < pd.Timestamp(last_time)).to_numpy()
-        place = np.maximum.accumulate(np.where(timed, np.arange(len(frame)), -1))
-        before = np.concatenate([[-1], place[:-1]])
-        known = before >= 0
-        frame["last_time"] = frame["timestamp"].to_numpy()[np.maximum(before, 0)]
-        frame["last_temp"] = np.where(known, temperature[np.maximum(before, 0)], np.nan if last_temp is None else last_temp)
-        frame.loc[~known, "last_time"] = pd.NaT if last_time is None else pd.Timestamp(last_time)
+        latest = np.maximum.accumulate(np.where(hot & ~np.isnat(time) & ~(time < start_time[city]), np.arange(len(city)), -1))
+        before = np.concatenate([[-1], latest[:-1]])
+        own = before >= begin
+        frame["n"] = np.array(start_n)[city] + counted - hot
+        frame["total"] = np.array(start_total, float)[city] + summed - values
+        frame["last_time"] = np.where(own, time[before], start_time[city])
+        frame["last_temp"] = np.where(own, temperature[before], start_temp[city])
         if hot.any():
             if self.ttl_ms is None:
-                end = place[-1]
-                newest = (frame["timestamp"].iloc[end].to_pydatetime(), float(temperature[end])) if end >= 0 else (last_time, last_temp)
-                self.figures.update((int(n + counted[-1]), float(total + summed[-1]), *newest))
+                for at in last[counted[last] > 0]:
+                    c, new = city[at], latest[at]
+                    newest = (frame["timestamp"].iat[new].to_pydatetime(), float(temperature[new])) if new >= begin[at] else known.get(cities[c], NOTHING)[2:]
+                    known[cities[c]] = int(start_n[c] + counted[at]), float(start_total[c] + summed[at]), *newest
+                self.figures.put([(c, *figures) for c, figures in known.items()])
             else:
-                self.hot_list.appendList([(None if pd.isna(t) else t.to_pydatetime(), float(x)) for t, x in zip(frame["timestamp"][hot], temperature[hot])])
+                self.hot_list.appendList([
+                    (cities[c], None if pd.isna(t) else t.to_pydatetime(), float(x)) for c, t, x in zip(city[hot], frame["timestamp"][hot], temperature[hot])
+                ])
         if self.closing and key[1] != NO_TIME:
             self.handle.registerTimer(int((key[1] + 1) * self.slice_seconds * 1000))
-        yield frame
+        yield frame.drop(columns=BUCKET, errors="ignore")
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.figures.clear()
         return iter([])
 
 
-def _in_order(frame: pd.DataFrame) -> pd.DataFrame:
-    """Time order within a key: readings without a time last, equal times by sensor, then by the other columns, nulls first."""
-    rest = [c for c in COLUMNS if c not in ("city", "timestamp", "sensor_id")]
-    keys = [frame["timestamp"].isna(), frame["timestamp"], frame["sensor_id"].isna(), frame["sensor_id"].fillna("")]
-    for c in rest:
-        keys += [frame[c].notna(), frame[c].fillna("" if c == "location" else 0.0)]
-    order = pd.concat([key.rename(i) for i, key in enumerate(keys)], axis=1).sort_values(list(range(len(keys))), kind="stable").index
-    return frame.loc[order].reset_index(drop=True)
+def _in_order(frame: pd.DataFrame, city: np.ndarray) -> np.ndarray:
+    """The rows by city and in time order: those without a time last, equal times by sensor, then by the other columns, nulls first."""
+    time, sensor = frame["timestamp"], pd.factorize(frame["sensor_id"], sort=True)[0]
+    keys = [city, time.isna(), time.to_numpy("datetime64[ns]").view("int64"), sensor < 0, sensor, pd.factorize(frame["location"], sort=True)[0]]
+    for c in COLUMNS:
+        if c not in ("city", "timestamp", "sensor_id", "location"):
+            numbers = frame[c].to_numpy(float)
+            keys += [~np.isnan(numbers), np.where(np.isnan(numbers), 0.0, numbers)]
+    return np.lexsort(keys[::-1])
+
+
+def buckets_for(rows: int) -> int:
+    """The number of buckets for so many readings."""
+    return rows // BUCKET_ROWS + 1
 
 
 def slice_of(slice_seconds: int | None) -> Column:
@@ -130,10 +161,13 @@ def slice_of(slice_seconds: int | None) -> Column:
 
 
 def hot_before(
-    readings: DataFrame, hot: float = LIMITS["temperature"], slice_seconds: int | None = None, ttl_ms: int | None = None, lateness: str | None = None
+    readings: DataFrame, hot: float = LIMITS["temperature"], slice_seconds: int | None = None, ttl_ms: int | None = None, lateness: str | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """The stream of readings with their slice and the figures before them in their city and slice.
 
+    With ``buckets`` the operator's keys are so many buckets of cities, times the slices; without, every city is a key.  A checkpoint
+    keeps its number of buckets.
     Start the query with the settings ``STATE_STORE``.  ``lateness`` sets a watermark: slices behind it are forgotten, and readings
     behind it dropped.  With ``ttl_ms`` Spark would run batches without input for ever; start a query that shall drain with the
     settings ``DRAINING``.
@@ -147,7 +181,11 @@ def hot_before(
         typed = typed.withWatermark("timestamp", lateness)
     mode = "EventTime" if lateness is not None else "ProcessingTime" if ttl_ms is not None else "None"
     # No null among the numbers of the key: pandas would make the whole column floats, which the state cannot tell from null.
-    keyed = typed.withColumn(SLICE, F.coalesce(slice_of(slice_seconds), F.lit(NO_TIME))).groupBy("city", SLICE)
+    sliced = typed.withColumn(SLICE, F.coalesce(slice_of(slice_seconds), F.lit(NO_TIME)))
+    if buckets is None:
+        keyed = sliced.groupBy("city", SLICE)
+    else:
+        keyed = sliced.withColumn(BUCKET, F.pmod(F.hash("city"), F.lit(buckets))).groupBy(BUCKET, SLICE)
     out = keyed.transformWithStateInPandas(HotReadings(hot, slice_seconds, ttl_ms, lateness is not None), OUTPUT_SCHEMA, "Append", mode)
     return out.withColumn(SLICE, F.when(F.col(SLICE) != NO_TIME, F.col(SLICE)))
 

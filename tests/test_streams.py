@@ -152,6 +152,41 @@ def test_state_operator_equals_a_plain_loop(spark, tmp_path, slice_seconds, piec
     assert sorted(map(str, rows(figures))) == sorted(map(str, plain_monitor(batches, slice_seconds)))
 
 
+@pytest.mark.parametrize("slice_seconds", [None, 20])
+def test_buckets_of_cities_equal_a_plain_loop(spark, tmp_path, slice_seconds):
+    """Two batches of 150 cities in two buckets, with state, late, missing and equal readings in pieces that cut a bucket's readings."""
+    rng = random.Random(6)
+    batches = []
+    for part in (1, 2):
+        data = [reading(f"c{rng.randrange(150)}", rng.randrange(80 * part), rng.choice([None, 20.0, 25.0, 26.5, 30.0, 41.0])) for _ in range(400)]
+        data = [(f"{r[0]}-{part}-{i:03}", *r[1:]) for i, r in enumerate(data)]
+        data += [reading(None, 1, 30.0 + part), reading("cold", 2, 20.0), reading("cold", 1, None)]
+        batches.append(data + [(f"s{part}{i}", city, "site", None, 50.0 + i, 1.0, 1.0, 1.0) for i in (1, 2) for city in ("c1", "timeless")])
+    piece = {"spark.sql.execution.arrow.maxRecordsPerBatch": "50", "spark.sql.execution.arrow.transformWithStateInPandas.maxRecordsPerBatch": "50"}
+    with runs.settings(spark, piece):
+        for part, data in enumerate(batches):
+            out = monitored(spark, str(tmp_path), part, data, slice_seconds=slice_seconds, buckets=2)
+    if slice_seconds:
+        out = sensors.with_earlier_slices(out)
+    figures = sensors.figures(out).select("city", "timestamp", "temperature", F.round("avg_temp", 6), "temperature_trend", "high_temp_count")
+    assert sorted(map(str, rows(figures))) == sorted(map(str, plain_monitor(batches, slice_seconds)))
+
+
+def test_readings_of_small_cities_share_keys(spark, tmp_path, monkeypatch):
+    """A call of the operator takes longer than hundreds of readings, so it is not called for every city and week."""
+    from millrace.queries import streams
+
+    events = [(i, at(86400 * (i % 30)), i % 1000, "view", 20.0 + i % 10, None) for i in range(3000)]
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(events, schema).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(streams, "scratch_path", lambda *_: f"{tmp_path}/run")
+    assert streams.stateful_readings(spark, str(tmp_path)).count() == 3000
+    updates = runs.Updates(spark, f"{tmp_path}/run/checkpoint/updates").table()
+    # One bucket in five weeks or six; the cities alone would be 400.
+    assert 1 <= runs.state_operators(runs.parse_progress(updates)).orderBy(F.desc("batchId")).first().numRowsTotal <= 6
+    assert sensors.buckets_for(36_000_000) == 1801 and sensors.buckets_for(0) == 1
+
+
 def test_sensor_queries_bring_their_state_store(spark, tmp_path):
     """A session with Spark's default state store, as one that this package did not build."""
     from millrace.queries.streams import stateful_alerts, stateful_readings
